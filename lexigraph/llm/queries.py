@@ -13,5 +13,17 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {"op1_jaccard_join": op1_jaccard_join}
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_store import store_and_read
+
+    return store_and_read(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op3_best_fit_packing, op5_token_store)}
 ORACLE_SQL: dict[str, str] = {}
