@@ -41,6 +41,11 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def lean_worker() -> None:
+    """Lets this Python worker give memory back between batches: Arrow's own pools keep it."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_batches, components, plan_bytes, staged
+from .common import as_bytes, bounded_batches, components, lean_worker, plan_bytes, staged
 from .shingles import mix64, shingle_sets
 
 NUM, DEN = 4, 5  # similarity 0.8 as a fraction
@@ -120,6 +120,7 @@ def frequency_filters(docs: DataFrame, text: str, max_bits: int = 1 << 29) -> di
             rows = [(b, rest[edges[b] : edges[b + 1]].tobytes()) for b in range(buckets) if edges[b] < edges[b + 1]]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "packed"])
 
+        lean_worker()
         with np.errstate(over="ignore"):
             for batch in batches:
                 for values in shingle_sets(as_bytes(batch.column(0))):
@@ -128,7 +129,7 @@ def frequency_filters(docs: DataFrame, text: str, max_bits: int = 1 << 29) -> di
                     if len(values):
                         held.append(values)
                         size += len(values)
-                if size > 4_000_000:
+                if size > 1_000_000:
                     yield flush()
                     held, size = [], 0
             if held:
@@ -163,7 +164,7 @@ def frequency_filters(docs: DataFrame, text: str, max_bits: int = 1 << 29) -> di
     at_least = lambda p: sum(x or 0 for x in tally[p:64])  # noqa: E731  shingles seen at least 2**p times
     low = next(p for p in range(1, 64) if at_least(p) * 8 <= max_bits)
     high = max(low + 1, 4)
-    bits = max(64, 1 << max(0, math.ceil(math.log2(max(1, at_least(low) * 16)))))
+    bits = max(64, 1 << max(0, math.ceil(math.log2(max(1, at_least(low) * 8)))))
     bits = min(max_bits, bits) // buckets or 8
     bits = max(8, bits // 8 * 8)
 
@@ -202,6 +203,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str, info: dict, boundary: in
     plain = {k: info[k] for k in ("log_buckets", "bits", "skip")}
 
     def signed(batches):
+        lean_worker()
         filters = shared.value
         with np.errstate(over="ignore"):
             for batch in batches:

@@ -61,7 +61,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(starts, bounds))
 
 
-def shingle_sets(texts: list[bytes | None], width: int = 5, block_bytes: int = 1 << 20):
+def shingle_sets(texts: list[bytes | None], width: int = 5, block_bytes: int = 1 << 18):
     """Yields, for each text in order, its sorted distinct shingle hashes (uint64)."""
     at = 0
     while at < len(texts):
