@@ -4,26 +4,63 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from .common import table
 
 
+def _held_out(modulus: int, remainder: int):
+    """Whether crc32 of doc_id as text leaves the remainder."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
+
+
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score
+
+    return score(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"), _held_out(5, 0))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+
+    return identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), _held_out(5, 0))
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_store import store_and_read
 
     return store_and_read(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op3_best_fit_packing, op5_token_store)}
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_search import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import matches
+
+    return matches(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score
+
+    return score(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"), _held_out(4, 2))
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_best_fit_packing, op4_language, op5_token_store, op6_top_k, op7_decontamination, op9_quality)}
 ORACLE_SQL: dict[str, str] = {}
