@@ -5,15 +5,17 @@ than in others.  They are kept in a trie.
 
 Matching.  A word meets a term by running the word's Levenshtein automaton along the trie: a state is
 the row of edit distances between the word and the path so far, and a branch whose row exceeds the
-term's budget is left.  Terms of five letters or more allow one edit, of nine or more two; for a
-word beginning the word may go on after it.  Each distinct word is run once in a worker; a word that shares no piece of
-budget-plus-one pieces with any term can't be that near and isn't run.
+largest budget is left.  Terms of five letters or more allow one edit, of nine or more two, word
+beginnings one letter later; after a beginning the word may go on.  Each distinct word is run once in a
+worker.  A word that has none of a term's budget-plus-one pieces within the budget of the piece's place can't
+be that near, and isn't run.
 
 Context.  A hit counts less inside quotation marks or after a word of reporting, and more the more other
 hits stand within eight words.  Sums and the highest window of a document's exact, misspelled and
 quoted hits, and their density, go through a logistic model.
 
-The lexicon and the model are fitted on at most `sample` labelled rows, the first by a hash of doc_id;
+The lexicon and the model are fitted on at most `sample` labelled rows, the first by a hash of doc_id, of
+which copies of each other (they share a minimum of eight hashes of their shingles) count as one;
 every whole text is scored.  Null and empty texts have no hits and get the model's base score.  With
 no toxic or no other training row, every score is the share of toxic rows (0 with no rows).
 Repeated rows get a row each.  Extra columns are ignored.
@@ -30,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lean_worker, staged
+from .common import as_bytes, bounded_batches, lean_worker, staged
+from .shingles import mix64, shingle_sets
 
 _WORD = re.compile(r"\w+(?:[*@$]+\w+)*")
 _MARK = re.compile(r"\w+(?:[*@$]+\w+)*|[\"“”„«»]")
@@ -40,7 +43,8 @@ _FEATURES = 6
 
 
 def budget(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    n = len(term) - 2 * term.endswith("*")
+    return 0 if n < 5 else 1 if n < 9 else 2
 
 
 class Lexicon:
@@ -49,24 +53,26 @@ class Lexicon:
     def __init__(self, weights: dict[str, float]):
         self.weights = weights
         self.root: dict = {}
-        self.heads: dict[int, set[str]] = {}
-        self.inner: set[str] = set()
-        self.most = max((budget(t.rstrip("*")) for t in weights), default=0)
+        self.most = max(map(budget, weights), default=0)
+        pieces: dict[tuple[int, int], set[str]] = {}
         for term in weights:
-            plain = term.rstrip("*")
+            plain, k = term.rstrip("*"), budget(term)
             node = self.root
             for c in plain:
                 node = node.setdefault(c, {})
             node.setdefault(None, []).append(term)
-            k, n = budget(plain), len(plain)
-            cuts = [n * i // (k + 1) for i in range(k + 2)]
-            self.heads.setdefault(cuts[1], set()).add(plain[: cuts[1]])
-            self.inner.update(plain[a:b] for a, b in zip(cuts[1:], cuts[2:]))
-        self.inner_pattern = re.compile("|".join(map(re.escape, sorted(self.inner)))) if self.inner else None
+            cuts = [len(plain) * i // (k + 1) for i in range(k + 2)]
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                for at in range(max(0, a - k), a + k + 1) if i else [0]:
+                    pieces.setdefault((at, at + b - a), set()).add(plain[a:b])
+                    if not i and k:  # an edit before the first piece moves it too
+                        for moved in range(1, k + 1):
+                            pieces.setdefault((moved, moved + b - a), set()).add(plain[a:b])
+        self.pieces = [(a, b, some) for (a, b), some in sorted(pieces.items())]
 
     def near(self, word: str) -> bool:
-        """Whether the word has a piece of some term, as any word within the term's budget must."""
-        return any(word[:n] in heads for n, heads in self.heads.items()) or bool(self.inner_pattern and self.inner_pattern.search(word))
+        """Whether the word has a piece of some term about its place, as any word within the term's budget must."""
+        return any(word[a:b] in some for a, b, some in self.pieces)
 
     def match(self, word: str) -> tuple[float, int] | None:
         """(weight, edits) of the best term the word meets: fewest edits, then largest weight."""
@@ -75,7 +81,7 @@ class Lexicon:
         while stack:
             node, row, depth = stack.pop()
             for term in node.get(None, ()):
-                k = budget(term.rstrip("*"))
+                k = budget(term)
                 edits = min(row) if term[-1] == "*" else row[-1]
                 if edits <= k and (best is None or (edits, -self.weights[term]) < best):
                     best = (edits, -self.weights[term])
@@ -136,8 +142,40 @@ def _terms(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in (4, 5, 6) if len(w) > n}
 
 
+def without_copies(sample: DataFrame, text: str) -> DataFrame:
+    """Of sample rows (row, text, label) that share one of eight shingle minima, the first."""
+    seeds = mix64(np.arange(1, 9, dtype=np.uint64))
+
+    def sketched(batches):
+        lean_worker()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                minima = [[int(x) for x in mix64(v[None, :] ^ seeds[:, None]).min(1).view(np.int64)] if len(v) else [] for v in shingle_sets(as_bytes(batch.column(1)))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(minima, pa.list_(pa.int64()))], ["row", "minima"])
+
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    rows = sample.select("row", text).mapInArrow(sketched, "row long, minima array<long>").orderBy("row").collect()  # bounded by the sample
+    for r in rows:
+        for i, m in enumerate(r.minima[1:], 1):
+            root[find(m ^ i)] = find(r.minima[0])
+    seen, drop = set(), []
+    for r in rows:
+        group = find(r.minima[0]) if r.minima else ("none", r.row)
+        if group in seen:
+            drop.append(r.row)
+        seen.add(group)
+    gone = sample.sparkSession.createDataFrame([(x,) for x in drop], "row long")
+    return sample.join(F.broadcast(gone), "row", "left_anti")
+
+
 def learn_lexicon(sample: DataFrame, text: str, toxic: int, other: int, most_terms: int) -> Lexicon:
-    """Terms seen in at least 0.5 % of toxic training documents (and in three), ten times as often as in others."""
+    """Terms that toxic training documents have ten times as often as others, beyond chance."""
 
     def counted(batches):
         lean_worker()
@@ -151,21 +189,24 @@ def learn_lexicon(sample: DataFrame, text: str, toxic: int, other: int, most_ter
             part = rows[i : i + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part]), pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.int64())], ["term", "toxic", "other"])
 
-    least = max(3, 0.005 * toxic)
-    odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("o") + 0.5) / (other + 1))
-    rows = sample.select(text, "label").mapInArrow(counted, "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
-    rows = rows.where(F.col("t") >= least).withColumn("odds", odds).where(F.col("odds") > math.log(10))
-    found = {r.term: (r.odds, r.t) for r in rows.orderBy(F.desc(F.col("odds") * F.log(F.col("t").cast("double"))), "term").limit(most_terms).collect()}
-    # a word beginning stands for all words that it covers, unless a single word is nearly all of its cases
+    share = toxic / (toxic + other)
+    t, o = F.col("t"), F.col("o")
+    odds = F.log((t + 0.5) / (toxic + 1)) - F.log((o + 0.5) / (other + 1))
+    # how unlikely so many toxic documents would be by chance, as n * divergence of the shares
+    chance = t * F.log(t / (t + o) / share) + F.when(o > 0, o * F.log(o / (t + o) / (1 - share))).otherwise(0.0)
+    rows = sample.select(text, "label").mapInArrow(counted, "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").cast("double").alias("t"), F.sum("other").cast("double").alias("o"))
+    rows = rows.where(t >= 3).withColumn("odds", odds).where((F.col("odds") > math.log(10)) & (chance > math.log(1e7)))
+    found = {r.term: (r.odds, r.t) for r in rows.orderBy(F.desc(t), "term").limit(most_terms).collect()}
     keep: dict[str, float] = {}
-    for term in sorted(found, key=lambda x: (not x.endswith("*"), len(x), x)):
-        odds_, t = found[term]
+    for term in sorted(found, key=lambda x: (-len(x.rstrip("*")), x)):
+        weight, cases = found[term]
         plain = term.rstrip("*")
-        if any(plain[:n] + "*" in keep for n in range(4, len(plain))) or (not term.endswith("*") and any(plain[:n] + "*" in keep for n in range(4, len(plain) + 1))):
-            continue
-        if term.endswith("*") and any(w.startswith(plain) and not w.endswith("*") and found[w][1] >= 0.7 * t for w in found):
+        # the longest beginning that keeps nearly all cases stands for its words; a single word for itself
+        shorter = [plain[:n] + "*" for n in range(4, len(plain) + 1) if plain[:n] + "*" != term and plain[:n] + "*" in found]
+        longer = [w for w in found if w != term and w.startswith(plain) and found[w][1] >= 0.9 * cases]
+        if longer and term.endswith("*") or any(found[x][1] > cases / 0.9 for x in shorter):
             continue
-        keep[term] = float(min(odds_, 5.0))
+        keep[term] = float(min(weight, 5.0))
     return Lexicon(keep)
 
 
@@ -189,7 +230,8 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 12
     docs = docs.select(F.col(doc_id).cast("long").alias(doc_id), text).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     marks = labels.select(F.col(doc_id).cast("long").alias(doc_id), F.col(label).cast("int").alias("label")).where("label in (0, 1)").where(~F.coalesce(held_out, F.lit(False)))
     few = marks.orderBy(F.xxhash64(doc_id), "label").limit(sample)  # at most `sample` short rows, so that they may be broadcast
-    known = staged(docs.join(F.broadcast(few), doc_id).select(text, "label"), "labelled")
+    known = docs.join(F.broadcast(few), doc_id).select(F.col(doc_id).alias("row"), text, "label")
+    known = staged(without_copies(staged(known, "labelled"), text), "labelled")
     sizes = {r.label: r.c for r in known.groupBy("label").agg(F.count("*").alias("c")).collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = learn_lexicon(known, text, toxic, other, most_terms) if toxic and other else Lexicon({})
