@@ -167,3 +167,21 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32), pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
     return stats.mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """The rows of docs, with all their columns, whose score is at least the threshold; rows don't move."""
+    bounded_batches(docs.sparkSession)
+    marks = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
+    train = statistics(docs.where(~F.coalesce(held_out, F.lit(False))), doc_id, text)
+    model = fit(train.join(marks, "doc_id"))
+
+    def kept(batches):
+        lean_worker()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                rows = [_of_block([t]) for t in (x or b"" for x in as_bytes(batch.column(text)))]
+                p = model.posterior(np.concatenate(rows)) if rows else np.empty(0)
+                yield batch.filter(pa.array(p >= threshold))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -56,11 +56,29 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score
 
     return score(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"), _held_out(4, 2))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_best_fit_packing, op4_language, op5_token_store, op6_top_k, op7_decontamination, op9_quality)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"), found="n_replaced")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_best_fit_packing, op4_language, op5_token_store, op6_top_k, op7_decontamination, op8_licenses, op9_quality, op10_pii, pipeline)}
 ORACLE_SQL: dict[str, str] = {}
