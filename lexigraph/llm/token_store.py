@@ -2,11 +2,11 @@
 
 A store is a folder of three tables:
 
-* chunks/    hash (16-byte BLAKE2b of the chunk's ids as little-endian uint32), width, data (the ids,
+* parts/kind=chunk     hash (16-byte BLAKE2b of the chunk's ids as little-endian uint32), n, data (the ids,
              two bytes each where all fit): every distinct chunk once, whatever number of documents use it
-* recipes/   doc_id, start, n_tokens, chunks (the hashes in order), root (their Merkle root), in
+* recipes/             doc_id, start, n_tokens, chunks (the hashes in order), root (their Merkle root), in
              ascending doc_id order; start counts the ids of all documents before
-* manifest/  a row for each block of consecutive documents: its documents, ids and Merkle root
+* manifest/            a row for each block of consecutive documents: its documents, ids and Merkle root
 
 Id streams are cut where a rolling hash of the last eight ids has its low bits clear, so that equal
 passages give equal chunks wherever they stand; chunks hold 64 to 1,024 ids (a document's last may
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, plan_bytes, shared_dir
+from .common import bounded_batches, lean_worker, shared_dir
 from .shingles import mix64, powers
 from .tokens import default_vocabulary, encoder
 
@@ -107,9 +107,9 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
     spark = docs.sparkSession
     bounded_batches(spark)
     vocabulary = vocabulary or default_vocabulary()
-    shards = max(12, plan_bytes(docs) // (32 << 20))
 
     def encoded(batches):
+        lean_worker()
         encode, seen = encoder(vocabulary).encode, set()
         names = ["kind", "key", "doc_id", "n", "data", "chunks", "root"]
         with np.errstate(over="ignore"):
@@ -137,19 +137,10 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(encoded, "kind string, key binary, doc_id long, n long, data binary, chunks array<binary>, root binary")
-    # one shuffle sends equal chunks to one task, which keeps the first of each
-    rows = rows.repartition(shards, F.coalesce(F.col("key"), F.col("root")), F.col("doc_id")).sortWithinPartitions("kind", "key")
-
-    def once(batches):
-        last = None
-        for batch in batches:
-            keep = []
-            for kind, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keep.append(kind == "recipe" or key != last)
-                last = key
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    rows.mapInArrow(once, rows.schema).write.partitionBy("kind").parquet(f"{path}/parts")
+    # one shuffle brings equal chunks together; the first of each is written, and every recipe
+    same = Window.partitionBy("kind", F.coalesce("key", "root"), "doc_id").orderBy("kind")
+    rows = rows.withColumn("again", F.lag(F.lit(True)).over(same)).where("again is null or kind = 'recipe'").drop("again")
+    rows.write.partitionBy("kind").parquet(f"{path}/parts")
     raw = spark.read.schema(rows.schema).parquet(f"{path}/parts").where("kind = 'recipe'").select("doc_id", F.col("n").alias("n_tokens"), "chunks", "root")
     with_start(raw, "doc_id", "n_tokens", "root").orderBy("doc_id", "start").write.parquet(f"{path}/recipes")
     _manifest(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
@@ -217,12 +208,15 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
     def joined(batches):
         for batch in batches:
-            crc = []
-            for n, root, parts in zip(batch.column("n_tokens").to_pylist(), batch.column("root").to_pylist(), batch.column("parts").to_pylist()):
-                if any(p["crc"] is None for p in parts) or sum(p["n"] for p in parts) != n or merkle_root([p["key"] for p in parts]) != root:
+            lists = batch.column("parts")
+            at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            _, key, n, crc = (c.to_pylist() for c in lists.flatten().flatten())
+            out = []
+            for a, b, total, root in zip(at[:-1].tolist(), at[1:].tolist(), batch.column("n_tokens").to_pylist(), batch.column("root").to_pylist()):
+                if None in crc[a:b] or sum(n[a:b]) != total or merkle_root(key[a:b]) != root:
                     raise ValueError(f"recipe {root.hex()} does not match its chunks")
-                crc.append(joined_crc([(p["crc"], 4 * p["n"]) for p in parts]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                out.append(joined_crc([(c, 4 * k) for c, k in zip(crc[a:b], n[a:b])]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(out, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return each.mapInArrow(joined, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
