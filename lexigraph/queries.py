@@ -355,11 +355,11 @@ def q_findings_rollup(spark, d):
 @query("""WITH a AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_custkey AS VARCHAR) AS cust FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'),
   b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 26 = 0 OR o_orderkey % 7 = 0 THEN 'new' ELSE o_orderpriority END AS o_orderpriority,
     CASE WHEN o_orderkey % 5 = 0 THEN '0' ELSE CAST(o_custkey AS VARCHAR) END AS cust FROM orders WHERE o_orderdate >= TIMESTAMP '1995-06-01'),
-  j AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, a, b FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey),
-  c AS (SELECT o_orderkey, CASE WHEN a IS NULL THEN 'added' ELSE 'removed' END AS side, '*' AS field, CAST(NULL AS VARCHAR) AS baseline, CAST(NULL AS VARCHAR) AS candidate FROM j WHERE a IS NULL OR b IS NULL
-    UNION ALL SELECT o_orderkey, 'changed', 'o_orderstatus', a.o_orderstatus, b.o_orderstatus FROM j WHERE a IS NOT NULL AND b IS NOT NULL AND a.o_orderstatus IS DISTINCT FROM b.o_orderstatus
-    UNION ALL SELECT o_orderkey, 'changed', 'o_orderpriority', a.o_orderpriority, b.o_orderpriority FROM j WHERE a IS NOT NULL AND b IS NOT NULL AND a.o_orderpriority IS DISTINCT FROM b.o_orderpriority
-    UNION ALL SELECT o_orderkey, 'changed', 'cust', a.cust, b.cust FROM j WHERE a IS NOT NULL AND b IS NOT NULL AND a.cust IS DISTINCT FROM b.cust)
+  j AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, a, b, a.o_orderkey AS ak, b.o_orderkey AS bk FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey),
+  c AS (SELECT o_orderkey, CASE WHEN ak IS NULL THEN 'added' ELSE 'removed' END AS side, '*' AS field, CAST(NULL AS VARCHAR) AS baseline, CAST(NULL AS VARCHAR) AS candidate FROM j WHERE ak IS NULL OR bk IS NULL
+    UNION ALL SELECT o_orderkey, 'changed', 'o_orderstatus', a.o_orderstatus, b.o_orderstatus FROM j WHERE ak IS NOT NULL AND bk IS NOT NULL AND a.o_orderstatus IS DISTINCT FROM b.o_orderstatus
+    UNION ALL SELECT o_orderkey, 'changed', 'o_orderpriority', a.o_orderpriority, b.o_orderpriority FROM j WHERE ak IS NOT NULL AND bk IS NOT NULL AND a.o_orderpriority IS DISTINCT FROM b.o_orderpriority
+    UNION ALL SELECT o_orderkey, 'changed', 'cust', a.cust, b.cust FROM j WHERE ak IS NOT NULL AND bk IS NOT NULL AND a.cust IS DISTINCT FROM b.cust)
   SELECT o_orderkey, side, field, baseline, candidate, CASE WHEN side <> 'changed' THEN 'coverage' WHEN field = 'o_orderstatus' THEN 'amendment'
     WHEN field = 'o_orderpriority' THEN CASE WHEN bool_or(field = 'o_orderstatus') OVER (PARTITION BY o_orderkey) THEN 'amendment' ELSE 'content_drift' END ELSE 'metadata' END AS category FROM c""")
 def q_snapshot_diff(spark, d):
