@@ -47,6 +47,7 @@ def classified(events: DataFrame, spec: Spec) -> DataFrame:
         .when(head & text.rlike(spec.level_pattern), "stufe")
         .when(head & text.rlike(spec.area_pattern), "bereich")
         .when(head & (F.col("typ") == "g1"), "anderes_fach")
+        .when(head & (F.col("typ") == "erll"), "kopf")
         .when(head, "unbekannt")
         .when(F.col("element") == "td", "zelle")
         .when(text.rlike(spec.stem_pattern), "stamm")

@@ -25,7 +25,6 @@ class NotFound(CurriculumError):
 
 BIST = "meta STRUCT<shard: STRING, programmstufe: STRING, provenienz: MAP<STRING, STRING>>, kompetenzbereiche ARRAY<STRUCT<code: STRING, name: STRING>>, deskriptoren ARRAY<STRUCT<id: STRING, fach: STRING, programmstufe: STRING, bereich_code: STRING, stammsatz: STRING, text: STRING, ordinal: INT, titel: STRING>>"
 CROSSWALK = "zuordnungen ARRAY<STRUCT<lehrplan_fach: STRING, lehrplan_bereich: STRING, bildungsstandard_shard: STRING, bildungsstandard_bereich: STRING, beziehung: STRING, amtlich: BOOLEAN, rationale: STRING>>"
-ORDER = (F.coalesce, "stufe", "bereich_slug", "ordinal")
 
 
 class Curriculum:
@@ -181,11 +180,11 @@ class Curriculum:
     # -- 7: standards
 
     def _standards(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        read = self.spark.read.option("multiLine", True)
-        rows = read.schema(BIST).option("pathGlobFilter", "[a-z][0-9].json").json(self.standards)
+        read = lambda schema: self.spark.read.option("multiLine", True).schema(schema)
+        rows = read(BIST).option("pathGlobFilter", "[a-z][0-9].json").json(self.standards)
         targets = rows.select(F.upper("meta.shard").alias("bildungsstandard_shard"), F.col("meta.provenienz").alias("bist_provenienz"), F.inline("deskriptoren")).withColumnRenamed("bereich_code", "bildungsstandard_bereich").withColumn("volltext", full_wording(F.coalesce("stammsatz", F.lit("")), F.coalesce("text", F.lit(""))))
         names = rows.select(F.upper("meta.shard").alias("bildungsstandard_shard"), F.inline("kompetenzbereiche")).withColumnsRenamed({"code": "bildungsstandard_bereich", "name": "bildungsstandard_bereich_name"})
-        bridge = read.schema(CROSSWALK).json(f"{self.standards}/crosswalk.json").select(F.posexplode("zuordnungen").alias("bridge_row", "z")).select("bridge_row", "z.*").withColumn("bildungsstandard_shard", F.upper("bildungsstandard_shard"))
+        bridge = read(CROSSWALK).json(f"{self.standards}/crosswalk.json").select(F.posexplode("zuordnungen").alias("bridge_row", "z")).select("bridge_row", "z.*").withColumn("bildungsstandard_shard", F.upper("bildungsstandard_shard"))
         return targets, names, bridge
 
     def finde_bildungsstandard_bezug(self, kompetenz_id: str) -> DataFrame:
