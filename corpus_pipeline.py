@@ -25,9 +25,12 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near duplicates; rows that repeat both doc_id and
     text stay once."""
     found = jaccard_join.near_duplicates(docs)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stays")).distinct()
-    kept = docs.join(stay, docs["doc_id"].cast("long") == stay["__stays"], "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    stay = staged(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__stays")).agg(F.count("*").alias("n")), "stay")
+    # the ids are the side that is built, so the texts are dealt by id once and not sorted
+    kept = docs.join(stay.select("__stays").hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__stays"), "left_semi")
+    if stay.where("n > 1").limit(1).count():
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept.select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

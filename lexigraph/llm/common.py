@@ -37,13 +37,21 @@ def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of df's size; for a scan, from file sizes alone."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's estimate of df's size; for a scan, from file sizes alone.  Where nothing is known, 1 GB."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 1 << 30
 
 
-def lean_worker() -> None:
-    """Lets this Python worker give memory back between batches: Arrow's own pools keep it."""
+caches: dict[str, dict] = {}  # what functions keep in a worker from task to task, by kind
+
+
+def lean_worker(keep: str = "") -> None:
+    """Lets this Python worker give memory back between batches, which Arrow's own pools don't, and drops what other
+    functions than those of kind `keep` have cached in it: a worker goes from stage to stage."""
     pa.set_memory_pool(pa.system_memory_pool())
+    for kind, held in caches.items():
+        if kind != keep:
+            held.clear()
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:

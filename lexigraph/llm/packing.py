@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, staged
+from .common import bounded_batches, lean_worker, staged
 from .tokens import default_vocabulary, encoder
 
 
@@ -106,6 +106,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, doc_id:
     """(doc_id, piece, start, length, ids_crc32) of every piece."""
 
     def cut(batches):
+        lean_worker(keep="tokens")
         encode = encoder(vocabulary).encode
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -142,6 +143,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = 2048, e
     shared = docs.sparkSession.sparkContext.broadcast((base, runs))
 
     def place(batches):
+        lean_worker()
         base, runs = shared.value
         order = np.lexsort((runs[:, 1], runs[:, 0]))
         runs = runs[order]

@@ -109,7 +109,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
     vocabulary = vocabulary or default_vocabulary()
 
     def encoded(batches):
-        lean_worker()
+        lean_worker(keep="tokens")
         encode, seen = encoder(vocabulary).encode, set()
         names = ["kind", "key", "doc_id", "n", "data", "chunks", "root"]
         with np.errstate(over="ignore"):
@@ -193,6 +193,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError("the manifest does not match the recipes")
 
     def summed(batches):
+        lean_worker()
         for batch in batches:
             crc = []
             for key, n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):

@@ -14,10 +14,13 @@ from itertools import chain
 
 import numpy as np
 
+from .common import caches
+from .shingles import mix64, powers
+
 _PLAIN = "\t\n\r -~¡§«°·»¿À-įı-ſ‐-‟…€"
 _OTHER = re.compile(f"[^{_PLAIN}]|<\\|")
 _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_HELD = 1_000_000  # distinct strings between white space that a worker keeps
+_HELD = 800_000  # distinct strings between white space that a worker keeps
 
 
 class _Codes(dict):
@@ -31,27 +34,15 @@ class _Codes(dict):
         return code
 
 
-class _Memory:
-    """Ids of distinct strings, numbered as they come; `learn` gives the ids of new ones, joined, and their counts."""
+class _Rows:
+    """Lists of ids, numbered as they are added."""
 
-    def __init__(self, learn):
-        self.learn, self.codes = learn, _Codes()
+    def __init__(self):
         self.flat = np.empty(1 << 16, dtype=np.uint32)
         self.bounds = np.zeros(1 << 16, dtype=np.int64)
         self.known = 0
 
-    def ids(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The strings' ids, joined, and the end of each string's."""
-        codes = np.fromiter(map(self.codes.__getitem__, strings), dtype=np.int64, count=len(strings))
-        new, self.codes.new = self.codes.new, []
-        for at in range(0, len(new), 20_000):
-            self._add(*self.learn(new[at : at + 20_000]))
-        starts = self.bounds[codes]
-        lengths = self.bounds[codes + 1] - starts
-        ends = np.cumsum(lengths)
-        return self.flat[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)], ends
-
-    def _add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
         end, after = self.bounds[self.known], self.known + len(counts)
         while end + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
@@ -61,6 +52,57 @@ class _Memory:
         self.bounds[self.known + 1 : after + 1] = end + np.cumsum(counts)
         self.known = after
 
+    def joined(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered lists one after another, and the end of each."""
+        starts = self.bounds[codes]
+        lengths = self.bounds[codes + 1] - starts
+        ends = np.cumsum(lengths)
+        return self.flat[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
+class _Table:
+    """Open addressing from 64-bit hashes of strings to their numbers, for whole arrays at once.  A second, 32-bit
+    hash of each string tells strings apart that share the first."""
+
+    def __init__(self, most: int):
+        size = 1 << max(8, (2 * most - 1).bit_length())
+        self.mask = np.uint64(size - 1)
+        self.keys, self.checks, self.codes = np.zeros(size, np.uint64), np.zeros(size, np.uint32), np.zeros(size, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, or where it would go."""
+        slots = keys & self.mask
+        rest = np.arange(len(keys))
+        while len(rest):
+            held = self.keys[slots[rest]]
+            rest = rest[(held != keys[rest]) & (held != 0)]
+            slots[rest] = (slots[rest] + np.uint64(1)) & self.mask
+        return slots
+
+    def put(self, keys: np.ndarray, checks: np.ndarray, first: int) -> None:
+        """Numbers distinct new keys from `first` on."""
+        rest = np.arange(len(keys))
+        while len(rest):
+            slots = self.find(keys[rest])
+            _, winner = np.unique(slots, return_index=True)
+            won = rest[winner]
+            at = slots[winner]
+            self.keys[at], self.checks[at], self.codes[at] = keys[won], checks[won], first + won
+            rest = np.delete(rest, winner)
+
+
+_SPACES = np.zeros(256, dtype=bool)
+_SPACES[[9, 10, 13, 32]] = True
+_BASE, _BASE_32 = 0x9E3779B97F4A7C15, 0x85EBCA6B
+_INVERSE, _INVERSE_32 = pow(_BASE, -1, 1 << 64), pow(_BASE_32, -1, 1 << 32)
+_powers_32: dict[int, np.ndarray] = {}
+
+
+def _powers32(base: int, n: int) -> np.ndarray:
+    if base not in _powers_32 or len(_powers_32[base]) < n:
+        _powers_32[base] = (powers(base, 1 << (n - 1).bit_length()) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    return _powers_32[base][:n]
+
 
 class Encoder:
     def __init__(self, path: str):
@@ -72,14 +114,19 @@ class Encoder:
 
     def _forget(self) -> None:
         # what stands between white space, made of pre-tokens, made of ids
-        self.pieces = _Memory(self._encoded)
-        self.runs = _Memory(self._split)
+        self.pieces, self.piece_ids = _Codes(), _Rows()
+        self.runs, self.run_ids = _Table(_HELD * 5 // 4), _Rows()
 
-    def _split(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _split(self, runs: list[str]) -> None:
+        """Learns new runs of signs between white space."""
         parts = [(r,) if r.isalpha() else _PRETOKEN.findall(r) for r in runs]
-        ids, ends = self.pieces.ids(list(chain.from_iterable(parts)))
-        at = np.concatenate([[0], ends])[np.cumsum([0, *map(len, parts)])]
-        return ids, np.diff(at)
+        sizes = np.cumsum([0, *map(len, parts)])
+        codes = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=sizes[-1])
+        new, self.pieces.new = self.pieces.new, []
+        for at in range(0, len(new), 20_000):
+            self.piece_ids.add(*self._encoded(new[at : at + 20_000]))
+        ids, ends = self.piece_ids.joined(codes)
+        self.run_ids.add(ids, np.diff(np.concatenate([[0], ends])[sizes]))
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         e = self.library.encode(" ".join(words), add_special_tokens=False)
@@ -89,19 +136,67 @@ class Encoder:
         each = [self.library.encode(w, add_special_tokens=False).ids for w in words]
         return np.array(list(chain.from_iterable(each)), dtype=np.uint32), np.array([len(x) for x in each])
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """uint32 ids of each text; a null text has none."""
-        if len(self.runs.codes) > _HELD:
+    def _block(self, texts: list[str]) -> list[np.ndarray] | None:
+        """Ids of plain texts; None if two strings have the same hash."""
+        if self.run_ids.known > _HELD:
             self._forget()
-        runs, alone = [], {}
+        data = [t.lower().encode() for t in texts]
+        whole = b" ".join(data) + b" "
+        block = np.frombuffer(whole, dtype=np.uint8)
+        space = _SPACES[block]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        edge = edge if space[0] else np.concatenate([[0], edge])
+        starts, ends = edge[0::2], edge[1::2]
+        total = np.zeros(len(block) + 1, dtype=np.uint64)
+        np.cumsum((block + np.uint64(1)) * powers(_BASE, len(block)), out=total[1:])
+        keys = mix64((total[ends] - total[starts]) * powers(_INVERSE, len(block))[starts] + (ends - starts).astype(np.uint64)) | np.uint64(1)
+        low = np.zeros(len(block) + 1, dtype=np.uint32)
+        np.cumsum(block * _powers32(_BASE_32, len(block)), out=low[1:])
+        checks = (low[ends] - low[starts]) * _powers32(_INVERSE_32, len(block))[starts]
+        slots = self.runs.find(keys)
+        fresh = np.flatnonzero(self.runs.keys[slots] == 0)
+        if len(fresh):
+            _, at = np.unique(keys[fresh], return_index=True)
+            at = fresh[np.sort(at)]
+            first = self.run_ids.known
+            self._split([whole[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            self.runs.put(keys[at], checks[at], first)
+            slots[fresh] = self.runs.find(keys[fresh])
+        if (self.runs.checks[slots] != checks).any():
+            return None
+        ids, to = self.run_ids.joined(self.runs.codes[slots].astype(np.int64))
+        bounds = np.searchsorted(starts, np.cumsum([0] + [len(d) + 1 for d in data]))
+        at = np.concatenate([[0], to])[bounds]
+        return [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+    def encode(self, texts: list[str | None], block: int = 1 << 19) -> list[np.ndarray]:
+        """uint32 ids of each text; a null text has none."""
+        out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
+        plain, size = [], 0
+
+        def flush():
+            with np.errstate(over="ignore"):
+                found = self._block([texts[i] for i in plain]) if plain else []
+            for i, x in zip(plain, found if found is not None else map(self._alone, [texts[i] for i in plain])):
+                out[i] = x
+            plain.clear()
+
         for i, t in enumerate(texts):
-            if t and (not self.fast or _OTHER.search(t)):
-                alone[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, dtype=np.uint32)
-                t = ""
-            runs.append(t.lower().split() if t else ())
-        ids, ends = self.runs.ids(list(chain.from_iterable(runs)))
-        at = np.concatenate([[0], ends])[np.cumsum([0, *map(len, runs)])]
-        return [alone[i] if i in alone else ids[at[i] : at[i + 1]] for i in range(len(texts))]
+            if not t:
+                continue
+            if not self.fast or _OTHER.search(t):
+                out[i] = self._alone(t)
+                continue
+            plain.append(i)
+            size += len(t)
+            if size >= block:
+                flush()
+                size = 0
+        flush()
+        return out
+
+    def _alone(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
 def _is_word_bpe(library) -> bool:
@@ -111,7 +206,7 @@ def _is_word_bpe(library) -> bool:
     return whole == list(chain.from_iterable(library.encode(w, add_special_tokens=False).ids for w in _PRETOKEN.findall(line.lower())))
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[str, Encoder] = caches.setdefault("tokens", {})
 
 
 def encoder(path: str) -> Encoder:

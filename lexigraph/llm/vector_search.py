@@ -100,7 +100,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ve
     sound = F.col(embedding).isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.where(sound).select(F.col(vec_id).cast("long").alias("id"), F.transform(embedding, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"), is_query.alias("q"))
     blocks = staged(_packed(rows.where("q").select("id", "v").repartition(max(1, plan_bytes(vectors) // (256 << 20))), BLOCK), "queries")
-    slots = max(24, plan_bytes(vectors) // (8 << 20))
+    slots = max(24, plan_bytes(vectors) // (256 << 20))
     tiles = _packed(rows.select("id", "v"), TILE).withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int"))
     blocks = blocks.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.xxhash64("ids", "data").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
     meet = tiles.join(blocks.hint("shuffle_merge"), ["slot", "dim"])

@@ -7,7 +7,9 @@ from lexigraph.llm import language, quality, toxicity
 from lexigraph.llm.toxicity import Lexicon, Matcher, budget
 
 DOCS = "doc_id long, text string, lang string, score string, label int, held_out int"
-NEVER = F.lit(False)
+def never():
+    return F.lit(False)
+
 
 
 def edits(a, b):
@@ -80,10 +82,10 @@ def test_toxicity_learns_and_keeps_every_row(spark):
 
 def test_classifiers_without_labels_or_rows(spark):
     docs, none = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int, quality int")
-    assert {r.score for r in quality.score(docs, none, NEVER).collect()} == {0.5}
-    assert all(r.predicted == 0 for r in toxicity.score(docs, none, NEVER).collect())
+    assert {r.score for r in quality.score(docs, none, never()).collect()} == {0.5}
+    assert all(r.predicted == 0 for r in toxicity.score(docs, none, never()).collect())
     empty = docs.limit(0)
-    assert quality.score(empty, none, NEVER).count() == toxicity.score(empty, none, NEVER).count() == 0
+    assert quality.score(empty, none, never()).count() == toxicity.score(empty, none, never()).count() == 0
 
 
 def test_quality_separates_junk(spark):
@@ -129,9 +131,9 @@ def test_language(spark):
     by = {r.doc_id: r for r in got}
     assert [by[i].lang_pred for i in (900, 901, 902)] == ["und"] * 3 and by[900].score == 0 and by[903].lang_pred == "de"
     assert all(by[i].lang_pred == x for i, _, x in rows[:300]) and all(0 <= r.score <= 1 for r in got)
-    none = language.identify(docs.withColumn("lang", F.lit(None).cast("string")), NEVER).collect()
+    none = language.identify(docs.withColumn("lang", F.lit(None).cast("string")), never()).collect()
     assert {r.lang_pred for r in none} == {"und"}
-    assert language.identify(docs.limit(0), NEVER).count() == 0
+    assert language.identify(docs.limit(0), never()).count() == 0
 
 
 def test_clusters_are_unit_vectors():
