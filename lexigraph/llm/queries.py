@@ -81,4 +81,22 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_best_fit_packing, op4_language, op5_token_store, op6_top_k, op7_decontamination, op8_licenses, op9_quality, op10_pii, pipeline)}
-ORACLE_SQL: dict[str, str] = {}
+#: the others need a classifier, a tokenizer, edit distances, alignments or keyed hashes
+ORACLE_SQL: dict[str, str] = {
+    "op1_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+r AS (SELECT doc_id AS d, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.d),
+c AS (SELECT d, min(root) AS component_id FROM r GROUP BY d)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id FROM w LEFT JOIN n USING (doc_id) JOIN c ON c.d = w.doc_id""",
+    "op6_top_k": """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.v, e.v) AS BIGINT) AS score FROM e q JOIN e ON q.vec_id % 50 = 0 AND e.vec_id <> q.vec_id AND len(q.v) = len(e.v)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}

@@ -19,8 +19,8 @@ with equal ids next to each other.  An empty table gives an empty store.  Extra
 
 from __future__ import annotations
 
-import hashlib
 import zlib
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +64,7 @@ def chunk_ends(ids: np.ndarray, bounds: np.ndarray) -> list[list[int]]:
 
 
 def _digest(data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
+    return blake2b(data, digest_size=16).digest()
 
 
 def merkle_root(leaves: list[bytes]) -> bytes:
@@ -118,23 +118,25 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
                 found = [np.append(x, np.uint32(end_id)) for x in encode(batch.column(1).to_pylist())]
                 bounds = np.cumsum([0] + [len(x) for x in found])
                 ids = np.concatenate(found) if found else np.empty(0, np.uint32)
-                rows = []
-                for key, lo, hi, ends in zip(keys, bounds[:-1].tolist(), bounds[1:].tolist(), chunk_ends(ids, bounds)):
+                whole, narrow = memoryview(ids.astype("<u4").tobytes()), len(ids) and ids.max() < 65536
+                stored, width = (memoryview(ids.astype("<u2").tobytes()), 2) if narrow else (whole, 4)
+                new_keys, new_sizes, new_data, uses, roots = [], [], [], [], []
+                for lo, ends in zip(bounds[:-1].tolist(), chunk_ends(ids, bounds)):
                     at, hashes = lo, []
                     for end in ends:
-                        part = ids[at:end]
-                        at = end
-                        name = _digest(part.astype("<u4").tobytes())
+                        name = blake2b(whole[4 * at : 4 * end], digest_size=16).digest()
                         hashes.append(name)
                         if name not in seen:
                             seen.add(name)
-                            data = part.astype("<u2" if part.max() < 65536 else "<u4").tobytes()
-                            rows.append(("chunk", name, None, len(part), data, None, None))
-                    rows.append(("recipe", None, key, hi - lo, None, hashes, merkle_root(hashes)))
+                            new_keys.append(name), new_sizes.append(end - at), new_data.append(bytes(stored[width * at : width * end]))
+                        at = end
+                    uses.append(hashes), roots.append(merkle_root(hashes))
                 if len(seen) > 1_000_000:
                     seen = set()
-                kinds = (pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+                n, m = len(new_keys), len(keys)
+                no, long = [None], pa.int64()
+                columns = [pa.array(["chunk"] * n + ["recipe"] * m), pa.array(new_keys + no * m, pa.binary()), pa.array(no * n + keys, long), pa.array(new_sizes + np.diff(bounds).tolist(), long), pa.array(new_data + no * m, pa.binary()), pa.array(no * n + uses, pa.list_(pa.binary())), pa.array(no * n + roots, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(encoded, "kind string, key binary, doc_id long, n long, data binary, chunks array<binary>, root binary")
     # one shuffle brings equal chunks together; the first of each is written, and every recipe

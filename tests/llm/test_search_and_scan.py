@@ -68,7 +68,7 @@ def test_decontamination_finds_all_within_the_budget(spark):
     for i, t in docs[:-1]:
         for j, item in items:
             x, y = decontaminate.normalised(item or ""), decontaminate.normalised(t or "")
-            k = int(0.06 * len(x))
+            k = int(0.08 * len(x))
             if len(x) < 24:
                 if x and re.search(rf"(?:^| ){re.escape(x)}(?: |$)", y):
                     want.add((i, j, 0))
