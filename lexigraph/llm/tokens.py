@@ -20,18 +20,7 @@ from .shingles import mix64, powers
 _PLAIN = "\t\n\r -~¡§«°·»¿À-įı-ſ‐-‟…€"
 _OTHER = re.compile(f"[^{_PLAIN}]|<\\|")
 _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_HELD = 800_000  # distinct strings between white space that a worker keeps
-
-
-class _Codes(dict):
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        code = self[word] = len(self)
-        self.new.append(word)
-        return code
+_HELD = 1_600_000  # distinct strings that a worker keeps
 
 
 class _Rows:
@@ -113,20 +102,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        # what stands between white space, made of pre-tokens, made of ids
-        self.pieces, self.piece_ids = _Codes(), _Rows()
-        self.runs, self.run_ids = _Table(_HELD * 5 // 4), _Rows()
-
-    def _split(self, runs: list[str]) -> None:
-        """Learns new runs of signs between white space."""
-        parts = [(r,) if r.isalpha() else _PRETOKEN.findall(r) for r in runs]
-        sizes = np.cumsum([0, *map(len, parts)])
-        codes = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=sizes[-1])
-        new, self.pieces.new = self.pieces.new, []
-        for at in range(0, len(new), 20_000):
-            self.piece_ids.add(*self._encoded(new[at : at + 20_000]))
-        ids, ends = self.piece_ids.joined(codes)
-        self.run_ids.add(ids, np.diff(np.concatenate([[0], ends])[sizes]))
+        # strings between white space, and the pre-tokens that they are made of
+        self.table, self.rows, self.clash = _Table(_HELD), _Rows(), False
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         e = self.library.encode(" ".join(words), add_special_tokens=False)
@@ -136,12 +113,27 @@ class Encoder:
         each = [self.library.encode(w, add_special_tokens=False).ids for w in words]
         return np.array(list(chain.from_iterable(each)), dtype=np.uint32), np.array([len(x) for x in each])
 
-    def _block(self, texts: list[str]) -> list[np.ndarray] | None:
-        """Ids of plain texts; None if two strings have the same hash."""
-        if self.run_ids.known > _HELD:
-            self._forget()
-        data = [t.lower().encode() for t in texts]
-        whole = b" ".join(data) + b" "
+    def _learn(self, strings: list[str], keys: np.ndarray, checks: np.ndarray, single: bool) -> None:
+        """Adds distinct new strings: pre-tokens by the library, others by their pre-tokens."""
+        parts = {} if single else {i: p for i, s in enumerate(strings) if not s.isalpha() and (p := _PRETOKEN.findall(s)) != [s]}
+        alone = np.array([i for i in range(len(strings)) if i not in parts], dtype=np.int64)
+        for at in range(0, len(alone), 20_000):
+            some = alone[at : at + 20_000]
+            first = self.rows.known
+            self.rows.add(*self._encoded([strings[i] for i in some.tolist()]))
+            self.table.put(keys[some], checks[some], first)
+        if parts:
+            made = np.fromiter(parts, dtype=np.int64)
+            codes, _, sound = self._codes(" ".join(chain.from_iterable(parts.values())).encode() + b" ", single=True)
+            self.clash |= not sound
+            ids, ends = self.rows.joined(codes)
+            sizes = np.cumsum([0, *map(len, parts.values())])
+            first = self.rows.known
+            self.rows.add(ids, np.diff(np.concatenate([[0], ends])[sizes]))
+            self.table.put(keys[made], checks[made], first)
+
+    def _codes(self, whole: bytes, single: bool = False) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Number and start of each string between white space; and whether all are told apart by their hashes."""
         block = np.frombuffer(whole, dtype=np.uint8)
         space = _SPACES[block]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
@@ -153,20 +145,26 @@ class Encoder:
         low = np.zeros(len(block) + 1, dtype=np.uint32)
         np.cumsum(block * _powers32(_BASE_32, len(block)), out=low[1:])
         checks = (low[ends] - low[starts]) * _powers32(_INVERSE_32, len(block))[starts]
-        slots = self.runs.find(keys)
-        fresh = np.flatnonzero(self.runs.keys[slots] == 0)
+        slots = self.table.find(keys)
+        fresh = np.flatnonzero(self.table.keys[slots] == 0)
         if len(fresh):
             _, at = np.unique(keys[fresh], return_index=True)
             at = fresh[np.sort(at)]
-            first = self.run_ids.known
-            self._split([whole[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-            self.runs.put(keys[at], checks[at], first)
-            slots[fresh] = self.runs.find(keys[fresh])
-        if (self.runs.checks[slots] != checks).any():
+            self._learn([whole[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())], keys[at], checks[at], single)
+            slots = self.table.find(keys)
+        return self.table.codes[slots].astype(np.int64), starts, bool((self.table.checks[slots] == checks).all())
+
+    def _block(self, texts: list[str]) -> list[np.ndarray] | None:
+        """Ids of plain texts; None if two strings have the same hash."""
+        if self.rows.known > _HELD:
+            self._forget()
+        data = [t.lower().encode() for t in texts]
+        codes, starts, sound = self._codes(b" ".join(data) + b" ")
+        if not sound or self.clash:
+            self._forget()
             return None
-        ids, to = self.run_ids.joined(self.runs.codes[slots].astype(np.int64))
-        bounds = np.searchsorted(starts, np.cumsum([0] + [len(d) + 1 for d in data]))
-        at = np.concatenate([[0], to])[bounds]
+        ids, to = self.rows.joined(codes)
+        at = np.concatenate([[0], to])[np.searchsorted(starts, np.cumsum([0] + [len(d) + 1 for d in data]))]
         return [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
     def encode(self, texts: list[str | None], block: int = 1 << 19) -> list[np.ndarray]:
