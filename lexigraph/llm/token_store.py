@@ -131,7 +131,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
                             new_keys.append(name), new_sizes.append(end - at), new_data.append(bytes(stored[width * at : width * end]))
                         at = end
                     uses.append(hashes), roots.append(merkle_root(hashes))
-                if len(seen) > 1_000_000:
+                if len(seen) > 250_000:
                     seen = set()
                 n, m = len(new_keys), len(keys)
                 no, long = [None], pa.int64()

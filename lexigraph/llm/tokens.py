@@ -20,7 +20,7 @@ from .shingles import mix64, powers
 _PLAIN = "\t\n\r -~¡§«°·»¿À-įı-ſ‐-‟…€"
 _OTHER = re.compile(f"[^{_PLAIN}]|<\\|")
 _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_HELD = 1_600_000  # distinct strings that a worker keeps
+_HELD = 800_000  # distinct strings that a worker keeps
 
 
 class _Rows:
