@@ -54,9 +54,22 @@ def claims(rows: DataFrame, label: Column, item: Column) -> DataFrame:
     return rows.where(label.rlike(CLAIM)).withColumn("claims_binding", label.rlike("(?i)verbindlich") & ~label.rlike("(?i)optional|allenfalls")).withColumn("claimed", item)
 
 
-def classify_claims(claimed: DataFrame, truth: DataFrame, anchor: str, item: str, binding: str) -> DataFrame:
+def classify_claims(claimed: DataFrame, truth: DataFrame, anchor: str, item: str, binding: str, document: str | None = None, anchors: DataFrame | None = None) -> DataFrame:
     """Adds rule: 'ok' if the anchor's items of the claimed binding hold the item, 'swapped' if those of the other
-    binding do, 'fabricated' if neither, 'no-anchor' without an anchor."""
+    binding do, 'fabricated' if neither.  A claim before its document's first anchor is held against all of the
+    document's anchors, given as rows (document, anchor); without any it has 'no-anchor'."""
+    if document and anchors is not None:
+        every = anchors.select(document, F.col(anchor).alias("__other")).distinct()
+        early = claimed.where(F.col(anchor).isNull()).withColumn("__row", F.struct(*claimed.columns)).join(every, document, "left")
+        judged = _judged(early.withColumn(anchor, F.col("__other")), truth, anchor, item, binding)
+        # the best verdict over the candidates: ok, then swapped, then fabricated
+        order = F.when(F.col("rule") == "ok", 0).when(F.col("rule") == "swapped", 1).when(F.col("rule") == "fabricated", 2).otherwise(3)
+        best = judged.groupBy("__row").agg(F.min_by("rule", order).alias("rule")).select("__row.*", "rule")
+        return _judged(claimed.where(F.col(anchor).isNotNull()), truth, anchor, item, binding).unionByName(best)
+    return _judged(claimed, truth, anchor, item, binding)
+
+
+def _judged(claimed: DataFrame, truth: DataFrame, anchor: str, item: str, binding: str) -> DataFrame:
     same = truth.select(anchor, item, F.col(binding).alias("claims_binding")).distinct().withColumn("__right", F.lit(True))
     other = truth.select(anchor, item, (~F.col(binding)).alias("claims_binding")).distinct().withColumn("__wrong", F.lit(True))
     on = [anchor, item, "claims_binding"]

@@ -120,3 +120,12 @@ def header_values(events: DataFrame) -> DataFrame:
     kind = F.lead("element").over(Window.partitionBy("doc").orderBy("idx", "pos"))
     rows = events.select("doc", "element", "typ", F.col("text").alias("label"), after.alias("value"), kind.alias("next"))
     return rows.where("element = 'ueberschrift' and typ = 'erll' and next = 'absatz'").select("doc", "label", "value")
+
+
+def image_references(events: DataFrame) -> DataFrame:
+    """(doc, datei, pos): the images of each document, each once, in the order of first use."""
+    from pyspark.sql import Window
+
+    each = events.select("doc", "idx", F.col("pos").alias("at"), F.posexplode("images").alias("n", "datei"))
+    first = each.groupBy("doc", "datei").agg(F.min(F.struct("idx", "at", "n")).alias("first"))
+    return first.select("doc", "datei", F.row_number().over(Window.partitionBy("doc").orderBy("first")).alias("pos"))
