@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -30,7 +31,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
+def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
     """Arrow batches of at most so many rows, so that very long texts don't meet in one batch."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -47,11 +48,14 @@ caches: dict[str, dict] = {}  # what functions keep in a worker from task to tas
 
 def lean_worker(keep: str = "") -> None:
     """Lets this Python worker give memory back between batches, which Arrow's own pools don't, and drops what other
-    functions than those of kind `keep` have cached in it: a worker goes from stage to stage."""
+    functions than those of kind `keep` have cached in it: a worker goes from task to task and stage to stage."""
     pa.set_memory_pool(pa.system_memory_pool())
     for kind, held in caches.items():
         if kind != keep:
             held.clear()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory until asked
+    if trim:
+        trim(0)
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:

@@ -107,7 +107,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, doc_id:
 
     def cut(batches):
         lean_worker(keep="tokens")
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary, held=300_000).encode  # packing follows other stages: less memory, some strings learned twice
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             owner, start, length, crc = [], [], [], []

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .common import caches
+
 _FOLD = np.arange(256, dtype=np.uint64)
 _FOLD[65:91] += np.uint64(32)
 _SPACE = np.zeros(256, dtype=bool)
@@ -21,7 +23,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
-_powers: dict[int, np.ndarray] = {}
+_powers: dict[int, np.ndarray] = caches.setdefault("powers", {})
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

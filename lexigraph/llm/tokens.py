@@ -20,7 +20,7 @@ from .shingles import mix64, powers
 _PLAIN = "\t\n\r -~¡§«°·»¿À-įı-ſ‐-‟…€"
 _OTHER = re.compile(f"[^{_PLAIN}]|<\\|")
 _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_HELD = 800_000  # distinct strings that a worker keeps
+_HELD = 700_000  # distinct strings that a worker keeps
 
 
 class _Rows:
@@ -84,7 +84,7 @@ _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[9, 10, 13, 32]] = True
 _BASE, _BASE_32 = 0x9E3779B97F4A7C15, 0x85EBCA6B
 _INVERSE, _INVERSE_32 = pow(_BASE, -1, 1 << 64), pow(_BASE_32, -1, 1 << 32)
-_powers_32: dict[int, np.ndarray] = {}
+_powers_32: dict[int, np.ndarray] = caches.setdefault("powers32", {})
 
 
 def _powers32(base: int, n: int) -> np.ndarray:
@@ -94,16 +94,16 @@ def _powers32(base: int, n: int) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, held: int = _HELD):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.library, self.held = Tokenizer.from_file(path), held
         self.fast = _is_word_bpe(self.library)
         self._forget()
 
     def _forget(self) -> None:
         # strings between white space, and the pre-tokens that they are made of
-        self.table, self.rows, self.clash = _Table(_HELD), _Rows(), False
+        self.table, self.rows, self.clash = _Table(self.held), _Rows(), False
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         e = self.library.encode(" ".join(words), add_special_tokens=False)
@@ -156,7 +156,7 @@ class Encoder:
 
     def _block(self, texts: list[str]) -> list[np.ndarray] | None:
         """Ids of plain texts; None if two strings have the same hash."""
-        if self.rows.known > _HELD:
+        if self.rows.known > self.held:
             self._forget()
         data = [t.lower().encode() for t in texts]
         codes, starts, sound = self._codes(b" ".join(data) + b" ")
@@ -167,7 +167,7 @@ class Encoder:
         at = np.concatenate([[0], to])[np.searchsorted(starts, np.cumsum([0] + [len(d) + 1 for d in data]))]
         return [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
-    def encode(self, texts: list[str | None], block: int = 1 << 19) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None], block: int = 1 << 18) -> list[np.ndarray]:
         """uint32 ids of each text; a null text has none."""
         out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
         plain, size = [], 0
@@ -204,14 +204,14 @@ def _is_word_bpe(library) -> bool:
     return whole == list(chain.from_iterable(library.encode(w, add_special_tokens=False).ids for w in _PRETOKEN.findall(line.lower())))
 
 
-_encoders: dict[str, Encoder] = caches.setdefault("tokens", {})
+_encoders: dict[tuple[str, int], Encoder] = caches.setdefault("tokens", {})
 
 
-def encoder(path: str) -> Encoder:
-    """This process's encoder for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, held: int = _HELD) -> Encoder:
+    """This process's encoder for a vocabulary file, which keeps up to so many distinct strings."""
+    if (path, held) not in _encoders:
+        _encoders[path, held] = Encoder(path, held)
+    return _encoders[path, held]
 
 
 def default_vocabulary() -> str:
