@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 # fixed values: the frozen vocabulary of the identifier grammars
 BANDS = {"PRIM": ("D", "M", "SU"), "SEK1": ("D", "E", "M")}
 LEVELS = {"PRIM": "SCH[1-4]", "SEK1": "K[1-4]"}
+AREA_CODES = {
+    "SEK1.M": {"Zahlen und Maße": "ZAHLEN", "Variablen und Funktionen": "VARIABLEN", "Figuren und Körper": "FIGUREN", "Daten und Zufall": "DATEN", "Integrative Führung von Geometrisches Zeichnen": "GZINTEGRATIV"},
+    "SEK1.D": {"Zuhören und Sprechen": "HOERENSPRECHEN", "Lesen": "LESEN", "Schreiben": "SCHREIBEN", "Sprachbewusstsein und Sprachreflexion": "SPRACHREFLEXION"},
+    "SEK1.E": {"Hören": "HOEREN", "Lesen": "LESEN", "Sprechen (an Gesprächen teilnehmen und zusammenhängend sprechen)": "SPRECHEN", "Schreiben": "SCHREIBEN"},
+    "PRIM.M": {"Zahlen und Daten": "ZAHLENDATEN", "Operationen": "OPERATIONEN", "Größen": "GROESSEN", "Ebene und Raum": "EBENERAUM"},
+    "PRIM.D": {"(Zu-)Hören und Sprechen": "HOERENSPRECHEN", "Lesen": "LESEN", "Verfassen von Texten": "VERFASSEN", "(Recht-)Schreiben und Sprachbetrachtung": "RECHTSCHREIBEN"},
+    "PRIM.SU": {"Sozialwissenschaftlicher Kompetenzbereich": "SOZIALWISS", "Naturwissenschaftlicher Kompetenzbereich": "NATURWISS", "Geografischer Kompetenzbereich": "GEOGRAFIE", "Historischer Kompetenzbereich": "HISTORISCH", "Technischer Kompetenzbereich": "TECHNIK", "Wirtschaftlicher Kompetenzbereich": "WIRTSCHAFT"},
+}
 _AREA = "(?!(?:AB|DT)[.])[A-Z][A-Z0-9]*"
 
 
@@ -79,3 +87,15 @@ def validate(df: DataFrame, column: str, pattern: str) -> DataFrame:
     legal = F.coalesce(F.col("value").rlike(pattern), F.lit(False))
     rule = F.when(~legal, "malformed-id").when(F.col("n") > 1, "id-collision")
     return counted.withColumn("rule", rule).where("rule is not null").select("value", "rule", "n")
+
+
+def area_code(shard: Column, name: Column) -> Column:
+    """The frozen code of an area name, or null."""
+    table = F.create_map(*[F.lit(x) for sh, codes in AREA_CODES.items() for n, c in codes.items() for x in (f"{sh}|{n}", c)])
+    return F.try_element_at(table, F.concat_ws("|", shard, name))
+
+
+def known_area(shard: Column, code: Column) -> Column:
+    """Whether a code is one of the shard's frozen codes."""
+    legal = F.array(*[F.lit(f"{sh}|{c}") for sh, codes in AREA_CODES.items() for c in codes.values()])
+    return F.array_contains(legal, F.concat_ws("|", shard, code))

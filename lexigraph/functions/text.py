@@ -10,7 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # fixed values: words that no index holds; compared unfolded with folded tokens
-STOP_WORDS = ("aber", "alle", "auch", "beim", "dass", "dem", "den", "der", "des", "die", "durch", "eine", "einem", "einen", "einer", "eines", "gemäß", "haben", "ihre", "jede", "kann", "können", "mit", "nach", "nicht", "oder", "sich", "sind", "sowie", "über", "und", "unter", "von", "werden", "wie", "wird", "zum", "zur")
+STOP_WORDS = tuple(
+    """
+    aber alle allem allen aller alles allenfalls allgemeinen also anhand
+    auch bzw dabei dadurch dafür damit dass dessen deren dieser diese
+    dieses diesem diesen dies doch durch eben einem einen einer eines
+    einige einigen einiger etwa gegebenenfalls gegen gemäß gilt hierzu
+    hierbei hinsichtlich ihre ihrem ihren ihrer immer indem insbesondere
+    jede jedem jeden jeder jedes jeweils jeweilige kann können mithilfe
+    muss müssen nach ohne schüler schülerinnen sich sind sofern sollen
+    sowie sowohl soweit über unter unterschiedlichen unterschiedlicher
+    verschiedene verschiedenen verschiedener viele vielen wenn werden
+    wird wobei wodurch wurde wurden zwischen
+    """.split()
+)
+# fixed values: the sentence that opens every competence list
+STEM = r"(?i)^\s*Die\s+Sch(?:ü|ue)lerinnen\s+und\s+Sch(?:ü|ue)ler\s+k(?:ö|oe)nnen\b\s*:?\s*"
 TOKEN = r"[\p{L}\p{Nl}\p{No}]+"
 IMAGE = r"⟦ABB:([^⟧]+)⟧"
 
@@ -39,7 +54,8 @@ def full_wording(stem: Column, text: Column) -> Column:
 def match_form(text: Column, stem_pattern: str | None = None) -> Column:
     """The form in which two wordings are compared: dashes, quotes and spaces folded, a leading stem and
     closing signs dropped, casefolded.  Expects composed text."""
-    folded = F.translate(text, "‐‑‒–—―−„“”‟«»‚‘’ ", "-------\"\"\"\"\"\"''' ")
+    signs, plain = "‐‑‒–—―−„“”‚‘’«»\u00a0\u2002\u2003\u2007\u2009\u202f", "-------" + '"' * 8 + " " * 6
+    folded = F.translate(text, signs, plain)
     folded = F.trim(F.regexp_replace(folded, r"\s+", " "))
     if stem_pattern:
         folded = F.regexp_replace(folded, stem_pattern, "")

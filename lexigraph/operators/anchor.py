@@ -85,3 +85,34 @@ def check_quotes(anchors: DataFrame, truth: DataFrame, key: str, *fields: str) -
     wrong = F.filter(F.array(*[F.when(~F.col(f).eqNullSafe(F.col(f"__{f}")), F.lit(f"{f}-differs")) for f in fields]), lambda x: x.isNotNull())
     rules = F.when(F.col("__known").isNull(), F.array(F.lit("unknown-anchor"))).otherwise(wrong)
     return joined.select(key, "pos", F.explode(rules).alias("rule"))
+
+
+# fixed values: the rule codes of a lesson check
+RULES = {"none": "kein-kompetenzbezug", "unknown": "id-unaufloesbar", "quote": "zitat-nicht-wortgetreu", "source": "provenienz-veraendert", "mixed": "verbindlich-optional-vermischt", "made_binding": "erfundenes-verbindliches-item", "made_optional": "erfundenes-optionales-item", "optional_as_binding": "optionales-item-als-verbindlich-ausgegeben", "binding_as_optional": "verbindliches-item-als-optional-ausgegeben"}
+
+
+def violations(lessons: DataFrame, key: str, tree: str, records: DataFrame, items: DataFrame) -> DataFrame:
+    """(key, path, rule, value) of lesson documents against records (id, volltext, provenienz as JSON) and items
+    (kompetenz_id, text, verbindlich): anchors first, then the claims under the anchor in force."""
+    b = blocks(lessons, key, tree)
+    field = lambda path: F.get_json_object("block", f"$.{path}")
+    b = b.withColumn("anchor", F.when(F.col("type") == "kompetenzbezug", field("kompetenz_id")))
+    b = b.withColumn("in_force", anchor_in_force(b, [key], "pos", F.col("anchor")))
+    anchors = b.where("type = 'kompetenzbezug'").select(key, "path", F.col("anchor").alias("id"), field("text").alias("quote"), field("quelle").alias("source"))
+    held = anchors.join(records.select("id", "volltext", "provenienz"), "id", "left")
+    row = lambda df, rule, value: df.select(key, "path", F.lit(RULES[rule]).alias("rule"), value.alias("value"))
+    same_source = F.from_json("source", "map<string,string>")
+    out = row(held.where("volltext is null"), "unknown", F.col("id"))
+    out = out.unionByName(row(held.where("volltext is not null and not quote <=> volltext"), "quote", F.col("quote")))
+    entries = lambda m: F.array_sort(F.filter(F.map_entries(m), lambda e: e["value"].isNotNull()))
+    out = out.unionByName(row(held.where(F.col("volltext").isNotNull() & ~entries(same_source).eqNullSafe(entries(F.from_json("provenienz", "map<string,string>")))), "source", F.col("source")))
+    none = lessons.select(F.col(key).cast("string").alias(key)).join(anchors.select(key), key, "left_anti").withColumn("path", F.lit("$"))
+    out = out.unionByName(row(none, "none", F.lit(None).cast("string")))
+    label = field("label")
+    binding, choice = label.rlike("(?i)verbindlich"), label.rlike("(?i)optional|allenfalls")
+    claimed = b.where(F.coalesce(binding | choice, F.lit(False))).withColumns({"both": binding & choice, "claims_binding": binding, "claimed": F.explode(F.from_json(field("items"), "array<string>"))})
+    out = out.unionByName(row(claimed.where("both").select(key, "path").distinct(), "mixed", F.lit(None).cast("string")))
+    truth = items.select(F.col("kompetenz_id").alias("in_force"), F.col("text").alias("claimed"), "verbindlich")
+    judged = classify_claims(claimed.where("not both").select(key, "path", "in_force", "claimed", "claims_binding"), truth, "in_force", "claimed", "verbindlich", key, anchors.select(key, F.col("id").alias("in_force")))
+    rule = F.when(F.col("rule") == "fabricated", F.when(F.col("claims_binding"), RULES["made_binding"]).otherwise(RULES["made_optional"])).when(F.col("rule") == "swapped", F.when(F.col("claims_binding"), RULES["optional_as_binding"]).otherwise(RULES["binding_as_optional"]))
+    return out.unionByName(judged.select(key, "path", rule.alias("rule"), F.col("claimed").alias("value")).where("rule is not null"))

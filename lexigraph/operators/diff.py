@@ -18,20 +18,30 @@ def field_changes(before: DataFrame, after: DataFrame, key: str, *fields: str) -
     return a.join(b, key, "full_outer").select(key, side.alias("side"), F.explode(rows).alias("p")).select(key, "side", "p.field", F.col("p.x").alias("baseline"), F.col("p.y").alias("candidate"))
 
 
-def classified(changes: DataFrame, key: str, identity: list[str], content: list[str], moving: list[str] | None = None) -> DataFrame:
+# fixed values: the categories, most serious first
+CATEGORIES = ("amendment", "repeal", "silent-republication", "document-added", "document-removed")
+
+
+def classified(changes: DataFrame, key: str, identity: list[str], content: list[str], out_of_force: str = "ausserkrafttretensdatum") -> DataFrame:
     """Adds category: amendment where identity fields changed, and for content changes of the same key too;
-    content_drift for other content changes; retrieval for fields that move by themselves; coverage for added and removed keys; else metadata."""
+    silent-republication for other content changes; repeal for the out-of-force date; added and removed keys;
+    metadata for fields that none of these names."""
     amended = F.max(F.col("field").isin(*identity) & (F.col("side") == "changed")).over(Window.partitionBy(key))
     category = (
-        F.when(F.col("side") != "changed", "coverage")
+        F.when(F.col("side") != "changed", F.concat(F.lit("document-"), F.col("side")))
         .when(F.col("field").isin(*identity), "amendment")
-        .when(F.col("field").isin(*content), F.when(amended, "amendment").otherwise("content_drift"))
-        .when(F.col("field").isin(*(moving or ["retrieval_date"])), "retrieval")
+        .when(F.col("field") == out_of_force, "repeal")
+        .when(F.col("field").isin(*content), F.when(amended, "amendment").otherwise("silent-republication"))
         .otherwise("metadata")
     )
     return changes.withColumn("category", category)
 
 
+def ordered(changes: DataFrame, *then: str) -> DataFrame:
+    rank = F.coalesce(*[F.when(F.col("category") == c, i) for i, c in enumerate(CATEGORIES)], F.lit(len(CATEGORIES)))
+    return changes.orderBy(rank, *then)
+
+
 def key_sets(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """(key, side) of keys in both or one of the snapshots."""
     a, b = before.select(key).distinct().withColumn("a", F.lit(True)), after.select(key).distinct().withColumn("b", F.lit(True))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import match_form, theme_names, unresolved_themes
+from ..functions.text import STEM, match_form, theme_names, unresolved_themes
 from ..operators import graph, match, rank
 from ..operators.bind import attach_key
 
@@ -74,18 +74,19 @@ def placed(events: DataFrame, spec: Spec) -> DataFrame:
     return e.withColumn("stem", rank.carried(F.when(is_("stamm"), F.col("text")), [*doc, "s0", "s1", "s2"], order))
 
 
-def area_slugs(rows: DataFrame) -> DataFrame:
-    """Adds slug: the area name as an upper-case code."""
+def area_slugs(rows: DataFrame, shard: str) -> DataFrame:
+    """Adds slug: the frozen code of the area name, or the name as an upper-case code."""
+    from ..functions.ids import area_code
     from ..functions.text import slug
 
-    return rows.withColumn("slug", slug(F.col("area.name")))
+    return rows.withColumn("slug", F.coalesce(area_code(F.lit(shard), F.col("area.name")), slug(F.col("area.name"))))
 
 
 def competences(state: DataFrame, spec: Spec) -> DataFrame:
     """Records of list entries under a level, an area and a stem, with ordinals by place and minted ids."""
     from ..functions.ids import mint
 
-    rows = area_slugs(state.where("token = 'eintrag' and section = 'kompetenzen' and level is not null and area is not null"))
+    rows = area_slugs(state.where("token = 'eintrag' and section = 'kompetenzen' and level is not null and area is not null"), spec.shard)
     rows = rows.withColumn("ordinal", rank.ordinal(["doc", "slug", "level"], "idx", "pos"))
     band, subject = spec.shard.split(".")
     return rows.select("doc", F.lit(spec.shard).alias("shard"), mint(F.lit(band), F.lit(subject), F.col("slug"), F.col("level"), F.col("ordinal")).alias("id"), F.col("area.number").alias("bereich_nummer"), F.col("area.name").alias("bereich_name"), F.col("slug").alias("bereich_slug"), F.col("level").alias("stufe"), F.try_to_number(F.regexp_extract("level", "([0-9])$", 1), F.lit("9")).cast("int").alias("stufe_nr"), "ordinal", F.coalesce("stem", F.lit("")).alias("stammsatz"), "text", F.when(F.col("roh") != F.col("text"), F.col("roh")).alias("text_roh"), F.array_join("supers", ", ").alias("marker"), "images", "idx", "pos")
@@ -93,7 +94,7 @@ def competences(state: DataFrame, spec: Spec) -> DataFrame:
 
 def items(state: DataFrame, spec: Spec) -> DataFrame:
     """Entries of the content section with the block that they stand in; binding and repeat markers as flags."""
-    rows = area_slugs(state.where("token = 'eintrag' and section = 'inhalt' and level is not null"))
+    rows = area_slugs(state.where("token = 'eintrag' and section = 'inhalt' and level is not null"), spec.shard)
     binding = ~F.col("text").rlike(r"(?i)\ballenfalls\b") if spec.optional_items else F.lit(True)
     rows = rows.withColumn("block_text", F.col("stem")).withColumn("ordinal", rank.ordinal(["doc", "slug", "level"], "idx", "pos"))
     return rows.select("doc", F.lit(spec.shard).alias("shard"), F.col("slug").alias("bereich_slug"), F.col("area.number").alias("bereich_nummer"), F.col("level").alias("stufe"), F.try_to_number(F.regexp_extract("level", "([0-9])$", 1), F.lit("9")).cast("int").alias("stufe_nr"), "ordinal", "text", "block_text", binding.alias("verbindlich"), F.col("text").rlike(r"^\s*Wiederholen\s+und\s+Festigen\s*:").alias("wiederholung"), attach_key(F.lit(spec.binding), F.lit(None).cast("string"), F.col("slug"), F.col("level")).alias("attach_key"), "idx", "pos")
@@ -117,8 +118,8 @@ def attached_blocks(records: DataFrame, contents: DataFrame, threshold: float =
     """Each content block joined to its competence within level and area number: equal wording, then the most similar,
     then the same ordinal."""
     blocks = contents.groupBy("doc", "stufe", "bereich_nummer", "block_text").agg(F.min(F.struct("idx", "pos")).alias("at"))
-    blocks = blocks.withColumn("ordinal", F.row_number().over(Window.partitionBy("doc", "stufe", "bereich_nummer").orderBy("at"))).withColumn("block", F.concat_ws("|", "doc", F.col("at.idx").cast("string"), F.col("at.pos").cast("string"))).withColumn("form", match_form(F.coalesce("block_text", F.lit("")), r"^Die Schülerinnen und Schüler können\s*"))
-    right = records.withColumn("form", match_form(F.col("text"), r"^Die Schülerinnen und Schüler können\s*"))
+    blocks = blocks.withColumn("ordinal", F.row_number().over(Window.partitionBy("doc", "stufe", "bereich_nummer").orderBy("at"))).withColumn("block", F.concat_ws("|", "doc", F.col("at.idx").cast("string"), F.col("at.pos").cast("string"))).withColumn("form", match_form(F.coalesce("block_text", F.lit("")), STEM))
+    right = records.withColumn("form", match_form(F.col("text"), STEM))
     joined = match.cascade_join(blocks, right, ["doc", "stufe", "bereich_nummer"], "block", "form", "ordinal", "id", threshold)
     return joined.join(blocks.select("block", "doc", "stufe", "bereich_nummer", "block_text"), "block")
 

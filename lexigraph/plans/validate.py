@@ -124,10 +124,13 @@ def count_rules(parts: DataFrame, expected: DataFrame) -> DataFrame:
     return q.finding(both.where("expected <> measured"), q.SOFT, "count-mismatch-vs-frozen-expected", F.concat_ws("/", "shard", "kind"), F.concat_ws(" ", F.col("expected").cast("string"), F.col("measured").cast("string")))
 
 
-def validate(spark: SparkSession, root: str, registry: DataFrame | None = None, files: DataFrame | None = None, expected: DataFrame | None = None) -> DataFrame:
-    """All findings of a data root."""
+def validate(spark: SparkSession, root: str, registry: DataFrame | None = None, files: DataFrame | None = None, expected: DataFrame | None = None, frozen_areas: bool = False) -> DataFrame:
+    """All findings of a data root; with frozen_areas, areas must be of the frozen table."""
     parts = nested_json.parts(spark, root).where("_corrupt_record is null")
     out = q.together(file_rules(spark, root), meta_rules(parts), record_rules(parts), registry_rules(parts, registry, files))
+    if frozen_areas:
+        areas = nested_json.areas(parts)
+        out = out.unionByName(q.finding(areas.where(~ids.known_area(F.col("shard"), F.col("slug"))), q.SOFT, "unknown-area-code", F.concat_ws("/", "shard", "datei"), F.col("slug")))
     return out if expected is None else out.unionByName(count_rules(parts, expected))
 
 

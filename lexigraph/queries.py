@@ -360,15 +360,15 @@ def q_findings_rollup(spark, d):
     UNION ALL SELECT o_orderkey, 'changed', 'o_orderstatus', a.o_orderstatus, b.o_orderstatus FROM j WHERE ak IS NOT NULL AND bk IS NOT NULL AND a.o_orderstatus IS DISTINCT FROM b.o_orderstatus
     UNION ALL SELECT o_orderkey, 'changed', 'o_orderpriority', a.o_orderpriority, b.o_orderpriority FROM j WHERE ak IS NOT NULL AND bk IS NOT NULL AND a.o_orderpriority IS DISTINCT FROM b.o_orderpriority
     UNION ALL SELECT o_orderkey, 'changed', 'cust', a.cust, b.cust FROM j WHERE ak IS NOT NULL AND bk IS NOT NULL AND a.cust IS DISTINCT FROM b.cust)
-  SELECT o_orderkey, side, field, baseline, candidate, CASE WHEN side <> 'changed' THEN 'coverage' WHEN field = 'o_orderstatus' THEN 'amendment'
-    WHEN field = 'o_orderpriority' THEN CASE WHEN bool_or(field = 'o_orderstatus') OVER (PARTITION BY o_orderkey) THEN 'amendment' ELSE 'content_drift' END ELSE 'metadata' END AS category FROM c""")
+  SELECT o_orderkey, side, field, baseline, candidate, CASE WHEN side <> 'changed' THEN 'document-' || side WHEN field = 'o_orderstatus' THEN 'amendment'
+    WHEN field = 'o_orderpriority' THEN CASE WHEN bool_or(field = 'o_orderstatus') OVER (PARTITION BY o_orderkey) THEN 'amendment' ELSE 'silent-republication' END WHEN field = 'cust' THEN 'repeal' ELSE 'metadata' END AS category FROM c""")
 def q_snapshot_diff(spark, d):
     o = table(spark, d, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey", "o_orderdate").withColumn("cust", F.col("o_custkey").cast("string"))
     a = o.where(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
     k = F.col("o_orderkey")
     b = o.where(F.col("o_orderdate") >= F.lit("1995-06-01").cast("timestamp_ntz")).withColumns({"o_orderstatus": F.when(k % 13 == 0, "X").otherwise(F.col("o_orderstatus")), "o_orderpriority": F.when((k % 26 == 0) | (k % 7 == 0), "new").otherwise(F.col("o_orderpriority")), "cust": F.when(k % 5 == 0, "0").otherwise(F.col("cust"))})
     changes = diff.field_changes(a, b, "o_orderkey", "o_orderstatus", "o_orderpriority", "cust")
-    return diff.classified(changes, "o_orderkey", ["o_orderstatus"], ["o_orderpriority"])
+    return diff.classified(changes, "o_orderkey", ["o_orderstatus"], ["o_orderpriority"], out_of_force="cust")
 
 
 @query("""SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS r FROM orders WHERE o_orderstatus <> 'F') WHERE r = 1""")

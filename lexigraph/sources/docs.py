@@ -16,7 +16,7 @@ from ..functions.text import front_matter, title, token_estimate
 from ..operators.rank import within_budget
 
 # fixed values: folder names, levels, formats and limits
-SUBJECTS = {"deutsch": "D", "mathematik": "M", "englisch": "E", "sachunterricht": "SU"}
+SUBJECTS = {"mathematik": "M", "deutsch": "D", "englisch": "E", "sachunterricht": "SU", "m": "M", "d": "D", "e": "E", "su": "SU"}
 LEVELS = ("K1", "K2", "K3", "K4", "SCH1", "SCH2", "SCH3", "SCH4")
 NATIVE, CONVERTED = ("md", "txt"), ("docx", "pdf")
 MOST_BYTES, MOST_FILES, MOST_TOKENS = 2 * 1024 * 1024, 20, 4000

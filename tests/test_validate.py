@@ -83,6 +83,18 @@ def test_early_claims_meet_all_anchors(spark):
     assert sorted((r.doc, r.anchor or "", r.item, r.rule) for r in got.collect()) == [("d", "", "falsch", "swapped"), ("d", "", "gut", "ok"), ("d", "", "neu", "fabricated"), ("d", "A", "gut", "ok"), ("e", "", "gut", "no-anchor")]
 
 
+def test_lesson_violations(spark):
+    claim = lambda label, *items: {"label": label, "items": list(items)}
+    block = {"type": "kompetenzbezug", "kompetenz_id": "A", "text": "Wortlaut", "quelle": {"nor": "1"}}
+    tree = lambda *b: json.dumps({"documents": [{"sections": [{"blocks": list(b)}]}]})
+    lessons = {"gut": tree(block, claim("Verbindlich", "m"), claim("optional", "o")), "ohne": tree({"type": "paragraph"}), "id": tree(block | {"kompetenz_id": "Z"}), "zitat": tree(block | {"text": "anders"}), "quelle": tree(block | {"quelle": {"nor": "2"}}), "mix": tree(block, claim("verbindlich oder optional", "m")), "falsch": tree(block, claim("verbindlich", "o", "x"), claim("allenfalls", "m", "y"))}
+    rows = spark.createDataFrame(list(lessons.items()), "k string, tree string")
+    records = spark.createDataFrame([("A", "Wortlaut", '{"nor": "1"}')], "id string, volltext string, provenienz string")
+    items = spark.createDataFrame([("A", "m", True), ("A", "o", False)], "kompetenz_id string, text string, verbindlich boolean")
+    got = sorted((r.k, r.rule) for r in anchor.violations(rows, "k", "tree", records, items).collect())
+    assert got == sorted([("ohne", "kein-kompetenzbezug"), ("id", "id-unaufloesbar"), ("zitat", "zitat-nicht-wortgetreu"), ("quelle", "provenienz-veraendert"), ("mix", "verbindlich-optional-vermischt"), ("falsch", "optionales-item-als-verbindlich-ausgegeben"), ("falsch", "erfundenes-verbindliches-item"), ("falsch", "verbindliches-item-als-optional-ausgegeben"), ("falsch", "erfundenes-optionales-item")])
+
+
 def test_standards(spark):
     rows = [("x", 0, 0, "ueberschrift", "Handlungsbereich „Modellieren“, Inhaltsbereich „Zahlen“"), ("x", 1, 0, "absatz", "Schülerinnen können:"), ("x", 2, 0, "listelem", "rechnen"), ("x", 2, 1, "listelem", "Alle Kinder können: schätzen"), ("x", 3, 0, "ueberschrift", "2. Lesen"), ("x", 4, 0, "listelem", "lesen")]
     events = spark.createDataFrame(rows, "doc string, idx int, pos int, element string, text string")
