@@ -139,9 +139,21 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(encoded, "kind string, key binary, doc_id long, n long, data binary, chunks array<binary>, root binary")
-    # one shuffle brings equal chunks together; the first of each is written, and every recipe
-    same = Window.partitionBy("kind", F.coalesce("key", "root"), "doc_id").orderBy("kind")
-    rows = rows.withColumn("again", F.lag(F.lit(True)).over(same)).where("again is null or kind = 'recipe'").drop("again")
+    # one shuffle brings equal chunks to one task, which keeps the first of each; recipes all stay
+    rows = rows.repartition(F.coalesce("key", "root"), "doc_id")
+
+    def once(batches):
+        lean_worker()
+        held = set()  # hashes of a partition's chunks, 16 bytes each
+        for batch in batches:
+            keep = []
+            for key in batch.column("key").to_pylist():
+                keep.append(key is None or key not in held)
+                if key is not None:
+                    held.add(key)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    rows = rows.mapInArrow(once, rows.schema)
     rows.write.partitionBy("kind").parquet(f"{path}/parts")
     raw = spark.read.schema(rows.schema).parquet(f"{path}/parts").where("kind = 'recipe'").select("doc_id", F.col("n").alias("n_tokens"), "chunks", "root")
     with_start(raw, "doc_id", "n_tokens", "root").orderBy("doc_id", "start").write.parquet(f"{path}/recipes")
