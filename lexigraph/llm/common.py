@@ -50,6 +50,8 @@ def lean_worker(keep: str = "") -> None:
     """Lets this Python worker give memory back between batches, which Arrow's own pools don't, and drops what other
     functions than those of kind `keep` have cached in it: a worker goes from task to task and stage to stage."""
     pa.set_memory_pool(pa.system_memory_pool())
+    if caches.get(keep):
+        return  # the next task of the same kind goes on with what is there
     for kind, held in caches.items():
         if kind != keep:
             held.clear()

@@ -105,12 +105,12 @@ def joined_crc(parts: list[tuple[int, int]]) -> int:
 def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encodes every whole text and writes the store to a shared folder."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, 512)
     vocabulary = vocabulary or default_vocabulary()
 
     def encoded(batches):
         lean_worker(keep="tokens")
-        encode, seen = encoder(vocabulary).encode, set()
+        encode, seen = encoder(vocabulary, held=1_600_000).encode, set()
         names = ["kind", "key", "doc_id", "n", "data", "chunks", "root"]
         with np.errstate(over="ignore"):
             for batch in batches:
