@@ -110,7 +110,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
 
     def encoded(batches):
         lean_worker(keep="tokens")
-        encode, seen = encoder(vocabulary, held=1_600_000).encode, set()
+        encode, seen = encoder(vocabulary, held=900_000).encode, set()
         names = ["kind", "key", "doc_id", "n", "data", "chunks", "root"]
         with np.errstate(over="ignore"):
             for batch in batches:
