@@ -82,6 +82,8 @@ class _Table:
 
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[9, 10, 13, 32]] = True
+_CONTROLS = np.zeros(256, dtype=bool)
+_CONTROLS[[*range(9), 11, 12, *range(14, 32), 127]] = True
 _BASE, _BASE_32 = 0x9E3779B97F4A7C15, 0x85EBCA6B
 _INVERSE, _INVERSE_32 = pow(_BASE, -1, 1 << 64), pow(_BASE_32, -1, 1 << 32)
 _powers_32: dict[int, np.ndarray] = caches.setdefault("powers32", {})
@@ -155,10 +157,12 @@ class Encoder:
         return self.table.codes[slots].astype(np.int64), starts, bool((self.table.checks[slots] == checks).all())
 
     def _block(self, texts: list[str]) -> list[np.ndarray] | None:
-        """Ids of plain texts; None if two strings have the same hash."""
+        """Ids of plain texts; None if one has control signs, or two strings the same hash."""
         if self.rows.known > self.held:
             self._forget()
         data = [t.lower().encode() for t in texts]
+        if _CONTROLS[np.frombuffer(b"".join(data), dtype=np.uint8)].any():
+            return None
         codes, starts, sound = self._codes(b" ".join(data) + b" ")
         if not sound or self.clash:
             self._forget()
@@ -182,7 +186,7 @@ class Encoder:
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if not self.fast or _OTHER.search(t):
+            if not self.fast or ("<|" in t if t.isascii() else _OTHER.search(t)):
                 out[i] = self._alone(t)
                 continue
             plain.append(i)
