@@ -126,7 +126,7 @@ class Scanner:
         for name, t in self.templates.items():
             n, done = len(t), -1
             for p in sorted(i for m in self.markers[name] for i in places.get(m, ())):
-                for at in {max(0, p // n * n - n), p // n * n}:
+                for at in (max(0, p // n * n - n), p // n * n):  # ascending, or the earlier would be skipped
                     if at <= done:
                         continue
                     done = max(done, at)

@@ -105,6 +105,15 @@ def test_licences(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_licences_at_every_offset():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    for name, t in licenses.TEMPLATES.items():
+        n = len(licenses.words(t))
+        for at in range(2 * n + 1):
+            got = scanner.scan("zz " * at + t + " zz" * 3 * n)
+            assert [m for m in got if m[0] == name] == [(name, 1.0, at, at + n)], (name, at)
+
+
 def luhn(d):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, d[::-1]))) % 10 == 0
 
