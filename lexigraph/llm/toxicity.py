@@ -183,8 +183,8 @@ def learn_lexicon(sample: DataFrame, text: str, toxic: int, other: int, most_ter
         for batch in batches:
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tally[y].update(_terms(t or ""))
-        # a term that no toxic document has is no term: it isn't sent unless another task may have it
-        rows = [(k, tally[1][k], tally[0][k]) for k in tally[0].keys() | tally[1].keys() if tally[1][k] or tally[0][k] > 1]
+        # every count is sent, as another task may hold the toxic documents of a term that has none here
+        rows = [(k, tally[1][k], tally[0][k]) for k in tally[0].keys() | tally[1].keys()]
         for i in range(0, len(rows), 10_000):
             part = rows[i : i + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part]), pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.int64())], ["term", "toxic", "other"])

@@ -80,6 +80,13 @@ def test_toxicity_learns_and_keeps_every_row(spark):
     assert got[1000].predicted == got[1001].predicted == 0 and got[1002].hits >= 2
 
 
+def test_lexicon_is_the_same_however_many_tasks_read_the_sample(spark):
+    rows = [(f"achly plain{i} words", 1) for i in range(12)] + [(f"scum other{i} words", 1) for i in range(12)] + [(f"achly clean{i} text", 0) for i in range(30)] + [(f"clean{i} more text", 0) for i in range(270)]
+    df = spark.createDataFrame(rows, "text string, label int")
+    one, many = (toxicity.learn_lexicon(df.repartition(n), "text", 24, 300, 4000).weights for n in (1, 60))
+    assert one == many and "scum" in one and not any(t.startswith("achl") for t in one)
+
+
 def test_classifiers_without_labels_or_rows(spark):
     docs, none = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int, quality int")
     assert {r.score for r in quality.score(docs, none, never()).collect()} == {0.5}
