@@ -7,7 +7,7 @@ the k best of each query from the tile, and merges them with what its earlier ti
 tasks are then merged by query.  Products are exact: float64 where every partial sum fits 53 bits,
 whole numbers of any size elsewhere (such scores are clamped to 64 bits in the result).
 
-Vectors that are null, or hold a null or non-finite component, take no part.  Vectors of different
+Vectors that are null, or hold a null or non-finite component, and rows whose vec_id is null take no part.  Vectors of different
 lengths aren't compared.  Rows that share a query's id count as the query's own.  Ties go to the
 smaller vec_id; rows that repeat an id and a vector rank one after another.  A query without candidates has no
 rows.  Extra columns are ignored.
@@ -98,7 +98,7 @@ def _merged(rows, ids, scores, k: int):
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each row that is_query (a condition on vec_id) selects."""
     sound = F.col(embedding).isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    rows = vectors.where(sound).select(F.col(vec_id).cast("long").alias("id"), F.transform(embedding, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"), is_query.alias("q"))
+    rows = vectors.where(sound & F.col(vec_id).cast("long").isNotNull()).select(F.col(vec_id).cast("long").alias("id"), F.transform(embedding, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"), is_query.alias("q"))
     blocks = staged(_packed(rows.where("q").select("id", "v").repartition(max(1, plan_bytes(vectors) // (256 << 20))), BLOCK), "queries")
     slots = max(24, plan_bytes(vectors) // (256 << 20))
     tiles = _packed(rows.select("id", "v"), TILE).withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int"))

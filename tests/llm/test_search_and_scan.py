@@ -30,6 +30,14 @@ def test_top_k_is_exact_with_ties(spark, size):
     assert got == brute_top(rows, 5)
 
 
+def test_top_k_without_null_ids(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 1, 8).round(1).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows + [(None, rows[0][1]), (None, rows[50][1])], "vec_id long, embedding array<double>")
+    for query in (F.col("vec_id") % 50 == 0, F.coalesce(F.col("vec_id") % 50 == 0, F.lit(True))):
+        assert sorted(tuple(r) for r in vector_search.top_k(df.coalesce(1), query).collect()) == brute_top(rows, 5)
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_search.top_k(df, F.col("vec_id") % 50 == 0).count() == 0
