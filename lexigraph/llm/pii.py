@@ -8,7 +8,7 @@ pseudonyms in all documents, different values different ones, and check digits a
 
 kind         format that stays                      domain of the permutation
 card         digits, separators, Luhn digit         all digits but the last
-iban         country, digits, spaces, remainder     the digits after the check digits
+iban         country, letters, spaces, remainder    the digits after the check digits
 phone        country code, brackets, separators     the last ten digits
 ssn          three, two and four digits             nine digits
 date         yyyy-mm-dd, dd.mm.yyyy, dd/mm/yyyy     the 73,049 days of 1900 to 2099, 229 x 319
@@ -16,6 +16,12 @@ ip           four octets                            32 bits
 email        name@host                              keyed hash; the host becomes example.invalid
 secret       length and hex digits                  keyed hash of keys, passwords and tokens
 
+A run of digits with single blanks or hyphens may hold a card beside other numbers.  If the whole run isn't a
+card, its parts between separators are tried: the usual groupings first (one group, 4-4-4-4-3, 4-4-4-4, 4-6-5,
+4-6-4), then all others, longer ones first.  Every part that validates and doesn't overlap an earlier one is a card;
+the rest of the run stays.  A run ends before what looks like a phone, ssn, date, ip or email.  An iban of a country in
+LENGTHS has that country's length and may hold letters; others have digits only.
+
 What looks like a kind but doesn't validate stays as it is.  A null text stays null and an empty one empty.
 Repeated rows get equal results.  All other columns stay as they are.
 """
@@ -32,15 +38,26 @@ DAYS = (229, 319)  # 229 * 319 days from 1900-01-01 to 2099-12-31
 _EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,6}"
 _AWS = r"A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])"
 _SECRET = r"(?:password|passwd|pwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?[^\s\"',;]{8,128}[\"']?"
-_IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,4})?(?![0-9A-Za-z])"
+LENGTHS = {  # characters of an iban by country
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_KNOWN = "(?:" + "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}" for n, c in LENGTHS.items()) + ")(?![0-9A-Za-z])"
+_IBAN = _IBAN_KNOWN + r"|[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,4})?(?![0-9A-Za-z])"
 _PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 _PHONE_PLAIN = r"(?:\+[0-9]{1,3}[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])"
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _DATE = r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1(?:19|20)[0-9]{2})(?![0-9])"
 _IP = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])"
-_CARD = r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+_OTHER = "|".join(f"(?:{p})" for p in (_EMAIL, _PHONE_PLAIN, _SSN, _DATE.replace(r"([./])", "[./]").replace(r"\1", "[./]"), _IP))
+_CARD = rf"(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++(?:[ -](?!{_OTHER})[0-9]++)*+(?![0-9])"  # possessive: runs may be long
 _ALL = "(?:" + "|".join(f"(?:{p})" for p in (_EMAIL, _AWS, _SECRET, _IBAN, _PHONE, _PHONE_PLAIN, _SSN, _DATE.replace(r"([./])", "[./]").replace(r"\1", "[./]"), _IP, _CARD)) + ")"
 PATTERN = r"(?<![0-9A-Za-z])" + _ALL
+_GROUPED = ["[0-9]{13,19}", *("([ -])".join(["[0-9]{%d}"] * 2) % g[:2] + "".join(rf"\2[0-9]{{{n}}}" for n in g[2:]) for g in ((4, 4, 4, 4, 3), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4)))]
+_PARTS = [rf"(?<![0-9A-Za-z])(?=({p})(?![0-9A-Za-z]))" for p in (*_GROUPED, *(rf"[0-9](?:[ -]?[0-9]){{{n - 1}}}" for n in range(19, 12, -1)))]
+_MARKED = "^[0-9A-Z -]+$"  # values that cards may be found in; no such value holds a |
+_TAKEN = "abcdefghij"  # digits of cards that are done, while others of their run are looked for
 _WHOLE = {k: f"^(?:{p})$" for k, p in {"email": _EMAIL, "aws": _AWS, "secret": _SECRET, "iban": _IBAN, "phone": f"{_PHONE}|{_PHONE_PLAIN}", "ssn": _SSN, "date": _DATE, "ip": _IP, "card": _CARD}.items()}
 _START = "1900-01-01"
 
@@ -91,23 +108,45 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def _iban_remainder(bban: Column, country: Column, check: Column) -> Column:
-    letters = F.concat((F.ascii(F.substring(country, 1, 1)) - 55).cast("string"), (F.ascii(F.substring(country, 2, 1)) - 55).cast("string"))
-    return (F.concat(bban, letters, check).cast("decimal(38,0)") % 97).cast("int")
+    whole = F.concat(bban, country, check)
+
+    def add(r: Column, i: Column) -> Column:
+        c = F.ascii(F.substr(whole, i, F.lit(1)))
+        return F.when(c < 58, r * 10 + c - 48).otherwise(r * 100 + c - 55) % 97  # letters count 10 to 35
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(whole)), F.lit(0), add)
+
+
+def _card(value: Column, key: str) -> Column:
+    digits = only_digits(value)
+    body = permuted_digits(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
+    return refitted(value, F.concat(body, F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")))
+
+
+def _cards_within(value: Column, key: str) -> Column:
+    """The value with the cards among its parts replaced, a | after each."""
+    parts = F.array_distinct(F.concat(*[F.regexp_extract_all(value, F.lit(p), F.lit(1)) for p in _PARTS]))
+    sound = F.filter(parts, lambda p: luhn_sum(only_digits(p)) % 10 == 0)
+
+    def put(text: Column, p: Column) -> Column:
+        return F.regexp_replace(text, F.concat(F.lit("(?<![0-9A-Za-z])"), p, F.lit("(?![0-9A-Za-z])")), F.concat(F.translate(_card(p, key), "0123456789", _TAKEN), F.lit("|")))
+
+    return F.translate(F.aggregate(sound, value, put), _TAKEN, "0123456789")
 
 
 def _hashed(value: Column, key: str, kind: str, n: Column) -> Column:
     return F.substr(F.repeat(_keyed(key, kind, value), F.lit(2)), F.lit(1), n)
 
 
-def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of a value that PATTERN found; the value itself where it doesn't validate."""
+def _marked(value: Column, key: str) -> Column:
+    """As pseudonym, but with a | after each card."""
     digits = only_digits(value)
     n = F.length(digits)
-    body = permuted_digits(F.substr(digits, F.lit(1), n - 1), key, "card")
-    card = refitted(value, F.concat(body, F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")))
-    country, bban = F.substring(value, 1, 2), F.substr(digits, F.lit(3), n - 2)
-    moved = permuted_digits(bban, key, "iban")
-    iban = F.concat(country, refitted(F.substr(value, F.lit(3), F.length(value) - 2), F.concat(F.lpad((98 - _iban_remainder(moved, country, F.lit("00"))).cast("string"), 2, "0"), moved)))
+    country, check, bban = F.substring(value, 1, 2), F.substring(value, 3, 2), F.regexp_replace(F.substr(value, F.lit(5), F.length(value) - 4), " ", "")
+    moved = permuted_digits(F.substr(digits, F.lit(3), n - 2), key, "iban")
+    body = F.substr(value, F.lit(5), F.length(value) - 4)
+    new_body = refitted(body, moved)
+    iban = F.concat(country, F.lpad((98 - _iban_remainder(F.regexp_replace(new_body, " ", ""), country, F.lit("00"))).cast("string"), 2, "0"), new_body)
     phone = refitted(value, F.concat(F.substr(digits, F.lit(1), n - 10), permuted_digits(F.substr(digits, n - 9, F.lit(10)), key, "phone")))
     ssn = refitted(value, permuted_digits(digits, key, "ssn"))
     shape = F.when(F.substring(value, 5, 1) == "-", "yyyy-MM-dd").when(F.substring(value, 3, 1) == ".", "dd.MM.yyyy").otherwise("dd/MM/yyyy")
@@ -128,19 +167,35 @@ def pseudonym(value: Column, key: str) -> Column:
         F.when(like("email"), F.concat(F.lit("user-"), _hashed(F.lower(value), key, "email", F.lit(12)), F.lit("@example.invalid")))
         .when(like("aws"), F.concat(F.substring(value, 1, 4), F.upper(_hashed(value, key, "secret", F.lit(16)))))
         .when(like("secret"), F.concat(lead, _hashed(secret, key, "secret", F.length(secret)), tail))
-        .when(like("iban") & (F.when(like("iban") & n.between(12, 30), _iban_remainder(bban, country, F.substring(digits, 1, 2))).otherwise(0) == 1), iban)
+        .when(like("iban") & (F.when(like("iban") & (n >= 4) & F.length(bban).between(10, 30), _iban_remainder(bban, country, check)).otherwise(0) == 1), iban)
         .when(like("phone"), phone)
         .when(like("ssn") & ~value.rlike("^(?:000|666|9)|-00-|-0000$"), ssn)
         .when(like("date") & day.isNotNull(), date)
         .when(like("ip") & F.forall(octet, lambda x: x <= 255), ip)
-        .when(like("card") & n.between(13, 19) & (luhn_sum(digits) % 10 == 0), card)
+        .when(like("card") & n.between(13, 19) & (luhn_sum(digits) % 10 == 0), F.concat(_card(value, key), F.lit("|")))
+        .when(like("card") | like("iban"), _cards_within(value, key))
         .otherwise(value)
     )
 
 
+def _has_marks(value: Column) -> Column:
+    return value.rlike(_MARKED)
+
+
+def pseudonym(value: Column, key: str) -> Column:
+    """The pseudonym of a value that PATTERN found; the value itself where it doesn't validate."""
+    return _unmarked(value, _marked(value, key))
+
+
+def _unmarked(value: Column, new: Column) -> Column:
+    return F.when(_has_marks(value), F.translate(new, "|", "")).otherwise(new)
+
+
 def pseudonymise(docs: DataFrame, key: str = "lexigraph", text: str = "text", found: str | None = None) -> DataFrame:
     """docs with the text's personal data replaced; `found` names a column for the number of replacements."""
-    old = F.transform(F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)), lambda v: F.struct(v.alias("old"), pseudonym(v, key).alias("new")))
+    marked = F.transform(F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)), lambda v: F.struct(v.alias("old"), _marked(v, key).alias("new")))
+    count = lambda x: F.when(_has_marks(x["old"]) & x["new"].contains("|"), F.length(F.regexp_replace(x["new"], "[^|]", ""))).otherwise((x["old"] != x["new"]).cast("int"))
+    old = F.transform(marked, lambda x: F.struct(_unmarked(x["old"], x["new"]).alias("new"), count(x).alias("n")))
     pair = "__pairs"
     while pair in docs.columns:
         pair += "_"
@@ -150,5 +205,5 @@ def pseudonymise(docs: DataFrame, key: str = "lexigraph", text: str = "text", fo
     joined = F.array_join(F.zip_with(g, F.transform(v, lambda x: x["new"]), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     out = paired.withColumn(text, F.when(F.col(pair).isNotNull(), joined).otherwise(F.col(text)))
     if found:
-        out = out.withColumn(found, F.coalesce(F.size(F.filter(v, lambda x: x["old"] != x["new"])), F.lit(0)))
+        out = out.withColumn(found, F.coalesce(F.aggregate(v, F.lit(0), lambda n, x: n + x["n"]), F.lit(0)))
     return out.drop(pair)

@@ -126,6 +126,34 @@ def luhn(d):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, d[::-1]))) % 10 == 0
 
 
+def mod97(x):
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97
+
+
+def test_cards_beside_other_numbers_and_ibans_with_letters(spark):
+    card, iban = "4111 1111 1111 1111", ["GB82 WEST 1234 5698 7654 32", "NL91ABNA0417164300", "BE68 5390 0754 7034"]
+    runs = ["{c} 12/26", "7 {c}", "12 34 {c}", "2024 {c} 123 99", "{c} 5500-0000-0000-0004", "99 {c} 415-555-2671", "AB12 CODE {c}", "1 " * 3000 + "{c}", "7 41111111 11111111", "8 3782 822463 10005 9", "1 {c} 20 a@b.org"]
+    rows = list(enumerate([f"x {r.format(c=card)} y" for r in runs])) + [(100 + i, f"to {v} EUR") for i, v in enumerate(iban)] + [(200, "to GB83 WEST 1234 5698 7654 32 now")]
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), found="n").collect()}
+    new = re.compile(r"[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}")
+    links = set()
+    for i, r in enumerate(runs[:7]):
+        before, after = f"x {r} y".split("{c}")
+        assert got[i].text.startswith(before), got[i].text
+        a = new.match(got[i].text[len(before) :]).group()
+        links.add(a)
+        assert luhn(a.replace(" ", "")) and a != card
+        if i < 4 or i == 6:
+            assert got[i].text == before + a + after and got[i].n == 1
+    assert len(links) == 1 and got[4].n == got[5].n == 2 and "0004" not in got[4].text and "415-555-2671" not in got[5].text
+    assert card not in got[7].text and "41111111 11111111" not in got[8].text and "3782 822463 10005" not in got[9].text
+    assert card not in got[10].text and got[10].text.endswith("@example.invalid y") and got[10].n == 2
+    for i, v in enumerate(iban):
+        a = re.fullmatch(r"to (.+) EUR", got[100 + i].text).group(1)
+        assert a != v and mod97(a.replace(" ", "")) == 1 and re.sub("[0-9]", "9", a) == re.sub("[0-9]", "9", v) and got[100 + i].n == 1
+    assert got[200].text == rows[-1][1] and got[200].n == 0
+
+
 def test_pseudonyms_keep_formats_and_links(spark):
     rng = random.Random(1)
     cards = set()
