@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; run() writes each
 result as Parquet to the shared folder and reads it again as the next stage's docs.  All but the last
-return the columns of documents as they came.  A null text is kept or rejected by its score as an empty text, is never
+return the columns of documents as they came.  No stage drops a row for a null or repeated doc_id alone.  A null text is kept or rejected by its score as an empty text, is never
 a near duplicate, matches no benchmark item, stays null, and packs as an empty document.
 """
 
@@ -23,11 +23,19 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near duplicates; rows that repeat both doc_id and
-    text stay once."""
-    found = jaccard_join.near_duplicates(docs)
-    stay = staged(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__stays")).agg(F.count("*").alias("n")), "stay")
-    # the ids are the side that is built, so the texts are dealt by id once and not sorted
-    kept = docs.join(stay.select("__stays").hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__stays"), "left_semi")
+    text stay once.  Documents are told apart by doc_id and text, so different texts with one doc_id, or with
+    none, are different documents.  A null doc_id comes after all others and equals other null ones; among equal ids
+    the smallest hash stays."""
+    row = F.xxhash64("doc_id", "text", F.col("doc_id").isNull())  # two documents share one with probability 2**-64
+    found = jaccard_join.near_duplicates(docs.select(row.alias("row"), "text"), doc_id="row")
+    # both sides grouped together instead of a join, in which repeated rows would meet each other
+    none = F.lit(None).cast("long")
+    both = found.select(F.col("doc_id").alias("row"), "component_id", none.alias("id")).unionByName(docs.select(row.alias("row"), none.alias("component_id"), F.col("doc_id").cast("long").alias("id")))
+    rows = both.groupBy("row").agg(F.max("component_id").alias("component"), F.max("id").alias("id"), F.count("component_id").alias("n"))
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row", "n")).alias("first"))
+    stay = staged(first.select(F.col("first.row").alias("__stays"), F.col("first.n").alias("n")), "stay")
+    # the keys are the side that is built, so the texts are dealt by key once and not sorted
+    kept = docs.join(stay.select("__stays").hint("shuffle_hash"), row == F.col("__stays"), "left_semi")
     if stay.where("n > 1").limit(1).count():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept.select(docs.columns)

@@ -71,6 +71,17 @@ def test_repeated_rows_stay_once(spark, folder):
     assert sorted(map(tuple, got.select("doc_id", "fp").collect()), key=str) == [(1, "x"), (3, None)]
 
 
+def test_null_and_repeated_ids(spark, folder):
+    import corpus_pipeline
+
+    say = lambda c, n=40: " ".join(f"{c}{i}" for i in range(n))
+    rows = [(None, say("a")), (None, say("b")), (None, say("c")), (None, None), (9, say("c")), (1, say("d")), (1, say("d") + " end"), (2, say("d")), (3, say("e")), (4, say("f")), (4, say("e")), (5, say("g")), (5, say("h")), (5, say("h"))]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    got = {r.n for r in corpus_pipeline.one_of_each(spark, docs, folder).collect()}
+    # null ids stay unless a numbered copy is there; of d one with id 1; e of id 3; f and both texts of id 5, the repeated one once
+    assert got - {5, 6, 12, 13} == {0, 1, 3, 4, 8, 9, 11} and len(got & {5, 6}) == len(got & {12, 13}) == 1
+
+
 def test_registered(spark):
     from lexigraph.llm.queries import QUERIES
 
