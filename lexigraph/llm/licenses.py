@@ -8,7 +8,8 @@ ends.  Coverage is the share of the template's words that are aligned; from `lea
 A stretch with coverage `least` holds at least one of any floor((1 - least) * n) + 1 words of the template.
 The rarest of these are markers; one Aho-Corasick automaton of all markers passes over each text, and
 only stretches of twice the template's length around markers are aligned.  Every part of a text that could match is
-aligned, however long the text.  Where matches overlap, that with the largest coverage, then the longest, then the first
+aligned, however long the text.  A match also needs the words that tell a template from its siblings, all aligned: those that NAMING lists for it, and
+those by which it differs from another template that would match it.  Where matches overlap, that with the largest coverage, then the longest, then the first
 in name order stays.
 
 Null and empty texts match nothing.  Repeated rows give repeated results.  An empty table gives no
@@ -47,6 +48,22 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+# words without which a notice names another licence or version, besides those the templates differ in
+NAMING = {
+    "Apache-2.0": "apache 2.0",
+    "Apache-2.0 header": "apache 2.0",
+    "CC-BY-4.0": "cc by 4.0",
+    "CC-BY-NC-4.0": "cc by-nc 4.0",
+    "CC-BY-SA-4.0": "cc by-sa 4.0",
+    "CC0-1.0": "cc0 1.0",
+    "GPL-2.0": "gnu general 2",
+    "GPL-3.0": "gnu general 3",
+    "GPL header": "gnu general",
+    "LGPL-3.0": "gnu lesser 3",
+    "MIT": "mit",
+    "MPL-2.0": "mozilla 2.0",
+}
+
 
 def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
@@ -99,6 +116,14 @@ class Scanner:
 
         self.least = least
         self.templates = {name: words(t) for name, t in sorted(templates.items()) if words(t)}
+        self.naming: dict[str, set[int]] = {}
+        for name, t in self.templates.items():
+            named = set(words(NAMING.get(name, ""))) if t == words(TEMPLATES.get(name, "")) else set()
+            self.naming[name] = {i for i, w in enumerate(t) if w in named}
+            for other in self.templates.values():
+                same = {i for i, _ in align(t, other)}
+                if len(t) > len(same) >= least * len(t):
+                    self.naming[name] |= set(range(len(t))) - same
         common = Counter(w for t in self.templates.values() for w in set(t))
         shared = {"a", "an", "and", "as", "at", "by", "in", "is", "it", "of", "or", "the", "this", "to", "with", "are", "any", "that", "under", "for", "you", "use", "not", "may"}
         self.markers: dict[str, set[str]] = {}
@@ -132,7 +157,7 @@ class Scanner:
                     done = max(done, at)
                     # windows of twice the length at multiples of it hold every stretch of that length whole
                     pairs = align(t, seen[at : at + 2 * n])
-                    if len(pairs) / n >= self.least:
+                    if len(pairs) / n >= self.least and self.naming[name] <= {i for i, _ in pairs}:
                         found.append((-len(pairs) / n, -n, name, at + pairs[0][1], at + pairs[-1][1] + 1))
         kept: list[tuple[str, float, int, int]] = []
         for coverage, _, name, a, b in sorted(found):

@@ -122,6 +122,15 @@ def test_licences_at_every_offset():
             assert [m for m in got if m[0] == name] == [(name, 1.0, at, at + n)], (name, at)
 
 
+def test_licences_need_their_naming_words():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    for text in ("Released under the BSD License.", "Licensed under CC BY-ND 4.0.", "Licensed under CC BY 3.0.", "Licensed under the Apache License, Version 1.1.", "This work is licensed under the GNU Lesser General Public License, version 2.1."):
+        assert scanner.scan(f"so {text} so") == [], text
+    assert [m[0] for m in scanner.scan("Released under an MIT license. Licensed under terms of CC BY 4.0.")] == ["MIT", "CC-BY-4.0"]
+    own = licenses.Scanner({"A": "free for any use under terms one", "B": "free for any use under terms two"}, 0.8)
+    assert own.scan("free for any use under terms three") == [] and own.scan("free for any use under terms two")[0][0] == "B"
+
+
 def luhn(d):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, d[::-1]))) % 10 == 0
 
