@@ -18,25 +18,63 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+def _pieces(n: Column, threshold: float) -> Column:
+    """How many pieces a form of n characters is cut into: two texts of the ratio share one of them whole.
+
+    A ratio of t means that all but (1 - t) of the characters of both match in order, so at most D = (1 - t) * (n + m)
+    insertions and deletions part them, and one of D + 1 pieces is untouched.  m is at most n * (2 - t) / t."""
+    return F.floor((1 - threshold) * (n + F.floor(n * (2 - threshold) / threshold)) + 1e-9) + 1
+
+
+def similar_forms(left: DataFrame, right: DataFrame, bucket: list[str], form: str, other: str, threshold: float) -> DataFrame:
+    """(bucket…, form, other, score): pairs of distinct forms of a bucket with a similarity of at least the threshold.
+
+    Pairs meet through an equal piece at about the same place, so a bucket is never paired with itself whole.  What is
+    left is bounded from above by the lengths and by the characters that both have, and only what may reach the
+    threshold gets to the similarity function, a pair of texts once however many rows and buckets have it."""
+    t = threshold
+    a = left.select(*bucket, form).distinct().withColumn("__n", F.length(form)).where("__n > 0")
+    b = right.select(*bucket, other).distinct().withColumn("__m", F.length(other)).where("__m > 0")
+    k = _pieces(F.col("__n"), t)
+    cut = lambda i: F.floor(F.col("__n") * i / k)
+    piece = lambda i: F.struct(cut(i).alias("at"), F.substr(F.col(form), (cut(i) + 1).cast("int"), (cut(i + 1) - cut(i)).cast("int")).alias("piece"))
+    a = a.withColumn("p", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), k - 1), piece))).select(*bucket, form, "__n", F.col("p.at").alias("__at"), F.col("p.piece").alias("__piece"))
+    # the lengths that pieces of a partner can have, whatever its own length within the ratio
+    lengths = F.array_distinct(F.flatten(F.transform(F.sequence(F.ceil(F.col("__m") * t / (2 - t) - 1e-9), F.floor(F.col("__m") * (2 - t) / t + 1e-9)), lambda n: F.array(F.floor(n / _pieces(n, t)), F.floor(n / _pieces(n, t)) + 1))))
+    b = b.withColumn("__l", F.explode(F.filter(lengths, lambda x: (x > 0) & (x <= F.col("__m"))))).withColumn("__to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__m") - F.col("__l"))))
+    b = b.select(*bucket, other, "__m", "__to", F.substr(F.col(other), (F.col("__to") + 1).cast("int"), F.col("__l").cast("int")).alias("__piece"))
+    near = (F.abs(F.col("__at") - F.col("__to")) <= (1 - t) * (F.col("__n") + F.col("__m")) + 1e-9) & (2 * F.least("__n", "__m") >= t * (F.col("__n") + F.col("__m")) - 1e-9)
+    pairs = a.join(b, [*bucket, "__piece"]).where(near).select(*bucket, form, other).distinct()
+    texts = pairs.select(form, other).distinct()
+    count = lambda c, x: F.length(c) - F.length(F.replace(c, x, F.lit("")))
+    letters = F.array_distinct(F.split(F.col(form), ""))
+    common = F.aggregate(F.filter(letters, lambda x: x != ""), F.lit(0), lambda s, x: s + F.least(count(F.col(form), x), count(F.col(other), x)))
+    texts = texts.where(2 * common >= t * (F.length(form) + F.length(other)) - 1e-9)
+    scored = texts.withColumn("score", similarity(form, other)).where(F.col("score") >= t)
+    return pairs.join(scored, [form, other])
+
+
 def cascade_join(left: DataFrame, right: DataFrame, bucket: list[str], key: str, form: str, ordinal: str, other: str, threshold: float = 0.9) -> DataFrame:
     """(key, other, mode, score): for each left row the right row of its bucket with the equal form; else the most similar
     one from the threshold on; else the one with the same ordinal; else none.
 
-    Both sides have bucket, form and ordinal columns.  Only rows without an exact partner reach the similarity function;
+    Both sides have bucket, form and ordinal columns.  Only forms without an exact partner reach the similarity step;
     ties go to the right row with the least (ordinal, key)."""
     a = left.select(*bucket, key, form, ordinal)
     b = right.select(*bucket, F.col(other), F.col(form).alias("__form"), F.col(ordinal).alias("__ordinal"))
-    first = b.groupBy(*bucket, "__form").agg(F.min(F.struct("__ordinal", other))[other].alias(other))
+    first = b.groupBy(*bucket, "__form").agg(F.min(F.struct("__ordinal", other)).alias("__x"))
     exact = a.join(first.withColumnRenamed("__form", form), [*bucket, form], "left")
-    done = exact.where(F.col(other).isNotNull()).select(key, other, F.lit("exact").alias("mode"), F.lit(1.0).alias("score"))
-    rest = exact.where(F.col(other).isNull()).drop(other)
-    scored = rest.join(b, bucket).withColumn("score", similarity(form, "__form"))
-    best = scored.where(F.col("score") >= threshold).groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), "__ordinal", F.col(other).alias("o"))).alias("x"))
-    fuzzy = best.select(key, F.col("x.o").alias(other), F.lit("fuzzy").alias("mode"), (-F.col("x.s")).alias("score"))
-    left_over = rest.join(fuzzy.select(key), key, "left_anti")
+    done = exact.where("__x is not null").select(key, F.col("__x")[other].alias(other), F.lit("exact").alias("mode"), F.lit(1.0).alias("score"))
+    rest = exact.where("__x is null").drop("__x")
+    if threshold <= 1:
+        alike = similar_forms(rest, b, bucket, form, "__form", threshold).join(first, [*bucket, "__form"])
+        best = alike.groupBy(*bucket, form).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("__x"))).alias("__y"))
+        rest = rest.join(best, [*bucket, form], "left")
+        fuzzy = rest.where("__y is not null").select(key, F.col("__y")["__x"][other].alias(other), F.lit("fuzzy").alias("mode"), (-F.col("__y.s")).alias("score"))
+        done, rest = done.unionByName(fuzzy), rest.where("__y is null").drop("__y")
     place = b.groupBy(*bucket, F.col("__ordinal").alias(ordinal)).agg(F.min(other).alias(other))
-    last = left_over.join(place, [*bucket, ordinal], "left").select(key, other, F.when(F.col(other).isNull(), "unmatched").otherwise("positional").alias("mode"), F.lit(None).cast("double").alias("score"))
-    return done.unionByName(fuzzy).unionByName(last)
+    last = rest.join(place, [*bucket, ordinal], "left").select(key, other, F.when(F.col(other).isNull(), "unmatched").otherwise("positional").alias("mode"), F.lit(None).cast("double").alias("score"))
+    return done.unionByName(last)
 
 
 def join_rates(joined: DataFrame) -> DataFrame:
@@ -55,12 +93,41 @@ def contained(texts: DataFrame, text: str, quotes: DataFrame, quote: str, most_b
     size = quotes.agg(F.coalesce(F.sum(F.octet_length(quote).cast("long")), F.lit(0)), F.count("*")).first()
     if size[0] + 64 * size[1] <= most_bytes and plan_bytes(quotes) <= 8 * most_bytes:
         return texts.join(F.broadcast(quotes), F.contains(F.col(text), F.col(quote)))
+    # a quote's middle words stand whole in any text that holds it; its first and last may be parts of longer ones
     words = lambda c: F.filter(F.split(c, r"[^\p{L}\p{N}]+"), lambda w: w != "")
     run = quotes.withColumn("__words", words(F.col(quote))).withColumn("__key", F.when(F.size("__words") >= 5, F.concat_ws(" ", F.slice("__words", 2, 3))))
     long, short = run.where(F.col("__key").isNotNull()).drop("__words"), run.where(F.col("__key").isNull()).drop("__words", "__key")
     keys = texts.withColumn("__words", words(F.col(text))).withColumn("__key", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("__words") - 2, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(F.col("__words"), i, 3)))))).drop("__words")
     found = keys.join(long, "__key").where(F.contains(F.col(text), F.col(quote))).drop("__key")
-    return found.unionByName(texts.join(short, F.contains(F.col(text), F.col(quote))))
+    # a shorter quote is met by its first three characters, or by fewer where it has no more
+    for n in (1, 2, 3):
+        some = short.where(F.length(quote) == n if n < 3 else F.length(quote) >= n).withColumn("__key", F.substring(quote, 1, n))
+        grams = texts.where(F.length(text) >= n).withColumn("__key", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substr(F.col(text), i, F.lit(n))))))
+        found = found.unionByName(grams.join(some, "__key").where(F.contains(F.col(text), F.col(quote))).drop("__key"))
+    empty = short.where(F.length(quote) == 0)
+    if empty.limit(1).count():  # every text holds an empty quote: that is what is asked for
+        found = found.unionByName(texts.join(empty, F.col(text).isNotNull()))
+    return found
+
+
+def located_prefix(needle: Column, hay: Column) -> Column:
+    """The longest beginning of a text that another holds, found by halving: where the two part is what one looks at."""
+    n = F.length(needle)
+    state = F.struct(F.lit(0).alias("low"), n.alias("high"))
+
+    def half(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"] + 1) / 2).cast("int")
+        held = F.contains(hay, F.substr(needle, F.lit(1), middle))
+        return F.when(s["low"] >= s["high"], s).when(held, F.struct(middle.alias("low"), s["high"].alias("high"))).otherwise(F.struct(s["low"].alias("low"), (middle - 1).alias("high")))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(n + 2)).cast("int"))
+    return F.substr(needle, F.lit(1), F.aggregate(steps, state, half)["low"])
+
+
+def mode_tally(modes: DataFrame) -> DataFrame:
+    """(mode, n) of a fidelity check; a mode that doesn't occur has 0."""
+    counts = modes.agg(*[F.count_if(F.col("mode") == m).alias(m) for m in ("exact", "bounded", "failed")])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(m).alias("mode"), F.col(m).alias("n")) for m in ("exact", "bounded", "failed")])))
 
 
 def word_bounded(text: Column, quote: Column) -> Column:
