@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -42,8 +43,22 @@ def ascii_fold(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 
 
+@lru_cache(maxsize=1)
+def _folds() -> tuple[str, str, list[tuple[str, str]]]:
+    """Lower-case characters whose folded form is another one: pairs of single ones, and those that become several."""
+    odd = [(c, c.casefold()) for c in map(chr, range(0x80, 0x1FFFF)) if c.casefold() != c and c.lower() == c]
+    one = [(c, f) for c, f in odd if len(f) == 1]
+    return "".join(c for c, _ in one), "".join(f for _, f in one), [(c, f) for c, f in odd if len(f) > 1]
+
+
 def casefold(text: Column) -> Column:
-    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+    """Full Unicode case folding.  Nearly all texts need no more than lower case and ss for ß; only those with one of the
+    other characters go through the table, which is made by rule."""
+    plain = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+    single, folded, several = _folds()
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(f).alias("f")) for c, f in several])
+    full = F.aggregate(pairs, F.translate(plain, single, folded), lambda s, p: F.replace(s, p["c"], p["f"]))
+    return F.when(plain.rlike("[" + single + "".join(c for c, _ in several) + "]"), full).otherwise(plain)
 
 
 def full_wording(stem: Column, text: Column) -> Column:
@@ -124,6 +139,14 @@ def level_at_least(level: Column, boundary: Column) -> Column:
     return F.coalesce((level_family(level) == level_family(boundary)) & (level_number(level) >= level_number(boundary)), F.lit(False))
 
 
+def theme_sentence(text: Column) -> Column:
+    """Themes of a sentence like 'Umwelt13, Wirtschafts-, Finanzbildung4.' as (number, name), in order.  Only a comma
+    after a number parts two themes; a piece without a number has a null one."""
+    # a mark takes the place of the comma, so that names with commas stay whole
+    pieces = F.split(F.regexp_replace(F.regexp_replace(F.trim(text), r"\.+$", ""), r"(?<=[0-9]),\s*", "\u241e"), "\u241e")
+    return F.transform(F.filter(pieces, lambda p: F.trim(p) != ""), lambda p: F.when(F.trim(p).rlike(r"^.+?[0-9]{1,2}$"), F.struct(F.regexp_extract(F.trim(p), r"^(.+?)([0-9]{1,2})$", 2).alias("number"), F.trim(F.regexp_extract(F.trim(p), r"^(.+?)([0-9]{1,2})$", 1)).alias("name"))).otherwise(F.struct(F.lit(None).cast("string").alias("number"), F.trim(p).alias("name"))))
+
+
 def theme_names(marker: Column, legend: Column) -> Column:
     """Names of the numbers in a marker like '6, 7' by a legend map, in order, each once."""
     codes = F.transform(F.split(marker, r"\s*,\s*"), lambda c: F.regexp_replace(F.trim(c), "^0+(?=[0-9])", ""))

@@ -8,14 +8,32 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ids import AREA_CODES
 from ..functions.text import STEM, match_form, theme_names, unresolved_themes
 from ..operators import graph, match, rank
 from ..operators.bind import attach_key
 
 
+# fixed values: the four forms of an area heading, as patterns of (number, name)
+AREA_FORMS = {
+    "numbered": r"^Kompetenzbereich\s+([0-9]+)\s*:\s*(.+?)\s*$",
+    "unnumbered": r"^(?:Integrativer\s+)?Kompetenzbereich\s+()(.+)$",
+    "plain": r"^Kompetenzbereich\s+()(.+)$",
+    "adjective": r"^()(.+\bKompetenzbereich)$",
+}
+TARGET_LEVEL = r"^In allen vier Kompetenzbereichen wird das Zielniveau (.+?) angestrebt\."
+
+
+def area_name(heading: Column, form: str) -> Column:
+    """(number, name) of an area heading of a form; null for another heading."""
+    pattern = AREA_FORMS[form]
+    number = F.try_to_number(F.nullif(F.regexp_extract(heading, pattern, 1), F.lit("")), F.lit("99")).cast("int")
+    return F.when(heading.rlike(pattern), F.struct(number.alias("number"), F.trim(F.regexp_extract(heading, pattern, 2)).alias("name")))
+
+
 @dataclass(frozen=True)
 class Spec:
     """How a subject's section is laid out: one row of a small configuration table."""
@@ -144,8 +162,53 @@ def counts(records: DataFrame, contents: DataFrame) -> DataFrame:
     return a.crossJoin(b).select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("measured")) for c in ("bereiche", "kompetenzen", "mit_themen", "unaufgeloest", "items", "unverbindlich", "wiederholungen")])))
 
 
+def target_levels(state: DataFrame) -> DataFrame:
+    """(doc, stufe, niveau, satz, abschnitt, quell_index): the sentence that names a level's target, word for word; of
+    several the first."""
+    hit = state.where(F.col("level").isNotNull() & F.col("text").rlike(TARGET_LEVEL))
+    one = F.struct("idx", "pos", F.regexp_extract("text", TARGET_LEVEL, 1).alias("niveau"), F.regexp_extract("text", TARGET_LEVEL, 0).alias("satz"), F.col("section").alias("abschnitt"))
+    first = hit.groupBy("doc", F.col("level").alias("stufe")).agg(F.min(one).alias("x"))
+    return first.select("doc", "stufe", "x.niveau", "x.satz", "x.abschnitt", F.col("x.idx").alias("quell_index"))
+
+
+def with_axis(subjects: DataFrame, axis: str, targets: DataFrame) -> DataFrame:
+    """Rows (doc, an axis struct) with the target levels that were found filled in; an axis without a place for them stays
+    as it is, and one that got none says so."""
+    found = targets.groupBy("doc").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("stufe", F.struct("niveau", "satz", "abschnitt", "quell_index").alias("v"))))).alias("__levels"))
+    levels = F.coalesce("__levels", F.create_map().cast("map<string,struct<niveau:string,satz:string,abschnitt:string,quell_index:int>>"))
+    filled = F.col(axis).withField("gers", F.col(axis)["gers"].withField("je_stufe", levels).withField("je_stufe_ausgewiesen", F.size(levels) > 0))
+    return subjects.join(found, "doc", "left").withColumn(axis, filled).drop("__levels")  # a null place stays null
+
+
+def level_blocks(blocks: DataFrame, binding: str) -> DataFrame:
+    """(doc, stufe, n) of levels with more than one block, where the binding allows one a level."""
+    counted = blocks.groupBy("doc", "stufe").agg(F.count("*").alias("n"))
+    return counted.where(F.lit(binding == "stufe") & (F.col("n") > 1))
+
+
+def issues(state: DataFrame, blocks: DataFrame, themes: DataFrame, spec: Spec) -> DataFrame:
+    """(doc, idx, rule, text): what the parser met and could not place."""
+    none = F.lit(None).cast("int")
+    row = lambda rows, rule, idx, text: rows.select("doc", idx.alias("idx"), F.lit(rule).alias("rule"), text.alias("text"))
+    entries = state.where("token = 'eintrag' and section in ('kompetenzen', 'inhalt')")
+    named = state.where("token = 'bereich'").select("doc", "idx", "area", "text")
+    known = list(AREA_CODES.get(spec.shard, {}))
+    out = row(state.where("token = 'unbekannt'"), "unknown-heading", F.col("idx"), F.col("text"))
+    out = out.unionByName(row(entries.where("level is null"), "entry-without-level", F.col("idx"), F.col("text")))
+    out = out.unionByName(row(entries.where("level is not null and area is null and section = 'kompetenzen'"), "entry-without-area", F.col("idx"), F.col("text")))
+    if known:
+        out = out.unionByName(row(named.where(~F.col("area.name").isin(*known)), "unmapped-area", F.col("idx"), F.col("area.name")))
+    out = out.unionByName(row(level_blocks(blocks, spec.binding), "several-blocks-in-a-level", none, F.concat_ws(" ", "stufe", F.col("n").cast("string"))))
+    docs = state.select("doc").distinct()
+    return out.unionByName(row(docs.join(themes.select("doc").distinct(), "doc", "left_anti"), "no-theme-legend", none, F.lit(None).cast("string")))
+
+
 def build(events: DataFrame, spec: Spec) -> dict[str, DataFrame]:
     state = placed(events, spec)
     records = linked(with_themes(competences(state, spec), legend(state)))
     contents = items(state, spec)
-    return {"competences": records, "items": contents, "blocks": attached_blocks(records, contents), "issues": state.where("token = 'unbekannt'").select("doc", "idx", F.lit("unknown-heading").alias("rule"), "text"), "repeats": graph.back_links(contents.withColumn("key", F.concat_ws("|", "doc", F.col("idx").cast("string"), F.col("pos").cast("string"))), F.col("wiederholung"), records, "key", "id", ["shard", "bereich_slug"], "stufe_nr")}
+    themes, blocks = legend(state), attached_blocks(records, contents)
+    repeats = graph.back_links(contents.withColumn("key", F.concat_ws("|", "doc", F.col("idx").cast("string"), F.col("pos").cast("string"))), F.col("wiederholung"), records, "key", "id", ["shard", "bereich_slug"], "stufe_nr")
+    # an appendix after an unknown heading is kept as it stands
+    appendix = state.where("section = 'anhang' and token <> 'unbekannt' and text <> ''").select("doc", "idx", "pos", "element", "text")
+    return {"competences": records, "items": contents, "blocks": blocks, "issues": issues(state, blocks, themes, spec), "repeats": repeats, "legend": themes, "targets": target_levels(state), "appendix": appendix}

@@ -78,23 +78,22 @@ class Curriculum:
         return index.inverted_index(words, F.col("text"), "datei", ["shard"], stop=stop)
 
     def finde_kompetenz(self, fach: str, stufe: str | None = None, kompetenzbereich: str | None = None, code: str | None = None, stichworte: list[str] | None = None) -> DataFrame:
-        """Records of a subject by level, area (slug or name, folded) and keywords (any); a code alone decides, and
-        gives nothing for another subject."""
+        """Records of a subject by level, area (slug or name, folded) and keywords (any), all of which must hold.  A code
+        takes the keywords' place: its record by level and area, or nothing if no record or another subject has it."""
         shard = self._shard(fach)
+        rows = self.tables.competences.where(F.col("shard") == shard)
         if code is not None:
             try:
-                found = self.kompetenz_nach_id(code)
+                rows = self.kompetenz_nach_id(code).where(F.col("shard") == shard)
             except NotFound:
                 return self.tables.competences.limit(0)
-            return found.where(F.col("shard") == shard)
-        rows = self.tables.competences.where(F.col("shard") == shard)
         if stufe is not None:
             rows = rows.where(F.col("stufe") == stufe.strip().upper())
         if kompetenzbereich is not None:
             wanted = casefold(F.trim(F.lit(kompetenzbereich)))
             rows = rows.where((casefold(F.col("bereich_slug")) == wanted) | (casefold(F.col("bereich_name")) == wanted))
         terms = [t for t in stichworte or [] if t and t.strip()]
-        if terms:
+        if terms and code is None:
             hay = F.concat_ws(" ", "stammsatz", "text", "text_roh")
             rows = index.routed_search(rows, hay, "datei", self.keyword_index(shard), terms)
         return rows.orderBy(F.coalesce("stufe", F.lit("")), F.coalesce("bereich_slug", F.lit("")), F.coalesce("ordinal", F.lit(0)))
