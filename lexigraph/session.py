@@ -25,6 +25,20 @@ def session(master: str | None = None, partitions: int | None = None, **settings
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir.  Where it is unset, one machine that is
+    all there is takes a folder beside its warehouse; a cluster must name one."""
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        return path
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc._jsc.sc().isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lexigraph-shared")
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A driver table, its columns pruned at the scan."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")

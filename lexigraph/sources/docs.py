@@ -8,12 +8,12 @@ import zipfile
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions.text import front_matter, title, token_estimate
-from ..operators.rank import within_budget
+from ..operators.rank import top_k, within_budget
 
 # fixed values: folder names, levels, formats and limits
 SUBJECTS = {"mathematik": "M", "deutsch": "D", "englisch": "E", "sachunterricht": "SU", "m": "M", "d": "D", "e": "E", "su": "SU"}
@@ -95,9 +95,9 @@ def collect_material(files: DataFrame, subject: str | None = None, level: str |
     taken while their tokens fit the budget."""
     good = files.where((F.col("status") == "treffer") & relevant(files, subject, level, competence))
     keys = [F.when(F.col("kompetenz_id").eqNullSafe(F.lit(competence)) & F.col("kompetenz_id").isNotNull(), 0).otherwise(1), F.when(F.col("fach").eqNullSafe(F.lit(subject)), 0).otherwise(1), F.when(F.col("stufe").eqNullSafe(F.lit(level)), 0).otherwise(1), F.col("pfad")]
-    ranked = good.withColumn("rank", F.row_number().over(Window.orderBy(*keys)))
-    taken = within_budget(ranked.where(F.col("rank") <= most_files), F.col("tokens_approx"), most_tokens, "pfad").select("pfad", "accepted")
-    judged = ranked.join(taken, "pfad", "left")
+    first = top_k(good, most_files, *keys)  # files beyond have no rank: nothing is sorted whole
+    taken = within_budget(first, F.col("tokens_approx"), most_tokens, "pfad").select("pfad", "rank", "accepted")
+    judged = good.join(F.broadcast(taken), "pfad", "left")  # at most `most_files` rows
     reason = F.when(F.col("accepted").isNull(), "file limit").when(~F.col("accepted"), "token budget")
     judged = judged.withColumn("status", F.when(reason.isNull(), "treffer").otherwise("verworfen")).withColumn("grund", reason)
     return judged.drop("accepted").unionByName(files.where("status = 'uebersprungen'").withColumn("rank", F.lit(None).cast("int")))

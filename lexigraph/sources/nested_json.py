@@ -40,6 +40,12 @@ def stored_index(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, INDEX, "index.json")
 
 
+def shards(rows: DataFrame) -> DataFrame:
+    """(shard, parts): the shards that have parts, and how many."""
+    # a column of the documents is named, as a scan of nothing but their broken ones isn't allowed
+    return rows.groupBy("shard").agg(F.count(F.coalesce("meta.band", F.lit(""))).alias("parts"))
+
+
 def competences(rows: DataFrame) -> DataFrame:
     """All competence records of parts, area ones and extra ones, with their area, source and full wording."""
     area = rows.select("shard", "datei", F.col("meta.provenienz").alias("provenienz"), F.explode("kompetenzbereiche").alias("b"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import urllib.parse
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,7 +23,8 @@ def manifest_json(rows: DataFrame, key: str) -> DataFrame:
     """One row with the manifest as JSON, documents in order of their keys."""
     fields = [c for c in sorted(rows.columns) if c != key]
     entry = F.struct(F.col(key).alias("key"), F.struct(*fields).alias("value"))
-    return rows.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("value"))
+    by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)  # noqa: E731  values may hold maps
+    return rows.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry), by_key))).alias("value"))
 
 
 def path_value(document: Column, path: str) -> Column:
@@ -89,6 +91,72 @@ def write_parts_json(rows: DataFrame, path: str) -> None:
     rows.select("shard", F.to_json(F.struct(*[c for c in rows.columns if c != "shard"]), {"ignoreNullFields": "true"}).alias("value")).write.mode("overwrite").partitionBy("shard").text(path)
 
 
+def write_documents(rows: DataFrame, folder: str) -> None:
+    """Rows (file, value) as files of these relative names, each with the text and a line's end.
+
+    Tasks write the texts; the driver only renames files, and its work is a call for each of them."""
+    spark = rows.sparkSession
+    base = f"{folder}/.writing"
+    coded = rows.select(F.replace("file", F.lit("/"), F.lit("|")).alias("file"), "value")
+    coded.repartition("file").write.partitionBy("file").text(base)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for place in fs.listStatus(path(base)):
+        name = place.getPath().getName()
+        if not name.startswith("file="):
+            continue
+        target = path(f"{folder}/" + urllib.parse.unquote(name.removeprefix("file=")).replace("|", "/"))
+        fs.mkdirs(target.getParent())
+        written = [f.getPath() for f in fs.listStatus(place.getPath()) if f.getPath().getName().startswith("part-")]
+        if len(written) != 1 or not fs.rename(written[0], target):
+            raise OSError(f"{target} was not written once")
+    fs.delete(path(base), True)
+
+
+def write_binary(spark: SparkSession, files: dict[str, bytes], folder: str) -> None:
+    """A few small files from the driver."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name, content in files.items():
+        out = fs.create(path(f"{folder}/{name}"), True)
+        out.write(bytearray(content))
+        out.close()
+
+
+def install_images(spark: SparkSession, source: str, target: str, wanted: DataFrame) -> DataFrame:
+    """Copies the named images (datei) to the target folder and reads them again: (datei, sha256, copied), copied only
+    where the bytes that arrived have the hash of those that were read."""
+    found = images(spark, source).join(wanted.select("datei").distinct(), "datei", "left_semi").select("datei", "sha256")
+    folder, settings = target, spark._jsc.hadoopConfiguration()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for r in found.select("datei").toLocalIterator():  # a copy by the file system for each image, none by its bytes
+        a, b = path(f"{source}/{r.datei}"), path(f"{folder}/{r.datei}")
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(settings), a, b.getFileSystem(settings), b, False, True, settings)
+    arrived = images(spark, target).select("datei", F.col("sha256").alias("arrived"))
+    return found.join(arrived, "datei", "left").select("datei", "sha256", F.coalesce(F.col("sha256") == F.col("arrived"), F.lit(False)).alias("copied"))
+
+
+def append_deviations(rows: DataFrame, path: str) -> None:
+    """Adds (document, rule, message) rows to a log that only grows."""
+    rows.select("document", "rule", "message").write.mode("append").json(path)
+
+
+def search_url(base: str, law: Column, as_of: Column, page: Column) -> Column:
+    """The address of a page of search hits; names of the parameters are the service's."""
+    given = {"Applikation": F.lit("BrKons"), "Gesetzesnummer": law, "Fassung.FassungVom": as_of, "Seitennummer": page.cast("string")}
+    return F.concat(F.lit(base + "?"), F.concat_ws("&", *[F.concat(F.lit(k + "="), F.url_encode(v)) for k, v in given.items()]))
+
+
+def provenance(rows: DataFrame, part: Column) -> DataFrame:
+    """Manifest rows with provenienz: where a text comes from, all of it from the manifest but the heading of the part."""
+    source = F.struct(F.lit("RIS Bundesrecht konsolidiert").alias("quelle"), "kurztitel", "nor", F.trim("kundmachungsorgan").alias("kundmachung"), F.col("artikel_paragraph_anlage").alias("anlage"), F.coalesce(part, F.lit("")).alias("teil"), F.col("retrieval_date").alias("stand"))
+    return rows.withColumn("provenienz", F.when(F.col("nor").isNull(), F.raise_error(F.lit("no manifest entry")).cast(source_type(source, rows))).otherwise(source))
+
+
+def source_type(column: Column, rows: DataFrame) -> str:
+    return rows.select(column.alias("x")).schema["x"].dataType.simpleString()
+
+
 def combined(parts: DataFrame, key: str, *content: str) -> DataFrame:
     """Parts recombined: equal blocks of several parts once; a key with different contents is an error."""
     rows = parts.groupBy(key).agg(F.count_distinct(F.xxhash64(*content)).alias("__n"), *[F.first(c).alias(c) for c in content])
