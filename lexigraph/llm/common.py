@@ -4,23 +4,28 @@ from __future__ import annotations
 
 import ctypes
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: spark.checkpoint.dir.  Where it is unset, one machine that is all there is takes a
+    folder beside its warehouse; a cluster must name one."""
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
-    sc = spark.sparkContext._jsc.sc()
-    if sc.getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexigraph-"))
-    return sc.getCheckpointDir().get()
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc._jsc.sc().isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lexigraph-shared")
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -28,13 +33,45 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     executor costs no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/lexigraph/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Arrow batches of at most so many rows, so that very long texts don't meet in one batch."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def remove(*tables: DataFrame) -> None:
+    """Deletes the files of staged tables that nothing reads any more."""
+    for t in tables:
+        folder = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.staged_at)
+        folder.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def in_parts(batches: Iterable[pa.RecordBatch], rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of Arrow batches with at most so many rows and bytes of text, or a single row, so that however
+    large the session's batches are, few texts are Python objects at a time."""
+    for batch in batches:
+        width = np.zeros(len(batch), dtype=np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+                width += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        total, at = np.cumsum(width), 0
+        while at < len(batch):
+            end = int(np.searchsorted(total, (total[at - 1] if at else 0) + size, side="right"))
+            end = min(at + rows, max(at + 1, end))
+            yield batch.slice(at, end - at)
+            at = end
+
+
+@contextmanager
+def bounded_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what runs meanwhile; the session's own setting comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    if int(own) <= 0 or int(own) > rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -70,7 +107,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root): smallest node reachable over undirected edges (u, v), by alternating large and
-    small stars; each round is written to the shared folder.  Nodes without edges have no row."""
+    small stars; each round is written to the shared folder, and the one before goes.  Adaptive execution splits the
+    rows of a star's centre in the joins.  Nodes without edges have no row."""
     spark = edges.sparkSession
     now = staged(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
@@ -81,7 +119,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = large.where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u != v").distinct()
-        now = staged(small, "edges")
+        last, now = now, staged(small, "edges")
+        remove(last)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == before:
             break
