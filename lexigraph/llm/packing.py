@@ -11,8 +11,9 @@ as a run with a count, so placing a million equal pieces takes as many steps as
 result is the bins that document-by-document best-fit decreasing gives for the whole corpus.
 
 Pieces then find their place by their rank among the pieces of their length.  Ranks are counted
-within (length, salt) groups plus group offsets, so that a length that holds a third of all pieces
-is not ranked by one task.
+within (length, salt) groups plus group offsets.  A length gets a salt for every `group` pieces that it has,
+however many those are, so that one that holds a third of all pieces is not ranked by few tasks; pieces are
+dealt to salts by a number that is stored with them, so that copies part too.
 
 A null text is empty: one piece with the end id alone.  Repeated documents are packed as often as they
 occur.  An empty table gives no rows.  Extra columns are ignored.
@@ -24,10 +25,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lean_worker, staged
+from .common import bounded_batches, in_parts, lean_worker, staged
+from .shingles import mix64
 from .tokens import default_vocabulary, encoder
 
 
@@ -103,12 +106,12 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[int
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of every piece."""
+    """(doc_id, piece, start, length, ids_crc32, nr) of every piece; nr is a mixed number of its own."""
 
     def cut(batches):
         lean_worker(keep="tokens")
-        encode = encoder(vocabulary, held=300_000).encode  # packing follows other stages: less memory, some strings learned twice
-        for batch in batches:
+        encode, at_row = encoder(vocabulary).encode, TaskContext.get().partitionId() << 40
+        for batch in in_parts(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             owner, start, length, crc = [], [], [], []
             for i, found in enumerate(encode(texts)):
@@ -117,45 +120,49 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, doc_id:
                     part = data[at : at + 4 * capacity]
                     owner.append(i), start.append(at // 4), length.append(len(part) // 4), crc.append(zlib.crc32(part))
             start = np.array(start, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(owner, pa.int64())), pa.array((start // capacity).astype(np.int32), pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            nr = mix64(np.arange(at_row, at_row + len(owner), dtype=np.uint64)).view(np.int64)
+            at_row += len(owner)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(owner, pa.int64())), pa.array((start // capacity).astype(np.int32), pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(nr, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32", "nr"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, nr long")
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = 2048, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", salts: int = 64) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = 2048, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", group: int = 500_000) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
-    bounded_batches(docs.sparkSession)
-    vocabulary = vocabulary or default_vocabulary()
-    cut = staged(pieces(docs, vocabulary, capacity, end_id, doc_id, text), "pieces").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
-    groups = cut.groupBy("length", "salt").agg(F.count("*").alias("c")).collect()  # at most capacity * salts rows
-    counts: dict[int, int] = {}
-    offsets: dict[tuple[int, int], int] = {}
-    for g in sorted(groups, key=lambda g: (g.length, g.salt)):
-        offsets[g.length, g.salt] = counts.get(g.length, 0)
-        counts[g.length] = counts.get(g.length, 0) + g.c
-    # offsets of (length, salt) groups and placements are bounded by the capacity, not by the data
-    base = np.zeros((capacity + 1, salts), dtype=np.int64)
-    for (n, s), o in offsets.items():
-        base[n, s] = o
-    placed = best_fit_decreasing(counts, capacity)
-    runs = np.array(placed, dtype=np.int64).reshape(-1, 6)
-    within = cut.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")).cast("long") - 1)
-    shared = docs.sparkSession.sparkContext.broadcast((base, runs))
+    spark = docs.sparkSession
+    with bounded_batches(spark):
+        cut = staged(pieces(docs, vocabulary or default_vocabulary(), capacity, end_id, doc_id, text), "pieces")
+    counts = {r.length: r.c for r in cut.groupBy("length").agg(F.count("*").alias("c")).collect()}  # at most `capacity` rows
+    salts = {n: -(-c // group) for n, c in counts.items() if c > group}
+    salt = F.lit(0)
+    for n, k in salts.items():
+        salt = F.when(F.col("length") == n, F.pmod("nr", F.lit(k))).otherwise(salt)
+    cut = cut.withColumn("salt", salt.cast("long"))
+    # a row for each salted group, one for every `group` pieces or so, and one for each other length
+    sizes = {(r.length, r.salt): r.c for r in cut.where(F.col("length").isin(list(salts))).groupBy("length", "salt").agg(F.count("*").alias("c")).collect()} if salts else {}
+    sizes |= {(n, 0): c for n, c in counts.items() if n not in salts}
+    order = sorted(sizes)
+    keys = np.array([(n << 32) + s for n, s in order], dtype=np.int64)
+    base, last, running = np.zeros(len(order), dtype=np.int64), None, 0
+    for i, (n, s) in enumerate(order):
+        running = 0 if n != last else running
+        base[i], last, running = running, n, running + sizes[n, s]
+    runs = np.array(best_fit_decreasing(counts, capacity), dtype=np.int64).reshape(-1, 6)
+    within = cut.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32", "nr")).cast("long") - 1)
+    shared = spark.sparkContext.broadcast((keys, base, runs[np.lexsort((runs[:, 1], runs[:, 0]))]))
 
     def place(batches):
         lean_worker()
-        base, runs = shared.value
-        order = np.lexsort((runs[:, 1], runs[:, 0]))
-        runs = runs[order]
+        keys, base, runs = shared.value
         span = np.int64(1) << np.int64(48)
-        keys = runs[:, 0] * span + runs[:, 1]
+        firsts = runs[:, 0] * span + runs[:, 1]
         for batch in batches:
             length, salt, rank = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "salt", "rank"))
-            rank = rank + base[length, salt]
-            run = runs[np.searchsorted(keys, length * span + rank, side="right") - 1]
+            rank = rank + base[np.searchsorted(keys, (length << 32) + salt)]
+            run = runs[np.searchsorted(firsts, length * span + rank, side="right") - 1]
             nth = rank - run[:, 1]
             sequence, offset = run[:, 3] + nth // run[:, 5], run[:, 4] + nth % run[:, 5] * length
             columns = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return within.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return within.drop("nr").mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
