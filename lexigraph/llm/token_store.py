@@ -2,19 +2,27 @@
 
 A store is a folder of three tables:
 
-* parts/kind=chunk     hash (16-byte BLAKE2b of the chunk's ids as little-endian uint32), n, data (the ids,
+* parts/kind=chunk     key (16-byte BLAKE2b of the chunk's ids as little-endian uint32), n, data (the ids,
              two bytes each where all fit): every distinct chunk once, whatever number of documents use it
-* recipes/             doc_id, start, n_tokens, chunks (the hashes in order), root (their Merkle root), in
-             ascending doc_id order; start counts the ids of all documents before
-* manifest/            a row for each block of consecutive documents: its documents, ids and Merkle root
+* recipes/             part, block, before, doc_id, n_tokens, chunks (the hashes in order), root (their Merkle
+             root), in ascending doc_id order; before counts the ids of the part that come earlier
+* manifest/            a row for each block of consecutive documents: part, block, documents, ids, Merkle root
+
+A part is a range of documents that one task wrote; a document starts at the ids of all earlier parts,
+one number a part, plus its own before.  A block ends with the Arrow batch in which it reaches 65,536
+documents or 4,000,000 ids.
 
 Id streams are cut where a rolling hash of the last eight ids has its low bits clear, so that equal
 passages give equal chunks wherever they stand; chunks hold 64 to 1,024 ids (a document's last may
 hold fewer).  Reading verifies every chunk against its hash, every recipe against its root and length
 and every block against the manifest, and raises on any difference.
 
+A map task sends a chunk once, however many of its documents use it, so that a passage of all documents
+makes no hot key where chunks are stored.  Where recipes meet the digests of their chunks, adaptive execution
+splits the recipes' side of such a key.
+
 A null or empty text is stored as its end id alone.  Rows that repeat a doc_id are all stored, those
-with equal ids next to each other.  An empty table gives an empty store.  Extra columns are ignored.
+with equal ids next to each other; null ids come first.  An empty table gives an empty store.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,10 +32,12 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lean_worker, shared_dir
+from .common import bounded_batches, in_parts, lean_worker, shared_dir
 from .shingles import mix64, powers
 from .tokens import default_vocabulary, encoder
 
@@ -105,20 +115,19 @@ def joined_crc(parts: list[tuple[int, int]]) -> int:
 def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encodes every whole text and writes the store to a shared folder."""
     spark = docs.sparkSession
-    bounded_batches(spark, 512)
     vocabulary = vocabulary or default_vocabulary()
 
     def encoded(batches):
         lean_worker(keep="tokens")
-        encode, seen = encoder(vocabulary, held=900_000).encode, set()
-        names = ["kind", "key", "doc_id", "n", "data", "chunks", "root"]
+        encode, seen, row = encoder(vocabulary).encode, set(), TaskContext.get().partitionId() << 40
+        names = ["kind", "deal", "key", "doc_id", "n", "data", "chunks", "root"]
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in in_parts(batches):
                 keys = batch.column(0).to_pylist()
                 found = [np.append(x, np.uint32(end_id)) for x in encode(batch.column(1).to_pylist())]
                 bounds = np.cumsum([0] + [len(x) for x in found])
-                ids = np.concatenate(found) if found else np.empty(0, np.uint32)
-                whole, narrow = memoryview(ids.astype("<u4").tobytes()), len(ids) and ids.max() < 65536
+                ids = np.concatenate(found)
+                whole, narrow = memoryview(ids.astype("<u4").tobytes()), ids.max() < 65536
                 stored, width = (memoryview(ids.astype("<u2").tobytes()), 2) if narrow else (whole, 4)
                 new_keys, new_sizes, new_data, uses, roots = [], [], [], [], []
                 for lo, ends in zip(bounds[:-1].tolist(), chunk_ends(ids, bounds)):
@@ -135,61 +144,74 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
                     seen = set()
                 n, m = len(new_keys), len(keys)
                 no, long = [None], pa.int64()
-                columns = [pa.array(["chunk"] * n + ["recipe"] * m), pa.array(new_keys + no * m, pa.binary()), pa.array(no * n + keys, long), pa.array(new_sizes + np.diff(bounds).tolist(), long), pa.array(new_data + no * m, pa.binary()), pa.array(no * n + uses, pa.list_(pa.binary())), pa.array(no * n + roots, pa.binary())]
+                deal = np.concatenate([np.frombuffer(b"".join(new_keys), "<i8")[::2], np.arange(row, row + m)])
+                row += m
+                columns = [pa.array(["chunk"] * n + ["recipe"] * m), pa.array(deal), pa.array(new_keys + no * m, pa.binary()), pa.array(no * n + keys, long), pa.array(new_sizes + np.diff(bounds).tolist(), long), pa.array(new_data + no * m, pa.binary()), pa.array(no * n + uses, pa.list_(pa.binary())), pa.array(no * n + roots, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(encoded, "kind string, key binary, doc_id long, n long, data binary, chunks array<binary>, root binary")
-    # one shuffle brings equal chunks to one task, which keeps the first of each; recipes all stay
-    rows = rows.repartition(F.coalesce("key", "root"), "doc_id")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(encoded, "kind string, deal long, key binary, doc_id long, n long, data binary, chunks array<binary>, root binary")
+    # one shuffle brings equal chunks to one task, where they are neighbours once sorted; recipes are dealt evenly
+    rows = rows.repartition("deal").sortWithinPartitions("key")
 
     def once(batches):
         lean_worker()
-        held = set()  # hashes of a partition's chunks, 16 bytes each
+        last = None
         for batch in batches:
-            keep = []
-            for key in batch.column("key").to_pylist():
-                keep.append(key is None or key not in held)
-                if key is not None:
-                    held.add(key)
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    rows = rows.mapInArrow(once, rows.schema)
-    rows.write.partitionBy("kind").parquet(f"{path}/parts")
-    raw = spark.read.schema(rows.schema).parquet(f"{path}/parts").where("kind = 'recipe'").select("doc_id", F.col("n").alias("n_tokens"), "chunks", "root")
-    with_start(raw, "doc_id", "n_tokens", "root").orderBy("doc_id", "start").write.parquet(f"{path}/recipes")
+            keys = batch.column("key")
+            before = pa.concat_arrays([pa.array([last], pa.binary()), keys.slice(0, max(0, len(keys) - 1))])
+            yield batch.filter(pc.fill_null(pc.not_equal(keys, before), True))
+            last = keys[-1].as_py() if len(keys) else last
+
+    rows.drop("deal").mapInArrow(once, rows.drop("deal").schema).write.partitionBy("kind").parquet(f"{path}/parts")
+    raw = spark.read.schema(rows.drop("deal").schema).parquet(f"{path}/parts").where("kind = 'recipe'").select("doc_id", F.col("n").alias("n_tokens"), "chunks", "root")
+    _numbered(raw).write.parquet(f"{path}/recipes")
     _manifest(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
 
 
-def with_start(df: DataFrame, key: str, size: str, *ties: str, blocks: int = 64) -> DataFrame:
-    """Adds block and start, the sum of `size` over all rows before in the order of key and ties.
+def _numbered(recipes: DataFrame, documents: int = 1 << 16, most_ids: int = 4_000_000) -> DataFrame:
+    """Recipes in ascending doc_id order with the part and block they fall in, and the ids before them in the part."""
+
+    def placed(batches):
+        lean_worker()
+        part, block, rows, ids, before = TaskContext.get().partitionId(), 0, 0, 0, 0
+        for batch in batches:
+            ends = before + np.cumsum(batch.column("n_tokens").to_numpy())
+            n = len(ends)
+            if not n:
+                continue
+            if rows >= documents or ids >= most_ids:
+                block, rows, ids = block + 1, 0, 0
+            starts = np.concatenate([[before], ends[:-1]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part), pa.int32()), pa.array(np.full(n, block), pa.int32()), pa.array(starts, pa.int64()), *batch.columns], ["part", "block", "before", *batch.schema.names])
+            rows, ids, before = rows + n, ids + int(ends[-1]) - before, int(ends[-1])
 
-    Blocks are ranges of key at approximate quantiles; their sums, at most `blocks` numbers, are added
-    up on the driver, and rows within a block by a window."""
-    at = sorted(set(df.approxQuantile(key, [i / blocks for i in range(1, blocks)], 0.002)))
-    block = F.lit(0)
-    if at:
-        block = F.size(F.filter(F.array(*[F.lit(int(x)) for x in at]), lambda x: x < F.col(key)))
-    df = df.withColumn("block", block.cast("int"))
-    sums = {r.block: r.s for r in df.groupBy("block").agg(F.sum(size).alias("s")).collect()}
-    before, running = [], 0
-    for b in range(len(at) + 1):
-        before.append(F.lit(running).cast("long"))
-        running += sums.get(b, 0)
-    within = Window.partitionBy("block").orderBy(F.col(key).asc_nulls_first(), *ties).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("start", F.element_at(F.array(*before), F.col("block") + 1) + F.coalesce(F.sum(size).over(within), F.lit(0)))
+    # the last key parts rows that are equal in the others, so that no range holds all copies of one document
+    ordered = recipes.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange("doc_id", "root", "tie").sortWithinPartitions("doc_id", "root", "tie").drop("tie")
+    return ordered.mapInArrow(placed, "part int, block int, before long, doc_id long, n_tokens long, chunks array<binary>, root binary")
 
 
 def _manifest(recipes: DataFrame) -> DataFrame:
-    """Blocks of consecutive documents, by where their ids start: documents, ids and Merkle root."""
-    block = F.floor(F.col("start") / 4_000_000).alias("block")  # ids; bounds the roots in one row
-    rows = recipes.groupBy(block).agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("ids"), F.array_sort(F.collect_list(F.struct("start", "root"))).alias("leaves"))
+    """Blocks of consecutive documents: documents, ids and Merkle root."""
+    rows = recipes.groupBy("part", "block").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("ids"), F.array_sort(F.collect_list(F.struct("before", "root"))).alias("leaves"))
 
     def rooted(batches):
+        lean_worker()
         for batch in batches:
             roots = [merkle_root([x["root"] for x in leaves]) for leaves in batch.column("leaves").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("documents"), batch.column("ids"), pa.array(roots, pa.binary())], ["block", "documents", "ids", "root"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("part", "block", "documents", "ids")), pa.array(roots, pa.binary())], ["part", "block", "documents", "ids", "root"])
+
+    return rows.mapInArrow(rooted, "part int, block int, documents long, ids long, root binary")
+
 
-    return rows.mapInArrow(rooted, "block long, documents long, ids long, root binary")
+def _with_start(spark: SparkSession, path: str, recipes: DataFrame) -> DataFrame:
+    """Recipes with start, the ids of all documents before.  The ids of each part go through the driver: a number a
+    task that wrote recipes, however many documents there are."""
+    sums = spark.read.parquet(f"{path}/manifest").groupBy("part").agg(F.sum("ids").alias("ids")).orderBy("part").collect()
+    starts, running = [], 0
+    for r in sums:
+        starts.append((r.part, running))
+        running += r.ids
+    return recipes.join(F.broadcast(spark.createDataFrame(starts, "part int, first long")), "part", "left").withColumn("start", F.col("first") + F.col("before")).drop("part", "block", "before", "first")
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -202,8 +224,12 @@ def _ids(data: bytes, n: int) -> np.ndarray:
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) from the stored files, all verified."""
-    stored, found = (f.select("block", "documents", "ids", "root") for f in (spark.read.parquet(f"{path}/manifest"), _manifest(spark.read.parquet(f"{path}/recipes"))))
-    if stored.exceptAll(found).unionAll(found.exceptAll(stored)).limit(1).count():
+    stored, recipes = spark.read.parquet(f"{path}/manifest"), spark.read.parquet(f"{path}/recipes")
+    both = _manifest(recipes).withColumnsRenamed({c: f"{c}_found" for c in ("documents", "ids", "root")}).join(stored, ["part", "block"], "full")
+    same = F.lit(True)
+    for c in ("documents", "ids", "root"):
+        same &= F.col(f"{c}_found").eqNullSafe(F.col(c))
+    if both.where(~same).limit(1).count():
         raise ValueError("the manifest does not match the recipes")
 
     def summed(batches):
@@ -218,7 +244,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(crc, pa.int64())], ["key", "n", "crc"])
 
     parts = _chunks(spark, path).mapInArrow(summed, "key binary, n long, crc long")
-    uses = spark.read.parquet(f"{path}/recipes").select("doc_id", "start", "n_tokens", "root", F.posexplode("chunks").alias("pos", "key"))
+    uses = _with_start(spark, path, recipes).select("doc_id", "start", "n_tokens", "root", F.posexplode("chunks").alias("pos", "key"))
     each = uses.join(parts, "key", "left").groupBy("doc_id", "start", "n_tokens", "root").agg(F.array_sort(F.collect_list(F.struct("pos", "key", "n", "crc"))).alias("parts"))
 
     def joined(batches):
@@ -238,7 +264,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ids(spark: SparkSession, path: str, only: DataFrame | None = None) -> DataFrame:
     """(doc_id, start, ids) with the ids themselves, of all documents or of those whose doc_id `only` has."""
-    recipes = spark.read.parquet(f"{path}/recipes")
+    recipes = _with_start(spark, path, spark.read.parquet(f"{path}/recipes"))
     if only is not None:
         recipes = recipes.join(only.select("doc_id").distinct(), "doc_id", "left_semi")
     uses = recipes.select("doc_id", "start", F.posexplode("chunks").alias("pos", "key"))
@@ -257,5 +283,6 @@ def store_and_read(docs: DataFrame, **options) -> DataFrame:
     import uuid
 
     path = f"{shared_dir(docs.sparkSession)}/lexigraph/tokens-{uuid.uuid4().hex}"
-    write_store(docs, path, **options)
+    with bounded_batches(docs.sparkSession):
+        write_store(docs, path, **options)
     return read_digests(docs.sparkSession, path)

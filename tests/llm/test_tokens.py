@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lexigraph.llm import packing, token_store
@@ -70,6 +71,36 @@ def test_store_notices_damage(spark, tmp_path):
         token_store.read_digests(spark, path).count()
 
 
+def test_store_notices_a_damaged_chunk(spark, tmp_path):
+    _, df = frame(spark)
+    path = f"file://{tmp_path}/store"
+    token_store.write_store(df, path)
+    chunks = spark.read.parquet(f"{path}/parts/kind=chunk")
+    worse = chunks.withColumn("data", F.when(F.col("n") == chunks.agg(F.max("n")).first()[0], F.concat(F.substring("data", 1, 3), F.lit(b"\x01"), F.expr("substring(data, 5)"))).otherwise(F.col("data"))).collect()
+    spark.createDataFrame(worse, chunks.schema).write.mode("overwrite").parquet(f"{path}/parts/kind=chunk")
+    with pytest.raises(Exception, match="damaged"):
+        token_store.read_digests(spark, path).collect()
+
+
+def test_store_of_a_hot_passage_and_a_long_text(spark, library, tmp_path):
+    rng = random.Random(4)
+    passage = " ".join(rng.choice(["haus", "wald", "über", "the"]) + rng.choice("abcdefgh") for _ in range(3000))
+    rows = [(i % 7, passage) for i in range(300)] + [(900, passage + " ende"), (901, (passage + " x ") * 90), (None, None), (None, ""), (None, passage)]
+    path = f"file://{tmp_path}/store"
+    token_store.write_store(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), path)
+    got = sorted(((r.doc_id is not None, r.doc_id), r.n_tokens, r.ids_crc32, r.start) for r in token_store.read_digests(spark, path).collect())
+    want = [((d is not None, d), x) for d, t in rows for x in [np.array(library.encode(t or "", add_special_tokens=False).ids + [2], "<u4")]]
+    assert sorted((k, len(x), zlib.crc32(x.tobytes())) for k, x in want) == [g[:3] for g in got]
+    start = 0
+    for (_, n, _, s) in sorted(got, key=lambda g: g[3]):
+        assert s == start
+        start += n
+    keys = [k for k, *_ in sorted(got, key=lambda g: g[3])]
+    assert keys == sorted(keys)
+    chunks = spark.read.parquet(f"{path}/parts/kind=chunk")
+    assert chunks.count() == chunks.select("key").distinct().count() < 400
+
+
 def test_empty_store(spark):
     assert token_store.store_and_read(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -140,5 +171,23 @@ def test_packing_against_the_library(spark, library):
     assert len(places) == plain_best_fit([w[3] for w in want if w[3] < 128], 128) + sum(w[3] == 128 for w in want)
 
 
+def test_packing_in_many_groups(spark):
+    rows = [(1, "a b c")] * 200 + [(i, "wort " * (i % 40)) for i in range(300)] + [(5, None)] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = packing.pack(df, capacity=32, group=10).collect()
+    places = {}
+    for r in got:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in places.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 32
+    lengths = [r.length for r in got]
+    assert sum(lengths) == 200 * 4 + sum(i % 40 + 1 for i in range(300)) + 30
+    assert len(places) == plain_best_fit([n for n in lengths if n < 32], 32) + lengths.count(32)
+
+
 def test_packing_nothing(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
