@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,3 +66,11 @@ def part_catalog(rows: DataFrame, text: Column, *part: str) -> DataFrame:
 def packed_postings(index: DataFrame) -> DataFrame:
     """The index with each list joined to one string, as it is stored."""
     return index.withColumn("parts", F.concat_ws(",", "parts"))
+
+
+def shape_sizes(rows: DataFrame, group: list[str], own: Column, *shared: str) -> DataFrame:
+    """(group…, repeated_bytes, shared_bytes): what records weigh if each repeats the shared fields, and if each distinct
+    combination of these is stored once."""
+    size = lambda *c: reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(x), F.lit(0)).cast("long") for x in c])
+    each = rows.groupBy(*dict.fromkeys([*group, *shared])).agg(F.sum(size(own)).alias("own"), F.count("*").alias("n")).withColumn("shared", size(*shared))
+    return each.groupBy(*group).agg(F.sum(F.col("own") + F.col("n") * F.col("shared")).alias("repeated_bytes"), F.sum(F.col("own") + F.col("shared")).alias("shared_bytes"))

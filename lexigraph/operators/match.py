@@ -5,6 +5,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,12 +88,12 @@ def join_rates(joined: DataFrame) -> DataFrame:
 def contained(texts: DataFrame, text: str, quotes: DataFrame, quote: str, most_bytes: int = 8 << 20) -> DataFrame:
     """Pairs of rows whose text holds the quote verbatim.
 
-    A quote list of a proven size is sent to every task; a longer one is met by its first three words, which any text
-    that holds it has one after another (its last may be part of a longer word)."""
+    A quote list of a proven size is sent to every task, which makes one automaton of it and passes over each text once,
+    however many quotes there are; a longer list is met by keys that any text that holds a quote has."""
     # a file size says little about what it unpacks to: the bytes are counted
     size = quotes.agg(F.coalesce(F.sum(F.octet_length(quote).cast("long")), F.lit(0)), F.count("*")).first()
     if size[0] + 64 * size[1] <= most_bytes and plan_bytes(quotes) <= 8 * most_bytes:
-        return texts.join(F.broadcast(quotes), F.contains(F.col(text), F.col(quote)))
+        return _contained_few(texts, text, quotes, quote)
     # a quote's middle words stand whole in any text that holds it; its first and last may be parts of longer ones
     words = lambda c: F.filter(F.split(c, r"[^\p{L}\p{N}]+"), lambda w: w != "")
     run = quotes.withColumn("__words", words(F.col(quote))).withColumn("__key", F.when(F.size("__words") >= 5, F.concat_ws(" ", F.slice("__words", 2, 3))))
@@ -110,6 +111,35 @@ def contained(texts: DataFrame, text: str, quotes: DataFrame, quote: str, most_b
     return found
 
 
+def _contained_few(texts: DataFrame, text: str, quotes: DataFrame, quote: str) -> DataFrame:
+    wanted = [r[0] for r in quotes.where(F.col(quote).isNotNull()).select(quote).distinct().collect()]  # of a size that contained() has counted
+    number = "__quote"
+    while number in texts.columns or number in quotes.columns:
+        number += "_"
+
+    def found(batches):
+        import ahocorasick
+
+        automaton, always = ahocorasick.Automaton(), [q for q in wanted if not q]
+        for q in wanted:
+            if q:
+                automaton.add_word(q, q)
+        automaton.make_automaton()
+        for batch in batches:
+            rows, hits = [], []
+            for i, t in enumerate(batch.column(text).to_pylist()):
+                if t is None:
+                    continue
+                for q in always + sorted({q for _, q in automaton.iter(t)} if len(automaton) else ()):
+                    rows.append(i), hits.append(q)
+            held = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*held.columns, pa.array(hits, pa.string())], [*batch.schema.names, number])
+
+    schema = T.StructType([*texts.schema.fields, T.StructField(number, T.StringType())])
+    pairs = texts.mapInArrow(found, schema)
+    return pairs.join(F.broadcast(quotes), pairs[number] == quotes[quote]).drop(number)
+
+
 def located_prefix(needle: Column, hay: Column) -> Column:
     """The longest beginning of a text that another holds, found by halving: where the two part is what one looks at."""
     n = F.length(needle)

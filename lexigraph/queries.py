@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from difflib import SequenceMatcher
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .derived import made
 from .functions import ids, text as tx
 from .operators import anchor, bind, diff, graph, index, match, quality, rank
 from .session import small, table
@@ -69,28 +71,15 @@ def q_casefold_filter(spark, d):
     return docs.where(index.has_term(F.col("text"), ["HEITß"])).select("doc_id", F.length(tx.casefold(F.col("text"))).cast("long").alias("folded_chars"))
 
 
-@query("SELECT o_orderkey, o_orderstatus, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey")
-def q_flatten_nested(spark, d):
-    lines = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    nested = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity")).alias("lines"))
-    return table(spark, d, "orders", "o_orderkey", "o_orderstatus").join(nested, "o_orderkey").select("o_orderkey", "o_orderstatus", F.inline("lines")).withColumn("l_linenumber", F.col("l_linenumber").cast("long"))
-
-
-@query("""SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber FROM (SELECT l_partkey, l_suppkey, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
-  row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_orderkey DESC, l_linenumber DESC) AS r FROM lineitem) WHERE r = 1""")
-def q_dedup_last(spark, d):
-    lines = table(spark, d, "lineitem", "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
-    last = lines.groupBy("l_partkey", "l_suppkey").agg(F.max(F.struct("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"))).alias("m"))
-    return last.select("l_partkey", "l_suppkey", "m.*")
-
-
 _INDEX = r"""pairs AS (SELECT DISTINCT lang, source, replace(lower(t), 'ß', 'ss') AS term FROM
   (SELECT lang, source, unnest(regexp_extract_all(text, '[\p{L}\p{Nl}\p{No}]+')) AS t FROM documents) WHERE length(t) >= 4),
   idx AS (SELECT lang, term, string_agg(source, ',' ORDER BY source) AS parts, count(*) AS n FROM pairs GROUP BY lang, term HAVING count(*) <= 2)"""
 
 
 def _keyword_index(spark, d):
-    return index.inverted_index(table(spark, d, "documents", "text", "lang", "source"), F.col("text"), "source", ["lang"], stop=())
+    """The stored index of the documents, written once in an application as a build writes it."""
+    found = lambda: index.inverted_index(table(spark, d, "documents", "text", "lang", "source"), F.col("text"), "source", ["lang"], stop=())
+    return spark.read.parquet(made(spark, d, "postings", lambda folder: found().write.parquet(folder)))
 
 
 @query(f"WITH {_INDEX} SELECT lang, term, parts FROM idx")
@@ -240,11 +229,11 @@ def q_theme_resolve(spark, d):
     return table(spark, d, "events", "event_id", "props").select("event_id", F.array_join(tx.theme_names(marker, legend), "|").alias("themes"))
 
 
-@query("SELECT DISTINCT source FROM documents WHERE lang = 'de' AND contains(lower(text), 'scum') ORDER BY source")
+@query("SELECT DISTINCT source FROM documents WHERE lang = 'de' AND contains(lower(text), 'schungheit') ORDER BY source")
 def q_theme_catalog(spark, d):
     docs = table(spark, d, "documents", "source", "lang", "text").where("lang = 'de'")
-    meta = docs.groupBy("source").agg(F.collect_set(F.when(F.contains(F.lower("text"), F.lit("scum")), "SCUM")).alias("themes"))
-    return bind.theme_catalog(meta, "source", "themes", F.lit("scum"))
+    meta = docs.groupBy("source").agg(F.collect_set(F.when(F.contains(F.lower("text"), F.lit("schungheit")), "SCHUNGHEIT").otherwise("Anderes")).alias("themes"))
+    return bind.theme_catalog(meta, "source", "themes", F.lit("schungheit"))
 
 
 @query("""WITH l AS (SELECT c_custkey, c_mktsegment AS bucket, lower(substr(c_name, 10)) AS form, c_custkey % 40 AS ordinal FROM customer),
@@ -256,11 +245,23 @@ def q_cascade_exact(spark, d):
     c = table(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment").select("c_custkey", F.col("c_mktsegment").alias("bucket"), F.lower(F.substring("c_name", 10, 99)).alias("form"), (F.col("c_custkey") % 40).alias("ordinal"))
     area = F.element_at(F.array(*[F.lit(x) for x in ("BUILDING", "MACHINERY", "HOUSEHOLD", "FURNITURE")]), (F.col("s_suppkey") % 4 + 1).cast("int"))
     s = table(spark, d, "supplier", "s_suppkey", "s_name").select("s_suppkey", area.alias("bucket"), F.lower(F.substring("s_name", 10, 99)).alias("form"), (F.col("s_suppkey") % 40).alias("ordinal"))
-    # a threshold above 1 leaves out the similarity step, which SQL can't express
+    # a threshold above 1 leaves out the similarity step, which q_cascade_join has
     return match.cascade_join(c, s, ["bucket"], "c_custkey", "form", "ordinal", "s_suppkey", threshold=1.1).select("c_custkey", "s_suppkey", "mode")
 
 
-@query(None)
+def _similar_names() -> str:
+    """Every pair of names that the parts can have, as the cascade's forms, from the threshold on: brute force."""
+    names = [f"{a} {b}" for a in "blue cold hot large new old red small".split() for b in "anvil bolt gear gizmo plate ring rod widget".split()]
+    pairs = ((x + more, y + "s", SequenceMatcher(None, x + more, y + "s").ratio()) for x in names for more in ("", " set") for y in names)
+    return ", ".join(f"('{x}', '{y}', CAST('{r!r}' AS DOUBLE))" for x, y, r in pairs if r >= 0.9)
+
+
+@query(f"""WITH l AS (SELECT p_partkey, p_brand AS bucket, p_name || CASE p_partkey % 5 WHEN 0 THEN ' set' ELSE '' END AS form, p_size AS ordinal FROM part),
+  r AS (SELECT p_brand AS bucket, p_name || 's' AS form, min(p_partkey) AS other, min(p_size) AS ordinal FROM part GROUP BY ALL), sim(a, b, score) AS (VALUES {_similar_names()}),
+  f AS (SELECT p_partkey, other, score, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, r.ordinal, r.other) AS n FROM l JOIN r USING (bucket) JOIN sim ON a = l.form AND b = r.form),
+  p AS (SELECT bucket, ordinal, min(other) AS other FROM r GROUP BY ALL)
+  SELECT l.p_partkey, coalesce(f.other, p.other) AS other, CASE WHEN f.other IS NOT NULL THEN 'fuzzy' WHEN p.other IS NOT NULL THEN 'positional' ELSE 'unmatched' END AS mode, f.score
+  FROM l LEFT JOIN f ON f.p_partkey = l.p_partkey AND f.n = 1 LEFT JOIN p ON p.bucket = l.bucket AND p.ordinal = l.ordinal""")
 def q_cascade_join(spark, d):
     part = table(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_size")
     left = part.select("p_partkey", F.col("p_brand").alias("bucket"), tx.match_form(F.concat_ws(" ", "p_name", F.when(F.col("p_partkey") % 5 == 0, "set").when(F.col("p_partkey") % 5 == 1, "."))).alias("form"), F.col("p_size").alias("ordinal"))
@@ -268,11 +269,6 @@ def q_cascade_join(spark, d):
     return match.cascade_join(left, right, ["bucket"], "p_partkey", "form", "ordinal", "other")
 
 
-@query("SELECT doc_id FROM documents WHERE text IN (SELECT text FROM conversations)")
-def q_verbatim_exact(spark, d):
-    return table(spark, d, "documents", "doc_id", "text").join(table(spark, d, "conversations", "text"), "text", "left_semi").select("doc_id")
-
-
 @query("SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def q_verbatim_contains(spark, d):
     items = table(spark, d, "benchmark", "item_id", "text").withColumnRenamed("text", "quote")
@@ -303,13 +299,13 @@ def q_dangling_refs(spark, d):
     return quality.dangling(table(spark, d, "documents", "doc_id"), "doc_id", table(spark, d, "labels", "doc_id"), "doc_id")
 
 
-@query(r"""WITH s AS (SELECT page_id, list_distinct(regexp_extract_all(html, '<a href="/([^"]*)"', 1)) AS h, list_distinct(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) AS t FROM pages),
-  x AS (SELECT page_id, list_sort(list_filter(h, lambda a: NOT list_contains(t, a))) AS l, list_sort(list_filter(t, lambda a: NOT list_contains(h, a))) AS r FROM s)
-  SELECT page_id, array_to_string(l, '|') AS only_left, array_to_string(r, '|') AS only_right FROM x WHERE len(l) > 0 OR len(r) > 0""")
+@query("""WITH k AS (SELECT event_id, CAST(props->>'$.k' AS INT) AS k FROM events), s AS (SELECT event_id, list_distinct([k % 3, k % 5]) AS h, list_distinct([k % 2, k % 5]) AS t FROM k),
+  x AS (SELECT event_id, list_sort(list_filter(h, lambda a: NOT list_contains(t, a))) AS l, list_sort(list_filter(t, lambda a: NOT list_contains(h, a))) AS r FROM s)
+  SELECT event_id, array_to_string(l, '|') AS only_left, array_to_string(r, '|') AS only_right FROM x WHERE len(l) > 0 OR len(r) > 0""")
 def q_symmetric_tokens(spark, d):
-    found = lambda p: F.regexp_extract_all("html", F.lit(p), F.lit(1))
-    out = quality.symmetric_difference(table(spark, d, "pages", "page_id", "html"), F.col("page_id"), found('<a href="/([^"]*)"'), found('<a href="[^"]*">([^<]*)</a>'))
-    return out.select("page_id", F.array_join("only_left", "|").alias("only_left"), F.array_join("only_right", "|").alias("only_right"))
+    k = F.get_json_object("props", "$.k").cast("int")
+    out = quality.symmetric_difference(table(spark, d, "events", "event_id", "props"), F.col("event_id"), F.array(k % 3, k % 5), F.array(k % 2, k % 5))
+    return out.select("event_id", *[F.array_join(F.col(c).cast("array<string>"), "|").alias(c) for c in ("only_left", "only_right")])
 
 
 @query("""WITH f AS (SELECT source, count(*) AS records, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents GROUP BY source), s AS (SELECT source, count(*) AS records, CAST(sum(n_chars) AS BIGINT) AS bytes FROM documents WHERE source <> 'src3' GROUP BY source),
@@ -371,13 +367,6 @@ def q_snapshot_diff(spark, d):
     return diff.classified(changes, "o_orderkey", ["o_orderstatus"], ["o_orderpriority"], out_of_force="cust")
 
 
-@query("""SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS r FROM orders WHERE o_orderstatus <> 'F') WHERE r = 1""")
-def q_in_force_pick(spark, d):
-    o = table(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus").where("o_orderstatus <> 'F'")
-    best = o.groupBy("o_custkey").agg(F.max(F.struct("o_orderdate", (-F.col("o_orderkey")).alias("k"))).alias("m"))
-    return best.select("o_custkey", (-F.col("m.k")).alias("o_orderkey"), F.date_format("m.o_orderdate", "yyyy-MM-dd").alias("day"))
-
-
 def _ranked(spark, d):
     docs = table(spark, d, "documents", "doc_id", "lang", "source", "text").withColumn("tokens", tx.token_estimate(F.col("text"))).drop("text")
     return rank.top_k(docs, 20, *rank.relevance(F.col("source") == "src7", F.col("lang") == "de"), F.col("doc_id"))
@@ -414,11 +403,6 @@ def q_claim_class(spark, d):
     return anchor.classify_claims(claimed, truth, "anchor", "item", "binding").select("l_orderkey", "l_linenumber", "rule")
 
 
-@query("SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events")
-def q_json_walk(spark, d):
-    return table(spark, d, "events", "event_id", "props").select("event_id", F.try_variant_get(F.parse_json("props"), "$.k", "bigint").alias("k"))
-
-
 @query("""WITH s AS (SELECT event_id, user_id, ts, event_type, value, CAST(sum((event_type = 'error')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS scope FROM events)
   SELECT event_id, scope, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id, scope ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS stem FROM s""")
 def q_scope_carry(spark, d):
@@ -433,16 +417,6 @@ def q_ordinals(spark, d):
     return o.select("o_orderkey", "o_custkey", rank.ordinal(["o_custkey", "o_orderpriority"], "o_orderdate", "o_orderkey").cast("long").alias("ordinal"))
 
 
-@query("SELECT page_id, coalesce(nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), ''), url) AS title FROM pages")
-def q_html_title(spark, d):
-    return table(spark, d, "pages", "page_id", "url", "html").select("page_id", F.coalesce(F.nullif(F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1)), F.lit("")), F.col("url")).alias("title"))
-
-
-@query("SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"/([^\"]*)\"', 1)) AS token, unnest(range(len(regexp_extract_all(html, '<a href=\"/([^\"]*)\"', 1)))) AS pos FROM pages")
-def q_image_runs(spark, d):
-    return table(spark, d, "pages", "page_id", "html").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('<a href="/([^"]*)"'), F.lit(1))).alias("pos", "token")).select("page_id", "token", long("pos"))
-
-
 @query("""SELECT doc_id FROM documents d JOIN labels l USING (doc_id) WHERE (quality IS NULL OR quality = 1) AND (lang = 'en' OR lang = 'de')""")
 def q_rubric_filter(spark, d):
     joined = table(spark, d, "documents", "doc_id", "lang").join(table(spark, d, "labels", "doc_id", "quality"), "doc_id")
@@ -450,10 +424,9 @@ def q_rubric_filter(spark, d):
     return joined.where(rank.applicable(tags, ["quality=1", "lang=en", "lang=de"])).select("doc_id")
 
 
-@query("""SELECT lang, CAST(sum(strlen(text)) AS BIGINT) AS narrow_bytes, CAST(sum(strlen(text) + strlen(lang) + strlen(source)) AS BIGINT) AS wide_bytes FROM documents GROUP BY lang""")
+@query("""SELECT lang, CAST(sum(strlen(text) + strlen(lang) + strlen(source)) AS BIGINT) AS repeated_bytes, CAST(sum(strlen(text)) + (SELECT sum(n) FROM (SELECT DISTINCT x.source, strlen(x.lang) + strlen(x.source) AS n FROM documents x WHERE x.lang = documents.lang)) AS BIGINT) AS shared_bytes FROM documents GROUP BY lang""")
 def q_size_compare(spark, d):
-    docs = table(spark, d, "documents", "lang", "source", "text")
-    return docs.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("narrow_bytes"), F.sum((F.octet_length("text") + F.octet_length("lang") + F.octet_length("source")).cast("long")).alias("wide_bytes"))
+    return index.shape_sizes(table(spark, d, "documents", "lang", "source", "text"), ["lang"], F.col("text"), "lang", "source")
 
 
 from . import curriculum_queries as _more  # noqa: E402, F401  registers its queries with the same decorator
