@@ -21,8 +21,10 @@ shingles seen once has no partner and sends nothing.
 Lists of shingles seen fewer than t2 times hold fewer than t2 sets, so their pairs are made directly,
 cut by size and by the misses before the last common shingle, and checked against both whole sets.
 Sets whose prefix reaches a frequent shingle (large groups of near copies, texts made of common passages) are
-gathered into clusters that share a frequent prefix shingle, dealt into cells of a few hundred sets of like
-size, and each pair of cells is checked at once as a product of incidence matrices.  A pair of cells
+gathered into clusters that share a frequent prefix shingle.  In a large cluster every set meets one hub of each near
+size first, so that a group of near copies is one component after as many comparisons as it has sets.  Sets are then
+dealt into cells of a few hundred sets of like size, and each pair of cells, but for two of the same
+component, is checked at once as a product of incidence matrices.  A pair of cells
 returns a spanning forest of its links, so no group gives a row for each of its pairs, and no link
 between components is lost.  No list, group or candidate is capped.
 
@@ -41,12 +43,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_batches, components, lean_worker, plan_bytes, staged
+from .common import as_bytes, bounded_batches, components, in_parts, lean_worker, plan_bytes, remove, staged
 from .shingles import mix64, shingle_sets
 
 NUM, DEN = 4, 5  # similarity 0.8 as a fraction
 LIGHT_MOST = 14  # sizes that enumeration is considered for
 CELL = 256  # sets in a cell of a frequent cluster
+HUBS = 4  # rounds of hubs in clusters of more sets
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -122,7 +125,7 @@ def frequency_filters(docs: DataFrame, text: str, max_bits: int = 1 << 29) -> di
 
         lean_worker()
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in in_parts(batches):
                 for values in shingle_sets(as_bytes(batch.column(0))):
                     if len(values) <= LIGHT_MOST:
                         sizes[len(values)] += 1
@@ -184,6 +187,7 @@ def frequency_filters(docs: DataFrame, text: str, max_bits: int = 1 << 29) -> di
     for r in rows.where("bucket >= 0").select("bucket", "rests", "powers").mapInArrow(filtered, "bucket int, low binary, high binary").toLocalIterator():
         filters[0, r.bucket], filters[1, r.bucket] = np.frombuffer(r.low, np.uint8), np.frombuffer(r.high, np.uint8)
     small = rows.where("bucket < 0").select("rests").first()
+    remove(rows)
     sizes = np.frombuffer(small.rests, dtype=np.int64) if small else np.zeros(LIGHT_MOST + 1, dtype=np.int64)
     return {"filters": filters.reshape(2, -1), "bits": bits, "log_buckets": log_buckets, "skip": low == 1, "sizes": {i: int(c) for i, c in enumerate(sizes)}, "list_length": (tally[64] or 0) / max(1, tally[65] or 0)}
 
@@ -206,7 +210,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str, info: dict, boundary: in
         lean_worker()
         filters = shared.value
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in in_parts(batches):
                 fp, n, data, light, rare, at, hot = [], [], [], [], [], [], []
                 for values in shingle_sets(as_bytes(batch.column(1))):
                     n.append(len(values))
@@ -251,16 +255,7 @@ def _rare_links(sets: DataFrame, boundary: int) -> DataFrame:
     data = sets.where(F.size("rare") > 0).select("rep", "data")
     pairs = pairs.join(data.toDF("rep_a", "data_a"), "rep_a").join(data.toDF("rep_b", "data_b"), "rep_b")
 
-    def checked(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("data_a"), batch.column("data_b")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(DEN * both >= NUM * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("rep_b"), batch.column("rep_a")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("rep_a", "rep_b", "data_a", "data_b").mapInArrow(checked, "u long, v long")
+    return pairs.select("rep_b", "data_b", "rep_a", "data_a").mapInArrow(_checked, "u long, v long")
 
 
 def _forest(ids: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -291,6 +286,46 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np
     return out
 
 
+def _small(df: DataFrame, most: int = 32 << 20) -> DataFrame:
+    """A staged table with a hint to broadcast it if its files are at most so large."""
+    return F.broadcast(df) if plan_bytes(df) <= most else df
+
+
+def _hub_links(member: DataFrame) -> DataFrame | None:
+    """Links of sets to hubs: in clusters of several cells one set of each size class, then, as long as many sets are
+    left, one of those that met no hub, and so on.  None if no cluster is so large."""
+    place, found = ["cluster", "size_class"], None
+    large = staged(member.groupBy(*place).count().where(F.col("count") > CELL).select("cluster").distinct(), "large")
+    if not large.limit(1).count():
+        return None
+    rest = member.join(_small(large), "cluster", "left_semi")
+    for turn in range(HUBS):
+        first = rest.groupBy(*place).agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)), "rep")).alias("hub"), F.count("*").alias("c"))
+        first = staged(first.select(*place, F.col("hub.rep").alias("rep"), "c"), "hubs")
+        if not first.where(F.col("c") > CELL).limit(1).count():
+            break
+        hubs = member.join(_small(first.select("rep")), "rep", "left_semi")
+        hubs = staged(hubs.select("cluster", F.explode(F.sequence(F.col("size_class") - 2, F.col("size_class") + 2)).alias("size_class"), F.col("rep").alias("hub"), F.col("data").alias("hub_data")), "hubs")
+        pairs = rest.join(_small(hubs), place).where("rep <> hub").select("rep", "data", "hub", "hub_data")
+        links = staged(pairs.mapInArrow(_checked, "u long, v long"), "links")
+        found = links if found is None else found.unionByName(links)
+        met = links.select(F.col("u").alias("rep")).unionByName(first.select("rep")).distinct()
+        rest = staged(rest.join(met, "rep", "left_anti"), "frequent")
+    return found
+
+
+def _checked(batches):
+    """Of pairs (a, its set, b, its set) those that link."""
+    lean_worker()
+    for batch in in_parts(batches):
+        keep = []
+        for x, y in zip(batch.column(1), batch.column(3)):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(DEN * both >= NUM * (len(x) + len(y) - both))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _frequent_links(sets: DataFrame) -> DataFrame:
     often = sets.where(F.size("hot") > 0)
     keys = often.select("rep", F.explode("hot").alias("key"))
@@ -299,36 +334,56 @@ def _frequent_links(sets: DataFrame) -> DataFrame:
     cluster = components(edges).toDF("rep", "cluster")
     member = often.select("rep", "n", "data").join(cluster, "rep").withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / math.log(DEN / NUM)).cast("int"))
     member = staged(member, "frequent")
-    # at least one more class than the ratio allows, so that rounding can't part two sets that may link
-    cells = member.groupBy("cluster", "size_class").agg(F.ceil(F.count("*") / CELL).alias("cells"))
-    near = cells.select("cluster", F.col("size_class").alias("near_class"), F.col("cells").alias("near_cells"))
-    steps = cells.join(near, "cluster").where("abs(size_class - near_class) <= 2")
-    placed = member.join(cells, ["cluster", "size_class"]).withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")))
-    reach = steps.select("cluster", "size_class", "near_class", "near_cells")
-    dealt = placed.join(reach, ["cluster", "size_class"]).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("near_cells") - 1)))
-    mine, theirs = F.struct("size_class", "cell"), F.struct(F.col("near_class").alias("size_class"), F.col("other").alias("cell"))
+    hub_links = _hub_links(member)
+    member = member.withColumn("root", F.col("rep"))
+    if hub_links is not None:
+        # sets that hubs have linked need no comparison among themselves
+        roots = components(hub_links).toDF("rep", "hub_root")
+        member = staged(member.join(roots, "rep", "left").withColumn("root", F.coalesce("hub_root", "rep")).drop("hub_root"), "frequent")
+    place = ["cluster", "size_class"]
+    pure = member.groupBy(*place, "root").agg(F.count("*").alias("c")).where(F.col("c") > CELL // 2)
+    pure = _small(staged(pure.select(*place, "root", F.lit(True).alias("pure"), F.ceil(F.col("c") / CELL).alias("cells")), "roots"))
+    placed = member.join(pure.select(*place, "root", "pure"), [*place, "root"], "left").withColumn("pure", F.coalesce("pure", F.lit(False)))
+    mixed = placed.where("not pure").groupBy(*place).agg(F.ceil(F.count("*") / CELL).alias("cells")).select(*place, F.lit(0).cast("long").alias("root"), F.lit(False).alias("pure"), "cells")
+    groups = _small(staged(pure.unionByName(mixed), "cells"))
+    placed = placed.withColumn("group", F.when(F.col("pure"), F.col("root")).otherwise(0))
+    groups = groups.withColumnRenamed("root", "group")
+    # sets of a large root are dealt by themselves, small roots each as one, into cells; a set that is one of the
+    # many of its cluster meets cells of other roots alone.  One more class than the ratio allows, so that rounding
+    # can't part two sets that may link
+    near = groups.select("cluster", *[F.col(c).alias(f"near_{c}") for c in ("size_class", "pure", "group", "cells")])
+    reach = groups.join(near, "cluster").where("abs(size_class - near_size_class) <= 2 and not (pure and near_pure and group = near_group)")
+    reach = _small(staged(reach, "reach"))
+    cell = F.pmod(F.when(F.col("pure"), F.xxhash64("rep")).otherwise(F.xxhash64("root")), F.col("cells"))
+    dealt = placed.join(reach, [*place, "pure", "group"]).withColumn("cell", cell).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("near_cells") - 1)))
+    mine = F.struct("size_class", "pure", "group", "cell")
+    theirs = F.struct(F.col("near_size_class").alias("size_class"), F.col("near_pure").alias("pure"), F.col("near_group").alias("group"), F.col("other").alias("cell"))
     dealt = dealt.select("cluster", F.least(mine, theirs).alias("x"), F.greatest(mine, theirs).alias("y"), (mine <= theirs).alias("left"), (mine >= theirs).alias("right"), "rep", "data")
-    dealt = dealt.select("cluster", F.col("x.size_class").alias("x1"), F.col("x.cell").alias("x2"), F.col("y.size_class").alias("y1"), F.col("y.cell").alias("y2"), "left", "right", "rep", "data")
+    parts = [F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("x", "y") for c in ("size_class", "pure", "group", "cell")]
 
-    def checked(part: pa.Table) -> pa.Table:
+    def linked(part: pa.Table) -> pa.Table:
+        lean_worker()
         ids = part.column("rep").to_numpy()
         found = _forest(ids, [np.frombuffer(x, np.uint64) for x in part.column("data").to_pylist()], np.array(part.column("left").to_pylist()), np.array(part.column("right").to_pylist()))
         return pa.table({"u": pa.array([a for a, _ in found], pa.int64()), "v": pa.array([b for _, b in found], pa.int64())})
 
-    return dealt.groupBy("cluster", "x1", "x2", "y1", "y2").applyInArrow(checked, "u long, v long")
+    dealt = dealt.select("cluster", *parts, "left", "right", "rep", "data")
+    links = dealt.groupBy(*dealt.columns[:-4]).applyInArrow(linked, "u long, v long")
+    return links if hub_links is None else links.unionByName(hub_links)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = 1 << 29) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; see the module's text."""
-    bounded_batches(docs.sparkSession)
-    info = frequency_filters(docs, text, max_bits)
-    boundary = choose_boundary(info["sizes"], info["list_length"])
-    signed = signatures(docs, doc_id, text, info, boundary)
-    classes = signed.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    # rows of a class carry the same set: one of them, whichever, joins for all
-    sets = signed.where("data is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "data", "light", "rare", "at", "hot")])
-    sets = staged(sets.drop("fp"), "sets")
-    links = staged(_light_links(sets).unionByName(_rare_links(sets, boundary)).unionByName(_frequent_links(sets)), "links")
-    roots = components(links).toDF("rep", "root")
-    classes = staged(classes.join(roots, "rep", "left").select("fp", F.coalesce("root", "rep").alias("component")), "classes")
+    with bounded_batches(docs.sparkSession):
+        info = frequency_filters(docs, text, max_bits)
+        boundary = choose_boundary(info["sizes"], info["list_length"])
+        signed = signatures(docs, doc_id, text, info, boundary)
+        classes = signed.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
+        # rows of a class carry the same set: one of them, whichever, joins for all
+        sets = signed.where("data is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "data", "light", "rare", "at", "hot")])
+        sets = staged(sets.drop("fp"), "sets")
+        links = staged(_light_links(sets).unionByName(_rare_links(sets, boundary)).unionByName(_frequent_links(sets)), "links")
+        roots = components(links).toDF("rep", "root")
+        classes = staged(classes.join(roots, "rep", "left").select("fp", F.coalesce("root", "rep").alias("component")), "classes")
+        remove(sets, links)
     return signed.join(classes, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

@@ -88,6 +88,29 @@ def test_group_of_near_copies_larger_than_a_cell(spark):
     check(spark, some)
 
 
+def test_clusters_of_many_cells_and_roots(spark, monkeypatch):
+    """Groups of near copies, chains that no hub meets whole, and texts that share passages, in cells of eight sets."""
+    monkeypatch.setattr(jj, "CELL", 8)
+    rng = random.Random(12)
+    word = lambda: "w" + str(rng.randrange(10_000))
+    shared = [[word() for _ in range(45)] for _ in range(3)]
+    some = []
+    for _ in range(40):
+        some.append(" ".join(w for p in rng.sample(shared, 2) for w in p))
+        some.append(" ".join(rng.choice(shared) + [word() for _ in range(rng.choice([2, 4, 8, 30]))]))
+    chain = [word() for _ in range(60)]
+    for _ in range(60):
+        chain = chain[1:] + [word()]
+        some += [" ".join(chain)] * rng.choice([1, 1, 2])
+    base = [word() for _ in range(80)]
+    for _ in range(120):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 6])):
+            words[rng.randrange(len(words))] = word()
+        some.append(" ".join(words))
+    check(spark, some)
+
+
 def test_filters_that_overflow_keep_the_result(spark):
     check(spark, texts(4, [12, 30, 60], 40, 4), max_bits=64)
 
