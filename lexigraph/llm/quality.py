@@ -2,8 +2,8 @@
 
 Each whole text becomes a vector of transformed statistics (length, shares of character classes, word
 lengths, repetition of words, three-word runs and lines).  Each class has a mean and a covariance, shrunk
-towards its diagonal and towards a floor; both come from sums over all labelled training rows, added
-up where the rows are.  A score is the posterior probability of class 1: half the difference of the
+towards its diagonal and towards a floor; both come from sums over at most `sample` labelled training rows, the
+first by a hash of doc_id, added up where the rows are; texts that none of these name aren't measured for it.  A score is the posterior probability of class 1: half the difference of the
 Mahalanobis distances, found with Cholesky factors made once, plus log-determinants and log-priors.
 
 Null and empty texts have the statistics of a text of no words and are scored like others.  A
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_batches, lean_worker, staged
+from .common import as_bytes, bounded_batches, in_parts, lean_worker
 from .shingles import _MIX, mix64, word_hashes
 
 #: the character classes whose shares are statistics; a byte may be in several
@@ -81,24 +81,29 @@ def _is_space(block: np.ndarray) -> np.ndarray:
     return (block == 32) | ((block >= 9) & (block <= 13))
 
 
-def statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 1 << 18) -> DataFrame:
-    def measured(batches):
+def measured(texts: list[bytes | None], block_bytes: int = 1 << 18) -> np.ndarray:
+    """A row of statistics for each text, worked out in blocks of bounded size."""
+    rows, at = [np.empty((0, len(STATISTICS)))], 0
+    with np.errstate(over="ignore"):
+        while at < len(texts):
+            end, held = at, 0
+            while end < len(texts) and (end == at or held + len(texts[end] or b"") <= block_bytes):
+                held += len(texts[end] or b"")
+                end += 1
+            rows.append(_of_block([t or b"" for t in texts[at:end]]))
+            at = end
+    return np.concatenate(rows)
+
+
+def statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    def listed(batches):
         lean_worker()
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                texts, rows, at = [t or b"" for t in as_bytes(batch.column(1))], [], 0
-                while at < len(texts):
-                    end, held = at, 0
-                    while end < len(texts) and (end == at or held + len(texts[end]) <= block_bytes):
-                        held += len(texts[end])
-                        end += 1
-                    rows.append(_of_block(texts[at:end]))
-                    at = end
-                flat = np.concatenate(rows).ravel() if rows else np.empty(0)
-                bounds = np.arange(0, len(flat) + 1, len(STATISTICS), dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], ["doc_id", "stats"])
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(measured, _SCHEMA)
+        for batch in in_parts(batches):
+            flat = measured(as_bytes(batch.column(1))).ravel()
+            bounds = np.arange(0, len(flat) + 1, len(STATISTICS), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], ["doc_id", "stats"])
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(listed, _SCHEMA)
 
 
 class Discriminant:
@@ -127,20 +132,23 @@ class Discriminant:
 
 
 def fit(labelled: DataFrame, shrink: float = 0.1, floor: float = 0.02) -> Discriminant:
-    """From rows (stats, label); only class sums reach the driver."""
+    """From rows (stats or text, label); only class sums, merged where they are, reach the driver."""
     d = len(STATISTICS)
 
     def summed(batches):
+        lean_worker()
         counts, sums, squares = np.zeros(2), np.zeros((2, d)), np.zeros((2, d, d))
-        for batch in batches:
-            x = np.array(batch.column("stats").flatten()).reshape(-1, d)
-            y = batch.column("label").to_numpy(zero_copy_only=False)
+        for batch in in_parts(batches):
+            given = batch.column(0)
+            x = np.array(given.flatten()).reshape(-1, d) if pa.types.is_list(given.type) else measured(as_bytes(given))
+            y = batch.column(1).to_numpy(zero_copy_only=False)
             for c in (0, 1):
                 part = x[y == c]
                 counts[c] += len(part)
                 sums[c] += part.sum(0)
                 squares[c] += part.T @ part
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([counts, sums.ravel(), squares.ravel()]).tobytes()], pa.binary())], ["sums"])
+        if counts.any():
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([counts, sums.ravel(), squares.ravel()]).tobytes()], pa.binary())], ["sums"])
 
     def merged(batches):
         total = np.zeros(2 + 2 * d + 2 * d * d)
@@ -149,39 +157,41 @@ def fit(labelled: DataFrame, shrink: float = 0.1, floor: float = 0.02) -> Discri
                 total += np.frombuffer(b)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
-    parts = labelled.select("stats", "label").mapInArrow(summed, "sums binary").repartition(8).mapInArrow(merged, "sums binary").collect()
+    parts = labelled.mapInArrow(summed, "sums binary").repartition(8).mapInArrow(merged, "sums binary").collect()
     total = sum((np.frombuffer(r.sums) for r in parts), np.zeros(2 + 2 * d + 2 * d * d))
     return Discriminant(total[:2], total[2 : 2 + 2 * d].reshape(2, d), total[2 + 2 * d :].reshape(2, d, d), shrink, floor)
 
 
-def score(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+def known(labels: DataFrame, held_out: Column, sample: int, doc_id: str, label: str) -> DataFrame:
+    """(doc_id, label) of at most `sample` label rows that may be learned from, the first by a hash of doc_id."""
+    marks = labels.select(F.col(doc_id).cast("long").alias(doc_id), F.col(label).cast("int").alias("label")).where("label in (0, 1)").where(~F.coalesce(held_out, F.lit(False)))
+    return F.broadcast(marks.orderBy(F.xxhash64(doc_id), doc_id, "label").limit(sample))  # 100,000 rows of two numbers
+
+
+def score(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 100_000) -> DataFrame:
     """(doc_id, held_out, score, predicted); held_out is a condition on doc_id whose rows aren't trained on."""
-    bounded_batches(docs.sparkSession)
-    stats = staged(statistics(docs, doc_id, text).withColumn("held_out", F.coalesce(held_out, F.lit(False))), "statistics")
-    marks = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
-    model = fit(stats.where(~F.col("held_out")).join(marks, "doc_id"))
+    own = docs.select(F.col(doc_id).cast("long").alias(doc_id), text)
+    with bounded_batches(docs.sparkSession):
+        model = fit(own.join(known(labels, held_out, sample, doc_id, label), doc_id).select(text, "label"))
 
     def scored(batches):
-        for batch in batches:
-            p = model.posterior(np.array(batch.column("stats").flatten()).reshape(-1, len(STATISTICS)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32), pa.int32())], ["doc_id", "held_out", "score", "predicted"])
+        lean_worker()
+        for batch in in_parts(batches):
+            p = model.posterior(measured(as_bytes(batch.column(2))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32), pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
-    return stats.mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
+    return own.select(doc_id, F.coalesce(held_out, F.lit(False)).alias("held_out"), text).mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 100_000) -> DataFrame:
     """The rows of docs, with all their columns, whose score is at least the threshold; rows don't move."""
-    bounded_batches(docs.sparkSession)
-    marks = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
-    train = statistics(docs.where(~F.coalesce(held_out, F.lit(False))), doc_id, text)
-    model = fit(train.join(marks, "doc_id"))
+    own = docs.select(F.col(doc_id).cast("long").alias(doc_id), text)
+    with bounded_batches(docs.sparkSession):
+        model = fit(own.join(known(labels, held_out, sample, doc_id, label), doc_id).select(text, "label"))
 
     def kept(batches):
         lean_worker()
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                rows = [_of_block([t]) for t in (x or b"" for x in as_bytes(batch.column(text)))]
-                p = model.posterior(np.concatenate(rows)) if rows else np.empty(0)
-                yield batch.filter(pa.array(p >= threshold))
+        for batch in in_parts(batches):
+            yield batch.filter(pa.array(model.posterior(measured(as_bytes(batch.column(text)))) >= threshold))
 
     return docs.mapInArrow(kept, docs.schema)
