@@ -17,7 +17,7 @@ from .operators import anchor, diff, graph, lessons, match, quality
 from .plans import build, standards, validate
 from .plans.curriculum import Curriculum
 from .queries import long, query
-from .session import table
+from .session import staged, table
 from .sources import docs, nested_json, snapshots, tree_xml
 
 JOINED = lambda c: F.array_join(c, "|")
@@ -28,7 +28,9 @@ def _parts(spark, d) -> DataFrame:
 
 
 def _plan(spark, d) -> Curriculum:
-    return Curriculum(spark, derived.root(spark, d), derived.standards_root(spark, d), derived.material_root(spark, d))
+    root = derived.root(spark, d)
+    tables = derived.made(spark, d, "tables", lambda folder: nested_json.store(nested_json.tables(spark, root), folder))
+    return Curriculum(spark, root, derived.standards_root(spark, d), derived.material_root(spark, d), stored=tables)
 
 
 def _labelled(**frames: DataFrame) -> DataFrame:
@@ -239,7 +241,7 @@ def c_count_rules(spark, d):
 
 @query(sql(f"{_RULES}, y AS (SELECT CASE WHEN count(*) > 0 THEN 1 ELSE 0 END AS strict FROM x) SELECT 0 AS plain, strict FROM y"))
 def c_exit_codes(spark, d):
-    found = validate.record_rules(_parts(spark, d))
+    found = staged(validate.record_rules(_parts(spark, d)), "findings")
     return spark.createDataFrame([(quality.exit_code(found), quality.exit_code(found, strict=True))], "plain int, strict int")
 
 

@@ -15,6 +15,7 @@ from ..functions.ids import AREA_CODES
 from ..functions.text import STEM, match_form, theme_names, unresolved_themes
 from ..operators import graph, match, rank
 from ..operators.bind import attach_key
+from ..session import staged
 
 
 # fixed values: the four forms of an area heading, as patterns of (number, name)
@@ -204,10 +205,10 @@ def issues(state: DataFrame, blocks: DataFrame, themes: DataFrame, spec: Spec) -
 
 
 def build(events: DataFrame, spec: Spec) -> dict[str, DataFrame]:
-    state = placed(events, spec)
-    records = linked(with_themes(competences(state, spec), legend(state)))
+    state = staged(placed(events, spec), "state")
+    records = staged(linked(with_themes(competences(state, spec), legend(state))), "records")
     contents = items(state, spec)
-    themes, blocks = legend(state), attached_blocks(records, contents)
+    themes, blocks = legend(state), staged(attached_blocks(records, contents), "blocks")
     repeats = graph.back_links(contents.withColumn("key", F.concat_ws("|", "doc", F.col("idx").cast("string"), F.col("pos").cast("string"))), F.col("wiederholung"), records, "key", "id", ["shard", "bereich_slug"], "stufe_nr")
     # an appendix after an unknown heading is kept as it stands
     appendix = state.where("section = 'anhang' and token <> 'unbekannt' and text <> ''").select("doc", "idx", "pos", "element", "text")

@@ -33,9 +33,10 @@ class Curriculum:
     Filters on shard and area reach the scan when the tables are stored by band and subject; the
     metadata of a shard is one row and is joined as such."""
 
-    def __init__(self, spark: SparkSession, root: str, standards: str | None = None, material: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, standards: str | None = None, material: str | None = None, stored: str | None = None):
+        """stored names a folder that nested_json.store filled, whose tables are then read instead of the documents."""
         self.spark, self.standards, self.material = spark, standards, material
-        self.tables = nested_json.tables(spark, root)
+        self.tables = nested_json.stored(spark, stored) if stored else nested_json.tables(spark, root)
         self.shards = [r.shard for r in self.tables.meta.select("shard").orderBy("shard").collect()]
 
     # -- guards

@@ -9,6 +9,7 @@ from ..functions import ids
 from ..functions.text import IMAGE
 from ..operators import quality as q
 from ..operators.index import part_catalog
+from ..session import staged
 from ..sources import nested_json
 
 # fixed values: the legal values of closed and open fields
@@ -47,7 +48,8 @@ def record_walk(parts: DataFrame) -> DataFrame:
 
 
 def record_rules(parts: DataFrame) -> DataFrame:
-    walk = record_walk(parts)
+    """Findings on records.  The walk over all documents is made once, for all rules."""
+    walk = staged(record_walk(parts), "walk")
     where = F.concat_ws("/", "shard", "datei", "path")
     pattern = F.when(F.col("kind") == "kompetenz", F.col("id").rlike(ids.COMPETENCE.pattern)).otherwise(F.col("id").rlike(ids.ITEM.pattern) | F.col("id").rlike(ids.AREA_FREE_ITEM.pattern))
     known = walk.where("kind = 'kompetenz'").select("shard", "id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +56,11 @@ def small(df: DataFrame, most: int = 16 << 20) -> DataFrame:
     from pyspark.sql.functions import broadcast
 
     return broadcast(df) if plan_bytes(df) <= most else df
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written as a table in the shared folder and read again: what several steps read is worked out once, and a lost
+    executor costs no recomputation."""
+    path = f"{shared_dir(df.sparkSession)}/lexigraph/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ fields are declared, as inference would turn their keys into columns."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,8 +42,7 @@ def stored_index(spark: SparkSession, root: str) -> DataFrame:
 
 def shards(rows: DataFrame) -> DataFrame:
     """(shard, parts): the shards that have parts, and how many."""
-    # a column of the documents is named, as a scan of nothing but their broken ones isn't allowed
-    return rows.groupBy("shard").agg(F.count(F.coalesce("meta.band", F.lit(""))).alias("parts"))
+    return rows.where("meta is not null").groupBy("shard").agg(F.count("*").alias("parts"))
 
 
 def competences(rows: DataFrame) -> DataFrame:
@@ -115,6 +114,16 @@ def tables(spark: SparkSession, root: str) -> Tables:
     return Tables(rows, competences(good), items(good), shard_meta(good), areas(good))
 
 
+def store(found: Tables, folder: str) -> None:
+    """The flat tables as Parquet, so that documents are parsed once, however many queries follow."""
+    for f in fields(Tables):
+        getattr(found, f.name).write.parquet(f"{folder}/{f.name}")
+
+
+def stored(spark: SparkSession, folder: str) -> Tables:
+    return Tables(*[spark.read.parquet(f"{folder}/{f.name}") for f in fields(Tables)])
+
+
 def slim_images(images: Column) -> Column:
     """Image entries without what the registry holds."""
     return F.transform(images, lambda a: F.struct(a["token"].alias("token"), a["datei"].alias("datei"), a["pfad"].alias("pfad")))
