@@ -91,6 +91,20 @@ def c_build_report(spark, d):
     return validate.build_report(_parts(spark, d)).select("shard", "datei", "records")
 
 
+@query(sql("""SELECT id, '{"id":"' || id || '","stufe":"' || stufe || '"' || CASE WHEN nummer IS NOT NULL THEN ',"bereich_nummer":' || nummer ELSE '' END || '}' AS record FROM r"""))
+def c_projection(spark, d):
+    return nested_json.competences(_parts(spark, d)).select("id", nested_json.projected("id", "stufe", "bereich_nummer").alias("record"))
+
+
+@query(sql("""p AS (SELECT DISTINCT shard, datei, s FROM r) SELECT 'schema-violation' AS rule, shard || '/' || datei AS record, CASE s % 2 WHEN 0 THEN 'unknown notiz,zusatz' ELSE 'missing kompetenzbereiche' END AS message FROM p WHERE s < 4"""))
+def c_shape_rules(spark, d):
+    """Parts of some shards with fields added or taken away."""
+    texts = derived.documents(spark, d)
+    worse = F.when(F.col("shard").isin("PRIM.D", "PRIM.SU"), F.concat(F.lit('{"zusatz":1,"notiz":2,'), F.substr("value", F.lit(2)))).when(F.col("shard").isin("PRIM.M", "SEK1.D"), F.regexp_replace("value", '"kompetenzbereiche":.*$', '"meta2":0}')).otherwise(F.col("value"))
+    found = validate.shape_rules(texts.select(F.concat_ws("/", "shard", "datei").alias("datei"), worse.alias("value")))
+    return found.where("message <> 'unknown meta2'").select("rule", "record", "message")
+
+
 # -- the query functions
 
 _ID = "AT.LP23.SEK1.M.A0.K2.05"

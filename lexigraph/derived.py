@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .plans import standards
 from .session import shared_dir, table
 from .sources import snapshots
 
@@ -162,12 +163,12 @@ def standards_root(spark: SparkSession, d: str) -> str:
     def write(folder: str) -> None:
         n = table(spark, d, "nation", "n_nationkey", "n_name", "n_regionkey")
         code = F.concat(F.lit("H"), F.col("n_regionkey").cast("string"))
-        one = F.struct(F.concat(F.lit("AT.BIST.M.SCH8."), code, F.lit("."), F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0")).alias("id"), code.alias("bereich_code"), F.lit("Lernende können").alias("stammsatz"), F.lower("n_name").alias("text"), (F.col("n_nationkey") + 1).alias("ordinal"))
-        areas = F.array(*[F.struct(F.lit(f"H{i}").alias("code"), F.lit(f"Gebiet {i}").alias("name")) for i in range(5)])
-        shard = n.agg(F.to_json(F.struct(F.struct(F.lit("M8").alias("shard"), F.lit("SCH8").alias("programmstufe")).alias("meta"), areas.alias("kompetenzbereiche"), F.array_sort(F.collect_list(one)).alias("deskriptoren"))).alias("value"))
+        rows = n.select(F.concat(F.lit("AT.BIST.M.SCH8."), code, F.lit("."), F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0")).alias("id"), F.lit("M").alias("fach"), F.lit("SCH8").alias("programmstufe"), code.alias("bereich_code"), F.lit("Lernende können").alias("stammsatz"), F.lower("n_name").alias("text"), (F.col("n_nationkey") + 1).alias("ordinal"))
+        names = n.select(code.alias("bereich_code"), F.concat(F.lit("Gebiet "), F.col("n_regionkey").cast("string")).alias("name")).distinct()
+        shard = standards.documents(rows, names, F.create_map(F.lit("quelle"), F.lit("Verordnung")))
         bridge = F.array(*[F.struct(F.lit("SEK1.M").alias("lehrplan_fach"), F.lit("A0").alias("lehrplan_bereich"), F.lit("m8").alias("bildungsstandard_shard"), F.lit(f"H{i}").alias("bildungsstandard_bereich"), F.lit(k).alias("beziehung")) for i, k in ((3, "bereichsentsprechung"), (1, "querschnitt"), (3, "matrix"))])
         walk = spark.range(1).select(F.to_json(F.struct(bridge.alias("zuordnungen"))).alias("value"))
-        snapshots.write_documents(shard.select(F.lit("m8.json").alias("file"), "value").unionByName(walk.select(F.lit("crosswalk.json").alias("file"), "value")), folder)
+        snapshots.write_documents(shard.unionByName(walk.select(F.lit("crosswalk.json").alias("file"), "value")), folder)
 
     return made(spark, d, "standards", write)
 

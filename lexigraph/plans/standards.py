@@ -41,3 +41,15 @@ def descriptors(events: DataFrame, subject: str, level: str, actions: dict[str,
     rows = e.where("element = 'listelem' and area is not null").withColumn("s", split_stem(F.col("text"))).withColumn("code", area_code(F.col("area"), actions or {}, contents or {}))
     rows = rows.withColumn("ordinal", rank.ordinal([*doc, "code"], *order))
     return rows.select("doc", mint_descriptor(F.lit(subject), F.lit(level), F.col("code"), F.col("ordinal")).alias("id"), F.lit(subject).alias("fach"), F.lit(level).alias("programmstufe"), F.col("code").alias("bereich_code"), F.col("area").alias("ueberschrift_roh"), F.coalesce("s.stem", "stem", F.lit("")).alias("stammsatz"), F.col("s.text").alias("text"), "ordinal")
+
+
+def documents(rows: DataFrame, names: DataFrame, source: Column) -> DataFrame:
+    """(file, value): descriptors as one JSON document for each subject and level, with the areas (bereich_code, name) that
+    it has, in order of their codes, and where it comes from."""
+    code = F.concat(F.lower("fach"), F.regexp_extract("programmstufe", "([0-9])$", 1))
+    fields = ("id", "fach", "programmstufe", "bereich_code", "stammsatz", "text", "ordinal")
+    areas = rows.select("fach", "programmstufe", "bereich_code").distinct().join(names, "bereich_code", "left")
+    areas = areas.groupBy("fach", "programmstufe").agg(F.array_sort(F.collect_list(F.struct(F.col("bereich_code").alias("code"), "name"))).alias("kompetenzbereiche"))
+    listed = rows.groupBy("fach", "programmstufe").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("deskriptoren"))
+    meta = F.struct(F.upper(code).alias("shard"), "programmstufe", source.alias("provenienz"))
+    return listed.join(areas, ["fach", "programmstufe"]).select(F.concat(code, F.lit(".json")).alias("file"), F.to_json(F.struct(meta.alias("meta"), "kompetenzbereiche", "deskriptoren")).alias("value"))

@@ -62,6 +62,7 @@ def record_rules(parts: DataFrame) -> DataFrame:
     own = F.get_json_object("record", "$.kompetenz_id")
     free = F.col("id").rlike(ids.AREA_FREE_ITEM.pattern) & (F.get(F.split("id", "[.]"), F.lit(4)) == "AB")
     return q.together(
+        item_rules(walk),
         q.missing_required(walk.withColumn("__at", where), F.col("__at"), "id", "stufe", "text"),
         q.finding(twice, q.HARD, "id-collision", F.col("id"), F.col("n").cast("string")),
         q.finding(walk.where(F.col("id").isNotNull() & ~F.coalesce(pattern, F.lit(False))), q.SOFT, "malformed-id", where, F.col("id")),
@@ -84,6 +85,31 @@ def meta_rules(parts: DataFrame) -> DataFrame:
     return q.together(wrong("bindung", BINDINGS), wrong("lehrstoff_quelle", SOURCES), wrong("bildungsstandard_bezug", RELATIONS), wrong("band", BANDS))
 
 
+# fixed values: the fields that a part may have
+PART_FIELDS = ("meta", "kompetenzbereiche", "zusatzkompetenzen", "digitale_technologien_vorschlaege")
+
+
+def shape_rules(texts: DataFrame) -> DataFrame:
+    """Documents (datei, value) against the shape of a part: fields that it lacks, and fields that it must not have."""
+    keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
+    whole = texts.where(F.ltrim("value").startswith("{"))
+    extra = F.array_except(keys, F.array(*map(F.lit, PART_FIELDS)))
+    lost = F.array_except(F.array(F.lit("meta"), F.lit("kompetenzbereiche")), keys)
+    say = lambda what, c: F.concat(F.lit(what + " "), F.array_join(F.array_sort(c), ","))
+    return q.together(
+        q.finding(whole.where(F.size(extra) > 0), q.SOFT, "schema-violation", F.col("datei"), say("unknown", extra)),
+        q.finding(whole.where(F.size(lost) > 0), q.SOFT, "schema-violation", F.col("datei"), say("missing", lost)),
+    )
+
+
+def item_rules(walk: DataFrame) -> DataFrame:
+    """Items without what every item states, and levels that no shard has."""
+    stated = lambda f: F.get_json_object("record", f"$.{f}")
+    items = walk.where("kind = 'item'").withColumns({"art": stated("art"), "verbindlich": stated("verbindlich"), "__at": F.concat_ws("/", "shard", "datei", "path")})
+    levels = walk.where(F.col("stufe").isNotNull() & ~F.col("stufe").rlike("^(?:SCH|K)[1-4]$"))
+    return q.together(q.missing_required(items, F.col("__at"), "art", "verbindlich"), q.finding(levels, q.SOFT, "schema-violation", F.concat_ws("/", "shard", "datei", "path"), F.concat(F.lit("stufe="), "stufe")))
+
+
 def file_rules(spark: SparkSession, root: str) -> DataFrame:
     """Unreadable parts, oversize parts, and stored indexes against what the parts hold."""
     rows = nested_json.parts(spark, root)
@@ -99,6 +125,7 @@ def file_rules(spark: SparkSession, root: str) -> DataFrame:
     return q.together(
         q.finding(texts.where(broken), q.HARD, "part-unreadable", F.col("datei"), "not a JSON object of the expected shape"),
         q.oversize(texts, F.col("datei"), F.col("value")),
+        shape_rules(texts),
         q.finding(rows.select("shard").distinct().join(indexed, "shard", "left_anti"), q.SOFT, "index-missing", F.col("shard"), "no index.json"),
         q.finding(index.where("not coalesce(sound, false)"), q.SOFT, "index-unreadable", F.col("shard"), "no list of parts"),
         q.finding(differ, q.SOFT, "index-mismatch", name, F.concat_ws(" ", "field", F.coalesce("stored", F.lit("-")), F.coalesce("found", F.lit("-")))),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from collections.abc import Callable
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -42,18 +43,22 @@ def docx_text(content: bytes) -> str | None:
     return "\n".join(lines)
 
 
-def _converted(files: DataFrame) -> DataFrame:
-    """Adds text for formats that need a converter; PDF has none built in and stays null."""
+#: by format, the functions from a file's bytes to its text, in order; the first that gives one counts.  None ships for PDF
+EXTRACTORS: dict[str, tuple[Callable[[bytes], str | None], ...]] = {"docx": (docx_text,), "pdf": ()}
+
+
+def _converted(files: DataFrame, extractors: dict[str, tuple[Callable[[bytes], str | None], ...]]) -> DataFrame:
+    """Adds text for formats that need a converter; one that no extractor can read stays null."""
 
     def convert(batches):
         for batch in batches:
-            texts = [docx_text(c) if f == "docx" and c is not None else None for f, c in zip(batch.column("format").to_pylist(), batch.column("content").to_pylist())]
+            texts = [next((t for e in extractors.get(f, ()) if (t := e(c)) is not None), None) if c is not None else None for f, c in zip(batch.column("format").to_pylist(), batch.column("content").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("pfad"), pa.array(texts, pa.string())], ["pfad", "converted"])
 
     return files.select("pfad", "format", "content").mapInArrow(convert, "pfad string, converted string")
 
 
-def scan(spark: SparkSession, root: str, cache: DataFrame | None = None) -> DataFrame:
+def scan(spark: SparkSession, root: str, cache: DataFrame | None = None, extractors: dict[str, tuple[Callable[[bytes], str | None], ...]] = EXTRACTORS) -> DataFrame:
     """Every file of the folder with its text, or why it is skipped.  `cache` has (pfad, cache_mtime, cached) of
     earlier conversions, used where not older than the file."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
@@ -67,7 +72,7 @@ def scan(spark: SparkSession, root: str, cache: DataFrame | None = None) -> Data
     level = F.when(F.size(steps) > 2, F.upper(F.get(steps, F.lit(1))))
     text = F.when(F.col("format").isin(*NATIVE), F.make_valid_utf8(F.col("content").cast("string")))
     files = files.withColumns({"fach": subject, "stufe": F.when(level.isin(*LEVELS), level), "native": text})
-    made = _converted(files.where(F.col("format").isin(*CONVERTED) & (F.col("bytes") <= MOST_BYTES)))
+    made = _converted(files.where(F.col("format").isin(*CONVERTED) & (F.col("bytes") <= MOST_BYTES)), extractors)
     files = files.join(made, "pfad", "left")
     if cache is not None:
         files = files.join(cache, "pfad", "left").withColumn("converted", F.when(F.col("cache_mtime") >= F.col("modificationTime"), F.col("cached")).otherwise(F.col("converted")))

@@ -99,6 +99,11 @@ def words(rows: DataFrame) -> DataFrame:
     return own.unionByName(nested).unionByName(blocks).unionByName(digital)
 
 
+def projected(*fields: Column | str) -> Column:
+    """A record as JSON with the given fields, without those that it doesn't have."""
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})
+
+
 @dataclass
 class Tables:
     parts: DataFrame

@@ -128,3 +128,48 @@ def test_prose_is_mended():
     sections = [{"blocks": [p("a")]}, {"blocks": [p("3 + ■ = 5")]}]
     assert len(lessons.with_symbol_note(sections)[1]["blocks"]) == 2 and lessons.with_symbol_note([{"blocks": [p("Use ■ for x. ■")]}]) == [{"blocks": [p("Use ■ for x. ■")]}]
     assert lessons.meta_line([{"label": "Zeit:", "value": "5"}, "x", {"text": "y"}]) == "Zeit: 5 · x · y" and lessons.marks([1, "2", {"position": 3, "label": "c"}, None, "z"]) == [(1.0, None), (2.0, None), (3.0, "c")]
+
+
+def test_commands_and_exit_codes(spark, tmp_path, capsys):
+    from lexigraph.__main__ import main
+
+    from . import fixtures
+
+    (tmp_path / "data").mkdir()
+    root = fixtures.write(tmp_path / "data")
+    assert main(["validate", f"{root}/daten", "--strict"]) == 1 and "index-missing" in capsys.readouterr().out
+    assert main(["report", f"{root}/daten"]) == 0 and "SEK1.M\talpha.json\t5" in capsys.readouterr().out
+    assert main(["validate", f"file://{tmp_path}/nichts"]) == 2
+    lesson = '{"id": "l", "tree": "{\\"documents\\": [{\\"id\\": \\"blatt\\", \\"title\\": \\"T\\", \\"grade\\": 1, \\"sections\\": [{\\"blocks\\": [{\\"type\\": \\"workspace\\"}]}]}]}"}'
+    (tmp_path / "l.json").write_text(lesson)
+    assert main(["render", f"file://{tmp_path}/l.json", f"file://{tmp_path}/html"]) == 0
+    assert 'style="height:200pt"' in (tmp_path / "html/l/blatt.html").read_text()
+    entry = '"artikel_paragraph_anlage": "Anl. 1", "kundmachungsorgan": "B", "files": {"pdf": {"sha256": "%s", "size": 1}}'
+    for name, digest in (("a", "1"), ("b", "2")):
+        (tmp_path / f"{name}.json").write_text('{"doc": {"nor": "N", ' + entry % digest + "}}")
+    assert main(["diff", f"file://{tmp_path}/a.json", f"file://{tmp_path}/b.json"]) == 1 and "silent-republication" in capsys.readouterr().out
+    assert main(["diff", f"file://{tmp_path}/a.json", f"file://{tmp_path}/a.json"]) == 0
+
+
+def test_grades():
+    assert [lessons.grade(d) for d in ({"grade": "K"}, {"shared": {"grade": "Grade 4"}}, {"eyebrow": "7th grade math"}, {"meta": [{"label": "Grade", "value": "11"}]}, {"title": "x"})] == [0, 4, 7, 11, None]
+
+
+def test_extractors_in_order(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m/a.pdf").write_bytes(b"%PDF eins")
+    none = docs.scan(spark, f"file://{tmp_path}/m").first()
+    some = docs.scan(spark, f"file://{tmp_path}/m", extractors={"pdf": (lambda c: None, lambda c: c.decode()[5:])}).first()
+    assert (none.status, none.grund, some.status, some.text) == ("uebersprungen", "no text could be extracted", "treffer", "eins")
+
+
+def test_standards_documents(spark):
+    from lexigraph.plans import standards
+
+    rows = spark.createDataFrame([("x.02", "M", "SCH8", "B", "s", "t2", 2), ("x.01", "M", "SCH8", "A", "s", "t1", 1), ("y.01", "D", "SCH4", "A", "s", "t", 1)], "id string, fach string, programmstufe string, bereich_code string, stammsatz string, text string, ordinal int")
+    names = spark.createDataFrame([("A", "Alpha"), ("B", "Beta")], "bereich_code string, name string")
+    import json
+
+    got = {r.file: json.loads(r.value) for r in standards.documents(rows, names, F.create_map(F.lit("q"), F.lit("v"))).collect()}
+    assert set(got) == {"m8.json", "d4.json"} and got["m8.json"]["meta"]["shard"] == "M8"
+    assert [a["name"] for a in got["m8.json"]["kompetenzbereiche"]] == ["Alpha", "Beta"] and [x["id"] for x in got["m8.json"]["deskriptoren"]] == ["x.01", "x.02"]
