@@ -1,46 +1,54 @@
 """Exact top-k inner-product search by tiled matrix products.
 
 Components become floor(scale * x).  All rows are packed into tiles of a few thousand vectors, the
-queries into blocks of a few hundred.  Tiles are dealt to slots and every block goes to every slot, so
-that a tile meets each block once; no row-by-row cross join is made.  A task multiplies block and tile, selects
-the k best of each query from the tile, and merges them with what its earlier tiles gave; the lists of all
-tasks are then merged by query.  Products are exact: float64 where every partial sum fits 53 bits,
-whole numbers of any size elsewhere (such scores are clamped to 64 bits in the result).
+queries into blocks of a few hundred.  Tiles are dealt to slots and blocks to groups, some 64 MB each, and
+every slot meets every group once in a task of its own, so a tile travels once for each group of queries and
+no row-by-row cross join is made.  A task multiplies block and tile, selects the k best of each query from
+the tile, and merges the tiles' lists pairwise as a tree; the lists of all tasks are then merged by query.
+Products are exact: float64 where every partial sum fits 53 bits, whole numbers of any size
+elsewhere (such scores are clamped to 64 bits in the result, and rank as clamped).
 
 Vectors that are null, or hold a null or non-finite component, and rows whose vec_id is null take no part.  Vectors of different
 lengths aren't compared.  Rows that share a query's id count as the query's own.  Ties go to the
-smaller vec_id; rows that repeat an id and a vector rank one after another.  A query without candidates has no
-rows.  Extra columns are ignored.
+smaller vec_id; rows that repeat an id and a vector rank one after another, and a query row that is repeated gives
+its result as often.  A query without candidates has no rows.  Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lean_worker, plan_bytes, staged
 
-TILE, BLOCK = 4096, 512
+TILE, BLOCK, CELL = 4096, 512, 64 << 20  # vectors, queries, bytes of either in a task
 
 
-def _packed(rows: DataFrame, most: int) -> DataFrame:
-    """Rows (id, v array<long>) of a partition as tiles (dim, ids, data) of at most `most` vectors, ids ascending."""
+def _packed(rows: DataFrame, most: int, scale: int) -> DataFrame:
+    """Rows (id, v array<double>) of a partition as tiles (nr, dim, ids, data) of at most `most` vectors, ids ascending.
+    data holds 32-bit whole numbers where all fit, else the components as they are; nr is a tile's own number."""
 
     def tiles(batches):
         lean_worker()
         held: dict[int, list] = {}
+        nr = TaskContext.get().partitionId() << 32
 
         def flush(dim: int):
+            nonlocal nr
             ids = np.concatenate([i for i, _ in held[dim]])
             data = np.concatenate([d for _, d in held[dim]])
             order = np.argsort(ids, kind="stable")
             held[dim] = []
             for a in range(0, len(ids), most):
                 some = order[a : a + most]
-                wide = len(data) and np.abs(data[some]).max(initial=0) >= 1 << 31
-                yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([ids[some].tobytes()], pa.binary()), pa.array([data[some].astype("<i8" if wide else "<i4").tobytes()], pa.binary())], ["dim", "ids", "data"])
+                with np.errstate(over="ignore"):
+                    whole = np.floor(data[some] * scale)
+                narrow = np.abs(whole).max(initial=0) < 1 << 31
+                nr += 1
+                yield pa.RecordBatch.from_arrays([pa.array([nr], pa.int64()), pa.array([dim], pa.int32()), pa.array([ids[some].tobytes()], pa.binary()), pa.array([(whole.astype("<i4") if narrow else data[some].astype("<f8")).tobytes()], pa.binary())], ["nr", "dim", "ids", "data"])
 
         for batch in batches:
             ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
@@ -57,19 +65,25 @@ def _packed(rows: DataFrame, most: int) -> DataFrame:
             if held[dim]:
                 yield from flush(dim)
 
-    return rows.mapInArrow(tiles, "dim int, ids binary, data binary")
+    return rows.mapInArrow(tiles, "nr long, dim int, ids binary, data binary")
 
 
-def _matrix(ids: bytes, data: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(ids: bytes, data: bytes, dim: int, scale: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and whole numbers of a tile: int32, or Python's where some don't fit."""
     ids = np.frombuffer(ids, "<i8")
-    return ids, np.frombuffer(data, "<i8" if len(data) == 8 * dim * len(ids) else "<i4").reshape(len(ids), dim)
+    if len(data) == 4 * dim * len(ids):
+        return ids, np.frombuffer(data, "<i4").reshape(len(ids), dim)
+    whole = [int(np.floor(x * scale)) if abs(x) < 1 << 52 else int(x) * scale for x in np.frombuffer(data, "<f8").tolist()]
+    out = np.empty(len(whole), dtype=object)
+    out[:] = whole
+    return ids, out.reshape(len(ids), dim)
 
 
 def best_of_tile(q_ids, q, t_ids, t, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query index, vec_id, score) of each query's k best of a tile whose ids ascend."""
     n = len(t_ids)
-    largest = float(np.abs(q).max(initial=0)) * float(np.abs(t).max(initial=0)) * max(1, q.shape[1])
-    if largest * n < 1 << 52:
+    plain = q.dtype != object and t.dtype != object
+    if plain and float(np.abs(q).max(initial=0)) * float(np.abs(t).max(initial=0)) * max(1, q.shape[1]) * n < 1 << 52:
         # one number orders by score, then by position in the tile, which is by vec_id
         key = (q.astype(np.float64) @ t.astype(np.float64).T) * n + (n - 1 - np.arange(n))
         key[q_ids[:, None] == t_ids[None, :]] = -np.inf
@@ -80,52 +94,53 @@ def best_of_tile(q_ids, q, t_ids, t, k: int) -> tuple[np.ndarray, np.ndarray, np
         return row, t_ids[at], np.floor_divide(value[row, col], n).astype(np.int64)
     rows, ids, scores = [], [], []
     for i, x in enumerate(q.astype(object)):
-        found = sorted((-int(np.dot(x, y)), int(v)) for y, v in zip(t.astype(object), t_ids) if v != q_ids[i])[:k]
-        for s, v in found:
-            rows.append(i), ids.append(v), scores.append(max(-(1 << 63), min((1 << 63) - 1, -s)))
+        clamped = (max(-(1 << 63), min((1 << 63) - 1, int(np.dot(x, y)))) for y in t.astype(object))
+        for s, v in sorted((-s, int(v)) for s, v in zip(clamped, t_ids) if v != q_ids[i])[:k]:
+            rows.append(i), ids.append(v), scores.append(-s)
     return np.array(rows, dtype=np.int64), np.array(ids, dtype=np.int64), np.array(scores, dtype=np.int64)
 
 
 def _merged(rows, ids, scores, k: int):
     """The k best of each query among rows that may hold several lists."""
-    order = np.lexsort((ids, -scores.astype(np.float64), rows)) if len(scores) and np.abs(scores.astype(np.float64)).max() < 1 << 52 else np.array(sorted(range(len(rows)), key=lambda i: (rows[i], -int(scores[i]), ids[i])), dtype=np.int64)
+    order = np.lexsort((ids, ~scores, rows))  # ~ falls as scores rise, without overflow
     rows, ids, scores = rows[order], ids[order], scores[order]
     first = np.searchsorted(rows, rows)
     keep = np.arange(len(rows)) - first < k
     return rows[keep], ids[keep], scores[keep]
 
 
+def merged_tree(lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each query of several lists, two lists at a time."""
+    while len(lists) > 1:
+        lists = [_merged(*map(np.concatenate, zip(*lists[i : i + 2])), k) for i in range(0, len(lists), 2)]
+    return lists[0]
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each row that is_query (a condition on vec_id) selects."""
     sound = F.col(embedding).isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    rows = vectors.where(sound & F.col(vec_id).cast("long").isNotNull()).select(F.col(vec_id).cast("long").alias("id"), F.transform(embedding, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"), is_query.alias("q"))
-    blocks = staged(_packed(rows.where("q").select("id", "v").repartition(max(1, plan_bytes(vectors) // (256 << 20))), BLOCK), "queries")
-    slots = max(24, plan_bytes(vectors) // (256 << 20))
-    tiles = _packed(rows.select("id", "v"), TILE).withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int"))
-    blocks = blocks.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.xxhash64("ids", "data").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
-    meet = tiles.join(blocks.hint("shuffle_merge"), ["slot", "dim"])
-
-    def searched(batches):
+    rows = vectors.where(sound & F.col(vec_id).cast("long").isNotNull()).select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("v"), is_query.alias("q"))
+    slots = max(24, plan_bytes(vectors) // CELL)
+    blocks = staged(_packed(rows.where("q").select("id", "v").repartition(max(1, plan_bytes(vectors) // (256 << 20))), BLOCK, scale), "queries")
+    groups = 1 + int((blocks.agg(F.sum(F.length("data"))).first()[0] or 0) // CELL)
+    deal = lambda n: F.pmod(F.xxhash64("nr"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    tiles = _packed(rows.select("id", "v"), TILE, scale).withColumn("slot", deal(slots)).withColumn("group", every(groups))
+    blocks = blocks.withColumn("group", deal(groups)).withColumn("slot", every(slots))
+    cell = ["slot", "group", "dim"]
+
+    def searched(key: tuple, some: pa.Table, queries: pa.Table) -> pa.Table:
         lean_worker()
-        held: dict[tuple, list] = {}
-
-        def out(key):
-            names, row, ids, scores = key[1], *_merged(*held.pop(key)[0], k)
-            names = np.frombuffer(names, "<i8")
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), key[0]), pa.int64()), pa.array(row, pa.int64()), pa.array(names[row], pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.int64())], ["block", "pos", "query_id", "vec_id", "score"])
-
-        for batch in batches:
-            for dim, t_ids, t_data, q_ids, q_data, block in zip(*(batch.column(c).to_pylist() for c in ("dim", "ids", "data", "q_ids", "q_data", "block"))):
-                found = best_of_tile(*_matrix(q_ids, q_data, dim), *_matrix(t_ids, t_data, dim), k)
-                key = (block, q_ids)
-                if key in held:
-                    found = _merged(*(np.concatenate([a, b]) for a, b in zip(held[key][0], found)), k)
-                held[key] = [found]
-                if len(held) > 16:
-                    yield out(next(iter(held)))
-        for key in list(held):
-            yield out(key)
-
-    parts = meet.select("dim", "ids", "data", "q_ids", "q_data", "block").mapInArrow(searched, "block long, pos long, query_id long, vec_id long, score long")
+        dim, out = key[2].as_py(), []
+        for nr, ids, data in zip(*(queries.column(c).to_pylist() for c in ("nr", "ids", "data"))):
+            block = _matrix(ids, data, dim, scale)
+            found = [best_of_tile(*block, *_matrix(i, d, dim, scale), k) for i, d in zip(some.column("ids").to_pylist(), some.column("data").to_pylist())]
+            if found:
+                row, vec_ids, scores = merged_tree(found, k)
+                out.append((np.full(len(row), nr), row, block[0][row], vec_ids, scores))
+        columns = [np.concatenate(c) for c in zip(*out)] or [np.empty(0, np.int64)] * 5
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["block", "pos", "query_id", "vec_id", "score"])
+
+    parts = tiles.groupBy(*cell).cogroup(blocks.groupBy(*cell)).applyInArrow(searched, "block long, pos long, query_id long, vec_id long, score long")
     order = Window.partitionBy("block", "pos", "query_id").orderBy(F.desc("score"), "vec_id")
     return parts.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
