@@ -44,21 +44,24 @@ def ascii_fold(text: pd.Series) -> pd.Series:
 
 
 @lru_cache(maxsize=1)
-def _folds() -> tuple[str, str, list[tuple[str, str]]]:
-    """Lower-case characters whose folded form is another one: pairs of single ones, and those that become several."""
+def _folds() -> tuple[str, str, list[tuple[str, str]], str]:
+    """Lower-case characters whose folded form is another one: pairs of single ones, those that become several, and a
+    pattern of what may be among them: all but the ranges of Latin letters and signs that hold none."""
     odd = [(c, c.casefold()) for c in map(chr, range(0x80, 0x1FFFF)) if c.casefold() != c and c.lower() == c]
     one = [(c, f) for c, f in odd if len(f) == 1]
-    return "".join(c for c, _ in one), "".join(f for _, f in one), [(c, f) for c, f in odd if len(f) > 1]
+    edges = [-1, *(ord(c) for c, _ in odd if c < "\u0345"), 0x345]
+    safe = "".join(f"\\x{{{a + 1:x}}}-\\x{{{b - 1:x}}}" for a, b in zip(edges, edges[1:]) if a + 1 <= b - 1)
+    return "".join(c for c, _ in one), "".join(f for _, f in one), [(c, f) for c, f in odd if len(f) > 1], f"[^{safe}\\x{{2000}}-\\x{{2bff}}]"
 
 
 def casefold(text: Column) -> Column:
     """Full Unicode case folding.  Nearly all texts need no more than lower case and ss for ß; only those with one of the
     other characters go through the table, which is made by rule."""
     plain = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
-    single, folded, several = _folds()
+    single, folded, several, suspect = _folds()
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(f).alias("f")) for c, f in several])
     full = F.aggregate(pairs, F.translate(plain, single, folded), lambda s, p: F.replace(s, p["c"], p["f"]))
-    return F.when(plain.rlike("[" + single + "".join(c for c, _ in several) + "]"), full).otherwise(plain)
+    return F.when(plain.rlike(suspect), full).otherwise(plain)
 
 
 def full_wording(stem: Column, text: Column) -> Column:

@@ -30,13 +30,15 @@ def route(index: DataFrame, terms: list[str]) -> DataFrame:
 
 def has_term(text: Column, terms: list[str]) -> Column:
     """Whether the folded text has any of the terms inside it; blank terms are ignored, none means no filter."""
-    wanted = [t for t in terms if t and t.strip()]
-    if not wanted:
-        return F.lit(True)
-    folded, out = casefold(text), F.lit(False)
-    for t in wanted:
-        out = out | F.contains(folded, casefold(F.trim(F.lit(t))))
-    return out
+    return folded_has(casefold(text), terms)
+
+
+def folded_has(folded: Column, terms: list[str]) -> Column:
+    """As has_term, of a text that is folded already: one pass over it, however many terms."""
+    wanted = [t.strip().casefold() for t in terms if t and t.strip()]
+    if len(wanted) <= 1:
+        return F.contains(folded, F.lit(wanted[0])) if wanted else F.lit(True)
+    return folded.rlike("|".join(r"\Q" + t.replace(r"\E", r"\E\\E\Q") + r"\E" for t in wanted))
 
 
 def routed_search(rows: DataFrame, text: Column, part: str, index: DataFrame, terms: list[str]) -> DataFrame:
@@ -51,8 +53,8 @@ def coverage(index: DataFrame, titles: DataFrame, title: Column, items: DataFram
     any_ = lambda cond, name: F.coalesce(F.max(cond), F.lit(False)).alias(name)
     n = range(len(terms))
     # one pass over each table, whatever the number of terms; the three results are one row each
-    a = titles.agg(*[any_(has_term(title, [t]), f"a{i}") for i, t in zip(n, terms)])
-    b = items.agg(*[any_(has_term(item, [t]), f"b{i}") for i, t in zip(n, terms)])
+    found = lambda rows, text, name: rows.select(casefold(text).alias("__folded")).agg(*[any_(folded_has(F.col("__folded"), [t]), f"{name}{i}") for i, t in zip(n, terms)])
+    a, b = found(titles, title, "a"), found(items, item, "b")
     c = index.agg(*[any_(F.contains(F.col("term"), casefold(F.trim(F.lit(t)))), f"c{i}") for i, t in zip(n, terms)])
     status = lambda i: F.when(F.col(f"a{i}"), "title").when(F.col(f"b{i}"), "item").when(F.col(f"c{i}"), "index_only").otherwise("none")
     return a.crossJoin(b).crossJoin(c).select(F.inline(F.array(*[F.struct(F.lit(t).alias("term"), status(i).alias("status")) for i, t in zip(n, terms)])))
