@@ -1,7 +1,7 @@
 """The corpus pipeline: quality, near duplicates, benchmark passages, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; run() writes each
-result as Parquet to the shared folder and reads it again as the next stage's docs.  All but the last
+result as Parquet to the shared folder and reads it again as the next stage's docs, until that one is written.  All but the last
 return the columns of documents as they came.  No stage drops a row for a null or repeated doc_id alone.  A null text is kept or rejected by its score as an empty text, is never
 a near duplicate, matches no benchmark item, stays null, and packs as an empty document.
 """
@@ -12,11 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigraph.llm import decontaminate, jaccard_join, packing, pii, quality
-from lexigraph.llm.common import staged, table
+from lexigraph.llm.common import bounded_batches, remove, staged, table
+from lexigraph.llm.queries import TEST_KEY
+
+BATCH_ROWS = 256
+
+
+def small_batches(spark: SparkSession) -> None:
+    """The application's own setting: stages are worked out after they return, and an executor's memory holds few texts
+    of a batch beside what JVM and workers need.  run() puts back what the session had."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
+    small_batches(spark)
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     return quality.keep_good(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), held_out)
 
@@ -43,12 +53,13 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, not even one with a few edits."""
+    small_batches(spark)
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their personal data replaced by pseudonyms."""
-    return pii.pseudonymise(docs)
+    """All documents, their personal data replaced by pseudonyms under the session's lexigraph.pii.key, or the tests' key."""
+    return pii.pseudonymise(docs, spark.conf.get("lexigraph.pii.key", TEST_KEY))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,6 +79,11 @@ ORACLE_SQL = None  # neither the classifier nor the tokenizer can be written in
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+    last = None
+    with bounded_batches(spark, BATCH_ROWS):
+        for name, stage in STAGES:
+            docs, before = staged(stage(spark, docs, sf_dir), name), last
+            if before is not None:
+                remove(before)
+            last = docs
     return docs
