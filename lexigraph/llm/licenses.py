@@ -3,13 +3,17 @@
 A text is a sequence of lower-cased words.  A template and a stretch of the text are aligned as patience
 sorting does it: words that are unique in both are anchors, the longest increasing subsequence of
 anchors is kept, and the gaps between anchors are aligned in the same way, after their equal beginnings and
-ends.  Coverage is the share of the template's words that are aligned; from `least` on it is a match.
+ends.  Coverage is the share of the template's words that are aligned; from `least` on it is a match, if the stretch
+from the first to the last of them holds at most (1 / least - 1) * n + 2 words more than the n of the template.
 
-A stretch with coverage `least` holds at least one of any floor((1 - least) * n) + 1 words of the template.
-The rarest of these are markers; one Aho-Corasick automaton of all markers passes over each text, and
-only stretches of twice the template's length around markers are aligned.  Every part of a text that could match is
-aligned, however long the text.  A match also needs the words that tell a template from its siblings, all aligned: those that NAMING lists for it, and
-those by which it differs from another template that would match it.  Where matches overlap, that with the largest coverage, then the longest, then the first
+A match aligns at least one of any floor((1 - least) * n) + 1 words of the template.  Its words that are rarest among
+templates, and aren't everyday ones, are markers; one Aho-Corasick automaton of all markers passes over each text, and
+for every marker met the stretch that the template would cover around it is aligned, so what is found doesn't depend on
+where in a text it stands.  Every part of a text that could match is aligned, however long the text.
+
+A match also needs the words that tell a template from its siblings, all aligned: those that name the licence, and
+those by which it differs from another template that would match it; and no other word that names a licence may
+stand within it.  Where matches overlap, that with the most aligned words, then the largest coverage, then the first
 in name order stays.
 
 Null and empty texts match nothing.  Repeated rows give repeated results.  An empty table gives no
@@ -19,6 +23,7 @@ rows.  Extra columns are ignored.
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
 from collections import Counter
 
@@ -26,43 +31,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lean_worker
+from .common import in_parts, lean_worker
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.'+-][a-z0-9]+)*")
 
-# fixed values: the usual notices of common licences
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0 header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "BSD redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "Released into the public domain under CC0 1.0 Universal.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MIT permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
-
-# words without which a notice names another licence or version, besides those the templates differ in
-NAMING = {
-    "Apache-2.0": "apache 2.0",
-    "Apache-2.0 header": "apache 2.0",
-    "CC-BY-4.0": "cc by 4.0",
-    "CC-BY-NC-4.0": "cc by-nc 4.0",
-    "CC-BY-SA-4.0": "cc by-sa 4.0",
-    "CC0-1.0": "cc0 1.0",
-    "GPL-2.0": "gnu general 2",
-    "GPL-3.0": "gnu general 3",
-    "GPL header": "gnu general",
-    "LGPL-3.0": "gnu lesser 3",
-    "MIT": "mit",
-    "MPL-2.0": "mozilla 2.0",
+# fixed values: the usual notices of common licences, each with the words that name it
+_NOTICES = {
+    "Apache-2.0": ("apache 2.0", "Licensed under the Apache License, Version 2.0."),
+    "Apache-2.0 header": ("apache 2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    "BSD-2-Clause text": ("", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    "BSD-3-Clause text": ("endorse", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    "BSD redistribution": ("", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    "CC0-1.0": ("cc0 1.0", "Released into the public domain under CC0 1.0 Universal."),
+    "GPL header": ("gnu general", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    "ISC text": ("", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "MIT permission": ("", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
+    "MIT text": ("", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    "MPL-2.0": ("mozilla 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    "Unlicense": ("unencumbered", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    "Zlib text": ("", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
 }
+for _v in ("2.0", "3.0", "4.0"):
+    for _k in ("BY", "BY-NC", "BY-NC-ND", "BY-NC-SA", "BY-ND", "BY-SA"):
+        _NOTICES[f"CC-{_k}-{_v}"] = (f"cc {_k} {_v}", f"Licensed under CC {_k} {_v}.")
+for _name, _kind, _v in (("AGPL-3.0", "Affero General", "3"), ("GPL-1.0", "General", "1"), ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"), ("LGPL-2.1", "Lesser General", "2.1"), ("LGPL-3.0", "Lesser General", "3")):
+    _NOTICES[_name] = (f"gnu {_kind} {_v}", f"This work is licensed under the GNU {_kind} Public License, version {_v}.")
+for _name in ("BSD", "ISC", "MIT", "X11", "Zlib"):
+    _NOTICES[_name] = (_name, f"Released under the {_name} License.")
+
+TEMPLATES = {name: text for name, (_, text) in _NOTICES.items()}
+# words without which a notice names another licence or version
+NAMING = {name: named for name, (named, _) in _NOTICES.items()}
+# fixed values: other names that make a notice one of another licence
+OTHERS = "artistic boost clear eclipse european expat library nonfree postgresql python ruby"
+EVERYDAY = "a above all an and any are as at by copies copy distribute following for free from in is it may must not of or other permission provided public released software that the this to use version with without you"
 
 
 def words(text: str) -> list[str]:
@@ -117,25 +119,32 @@ class Scanner:
         self.least = least
         self.templates = {name: words(t) for name, t in sorted(templates.items()) if words(t)}
         self.naming: dict[str, set[int]] = {}
+        self.names = set(words(OTHERS))
         for name, t in self.templates.items():
             named = set(words(NAMING.get(name, ""))) if t == words(TEMPLATES.get(name, "")) else set()
+            self.names |= named - {"general"}  # a word of two families, and of theirs only
             self.naming[name] = {i for i, w in enumerate(t) if w in named}
             for other in self.templates.values():
                 same = {i for i, _ in align(t, other)}
-                if len(t) > len(same) >= least * len(t):
+                if len(t) > len(same) >= least * max(len(t), len(other)):
                     self.naming[name] |= set(range(len(t))) - same
         common = Counter(w for t in self.templates.values() for w in set(t))
-        shared = {"a", "an", "and", "as", "at", "by", "in", "is", "it", "of", "or", "the", "this", "to", "with", "are", "any", "that", "under", "for", "you", "use", "not", "may"}
-        self.markers: dict[str, set[str]] = {}
+        everyday = set(words(EVERYDAY))
+        self.markers: dict[str, list[tuple[str, int]]] = {}
         for name, t in self.templates.items():
             need = int((1 - least) * len(t) + 1e-9) + 1
-            order = sorted(range(len(t)), key=lambda i: (t[i] in shared, len(t[i]) < 3, -common[t[i]], -len(t[i]), i))
-            self.markers[name] = {t[i] for i in order[:need]}
+            order = sorted(range(len(t)), key=lambda i: (t[i] in everyday, len(t[i]) < 3, common[t[i]], -len(t[i]), i))
+            self.markers[name] = [(t[i], i) for i in order[:need]]
+        self.wanted = {w for some in self.markers.values() for w, _ in some}
         self.automaton = ahocorasick.Automaton()
-        for marker in set().union(*self.markers.values()) if self.markers else ():
+        for marker in self.wanted:
             self.automaton.add_word(marker, marker)
         self.automaton.make_automaton()
 
+    def spare(self, n: int) -> int:
+        """How many words more than a template of n words a match may hold."""
+        return int(n / self.least + 1e-9) - n + 2
+
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(licence, coverage, first word, end word) of each match, by place."""
         low = text.lower()
@@ -143,39 +152,53 @@ class Scanner:
             return []
         seen = _WORD.findall(low)
         places: dict[str, list[int]] = {}
-        wanted = set().union(*self.markers.values())
         for i, w in enumerate(seen):
-            if w in wanted:
+            if w in self.wanted:
                 places.setdefault(w, []).append(i)
         found = []
         for name, t in self.templates.items():
-            n, done = len(t), -1
-            for p in sorted(i for m in self.markers[name] for i in places.get(m, ())):
-                for at in (max(0, p // n * n - n), p // n * n):  # ascending, or the earlier would be skipped
-                    if at <= done:
-                        continue
-                    done = max(done, at)
-                    # windows of twice the length at multiples of it hold every stretch of that length whole
-                    pairs = align(t, seen[at : at + 2 * n])
-                    if len(pairs) / n >= self.least and self.naming[name] <= {i for i, _ in pairs}:
-                        found.append((-len(pairs) / n, -n, name, at + pairs[0][1], at + pairs[-1][1] + 1))
+            n = len(t)
+            spare = self.spare(n)
+            starts = {p - i - spare for w, i in self.markers[name] for p in places.get(w, ())}
+            if not starts:
+                continue
+            own = set(t)
+            held = list(itertools.accumulate((w in own for w in seen), initial=0))
+            for at in sorted(starts):
+                # with room for further words, and as long as the template, where words beside it can't hide anchors
+                for a, b in ((at, at + n + 2 * spare), (at + spare, at + spare + n)):
+                    a, b = max(0, a), min(len(seen), b)
+                    if a < b and held[b] - held[a] >= self.least * n:
+                        found.append(self._aligned(name, t, seen, a, b))
         kept: list[tuple[str, float, int, int]] = []
-        for coverage, _, name, a, b in sorted(found):
+        for _, coverage, name, a, b in sorted(set(found) - {None}):
             if all(b <= x or a >= y for _, _, x, y in kept):
                 kept.append((name, -coverage, a, b))
         return sorted(kept, key=lambda m: (m[2], m[0]))
 
+    def _aligned(self, name: str, t: list[str], seen: list[str], a: int, b: int) -> tuple[int, float, str, int, int] | None:
+        """(-aligned words, -coverage, name, first word, end word) if the stretch a..b holds a match."""
+        pairs = align(t, seen[a:b])
+        if len(pairs) < self.least * len(t) or not self.naming[name] <= {i for i, _ in pairs}:
+            return None
+        first, end = a + pairs[0][1], a + pairs[-1][1] + 1
+        if end - first > len(t) + self.spare(len(t)):
+            return None
+        taken = {a + j for _, j in pairs}
+        if any(seen[j] in self.names for j in range(first, end) if j not in taken):
+            return None
+        return -len(pairs), -len(pairs) / len(t), name, first, end
+
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, license, coverage, matches, first_word): per document and licence its best coverage, how often it
     occurs and the word it first starts at."""
-    bounded_batches(docs.sparkSession)
     templates = TEMPLATES if templates is None else templates
 
     def scanned(batches):
         lean_worker()
         scanner = Scanner(templates, least)
-        for batch in batches:
+        for batch in in_parts(batches):
             rows = []
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 best: dict[str, list] = {}

@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import random
 import re
 
@@ -38,6 +39,32 @@ def test_top_k_without_null_ids(spark):
         assert sorted(tuple(r) for r in vector_search.top_k(df.coalesce(1), query).collect()) == brute_top(rows, 5)
 
 
+def test_top_k_of_repeated_queries_and_huge_components(spark):
+    rng = np.random.default_rng(6)
+    rows = [(50, [1.0, 2.0])] * 1100 + [(i, rng.normal(0, 1, 2).round(1).tolist()) for i in range(1, 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in vector_search.top_k(df.repartition(3), F.col("vec_id") % 50 == 0).collect()]
+    assert sorted(set(got)) == sorted(set(brute_top(rows, 5))) and len(got) == 5500 and all(got.count(x) == 1100 for x in set(got))
+    huge = [(0, [3e20, -1.5]), (1, [1e-3, 2.0]), (2, [-7e25, 0.0]), (3, [0.0, 5.0]), (50, [1e300, 1.0])]
+    whole = [(i, [int(np.floor(x * 256)) if abs(x) < 2**52 else int(x) * 256 for x in v]) for i, v in huge]
+    clamp = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+    want = []
+    for q, v in whole:
+        if q % 50 == 0:
+            found = sorted((-clamp(sum(a * b for a, b in zip(v, w))), i) for i, w in whole if i != q)[:3]
+            want += [(q, n, i, -s) for n, (s, i) in enumerate(found, 1)]
+    got = vector_search.top_k(spark.createDataFrame(huge, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=3).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_lists_merge_as_a_tree():
+    rng = np.random.default_rng(1)
+    lists = [(np.repeat(np.arange(4), 3), rng.integers(0, 99, 12), rng.integers(-5, 5, 12)) for _ in range(7)]
+    rows, ids, scores = vector_search.merged_tree(list(lists), 3)
+    want = [sorted((-s, i) for r, i, s in zip(*map(np.concatenate, zip(*lists))) if r == q)[:3] for q in range(4)]
+    assert [[(-s, i) for r, i, s in zip(rows, ids, scores) if r == q] for q in range(4)] == want
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_search.top_k(df, F.col("vec_id") % 50 == 0).count() == 0
@@ -124,13 +151,34 @@ def test_licences_at_every_offset():
 
 def test_licences_need_their_naming_words():
     scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
-    for text in ("Released under the BSD License.", "Licensed under CC BY-ND 4.0.", "Licensed under CC BY 3.0.", "Licensed under the Apache License, Version 1.1.", "This work is licensed under the GNU Lesser General Public License, version 2.1."):
-        assert scanner.scan(f"so {text} so") == [], text
+    named = {"Released under the BSD License.": ["BSD"], "Licensed under CC BY-ND 4.0.": ["CC-BY-ND-4.0"], "Licensed under CC BY 3.0.": ["CC-BY-3.0"], "Licensed under the Apache License, Version 1.1.": [], "Released under the Expat License.": []}
+    named |= {f"This work is licensed under the GNU {kind} Public License, version {v}.": name for kind, v, name in (("Lesser General", "2.1", ["LGPL-2.1"]), ("Affero General", "3", ["AGPL-3.0"]), ("General", "1", ["GPL-1.0"]), ("General", "4", []), ("Library General", "2", []))}
+    for text, want in named.items():
+        assert [m[0] for m in scanner.scan(f"so {text} so")] == want, text
     assert [m[0] for m in scanner.scan("Released under an MIT license. Licensed under terms of CC BY 4.0.")] == ["MIT", "CC-BY-4.0"]
     own = licenses.Scanner({"A": "free for any use under terms one", "B": "free for any use under terms two"}, 0.8)
     assert own.scan("free for any use under terms three") == [] and own.scan("free for any use under terms two")[0][0] == "B"
 
 
+def test_licences_against_every_window():
+    """What any window of any text aligns is found, wherever the notice stands and whatever one word of it became."""
+    scanner, rng = licenses.Scanner(licenses.TEMPLATES, 0.8), random.Random(7)
+    for name in ("Apache-2.0", "Apache-2.0 header", "CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0", "MIT", "ISC text", "MIT text"):
+        t = licenses.words(licenses.TEMPLATES[name])
+        n, spare = len(t), scanner.spare(len(t))
+        free = [i for i in range(n) if i not in scanner.naming[name]]
+        for at in range(0, 2 * n, max(1, n // 12)):
+            seen = list(t)
+            seen[rng.choice(free)] = "zzz"
+            if n > 20:
+                seen.insert(rng.randrange(1, n), "mehr")
+            seen = ["w" + str(rng.randrange(90)) for _ in range(at)] + seen + ["v" + str(rng.randrange(90)) for _ in range(n)]
+            plain = {scanner._aligned(name, t, seen, a, min(len(seen), a + n + 2 * spare)) for a in range(len(seen))} - {None}
+            best = min(plain)
+            got = [m for m in scanner.scan(" ".join(seen)) if m[0] == name]
+            assert [(m[0], m[2], m[3]) for m in got] == [(name, *best[3:])] and got[0][1] == -best[1], (name, at)
+
+
 def luhn(d):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, d[::-1]))) % 10 == 0
 
@@ -143,7 +191,7 @@ def test_cards_beside_other_numbers_and_ibans_with_letters(spark):
     card, iban = "4111 1111 1111 1111", ["GB82 WEST 1234 5698 7654 32", "NL91ABNA0417164300", "BE68 5390 0754 7034"]
     runs = ["{c} 12/26", "7 {c}", "12 34 {c}", "2024 {c} 123 99", "{c} 5500-0000-0000-0004", "99 {c} 415-555-2671", "AB12 CODE {c}", "1 " * 3000 + "{c}", "7 41111111 11111111", "8 3782 822463 10005 9", "1 {c} 20 a@b.org"]
     rows = list(enumerate([f"x {r.format(c=card)} y" for r in runs])) + [(100 + i, f"to {v} EUR") for i, v in enumerate(iban)] + [(200, "to GB83 WEST 1234 5698 7654 32 now")]
-    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), found="n").collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k", found="n").collect()}
     new = re.compile(r"[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}")
     links = set()
     for i, r in enumerate(runs[:7]):
@@ -174,7 +222,7 @@ def test_pseudonyms_keep_formats_and_links(spark):
     stay = ["1234567890123456", "300.1.1.1", "2021-02-30", "000-12-3456", "v4.0.", "DE00 3704 0044 0532 0130 00", "no digits"]
     rows = [(i, f"see {v}, {v} x") for i, v in enumerate(values + stay)] + [(900, None), (901, ""), (902, "x " * 50_000 + values[0])]
     df = spark.createDataFrame([(*r, "keep") for r in rows], "doc_id long, text string, __pairs string")
-    got = {r.doc_id: r for r in pii.pseudonymise(df, found="n").collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(df, "k", found="n").collect()}
     assert got[900].text is None and got[901].text == "" and got[0]["__pairs"] == "keep"
     new = []
     for i, v in enumerate(values):
@@ -192,7 +240,83 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert got[902].text.endswith(new[0])
     other = {r.doc_id: r.text for r in pii.pseudonymise(df, key="other").collect()}
     assert other[0] != got[0].text
-    assert pii.pseudonymise(df.limit(0)).count() == 0
+    assert pii.pseudonymise(df.limit(0), "k").count() == 0
+
+
+def plain_feistel(left, right, sizes, key, kind):
+    number = lambda i, half: int(hashlib.sha256(f"{key}|{kind}|{i}|{half}".encode()).hexdigest()[:14], 16)
+    for i in range(10):
+        if i % 2 == 0:
+            left = (left + number(i, right)) % sizes[0]
+        else:
+            right = (right + number(i, left)) % sizes[1]
+    return left, right
+
+
+def plain_digits(digits, key, kind):
+    a = len(digits) // 2
+    left, right = plain_feistel(int(digits[:a]), int(digits[a:]), (10**a, 10 ** (len(digits) - a)), key, kind)
+    return str(left).zfill(a) + str(right).zfill(len(digits) - a)
+
+
+def plain_refitted(value, digits):
+    left = iter(digits)
+    return "".join(next(left) if c.isdigit() else c for c in value)
+
+
+def plain_pseudonym(kind, value, key):
+    """The documented pseudonyms, without a column function."""
+    digits = re.sub("[^0-9]", "", value)
+    hashed = lambda k, v, n: (hashlib.sha256(f"{key}|{k}|{v}".encode()).hexdigest() * 2)[:n]
+    if kind == "card":
+        body = plain_digits(digits[:-1], key, "card")
+        return plain_refitted(value, body + next(c for c in "0123456789" if luhn(body + c)))
+    if kind in ("ssn", "phone"):
+        return plain_refitted(value, digits[:-10] * (kind == "phone") + plain_digits(digits[-10:] if kind == "phone" else digits, key, kind))
+    if kind == "far":
+        lead = re.match(r"\+(?:[0-9]{1,3}(?=[ ./-])|[0-9]{2})", value).group()
+        rest = value[len(lead) :]
+        return lead + plain_refitted(rest, plain_digits(re.sub("[^0-9]", "", rest), key, "phone"))
+    if kind == "iban":
+        body = plain_refitted(value[4:], plain_digits(re.sub("[^0-9]", "", value[4:]), key, "iban"))
+        return f"{value[:2]}{98 - mod97(value[:2] + '00' + body.replace(' ', '')):02d}{body}"
+    if kind == "ip":
+        a, b, c, d = map(int, value.split("."))
+        left, right = plain_feistel(a * 256 + b, c * 256 + d, (65536, 65536), key, "ip")
+        return ".".join(str(x) for h in (left, right) for x in divmod(h, 256))
+    if kind == "email":
+        return f"user-{hashed('email', value.lower(), 12)}@example.invalid"
+    if kind == "token":
+        lead = re.match("[^_-]+[_-]", value).group()
+        return lead + hashed("secret", value, len(value) - len(lead))
+    if kind == "secret":
+        lead, secret, tail = re.fullmatch("([A-Za-z_]+\\s*[=:]\\s*[\"']?)([^\"']*)(.*)", value).groups()
+        return lead + hashed("secret", secret, len(secret)) + tail
+    start, shape = datetime.date(1900, 1, 1), kind
+    n = (datetime.datetime.strptime(value, shape).date() - start).days
+    left, right = plain_feistel(n // 319, n % 319, (229, 319), key, "date")
+    return (start + datetime.timedelta(left * 319 + right)).strftime(shape)
+
+
+def test_pseudonyms_against_a_plain_version(spark):
+    rng = random.Random(3)
+    number = lambda n: "".join(str(rng.randrange(10)) for _ in range(n))
+    values = []
+    for _ in range(40):
+        body = "4" + number(14)
+        card = body + next(c for c in "0123456789" if luhn(body + c))
+        day = datetime.date(1900, 1, 1) + datetime.timedelta(rng.randrange(73049))
+        values += [("card", card), ("card", " ".join(card[i : i + 4] for i in range(0, 16, 4))), ("ssn", f"1{number(2)}-1{number(1)}-1{number(3)}"), ("phone", f"({number(3)}) {number(3)}-{number(4)}"), ("phone", f"+1-{number(3)}-{number(3)}-{number(4)}"), ("far", f"+49 30 1{number(6)}"), ("far", f"+4930{number(8)}")]
+        values += [(s, day.strftime(s)) for s in ("%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%d/%m/%Y")]
+        values += [("ip", ".".join(str(rng.randrange(256)) for _ in range(4))), ("email", f"a{number(3)}.b@Mail{number(1)}.example.org"), ("token", "ghp_" + number(36)), ("secret", f"TOKEN = \"{number(20)}\""), ("secret", f"password={number(12)}")]
+        bban = "37040044" + number(10)
+        values.append(("iban", f"DE{98 - mod97('DE00' + bban):02d}{bban}"))
+    key = "one key"
+    df = spark.createDataFrame([(i, f"Vor {v} nach.") for i, (_, v) in enumerate(values)] * 2, "doc_id long, text string")  # repeated rows too
+    got = [(r.doc_id, r.text) for r in pii.pseudonymise(df, key).collect()]
+    assert sorted(got) == sorted([(i, f"Vor {plain_pseudonym(k, v, key)} nach.") for i, (k, v) in enumerate(values)] * 2)
+    with pytest.raises(ValueError):
+        pii.pseudonymise(df, "")
 
 
 def test_feistel_permutes_a_small_domain(spark):
