@@ -14,9 +14,11 @@ Context.  A hit counts less inside quotation marks or after a word of reporting,
 hits stand within eight words.  Sums and the highest window of a document's exact, misspelled and
 quoted hits, and their density, go through a logistic model.
 
-The lexicon and the model are fitted on at most `sample` labelled rows, the first by a hash of doc_id, of
-which copies of each other (they share a minimum of eight hashes of their shingles) count as one;
-every whole text is scored.  Null and empty texts have no hits and get the model's base score.  With
+The lexicon and the model are fitted on at most `sample` labelled documents, the first by a hash of doc_id, of
+which those with the same label that are copies or share long passages (they have one of eight minima of hashes of
+their shingles in common) count as one;
+a document whose labels differ is none of them, and of several texts under one doc_id the first by hash counts.  So
+rows that repeat change nothing that is learned.  Every whole text is scored.  Null and empty texts have no hits and get the model's base score.  With
 no toxic or no other training row, every score is the share of toxic rows (0 with no rows).
 Repeated rows get a row each.  Extra columns are ignored.
 """
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_batches, lean_worker, staged
+from .common import as_bytes, in_parts, lean_worker, remove, staged
 from .shingles import mix64, shingle_sets
 
 _WORD = re.compile(r"\w+(?:[*@$]+\w+)*")
@@ -143,33 +145,27 @@ def _terms(text: str) -> set[str]:
 
 
 def without_copies(sample: DataFrame, text: str) -> DataFrame:
-    """Of sample rows (row, text, label) that share one of eight shingle minima, the first."""
+    """Of sample rows (row, text, label; row is a key), in order of row, those that share none of eight minima of hashes of
+    their shingles with an earlier one of the same label that stays.  So copies go, and so do texts that share long
+    passages: a passage's words would else count as often as it was copied."""
     seeds = mix64(np.arange(1, 9, dtype=np.uint64))
 
     def sketched(batches):
         lean_worker()
         with np.errstate(over="ignore"):
-            for batch in batches:
-                minima = [[int(x) for x in mix64(v[None, :] ^ seeds[:, None]).min(1).view(np.int64)] if len(v) else [] for v in shingle_sets(as_bytes(batch.column(1)))]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(minima, pa.list_(pa.int64()))], ["row", "minima"])
-
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    rows = sample.select("row", text).mapInArrow(sketched, "row long, minima array<long>").orderBy("row").collect()  # bounded by the sample
-    for r in rows:
-        for i, m in enumerate(r.minima[1:], 1):
-            root[find(m ^ i)] = find(r.minima[0])
-    seen, drop = set(), []
-    for r in rows:
-        group = find(r.minima[0]) if r.minima else ("none", r.row)
-        if group in seen:
-            drop.append(r.row)
-        seen.add(group)
+            for batch in in_parts(batches):
+                found = [mix64(v[None, :] ^ seeds[:, None]).min(1).view(np.int64).tolist() if len(v) else [] for v in shingle_sets(as_bytes(batch.column(1)))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int64()))], ["row", "label", "minima"])
+
+    rows = sample.select("row", text, "label").mapInArrow(sketched, "row long, label int, minima array<long>").orderBy("row").collect()  # bounded by the sample
+    seen: set[tuple[int, int, int]] = set()
+    drop = []
+    for row, label, minima in rows:
+        own = {(label, i, m) for i, m in enumerate(minima)}
+        if own & seen:
+            drop.append(row)
+        else:
+            seen |= own
     gone = sample.sparkSession.createDataFrame([(x,) for x in drop], "row long")
     return sample.join(F.broadcast(gone), "row", "left_anti")
 
@@ -180,7 +176,7 @@ def learn_lexicon(sample: DataFrame, text: str, toxic: int, other: int, most_ter
     def counted(batches):
         lean_worker()
         tally: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
+        for batch in in_parts(batches):
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tally[y].update(_terms(t or ""))
         # every count is sent, as another task may hold the toxic documents of a term that has none here
@@ -192,10 +188,11 @@ def learn_lexicon(sample: DataFrame, text: str, toxic: int, other: int, most_ter
     share = toxic / (toxic + other)
     t, o = F.col("t"), F.col("o")
     odds = F.log((t + 0.5) / (toxic + 1)) - F.log((o + 0.5) / (other + 1))
-    # how unlikely so many toxic documents would be by chance, as n * divergence of the shares
+    # how unlikely so many toxic documents would be by chance, as n * divergence of the shares; of a million candidates about
+    # ten may pass by chance, with so few documents that they seldom occur again
     chance = t * F.log(t / (t + o) / share) + F.when(o > 0, o * F.log(o / (t + o) / (1 - share))).otherwise(0.0)
     rows = sample.select(text, "label").mapInArrow(counted, "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").cast("double").alias("t"), F.sum("other").cast("double").alias("o"))
-    rows = rows.where(t >= 3).withColumn("odds", odds).where((F.col("odds") > math.log(10)) & (chance > math.log(1e7)))
+    rows = rows.where(t >= 3).withColumn("odds", odds).where((F.col("odds") > math.log(10)) & (chance > math.log(1e5)))
     found = {r.term: (r.odds, r.t) for r in rows.orderBy(F.desc(t), "term").limit(most_terms).collect()}
     keep: dict[str, float] = {}
     for term in sorted(found, key=lambda x: (-len(x.rstrip("*")), x)):
@@ -226,12 +223,16 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
 
 def score(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 12_000, most_terms: int = 4000, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
     """(doc_id, held_out, score, predicted, hits) of every document; held_out is a condition on doc_id."""
-    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias(doc_id), text).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     marks = labels.select(F.col(doc_id).cast("long").alias(doc_id), F.col(label).cast("int").alias("label")).where("label in (0, 1)").where(~F.coalesce(held_out, F.lit(False)))
-    few = marks.orderBy(F.xxhash64(doc_id), "label").limit(sample)  # at most `sample` short rows, so that they may be broadcast
-    known = docs.join(F.broadcast(few), doc_id).select(F.col(doc_id).alias("row"), text, "label")
-    known = staged(without_copies(staged(known, "labelled"), text), "labelled")
+    # one row for each document: of labels that differ the document takes none, of texts the first by hash
+    marks = marks.groupBy(doc_id).agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
+    few = marks.orderBy(F.xxhash64(doc_id), doc_id).limit(sample)  # at most `sample` short rows, so that they may be broadcast
+    known = docs.join(F.broadcast(few), doc_id).groupBy(doc_id, "label").agg(F.min(F.struct(F.xxhash64(text), text)).alias("one"))
+    known = known.select(F.col(doc_id).alias("row"), F.col(f"one.{text}").alias(text), "label")
+    every = staged(known, "labelled")
+    known = staged(without_copies(every, text), "labelled")
+    remove(every)
     sizes = {r.label: r.c for r in known.groupBy("label").agg(F.count("*").alias("c")).collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = learn_lexicon(known, text, toxic, other, most_terms) if toxic and other else Lexicon({})
@@ -239,21 +240,24 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = 12
     def measured(batches):
         lean_worker()
         matcher = Matcher(lexicon)
-        for batch in batches:
+        for batch in in_parts(batches):
             rows = [matcher.features(t or "") for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(1)], ["x", "label"])
 
     beta = np.zeros(_FEATURES + 1)
     if toxic and other:
-        rows = known.select(text, "label").mapInArrow(measured, "x binary, label int").orderBy("label", "x").collect()  # at most `sample`
+        rows = known.select(text, "label").mapInArrow(measured, "x binary, label int").collect()  # at most `sample`
+        rows.sort()  # so that sums don't depend on the order in which tasks end
         beta = fit_logistic(np.array([np.frombuffer(r.x) for r in rows]), np.array([r.label for r in rows]))
     else:
         beta[-1] = 30.0 if toxic else -30.0
 
+    remove(known)
+
     def scored(batches):
         lean_worker()
         matcher = Matcher(lexicon)
-        for batch in batches:
+        for batch in in_parts(batches):
             x = np.array([matcher.features(t or "") for t in batch.column(2).to_pylist()]).reshape(-1, _FEATURES)
             p = 1 / (1 + np.exp(-np.clip(x @ beta[:-1] + beta[-1], -30, 30)))
             hits = np.rint(np.expm1(x[:, 5])).astype(np.int64)
