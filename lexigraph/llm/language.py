@@ -7,7 +7,7 @@ vectors, so that kinds of text within a language don't blur into one mean.  The
 language of the centroid with the largest cosine; `rejected` says that even this one is farther than nearly
 all training texts are from theirs.
 
-Training takes at most `sample` documents, the first by a hash of doc_id within each language;
+Training takes at most `sample` documents with letters, the first by a hash of doc_id, then of the text, within each language;
 every document is scored.  A null text, or one without letters, is "und" with score 0, and so is
 everything where no row can be learned from.  Repeated rows get a row each.  Extra columns are ignored.
 """
@@ -21,15 +21,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lean_worker
+from .common import in_parts, lean_worker
 
 DIMENSIONS = 4096
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
 _KEEP = np.full(256, 32, dtype=np.uint32)
 _KEEP[97:123] = np.arange(97, 123)
 _KEEP[128:] = np.arange(128, 256)
 
 
+def has_letter(text: str) -> bool:
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 def counts(texts: list[str]) -> np.ndarray:
     """Hashed counts of the two- and three-byte runs of lower-cased texts, a row for each."""
     data = [f" {t.lower()} ".encode() for t in texts]
@@ -98,7 +102,8 @@ class Centroids:
 
 
 def train(docs: DataFrame, trained: Column, sample: int, k: int, tail: float, doc_id: str, text: str, lang: str) -> Centroids | None:
-    known = docs.where(trained & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.xxhash64(doc_id).alias("h"), text)
+    # a text without letters would be an outlier that centroids start from
+    known = docs.where(trained & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.xxhash64(doc_id).alias("h"), text)
     sizes = {r.lang: r.c for r in known.groupBy("lang").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "lang").limit(sample).collect()}
     if not sizes:
         return None
@@ -107,12 +112,12 @@ def train(docs: DataFrame, trained: Column, sample: int, k: int, tail: float, do
     wide = F.lit(False)
     for name, c in sizes.items():
         wide = wide | ((F.col("lang") == name) & (F.pmod("h", F.lit(1 << 20)) <= min(1.0, (2 * each + 20) / c) * (1 << 20)))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", F.xxhash64(text), text))
     taken = known.where(wide).withColumn("r", rank).where(F.col("r") <= each).select("lang", text)
 
     def counted(batches):
         lean_worker()
-        for batch in batches:
+        for batch in in_parts(batches):
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in _blocks(texts):
                 rows = np.minimum(counts(texts[a:b]), 65535).astype(np.uint16)
@@ -127,16 +132,15 @@ def train(docs: DataFrame, trained: Column, sample: int, k: int, tail: float, do
 
 def identify(docs: DataFrame, held_out: Column, sample: int = 3000, k: int = 4, tail: float = 0.001, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected) of every document."""
-    bounded_batches(docs.sparkSession)
     model = train(docs, ~F.coalesce(held_out, F.lit(False)), sample, k, tail, doc_id, text, lang)
 
     def predicted(batches):
         lean_worker()
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = [t or "" for t in batch.column(2).to_pylist()]
             names, scores, far = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
             for a, b in _blocks(texts):
-                some = [i for i in range(a, b) if model and _LETTER.search(texts[i])]
+                some = [i for i in range(a, b) if model and has_letter(texts[i])]
                 if some:
                     which, score, cosine = model.nearest(counts([texts[i] for i in some]))
                     for i, w in zip(some, which):
