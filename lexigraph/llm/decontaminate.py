@@ -8,11 +8,12 @@ stretch that the item could cover, unless it lacks too many of the item's four-c
 edits, is searched with Myers' bit-parallel edit distance, a whole item at a time in one big integer.
 An item that stands in the text as it is needs no such search.
 
-Items are loaded in blocks of bounded size, one pass over the texts for each; a worker holds one block.
+Items are loaded in blocks of bounded size, one pass over the texts for each; a worker holds one block: its
+automaton, and bit masks of the items that some text had a piece of.
 Every match of every item counts: nothing is capped.
 
 Null and empty texts match nothing; items that are null or empty after normalising take no part.
-Items of fewer than `whole` characters must occur whole, at word ends.  Repeated documents and items
+Items so short that the rate gives them no edit must occur at word ends.  Repeated documents and items
 are matched each.  An empty table on either side gives no matches.  Extra columns are ignored, or
 kept as they are by without_contaminated.
 """
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lean_worker
+from .common import in_parts, lean_worker
 
 _FOLD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -74,23 +75,20 @@ def myers(pattern_masks: dict[str, int], m: int, stretch: str, k: int) -> tuple[
 class Items:
     """Pieces of a block of items in one automaton."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float, whole: int):
+    def __init__(self, items: list[tuple[int, str]], rate: float):
         import ahocorasick
 
         self.items, pieces = [], {}
+        self.met: dict[int, tuple[dict[str, int], set[str]]] = {}  # masks and runs of items that some text has a piece of
         for item_id, text in items:
             text = normalised(text)
             if not text:
                 continue
-            k = int(rate * len(text)) if len(text) >= whole else 0
-            masks: dict[str, int] = {}
-            for i, c in enumerate(text):
-                masks[c] = masks.get(c, 0) | 1 << i
+            k = int(rate * len(text))
             at = len(self.items)
-            self.items.append((item_id, text, k, masks, _grams(text)))
+            self.items.append((item_id, text, k))
             for offset, piece in cut_pieces(text, k):
                 pieces.setdefault(piece, []).append((at, offset))
-        self.whole = whole
         self.automaton = ahocorasick.Automaton()
         for piece, uses in pieces.items():
             self.automaton.add_word(piece, (len(piece), uses))
@@ -105,7 +103,7 @@ class Items:
         spans: dict[int, list[list[int]]] = {}
         for end, (n, uses) in self.automaton.iter(text):
             for at, offset in uses:
-                _, item, k, _, _ = self.items[at]
+                _, item, k = self.items[at]
                 a = end - n + 1 - offset - k
                 b = a + len(item) + 2 * k
                 held = spans.setdefault(at, [])
@@ -114,14 +112,15 @@ class Items:
                 else:
                     held.append([a, b])
         for at, held in spans.items():
-            item_id, item, k, masks, grams = self.items[at]
-            found = self._exact(text, item)
+            item_id, item, k = self.items[at]
+            found = text.find(item) if k else self._exact(text, item)
             if found >= 0:
                 yield item_id, 0, found, found + len(item)
                 continue
             if not k:
                 continue
             best = None
+            masks, grams = self._prepared(at)
             for a, b in held:
                 a = max(0, a)
                 # an edit spoils at most four of the item's runs of four characters
@@ -133,9 +132,16 @@ class Items:
             if best:
                 yield item_id, best[0], max(0, best[1] - len(item)), best[1]
 
-    def _exact(self, text: str, item: str) -> int:
-        if len(item) >= self.whole:
-            return text.find(item)
+    def _prepared(self, at: int) -> tuple[dict[str, int], set[str]]:
+        if at not in self.met:
+            text, masks = self.items[at][1], {}
+            for i, c in enumerate(text):
+                masks[c] = masks.get(c, 0) | 1 << i
+            self.met[at] = masks, _grams(text)
+        return self.met[at]
+
+    @staticmethod
+    def _exact(text: str, item: str) -> int:
         found = re.search(rf"(?:^| ){re.escape(item)}(?: |$)", text)
         return -1 if not found else found.start() + (text[found.start()] == " ")
 
@@ -153,10 +159,9 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) ->
         yield held
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, whole: int = 24, block_chars: int = 4_000_000, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, block_chars: int = 4_000_000, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, edits, start, end): the nearest match of every item in every document that holds it."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     schema = "doc_id long, item_id long, edits int, start long, end long"
     out = spark.createDataFrame([], schema)
     for block in _blocks(benchmark, item_id, item_text, block_chars):
@@ -164,8 +169,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, whole: in
 
         def searched(batches, shared=shared):
             lean_worker()
-            items = Items(shared.value, rate, whole)
-            for batch in batches:
+            items = Items(shared.value, rate)
+            for batch in in_parts(batches):
                 rows = [(d, *hit) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for hit in items.matches(t or "")]
                 columns = list(zip(*rows)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))], ["doc_id", "item_id", "edits", "start", "end"])
@@ -175,17 +180,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, whole: in
     return out
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, whole: int = 24, block_chars: int = 4_000_000, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, block_chars: int = 4_000_000, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, whose text matches no item; rows don't move."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     for block in _blocks(benchmark, item_id, item_text, block_chars):
         shared = spark.sparkContext.broadcast(block)
 
         def kept(batches, shared=shared):
             lean_worker()
-            items = Items(shared.value, rate, whole)
-            for batch in batches:
+            items = Items(shared.value, rate)
+            for batch in in_parts(batches):
                 keep = [next(items.matches(t or ""), None) is None for t in batch.column(text).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -87,3 +87,22 @@ def test_registered(spark):
 
     assert [q for q in QUERIES if q.startswith("op")] and sorted({int(q[2:].split("_")[0]) for q in QUERIES if q.startswith("op")}) == list(range(1, 11)) and "pipeline" in QUERIES
     assert F is not None
+
+
+def test_stages_with_clashing_columns_and_a_very_long_text(spark, folder):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    long = " ".join(rng.choice(["the", "of", "ering", "onth", "blea"]) + rng.choice("abcdefg") + str(rng.randrange(900)) for _ in range(150_000))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.unionByName(spark.createDataFrame([(900, long, "en", "src1", len(long)), (901, long + " end", "en", "src1", len(long))], docs.schema))
+    odd = ["row", "component_id", "id", "n", "first", "__stays", "__pairs", "label", "stats", "nr", "salt", "rank"]
+    docs = docs.withColumns({c: F.lit(f"own {c}") for c in odd})
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.staged(stage(spark, docs, folder), name)
+        assert docs.columns == columns and docs.where(" or ".join(f"`{c}` <> 'own {c}'" for c in odd)).count() == 0, name
+    kept = {r.doc_id for r in docs.select("doc_id").collect()}
+    assert 901 not in kept
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept
