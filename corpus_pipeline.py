@@ -43,9 +43,12 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     both = found.select(F.col("doc_id").alias("row"), "component_id", none.alias("id")).unionByName(docs.select(row.alias("row"), none.alias("component_id"), F.col("doc_id").cast("long").alias("id")))
     rows = both.groupBy("row").agg(F.max("component_id").alias("component"), F.max("id").alias("id"), F.count("component_id").alias("n"))
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row", "n")).alias("first"))
-    stay = staged(first.select(F.col("first.row").alias("__stays"), F.col("first.n").alias("n")), "stay")
+    name = "__stays"
+    while name in docs.columns:
+        name += "_"
+    stay = staged(first.select(F.col("first.row").alias(name), F.col("first.n").alias("n")), "stay")
     # the keys are the side that is built, so the texts are dealt by key once and not sorted
-    kept = docs.join(stay.select("__stays").hint("shuffle_hash"), row == F.col("__stays"), "left_semi")
+    kept = docs.join(stay.select(name).hint("shuffle_hash"), row == F.col(name), "left_semi")
     if stay.where("n > 1").limit(1).count():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept.select(docs.columns)
