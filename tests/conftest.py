@@ -7,10 +7,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from lexigraph.session import session
 
-    spark = session("local[4]", 4, **{"spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"})
+    shared = tmp_path_factory.mktemp("shared")
+    spark = session("local[4]", 4, **{"spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": f"file://{shared}"})
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
     spark.stop()

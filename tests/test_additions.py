@@ -173,3 +173,39 @@ def test_standards_documents(spark):
     got = {r.file: json.loads(r.value) for r in standards.documents(rows, names, F.create_map(F.lit("q"), F.lit("v"))).collect()}
     assert set(got) == {"m8.json", "d4.json"} and got["m8.json"]["meta"]["shard"] == "M8"
     assert [a["name"] for a in got["m8.json"]["kompetenzbereiche"]] == ["Alpha", "Beta"] and [x["id"] for x in got["m8.json"]["deskriptoren"]] == ["x.01", "x.02"]
+
+
+def test_rubric_tables(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/eins.csv").write_text('Criterion,Conditional\n"sagt ""ja""\nund mehr",\nzwei,lang=de; band=PRIM\n')
+    rows = snapshots.rubric(spark, f"file://{tmp_path}").collect()
+    assert sorted((r.Criterion, r.Conditional) for r in rows) == [('sagt "ja"\nund mehr', None), ("zwei", "lang=de; band=PRIM")]
+
+
+def test_conversions_are_kept_until_the_file_changes(spark, tmp_path):
+    import datetime
+
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m/a.pdf").write_bytes(b"%PDF eins")
+    schema = "pfad string, cache_mtime timestamp, cached string"
+    later, before = datetime.datetime(2100, 1, 1), datetime.datetime(2000, 1, 1)
+    scan = lambda at: docs.scan(spark, f"file://{tmp_path}/m", spark.createDataFrame([("a.pdf", at, "aus dem Speicher")], schema)).first()
+    assert scan(later).text == "aus dem Speicher" and scan(before).text is None
+
+
+def test_arguments_that_exclude_each_other(spark, tmp_path):
+    from lexigraph.plans.curriculum import Curriculum, CurriculumError
+
+    from . import fixtures
+
+    root = fixtures.write(tmp_path)
+    c = Curriculum(spark, f"{root}/daten")
+    for call in (lambda: c.finde_anwendungsbereiche(), lambda: c.finde_anwendungsbereiche("x", fach="SEK1.M"), lambda: c.finde_uebergreifende_themen(), lambda: c.finde_uebergreifende_themen(fach="SEK1.M", thema="x"), lambda: c.finde_kompetenz("SEK1.X")):
+        with pytest.raises(CurriculumError):
+            call()
+
+
+def test_origin_is_named():
+    official = lessons.origin({"amtlich": True, "quelle": {"kurztitel": "Q"}, "blocks": []})
+    own = lessons.origin({"quelle_hinweis": "selbst", "blocks": [{"type": "paragraph", "text": "t"}]})
+    assert "Amtlicher Text" in official and "Quelle: Q" in official and "Eigenes Material" in own and "Herkunft: selbst" in own
