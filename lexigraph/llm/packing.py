@@ -110,7 +110,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, doc_id:
 
     def cut(batches):
         lean_worker(keep="tokens")
-        encode, at_row = encoder(vocabulary).encode, TaskContext.get().partitionId() << 40
+        # packing comes last, beside whatever else a worker's executor holds: fewer strings are kept, and some learned twice
+        encode, at_row = encoder(vocabulary, held=300_000).encode, TaskContext.get().partitionId() << 40
         for batch in in_parts(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             owner, start, length, crc = [], [], [], []
