@@ -165,10 +165,10 @@ def fit(labelled: DataFrame, shrink: float = 0.1, floor: float = 0.02) -> Discri
 def known(labels: DataFrame, held_out: Column, sample: int, doc_id: str, label: str) -> DataFrame:
     """(doc_id, label) of at most `sample` label rows that may be learned from, the first by a hash of doc_id."""
     marks = labels.select(F.col(doc_id).cast("long").alias(doc_id), F.col(label).cast("int").alias("label")).where("label in (0, 1)").where(~F.coalesce(held_out, F.lit(False)))
-    return F.broadcast(marks.orderBy(F.xxhash64(doc_id), doc_id, "label").limit(sample))  # 100,000 rows of two numbers
+    return F.broadcast(marks.orderBy(F.xxhash64(doc_id), doc_id, "label").limit(sample))  # 20,000 rows of two numbers
 
 
-def score(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 100_000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 20_000) -> DataFrame:
     """(doc_id, held_out, score, predicted); held_out is a condition on doc_id whose rows aren't trained on."""
     own = docs.select(F.col(doc_id).cast("long").alias(doc_id), text)
     with bounded_batches(docs.sparkSession):
@@ -183,7 +183,7 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float
     return own.select(doc_id, F.coalesce(held_out, F.lit(False)).alias("held_out"), text).mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 100_000) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 20_000) -> DataFrame:
     """The rows of docs, with all their columns, whose score is at least the threshold; rows don't move."""
     own = docs.select(F.col(doc_id).cast("long").alias(doc_id), text)
     with bounded_batches(docs.sparkSession):
