@@ -92,9 +92,14 @@ def lean_worker(keep: str = "") -> None:
     for kind, held in caches.items():
         if kind != keep:
             held.clear()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory until asked
-    if trim:
-        trim(0)
+    trim()
+
+
+def trim() -> None:
+    """Gives back what is free; glibc keeps it until asked."""
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if release:
+        release(0)
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:

@@ -17,7 +17,7 @@ from itertools import chain
 
 import numpy as np
 
-from .common import caches
+from .common import caches, trim
 from .shingles import mix64
 
 _PLAIN = "\t\n\r -~¡§«°·»¿À-įı-ſ‐-‟…€"
@@ -283,6 +283,7 @@ def encoder(path: str, held: int = _HELD) -> Encoder:
     """This process's encoder for a vocabulary file, which keeps up to so many distinct strings."""
     if (path, held) not in _encoders:
         _encoders[path, held] = Encoder(path, held)
+        trim()  # reading the vocabulary's file takes several times what stays
     return _encoders[path, held]
 
 
