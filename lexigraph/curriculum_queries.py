@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import derived
@@ -20,7 +20,9 @@ from .queries import long, query
 from .session import staged, table
 from .sources import docs, nested_json, snapshots, tree_xml
 
-JOINED = lambda c: F.array_join(c, "|")
+
+def _joined(c) -> Column:
+    return F.array_join(c, "|")
 
 
 def _parts(spark, d) -> DataFrame:
@@ -83,7 +85,7 @@ def c_shard_meta(spark, d):
 @query(sql("""SELECT id, array_to_string(list_sort(list_distinct(regexp_extract_all(wording, '⟦ABB:([^⟧]+)⟧', 1))), '|') AS images FROM r WHERE k % 10 = 7 AND k % 30 <> 7"""))
 def c_slim_images(spark, d):
     k = nested_json.competences(_parts(spark, d)).where(F.size("abbildungen") > 0)
-    return k.select("id", JOINED(F.transform(nested_json.slim_images(F.col("abbildungen")), lambda a: a["datei"])).alias("images")).where("images <> 'fremd.png'")
+    return k.select("id", _joined(F.transform(nested_json.slim_images(F.col("abbildungen")), lambda a: a["datei"])).alias("images")).where("images <> 'fremd.png'")
 
 
 @query(sql("""p AS (SELECT shard, datei, slug, count(*) AS records FROM r GROUP BY ALL) SELECT shard, datei, p.records + (SELECT count(*) FROM i WHERE i.shard = p.shard AND (i.slug = p.slug OR i.slug IS NULL)) AS records FROM p"""))
@@ -173,7 +175,7 @@ def c_differentiation(spark, d):
     c, out = _plan(spark, d), []
     for x in (_ID, "AT.LP23.PRIM.D.A0.SCH2.01", "AT.LP23.SEK1.M.A0.K1.02"):
         f = c.finde_differenzierung(x)
-        one = f["achse"].select(F.lit(x).alias("id"), JOINED("niveaus").alias("labels"))
+        one = f["achse"].select(F.lit(x).alias("id"), _joined("niveaus").alias("labels"))
         out.append(one.crossJoin(f["enrichment"].agg(F.count("*").alias("enrichment"))).crossJoin(f["vorklasse"].agg(F.count("*").alias("before"))))  # one row each
     return reduce(DataFrame.unionByName, out)
 
@@ -182,7 +184,7 @@ def c_differentiation(spark, d):
   SELECT true AS abgedeckt, string_agg(row || ':' || id, '|' ORDER BY row, id) AS descriptors, 3 AS bridges FROM n"""))
 def c_standards(spark, d):
     f = _plan(spark, d).finde_bildungsstandard_bezug(_ID)
-    return f.select("abgedeckt", JOINED(F.transform("deskriptoren", lambda x: F.concat_ws(":", x["bridge_row"].cast("string"), x["id"]))).alias("descriptors"), F.size("zuordnungen").alias("bridges"))
+    return f.select("abgedeckt", _joined(F.transform("deskriptoren", lambda x: F.concat_ws(":", x["bridge_row"].cast("string"), x["id"]))).alias("descriptors"), F.size("zuordnungen").alias("bridges"))
 
 
 _FILES = derived.FILES.format(nation="nation")
@@ -262,7 +264,7 @@ def c_exit_codes(spark, d):
 @query(sql(f"{_RULES} SELECT row_number() OVER (ORDER BY rule, record) AS place, rule, record FROM (SELECT DISTINCT rule, record FROM x)"))
 def c_ordered_findings(spark, d):
     found = validate.record_rules(_parts(spark, d))
-    named = found.select("severity", "rule", F.when(F.col("rule") == "dangling-reference", F.col("record")).otherwise(F.get_json_object(F.lit("{}"), "$.x")).alias("record"), "message", F.col("record").alias("at"))
+    named = found.select("severity", "rule", F.when(F.col("rule") == "dangling-reference", F.col("record")).alias("record"), "message", F.col("record").alias("at"))
     k = validate.record_walk(_parts(spark, d)).select(F.concat_ws("/", "shard", "datei", "path").alias("at"), "id")
     rows = quality.ordered(named.join(k, "at", "left").select("severity", "rule", F.coalesce("record", "id").alias("record"), F.lit("").alias("message")).distinct())
     listed = rows.agg(F.array_sort(F.collect_list(F.struct("rule", "record"))).alias("x"))  # findings are few beside the records
@@ -302,7 +304,7 @@ def c_xml_header(spark, d):
 def c_parsed_records(spark, d):
     state = _state(spark, d)
     rows = build.with_themes(build.competences(state, _SPEC), build.legend(state))
-    return rows.select("doc", "id", "stufe", "bereich_nummer", "stammsatz", "text", JOINED("uebergreifende_themen").alias("themen"), JOINED("fussnoten_unaufgeloest").alias("offen"))
+    return rows.select("doc", "id", "stufe", "bereich_nummer", "stammsatz", "text", _joined("uebergreifende_themen").alias("themen"), _joined("fussnoten_unaufgeloest").alias("offen"))
 
 
 @query(xml_sql("""t AS (SELECT doc, l, o, 0 AS pos, CASE WHEN k % 3 = 0 THEN 'allenfalls ' ELSE '' END || p_type || ' addieren' AS text, k % 3 <> 0 AS verbindlich, false AS wiederholung FROM q WHERE o % 10 = 1
@@ -586,7 +588,7 @@ def c_lesson_pages(spark, d):
 @query(sql("""SELECT id, array_to_string(list_filter([CASE WHEN k % 10 = 7 THEN 'text:' || p_name || ' ' ELSE 'text:' || p_name END, CASE WHEN k % 10 = 7 THEN 'image:bild' || k % 4 || '.png' END], lambda x: x IS NOT NULL), '|') AS runs FROM r"""))
 def c_image_runs(spark, d):
     k = nested_json.competences(_parts(spark, d))
-    return k.select("id", JOINED(F.transform(lessons.image_runs(F.col("text")), lambda r: F.concat_ws(":", r["kind"], r["value"]))).alias("runs"))
+    return k.select("id", _joined(F.transform(lessons.image_runs(F.col("text")), lambda r: F.concat_ws(":", r["kind"], r["value"]))).alias("runs"))
 
 
 @query("SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'eigen' ELSE 'gemeinsam' END AS a, 'gemeinsam' AS b FROM nation")
@@ -621,7 +623,7 @@ def c_minted(spark, d):
     r = derived.records(spark, d)
     n = F.when(F.col("o") < 48, F.col("o")).otherwise(F.col("o") + 60)
     part = lambda i: F.split("shard", "[.]")[i]
-    return r.select("k", ids.mint(part(0), part(1), F.col("slug"), F.col("stufe"), n).alias("id"), F.when(~((F.col("l") == 4) & (F.col("s") >= 3)), F.regexp_replace(build.level_code("SEK1.M", F.col("l").cast("string")), "^$", "")).alias("level"))
+    return r.select("k", ids.mint(part(0), part(1), F.col("slug"), F.col("stufe"), n).alias("id"), F.when(~((F.col("l") == 4) & (F.col("s") >= 3)), build.level_code("SEK1.M", F.col("l").cast("string"))).alias("level"))
 
 
 @query("""SELECT s_suppkey, lower(replace(s_name, '#', ' ')) || ' "x" - y' AS form FROM supplier""")
@@ -645,7 +647,7 @@ def c_theme_sentence(spark, d):
     n = table(spark, d, "nation", "n_nationkey", "n_regionkey")
     last = F.when(F.col("n_nationkey") % 2 == 0, F.lit("ohne Zahl.")).otherwise(F.concat(F.lit("N"), F.char(F.col("n_regionkey") + 65), F.lit("7.")))
     text = F.concat(F.lit("Umwelt13, Wirtschafts-, Finanzbildung4, "), last)
-    return n.select("n_nationkey", JOINED(F.transform(tx.theme_sentence(text), lambda t: F.concat_ws("=", t["name"], t["number"]))).alias("themes"))
+    return n.select("n_nationkey", _joined(F.transform(tx.theme_sentence(text), lambda t: F.concat_ws("=", t["name"], t["number"]))).alias("themes"))
 
 
 @query("SELECT doc_id AS key, CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'common' WHEN l.doc_id IS NULL THEN 'removed' ELSE 'added' END AS side FROM documents d FULL JOIN labels l USING (doc_id)")

@@ -45,7 +45,12 @@ ITEMS = """j AS (SELECT r.*, n FROM r CROSS JOIN (SELECT 1 AS n UNION ALL SELECT
 
 def sql(body: str) -> str:
     """A counterpart: the body with records r and items i before it."""
-    return f"WITH {RECORDS.format(part='part')},\n{ITEMS},\n{body}" if body.lstrip().split()[1].upper() == "AS" else f"WITH {RECORDS.format(part='part')},\n{ITEMS}\n{body}"
+    return _after(f"WITH {RECORDS.format(part='part')},\n{ITEMS}", body)
+
+
+def _after(tables: str, body: str) -> str:
+    """A query, or further named tables and a query, after the tables."""
+    return tables + (",\n" if body.split()[1].upper() == "AS" else "\n") + body
 
 
 def records(spark: SparkSession, d: str) -> DataFrame:
@@ -56,7 +61,7 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql(f"WITH {RECORDS}, {ITEMS} SELECT * FROM i", part=table(spark, d, "part", "p_partkey", "p_name", "p_type"))
 
 
-def _item(row_order: str = "ordinal"):
+def _item():
     return F.struct(F.col("item_id").alias("id"), F.col("stufe"), F.col("ordinal").cast("int").alias("ordinal"), F.col("item_text").alias("text"), "verbindlich", "art", F.col("owner").alias("kompetenz_id"))
 
 
@@ -138,7 +143,7 @@ EVENTS = """d AS (SELECT DISTINCT a, slug, area_name, lower(slug) || '.xml' AS d
 
 
 def xml_sql(body: str) -> str:
-    return f"WITH {RECORDS.format(part='part')},\n{EVENTS}" + (",\n" if body.lstrip().split()[1].upper() == "AS" else "\n") + body
+    return _after(f"WITH {RECORDS.format(part='part')},\n{EVENTS}", body)
 
 
 def xml_root(spark: SparkSession, d: str) -> str:
