@@ -117,16 +117,14 @@ def test_shape_sizes(spark):
 
 def test_prose_is_mended():
     p = lambda text, kind="paragraph", **more: {"type": kind, "text": text, **more}
-    assert lessons.mended([p("Intro: (a) eins. (b) zwei")]) == [p("Intro:\n(a) eins.\n(b) zwei")]
-    assert lessons.mended([p("Tu es. A. Describe x. B. Explain y.")])[0]["text"] == "Tu es.\nA. Describe x.\nB. Explain y." and lessons.mended([p("von Emmett. J. Scott")]) == [p("von Emmett. J. Scott")]
-    assert lessons.mended([p("• a\n\n• b\nrest", "labeled", label="X")]) == [{"type": "labeled", "label": "X", "text": ""}, {"type": "list", "items": ["a", "b"]}, {"type": "paragraph", "text": "rest"}]
-    table = {"type": "table", "headers": ["a", "b"], "rows": [["1", ""]]}
-    assert lessons.mended([p("see | a | b | |---|---| | 1 |")])[:2] == [p("see"), table]
-    assert lessons.mended([{"type": "list", "items": ["x", "t | a | b | |---|---| | 1 | 2 |", "y"]}])[1:3] == [p("t"), {"type": "table", "headers": ["a", "b"], "rows": [["1", "2"]]}]
-    inside = lessons.mended([{"type": "columns", "left": [p("- a\n- b")], "right": []}, {"type": "niveau_spalte", "niveaus": [{"label": "L", "blocks": [p("x. (a) y")]}]}])
-    assert inside[0]["left"] == [{"type": "list", "items": ["a", "b"]}] and inside[1]["niveaus"][0]["blocks"][0]["text"] == "x.\n(a) y"
+    assert lessons.mended([p("eine Zeile - und | mehr"), {"type": "h2", "text": "a\n- b"}]) == [p("eine Zeile - und | mehr"), {"type": "h2", "text": "a\n- b"}]
+    assert lessons.mended([p("• a\n- b\nrest", "labeled", label="X")]) == [p("", "labeled", label="X"), {"type": "list", "items": ["a", "b"]}, p("rest")]
+    assert lessons.mended([p("see\n| a | b |\n|---|:-:|\n| 1 |\nend\nof it")]) == [p("see"), {"type": "table", "headers": ["a", "b"], "rows": [["1", ""]]}, p("end\nof it")]
+    assert lessons.mended([p("one row\n| a | b |")]) == [p("one row"), p("| a | b |")] and lessons.mended([p("\n")]) == [p("")]
+    inside = lessons.mended([{"type": "columns", "left": [p("- a\n- b")], "right": []}, {"type": "niveau_spalte", "niveaus": [{"label": "L", "blocks": [p("x\n- y")]}]}])
+    assert inside[0]["left"] == [{"type": "list", "items": ["a", "b"]}] and inside[1]["niveaus"][0]["blocks"][1]["items"] == ["y"]
     sections = [{"blocks": [p("a")]}, {"blocks": [p("3 + ■ = 5")]}]
-    assert len(lessons.with_symbol_note(sections)[1]["blocks"]) == 2 and lessons.with_symbol_note([{"blocks": [p("Use ■ for x. ■")]}]) == [{"blocks": [p("Use ■ for x. ■")]}]
+    assert len(lessons.with_symbol_note(sections)[1]["blocks"]) == 2 and lessons.with_symbol_note([{"blocks": [p("■ stands for x. ■")]}]) == [{"blocks": [p("■ stands for x. ■")]}]
     assert lessons.meta_line([{"label": "Zeit:", "value": "5"}, "x", {"text": "y"}]) == "Zeit: 5 · x · y" and lessons.marks([1, "2", {"position": 3, "label": "c"}, None, "z"]) == [(1.0, None), (2.0, None), (3.0, "c")]
 
 
@@ -152,7 +150,7 @@ def test_commands_and_exit_codes(spark, tmp_path, capsys):
 
 
 def test_grades():
-    assert [lessons.grade(d) for d in ({"grade": "K"}, {"shared": {"grade": "Grade 4"}}, {"eyebrow": "7th grade math"}, {"meta": [{"label": "Grade", "value": "11"}]}, {"title": "x"})] == [0, 4, 7, 11, None]
+    assert [lessons.grade(d) for d in ({"grade": "K"}, {"shared": {"grade": "Grade 4"}}, {"eyebrow": "7th grade math"}, {"meta": [{"label": "Grade", "value": "11"}]}, {"title": "x"}, {"eyebrow": "Kindergarten"}, {"grade": "2nd"}, {"meta": "page 3"})] == [0, 4, 7, 11, None, 0, 2, None]
 
 
 def test_extractors_in_order(spark, tmp_path):
