@@ -76,15 +76,18 @@ _INDEX = r"""pairs AS (SELECT DISTINCT lang, source, replace(lower(t), 'ß', 'ss
   idx AS (SELECT lang, term, string_agg(source, ',' ORDER BY source) AS parts, count(*) AS n FROM pairs GROUP BY lang, term HAVING count(*) <= 2)"""
 
 
+def _built_index(spark, d):
+    return index.inverted_index(table(spark, d, "documents", "text", "lang", "source"), F.col("text"), "source", ["lang"], stop=())
+
+
 def _keyword_index(spark, d):
-    """The stored index of the documents, written once in an application as a build writes it."""
-    found = lambda: index.inverted_index(table(spark, d, "documents", "text", "lang", "source"), F.col("text"), "source", ["lang"], stop=())
-    return spark.read.parquet(made(spark, d, "postings", lambda folder: found().write.parquet(folder)))
+    """The stored index of the documents, written once in an application as a build writes it; searches read it."""
+    return spark.read.parquet(made(spark, d, "postings", lambda folder: _built_index(spark, d).write.parquet(folder)))
 
 
 @query(f"WITH {_INDEX} SELECT lang, term, parts FROM idx")
 def q_inverted_index(spark, d):
-    return index.packed_postings(_keyword_index(spark, d))
+    return index.packed_postings(_built_index(spark, d))
 
 
 def _search(terms: list[str]):
