@@ -13,19 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir.  Where it is unset, one machine that is all there is takes a
-    folder beside its warehouse; a cluster must name one."""
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        if not sc._jsc.sc().isLocal():
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lexigraph-shared")
-    return sc._jsc.sc().getCheckpointDir().get()
+from ..session import shared_dir
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -110,9 +98,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, scratch: list[DataFrame], rounds: int = 60) -> DataFrame:
     """(node, root): smallest node reachable over undirected edges (u, v), by alternating large and
-    small stars; each round is written to the shared folder, and the one before goes.  Adaptive execution splits the
+    small stars; each round is written to the shared folder, and the one before goes; the last, which the result reads, joins
+    `scratch`.  Adaptive execution splits the
     rows of a star's centre in the joins.  Nodes without edges have no row."""
     spark = edges.sparkSession
     now = staged(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
@@ -132,4 +121,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         before = seen
     else:
         raise RuntimeError("components did not settle")
+    scratch.append(now)
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

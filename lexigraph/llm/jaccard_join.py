@@ -118,10 +118,16 @@ def frequency_filters(docs: DataFrame, text: str, max_bits: int = 1 << 29) -> di
 
         def flush():
             values = np.sort(np.concatenate(held))
-            bucket, rest = _cells(values, log_buckets)
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
-            rows = [(b, rest[edges[b] : edges[b + 1]].tobytes()) for b in range(buckets) if edges[b] < edges[b + 1]]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "packed"])
+            first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+            counts = np.diff(np.concatenate([first, [len(values)]])).astype(np.uint32)
+            bucket, rest = _cells(values[first], log_buckets)
+            edges, rows = np.searchsorted(bucket, np.arange(buckets + 1)), []
+            for b in range(buckets):
+                some, n = rest[edges[b] : edges[b + 1]], counts[edges[b] : edges[b + 1]]
+                if len(some):
+                    # a shingle once for each flush, however many texts have it; most need no count
+                    rows.append((b, some[n == 1].tobytes(), np.stack([some[n > 1], n[n > 1]]).tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]], ["bucket", "packed", "several"])
 
         lean_worker()
         with np.errstate(over="ignore"):
@@ -137,7 +143,7 @@ def frequency_filters(docs: DataFrame, text: str, max_bits: int = 1 << 29) -> di
                     held, size = [], 0
             if held:
                 yield flush()
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([sizes.tobytes()], pa.binary())], ["bucket", "packed"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([sizes.tobytes()], pa.binary()), pa.array([b""], pa.binary())], ["bucket", "packed", "several"])
 
     def counted(key: tuple, chunk: pa.Table) -> pa.Table:
         arrays = [np.frombuffer(x, dtype=np.uint32) for x in chunk.column("packed").to_pylist()]
@@ -145,14 +151,19 @@ def frequency_filters(docs: DataFrame, text: str, max_bits: int = 1 << 29) -> di
         if bucket < 0:
             sizes = np.sum([a.view(np.int64) for a in arrays], axis=0)
             return pa.table({"bucket": pa.array([-1], pa.int32()), "rests": [sizes.tobytes()], "powers": [b""], "total": [0], "distinct": [0]})
-        values = np.sort(np.concatenate(arrays))
+        several = [np.frombuffer(x, dtype=np.uint32).reshape(2, -1) for x in chunk.column("several").to_pylist()]
+        values = np.concatenate([*arrays, *[x[0] for x in several]])
+        weights = np.ones(len(values), dtype=np.int64)
+        weights[sum(map(len, arrays)) :] = np.concatenate([x[1] for x in several])
+        order = np.argsort(values, kind="stable")
+        values, weights = values[order], weights[order]
         first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        counts = np.diff(np.concatenate([first, [len(values)]]))
+        counts, total = np.add.reduceat(weights, first), int(weights.sum())
         more = counts > 1
         power = np.floor(np.log2(counts[more])).astype(np.uint8)
-        return pa.table({"bucket": pa.array([bucket], pa.int32()), "rests": [values[first][more].tobytes()], "powers": [power.tobytes()], "total": [len(values)], "distinct": [len(first)]})
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "rests": [values[first][more].tobytes()], "powers": [power.tobytes()], "total": [total], "distinct": [len(first)]})
 
-    rows = docs.select(text).mapInArrow(packed, "bucket int, packed binary")
+    rows = docs.select(text).mapInArrow(packed, "bucket int, packed binary, several binary")
     rows = staged(rows.groupBy("bucket").applyInArrow(counted, "bucket int, rests binary, powers binary, total long, distinct long"), "frequencies")
 
     def tallied(batches):
@@ -291,26 +302,31 @@ def _small(df: DataFrame, most: int = 32 << 20) -> DataFrame:
     return F.broadcast(df) if plan_bytes(df) <= most else df
 
 
-def _hub_links(member: DataFrame) -> DataFrame | None:
+def _hub_links(member: DataFrame, scratch: list[DataFrame]) -> DataFrame | None:
     """Links of sets to hubs: in clusters of several cells one set of each size class, then, as long as many sets are
     left, one of those that met no hub, and so on.  None if no cluster is so large."""
     place, found = ["cluster", "size_class"], None
-    large = staged(member.groupBy(*place).count().where(F.col("count") > CELL).select("cluster").distinct(), "large")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(staged(df, name))
+        return scratch[-1]
+
+    large = kept(member.groupBy(*place).count().where(F.col("count") > CELL).select("cluster").distinct(), "large")
     if not large.limit(1).count():
         return None
     rest = member.join(_small(large), "cluster", "left_semi")
     for turn in range(HUBS):
         first = rest.groupBy(*place).agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)), "rep")).alias("hub"), F.count("*").alias("c"))
-        first = staged(first.select(*place, F.col("hub.rep").alias("rep"), "c"), "hubs")
+        first = kept(first.select(*place, F.col("hub.rep").alias("rep"), "c"), "hubs")
         if not first.where(F.col("c") > CELL).limit(1).count():
             break
         hubs = member.join(_small(first.select("rep")), "rep", "left_semi")
-        hubs = staged(hubs.select("cluster", F.explode(F.sequence(F.col("size_class") - 2, F.col("size_class") + 2)).alias("size_class"), F.col("rep").alias("hub"), F.col("data").alias("hub_data")), "hubs")
+        hubs = kept(hubs.select("cluster", F.explode(F.sequence(F.col("size_class") - 2, F.col("size_class") + 2)).alias("size_class"), F.col("rep").alias("hub"), F.col("data").alias("hub_data")), "hubs")
         pairs = rest.join(_small(hubs), place).where("rep <> hub").select("rep", "data", "hub", "hub_data")
-        links = staged(pairs.mapInArrow(_checked, "u long, v long"), "links")
+        links = kept(pairs.mapInArrow(_checked, "u long, v long"), "links")
         found = links if found is None else found.unionByName(links)
         met = links.select(F.col("u").alias("rep")).unionByName(first.select("rep")).distinct()
-        rest = staged(rest.join(met, "rep", "left_anti"), "frequent")
+        rest = kept(rest.join(met, "rep", "left_anti"), "frequent")
     return found
 
 
@@ -326,26 +342,30 @@ def _checked(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _frequent_links(sets: DataFrame) -> DataFrame:
+def _frequent_links(sets: DataFrame, scratch: list[DataFrame]) -> DataFrame:
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(staged(df, name))
+        return scratch[-1]
+
     often = sets.where(F.size("hot") > 0)
     keys = often.select("rep", F.explode("hot").alias("key"))
     stars = keys.groupBy("key").agg(F.min("rep").alias("v"))
     edges = keys.join(stars, "key").where("rep != v").select(F.col("rep").alias("u"), "v").distinct()
-    cluster = components(edges).toDF("rep", "cluster")
+    cluster = components(edges, scratch).toDF("rep", "cluster")
     member = often.select("rep", "n", "data").join(cluster, "rep").withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / math.log(DEN / NUM)).cast("int"))
-    member = staged(member, "frequent")
-    hub_links = _hub_links(member)
+    member = kept(member, "frequent")
+    hub_links = _hub_links(member, scratch)
     member = member.withColumn("root", F.col("rep"))
     if hub_links is not None:
         # sets that hubs have linked need no comparison among themselves
-        roots = components(hub_links).toDF("rep", "hub_root")
-        member = staged(member.join(roots, "rep", "left").withColumn("root", F.coalesce("hub_root", "rep")).drop("hub_root"), "frequent")
+        roots = components(hub_links, scratch).toDF("rep", "hub_root")
+        member = kept(member.join(roots, "rep", "left").withColumn("root", F.coalesce("hub_root", "rep")).drop("hub_root"), "frequent")
     place = ["cluster", "size_class"]
     pure = member.groupBy(*place, "root").agg(F.count("*").alias("c")).where(F.col("c") > CELL // 2)
-    pure = _small(staged(pure.select(*place, "root", F.lit(True).alias("pure"), F.ceil(F.col("c") / CELL).alias("cells")), "roots"))
+    pure = _small(kept(pure.select(*place, "root", F.lit(True).alias("pure"), F.ceil(F.col("c") / CELL).alias("cells")), "roots"))
     placed = member.join(pure.select(*place, "root", "pure"), [*place, "root"], "left").withColumn("pure", F.coalesce("pure", F.lit(False)))
     mixed = placed.where("not pure").groupBy(*place).agg(F.ceil(F.count("*") / CELL).alias("cells")).select(*place, F.lit(0).cast("long").alias("root"), F.lit(False).alias("pure"), "cells")
-    groups = _small(staged(pure.unionByName(mixed), "cells"))
+    groups = _small(kept(pure.unionByName(mixed), "cells"))
     placed = placed.withColumn("group", F.when(F.col("pure"), F.col("root")).otherwise(0))
     groups = groups.withColumnRenamed("root", "group")
     # sets of a large root are dealt by themselves, small roots each as one, into cells; a set that is one of the
@@ -353,7 +373,7 @@ def _frequent_links(sets: DataFrame) -> DataFrame:
     # can't part two sets that may link
     near = groups.select("cluster", *[F.col(c).alias(f"near_{c}") for c in ("size_class", "pure", "group", "cells")])
     reach = groups.join(near, "cluster").where("abs(size_class - near_size_class) <= 2 and not (pure and near_pure and group = near_group)")
-    reach = _small(staged(reach, "reach"))
+    reach = _small(kept(reach, "reach"))
     cell = F.pmod(F.when(F.col("pure"), F.xxhash64("rep")).otherwise(F.xxhash64("root")), F.col("cells"))
     dealt = placed.join(reach, [*place, "pure", "group"]).withColumn("cell", cell).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("near_cells") - 1)))
     mine = F.struct("size_class", "pure", "group", "cell")
@@ -382,8 +402,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         # rows of a class carry the same set: one of them, whichever, joins for all
         sets = signed.where("data is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "data", "light", "rare", "at", "hot")])
         sets = staged(sets.drop("fp"), "sets")
-        links = staged(_light_links(sets).unionByName(_rare_links(sets, boundary)).unionByName(_frequent_links(sets)), "links")
-        roots = components(links).toDF("rep", "root")
+        scratch: list[DataFrame] = []
+        links = staged(_light_links(sets).unionByName(_rare_links(sets, boundary)).unionByName(_frequent_links(sets, scratch)), "links")
+        remove(*scratch)
+        scratch = [sets, links]
+        roots = components(links, scratch).toDF("rep", "root")
         classes = staged(classes.join(roots, "rep", "left").select("fp", F.coalesce("root", "rep").alias("component")), "classes")
-        remove(sets, links)
+        remove(*scratch)
     return signed.join(classes, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

@@ -133,5 +133,5 @@ def test_boundary_follows_cost():
 
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101), (7, 7)], "u long, v long")
-    got = dict(map(tuple, components(edges).collect()))
+    got = dict(map(tuple, components(edges, []).collect()))
     assert all(got[i] == 1 for i in range(1, 61)) and got[100] == got[101] == 100 and len(got) == 62
