@@ -8,14 +8,16 @@ a near duplicate, matches no benchmark item, stays null, and packs as an empty d
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigraph.llm import decontaminate, jaccard_join, packing, pii, quality
 from lexigraph.llm.common import bounded_batches, remove, staged, table
-from lexigraph.llm.queries import TEST_KEY
 
 BATCH_ROWS = 256
+KEY = "lexigraph.pii.key"  # the session's setting
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -61,8 +63,12 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their personal data replaced by pseudonyms under the session's lexigraph.pii.key, or the tests' key."""
-    return pii.pseudonymise(docs, spark.conf.get("lexigraph.pii.key", TEST_KEY))
+    """All documents, their personal data replaced by pseudonyms under the session's key.  Whoever has the key can invert the
+    pseudonyms, so there is no fixed one: where the session names none, it gets a random one, which equal values share until
+    the application ends."""
+    if not spark.conf.get(KEY, None):
+        spark.conf.set(KEY, secrets.token_hex(32))
+    return pii.pseudonymise(docs, spark.conf.get(KEY))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,13 +86,19 @@ STAGES = [
 ORACLE_SQL = None  # neither the classifier nor the tokenizer can be written in SQL; tests hold each stage against brute force
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    last = None
-    with bounded_batches(spark, BATCH_ROWS):
-        for name, stage in STAGES:
-            docs, before = staged(stage(spark, docs, sf_dir), name), last
-            if before is not None:
-                remove(before)
-            last = docs
+def run(spark: SparkSession, sf_dir: str, key: str | None = None) -> DataFrame:
+    """All stages over the documents of a folder, under a key of pseudonyms if one is given, else the session's."""
+    docs, before, own = spark.read.parquet(f"{sf_dir}/documents.parquet"), None, spark.conf.get(KEY, None)
+    if key:
+        spark.conf.set(KEY, key)
+    try:
+        with bounded_batches(spark, BATCH_ROWS):
+            for name, stage in STAGES:
+                docs = staged(stage(spark, docs, sf_dir), name)
+                if before is not None:
+                    remove(before)
+                before = docs
+    finally:
+        if key:
+            spark.conf.set(KEY, own) if own else spark.conf.unset(KEY)
     return docs
