@@ -98,7 +98,7 @@ def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
-    return corpus_pipeline.run(spark, sf_dir)
+    return corpus_pipeline.run(spark, sf_dir, TEST_KEY)
 
 
 QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_best_fit_packing, op4_language, op5_token_store, op6_top_k, op7_decontamination, op8_licenses, op9_quality, op10_pii, op11_resampling, op12_context_tree, op13_variants, pipeline)}

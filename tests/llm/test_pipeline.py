@@ -54,6 +54,22 @@ def test_run_ends_with_the_packing_of_what_is_left(spark, folder):
     assert 30 not in {r.doc_id for r in rows} and 40 in {r.doc_id for r in rows}
 
 
+def test_keys_of_pseudonyms(spark, folder):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "4111111111111111", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    stage = lambda: corpus_pipeline.without_personal_data(spark, docs, folder).first().text
+    spark.conf.unset(corpus_pipeline.KEY)
+    one = stage()
+    assert one == stage() and len(spark.conf.get(corpus_pipeline.KEY)) == 64  # no key that others know, one for the session
+    spark.conf.unset(corpus_pipeline.KEY)
+    assert stage() != one
+    spark.conf.set(corpus_pipeline.KEY, "mine")
+    corpus_pipeline.run(spark, folder, "another")
+    assert spark.conf.get(corpus_pipeline.KEY) == "mine"
+    spark.conf.unset(corpus_pipeline.KEY)
+
+
 def test_stages_on_an_empty_table(spark, folder):
     import corpus_pipeline
 
@@ -85,7 +101,7 @@ def test_null_and_repeated_ids(spark, folder):
 def test_registered(spark):
     from lexigraph.llm.queries import QUERIES
 
-    assert [q for q in QUERIES if q.startswith("op")] and sorted({int(q[2:].split("_")[0]) for q in QUERIES if q.startswith("op")}) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert [q for q in QUERIES if q.startswith("op")] and sorted({int(q[2:].split("_")[0]) for q in QUERIES if q.startswith("op")}) == list(range(1, 14)) and "pipeline" in QUERIES
     assert F is not None
 
 
