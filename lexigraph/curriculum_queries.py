@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import derived
-from .derived import sql, xml_sql
+from .derived import law_sql, sql, xml_sql
 from .functions import ids, text as tx
 from .operators import anchor, diff, graph, lessons, match, quality
-from .plans import build, standards, validate
+from .plans import build, regulation, standards, validate
 from .plans.curriculum import Curriculum
 from .queries import long, query
 from .session import staged, table
@@ -661,3 +661,59 @@ def c_resolved_references(spark, d):
     found = graph.resolve(c, "c_custkey", "refs", table(spark, d, "nation", "n_nationkey", "n_name", "n_regionkey"), "n_nationkey", F.col("b.n_regionkey") == 1)
     names = table(spark, d, "nation", "n_nationkey", "n_name")
     return found.join(names, found["target"] == names["n_nationkey"]).select(F.col("key").alias("c_custkey"), F.when(F.col("status") == "ok", F.col("n_name")).otherwise("").alias("name"))
+
+
+# -- a regulation with the whole grammar of its sections
+
+_LAW = regulation.Subject("SEK1.M", "MATHEMATIK", "ACHTER TEIL", "kompetenz", items=r"^Anwendungsbereiche\b.*\(", paragraph_areas=True, optional_items=True)
+
+
+def _law(spark, d) -> dict[str, DataFrame]:
+    return regulation.build(tree_xml.xml_events(spark, derived.xml_root(spark, d, "law", derived.LAW)), _LAW)
+
+
+_HEAD = "'AT.LP23.SEK1.M.' || {} || '.K' || l || '.' || lpad(CAST(row_number() OVER (PARTITION BY doc, l ORDER BY o) AS VARCHAR), 2, '0')"
+
+
+@query(law_sql("""SELECT doc, idx, pos, CASE WHEN g = 1 THEN 'preamble' WHEN g = 2 THEN 'preamble' WHEN g < 2000000 THEN 'competences' WHEN g < 3000000 THEN 'items' WHEN g < 4000000 THEN 'integrated' WHEN g < 6000000 THEN 'appendix' ELSE 'after' END AS state
+  FROM e JOIN d USING (doc) WHERE a % 5 <> 4 AND g BETWEEN 1 AND 6000000 UNION ALL SELECT doc, idx, pos, 'wrong_part' FROM e JOIN d USING (doc) WHERE a % 5 = 4 AND g = 1"""))
+def c_law_states(spark, d):
+    return _law(spark, d)["events"].select("doc", long("idx"), long("pos"), "state")
+
+
+@query(law_sql(f"""SELECT doc, {_HEAD.format("'BEREICH' || a")} AS id, 1 AS bereich_nummer, area_name AS bereich_name, CASE WHEN l = 3 THEN '' ELSE 'Die Schülerinnen und Schüler können' END AS stammsatz, entry AS text FROM q WHERE a % 5 <> 4
+  UNION ALL SELECT doc, {_HEAD.format("'GZINTEGRATIV'")}, NULL, 'Integrative Führung von Geometrisches Zeichnen', 'Die Schülerinnen und Schüler können', 'zeichnen ' || entry FROM q WHERE a % 5 <> 4 AND o % 10 = 4 AND l > 2"""))
+def c_law_competences(spark, d):
+    return _law(spark, d)["competences"].select("doc", "id", "bereich_nummer", "bereich_name", "stammsatz", "text")
+
+
+@query(law_sql("""t AS (SELECT *, 0 AS p, CASE WHEN k % 3 = 0 THEN 'allenfalls ' ELSE '' END || p_type || ' addieren' AS text, k % 3 <> 0 AS verbindlich, false AS wiederholung FROM q WHERE o % 10 IN (1, 2, 3)
+  UNION ALL SELECT *, 1, 'Wiederholen und Festigen: ' || p_type, true, true FROM q WHERE o % 10 = 1),
+  n AS (SELECT *, CASE WHEN o % 10 = 2 THEN 'DT' ELSE 'AB' END AS art FROM t WHERE a % 5 <> 4),
+  m AS (SELECT *, row_number() OVER (PARTITION BY doc, l, art ORDER BY o, p) AS ordinal FROM n)
+  SELECT doc, CASE WHEN ordinal < 100 THEN 'AT.LP23.SEK1.M.' || art || '.BEREICH' || a || '.K' || l || '.' || lpad(CAST(ordinal AS VARCHAR), 2, '0') END AS id, art, text, verbindlich, wiederholung,
+    CASE WHEN o % 10 = 1 THEN 'Die Schülerinnen und Schüler können ' || entry END AS block_text, o % 10 <> 3 AS attached FROM m"""))
+def c_law_items(spark, d):
+    return _law(spark, d)["items"].select("doc", "id", "art", "text", "verbindlich", "wiederholung", "block_text", F.col("block_idx").isNotNull().alias("attached"))
+
+
+@query(law_sql("SELECT doc, 'Didaktische Hinweise' AS titel, 'K1' AS stufe, 'Hinweis ' || entry AS text FROM q WHERE o % 10 = 5 AND l = 1 AND a % 5 <> 4"))
+def c_law_extras(spark, d):
+    return _law(spark, d)["extras"].select("doc", "titel", "stufe", "text")
+
+
+@query(law_sql("""SELECT doc, 'subject-in-wrong-part' AS rule, 1 AS n FROM d WHERE a % 5 = 4
+  UNION ALL SELECT doc, 'unknown-heading', 1 FROM d WHERE a % 5 <> 4
+  UNION ALL SELECT doc, 'unmapped-area', 2 * count(*) FROM dl WHERE a % 5 <> 4 GROUP BY doc
+  UNION ALL SELECT doc, 'competence-without-stem', 1 FROM dl WHERE l = 3 AND a % 5 <> 4
+  UNION ALL SELECT doc, 'items-without-sentence', count(*) FROM q WHERE o % 10 = 3 AND a % 5 <> 4 GROUP BY doc"""))
+def c_law_issues(spark, d):
+    return _law(spark, d)["issues"].groupBy("doc", "rule").agg(F.count("*").alias("n"))
+
+
+@query(law_sql("""SELECT doc, kind, number, name FROM d, (VALUES ('legend', '6', 'Umwelt'), ('legend', '7', 'Sprache'), ('subject', '6', 'Umwelt'), ('subject', '7', 'Sprach-, Medien- und Lesebildung')) v(kind, number, name) WHERE a % 5 <> 4
+  UNION ALL SELECT doc, 'area', 'BEREICH' || a, area_name FROM d WHERE a % 5 <> 4"""))
+def c_law_names(spark, d):
+    t = _law(spark, d)
+    rows = t["legend"].select("doc", F.lit("legend").alias("kind"), "number", "name").unionByName(t["themes"].select("doc", F.lit("subject").alias("kind"), "number", "name"))
+    return rows.unionByName(t["areas"].select("doc", F.lit("area").alias("kind"), F.col("slug").alias("number"), "name"))

@@ -142,15 +142,53 @@ EVENTS = """d AS (SELECT DISTINCT a, slug, area_name, lower(slug) || '.xml' AS d
   e AS (SELECT *, dense_rank() OVER (PARTITION BY doc ORDER BY g) - 1 AS idx FROM e0)"""
 
 
+#: e: a regulation for each area of SEK1.M with every kind of heading, list and table that a subject's section may have
+LAW = """d AS (SELECT DISTINCT a, slug, area_name, lower(slug) || '.xml' AS doc FROM r WHERE s = 5),
+  dl AS (SELECT DISTINCT d.*, l FROM d JOIN r USING (a) WHERE s = 5),
+  q AS (SELECT d.doc, d.area_name, r.*, p_name || ' ' || lpad(CAST(o AS STRING), 2, '0') AS entry, row_number() OVER (PARTITION BY d.doc, l, o % 10 ORDER BY o) AS nth FROM d JOIN r USING (a) WHERE r.s = 5),
+  e0 AS (SELECT doc, 0 AS g, 0 AS pos, 'ueberschrift' AS element, 'g1' AS typ, CASE WHEN a % 5 = 4 THEN 'NEUNTER TEIL' ELSE 'ACHTER TEIL' END AS text, '' AS sup FROM d
+    UNION ALL SELECT doc, 1, 0, 'ueberschrift', 'g1', 'MATHEMATIK', '' FROM d
+    UNION ALL SELECT doc, 2, 0, 'absatz', 'abs', 'Dieser Lehrplan greift folgende übergreifende Themen auf: Umwelt6, Sprach-, Medien- und Lesebildung7.', '' FROM d
+    UNION ALL SELECT doc, 3, 0, 'ueberschrift', 'erll', 'Kompetenzbereiche (1. bis 4. Klasse):', '' FROM d
+    UNION ALL SELECT doc, 1000000 + l * 10000, 0, 'absatz', 'erltext', CAST(l AS STRING) || '. Klasse:', '' FROM dl
+    UNION ALL SELECT doc, 1000000 + l * 10000 + 1, 0, 'absatz', 'abs', 'Anwendungsbereiche', '' FROM dl WHERE l = 2
+    UNION ALL SELECT doc, 1000000 + l * 10000 + 2, 0, 'ueberschrift', 'erll', 'Kompetenzbereich 1: ' || area_name, '' FROM dl
+    UNION ALL SELECT doc, 1000000 + l * 10000 + 3, 0, 'absatz', 'abs', 'Die Schülerinnen und Schüler können', '' FROM dl WHERE l <> 3
+    UNION ALL SELECT doc, 1000000 + l * 10000 + 4, row_number() OVER (PARTITION BY doc, l ORDER BY o) - 1, 'listelem', NULL, entry, CASE k % 4 WHEN 0 THEN '6' WHEN 1 THEN '99' ELSE '' END FROM q
+    UNION ALL SELECT doc, 2000000, 0, 'ueberschrift', 'erll', 'Anwendungsbereiche (1. bis 4. Klasse):', '' FROM d
+    UNION ALL SELECT doc, 2000000 + l * 10000, 0, 'absatz', 'erltext', CAST(l AS STRING) || '. Klasse:', '' FROM dl
+    UNION ALL SELECT doc, 2000000 + l * 10000 + 1, 0, 'absatz', 'abs', 'Kompetenzbereich 1: ' || area_name, '' FROM dl
+    UNION ALL SELECT doc, 2000000 + l * 10000 + o * 100, 0, 'absatz', 'abs', 'Die Schülerinnen und Schüler können ' || entry, '' FROM q WHERE o % 10 = 1
+    UNION ALL SELECT doc, 2000000 + l * 10000 + o * 100, 0, 'absatz', 'abs', 'Vorschläge für den Einsatz digitaler Technologien in der ' || CAST(l AS STRING) || '. Klasse', '' FROM q WHERE o % 10 = 2
+    UNION ALL SELECT doc, 2000000 + l * 10000 + o * 100 + 1, 0, 'listelem', NULL, CASE WHEN k % 3 = 0 THEN 'allenfalls ' ELSE '' END || p_type || ' addieren', '' FROM q WHERE o % 10 IN (1, 2, 3)
+    UNION ALL SELECT doc, 2000000 + l * 10000 + o * 100 + 1, 1, 'listelem', NULL, 'Wiederholen und Festigen: ' || p_type, '' FROM q WHERE o % 10 = 1
+    UNION ALL SELECT doc, 3000000, 0, 'ueberschrift', 'erll', 'Kompetenzen für den Mathematik-Lehrplan bei integrativer Führung von Geometrisches Zeichnen (1. bis 4. Klasse):', '' FROM d
+    UNION ALL SELECT doc, 3000000 + l * 10000, 0, 'absatz', 'erltext', CAST(l AS STRING) || '. Klasse:', '' FROM dl WHERE l > 2
+    UNION ALL SELECT doc, 3000000 + l * 10000 + 1, 0, 'absatz', 'abs', 'Die Schülerinnen und Schüler können', '' FROM dl WHERE l > 2
+    UNION ALL SELECT doc, 3000000 + l * 10000 + 2, nth - 1, 'listelem', NULL, 'zeichnen ' || entry, '' FROM q WHERE o % 10 = 4 AND l > 2
+    UNION ALL SELECT doc, 4000000, 0, 'ueberschrift', 'erll', 'Didaktische Hinweise', '' FROM d
+    UNION ALL SELECT doc, 4000000 + l * 10000, 0, 'absatz', 'erltext', CAST(l AS STRING) || '. Klasse:', '' FROM dl WHERE l = 1
+    UNION ALL SELECT doc, 4000000 + l * 10000 + 1, nth - 1, 'listelem', NULL, 'Hinweis ' || entry, '' FROM q WHERE o % 10 = 5 AND l = 1
+    UNION ALL SELECT doc, 5000000, 0, 'td', NULL, '6 Umwelt', '' FROM d UNION ALL SELECT doc, 5000000, 1, 'td', NULL, '7 Sprache', '' FROM d
+    UNION ALL SELECT doc, 6000000, 0, 'ueberschrift', 'erll', 'LEHRPLANZUSATZ Deutsch', '' FROM d
+    UNION ALL SELECT doc, 6000001, 0, 'ueberschrift', 'erll', 'Kompetenzbereiche (1. bis 4. Klasse):', '' FROM d
+    UNION ALL SELECT doc, 6000002, nth - 1, 'listelem', NULL, 'nicht mehr ' || entry, '' FROM q WHERE o % 10 = 6 AND l = 1),
+  e AS (SELECT *, dense_rank() OVER (PARTITION BY doc ORDER BY g) - 1 AS idx FROM e0)"""
+
+
 def xml_sql(body: str) -> str:
     return _after(f"WITH {RECORDS.format(part='part')},\n{EVENTS}", body)
 
 
-def xml_root(spark: SparkSession, d: str) -> str:
-    """A folder of XML documents."""
+def law_sql(body: str) -> str:
+    return _after(f"WITH {RECORDS.format(part='part')},\n{LAW}", body)
+
+
+def xml_root(spark: SparkSession, d: str, name: str = "xml", tables: str = EVENTS) -> str:
+    """A folder of XML documents, a document for each group of the events that the tables hold."""
 
     def write(folder: str) -> None:
-        e = spark.sql(f"WITH {RECORDS}, {EVENTS} SELECT * FROM e", part=table(spark, d, "part", "p_partkey", "p_name", "p_type"))
+        e = spark.sql(f"WITH {RECORDS}, {tables} SELECT * FROM e", part=table(spark, d, "part", "p_partkey", "p_name", "p_type"))
         inner = F.concat("text", F.when(F.col("sup") != "", F.concat(F.lit("<super>"), "sup", F.lit("</super>"))).otherwise(""))
         one = F.concat(F.lit("<"), "element", F.when(F.col("typ").isNotNull(), F.concat(F.lit(' typ="'), "typ", F.lit('"'))).otherwise(""), F.lit(">"), inner, F.lit("</"), "element", F.lit(">"))
         child = e.groupBy("doc", "idx", "element").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", one.alias("x")))), lambda x: x["x"]), "").alias("x"))
@@ -159,7 +197,7 @@ def xml_root(spark: SparkSession, d: str) -> str:
         value = F.concat(F.lit('<risdok xmlns="http://www.bka.gv.at"><nutzdaten><abschnitt>'), "x", F.lit("</abschnitt></nutzdaten></risdok>"))
         snapshots.write_documents(docs.select(F.col("doc").alias("file"), value.alias("value")), folder)
 
-    return made(spark, d, "xml", write)
+    return made(spark, d, name, write)
 
 
 def standards_root(spark: SparkSession, d: str) -> str:

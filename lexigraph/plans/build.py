@@ -121,7 +121,10 @@ def items(state: DataFrame, spec: Spec) -> DataFrame:
 
 def legend(state: DataFrame) -> DataFrame:
     """(doc, number, name) of the theme table; a section's first entry for a number counts."""
-    cells = state.where("section = 'legende' and token in ('zelle', 'eintrag', 'absatz')")
+    return legend_entries(state.where("section = 'legende' and token in ('zelle', 'eintrag', 'absatz')"))
+
+
+def legend_entries(cells: DataFrame) -> DataFrame:
     pairs = cells.select("doc", "idx", "pos", F.regexp_extract("text", r"^([0-9]{1,2})\s*(\D.*)$", 1).alias("number"), F.trim(F.regexp_extract("text", r"^([0-9]{1,2})\s*(\D.*)$", 2)).alias("name")).where("number <> ''")
     return pairs.groupBy("doc", "number").agg(F.min_by("name", F.struct("idx", "pos")).alias("name"))
 
