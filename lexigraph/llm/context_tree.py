@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 from .common import as_bytes, bounded_batches, in_parts, lean_worker, plan_bytes, remove, staged
 from .shingles import mix64, word_hashes
 
-BLOCK = 8 << 20  # bytes of stored documents to a block
+BLOCK = 5 << 20  # bytes of stored documents to a block
 FAN = 64  # blocks whose arrays are merged, or answered, at a time
 SPLIT = 3  # nearest bytes of context that a shard's subtrees share
-_HELD = 4_000_000  # grams and words of a block that are kept before they are merged
+_HELD = 1_500_000  # grams and words of a block that are kept before they are merged
 _GRAMS, _WORDS = 0, 1
 _END = np.uint64(1)  # what stands for the end of a text among hashes of words
 _TABLE = 4096
@@ -330,34 +330,37 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         answers = staged(answered(arrays, counts, blocks, top, depth, split), "answers")
         remove(arrays, counts)
 
-    def added(group: pa.Table, answers: pa.Table) -> pa.Table:
-        lean_worker()
-        known = {}
-        kinds = answers.column("kind").to_numpy()
-        for kind in (_GRAMS, _WORDS):
-            part = answers.filter(pa.array(kinds == kind))
-            keys, values = np.concatenate(_numbers(part.column("keys"), np.uint64)), np.concatenate(_numbers(part.column("values"), np.float64))
-            order = np.argsort(keys, kind="stable")
-            known[kind] = keys[order], values[order]
-        out = []
-        for batch in in_parts(group.select(["doc_id", "text", "held_out"]).to_batches(), rows=256):
-            texts = normalised(as_bytes(batch.column(1)))
-            n = len(texts)
-            keys, owner = grams(texts, depth)
-            # grams of one kind side by side are looked up once: number of the text in the low byte
-            keys = np.sort(keys << np.uint64(8) | owner.astype(np.uint64))
-            owner, keys = (keys & np.uint64(255)).astype(np.int64), keys >> np.uint64(8)
-            first = _firsts(keys)
-            each = known[_GRAMS][1][np.searchsorted(known[_GRAMS][0], keys[first])]
-            total = np.bincount(owner, weights=np.repeat(each, np.diff(np.append(first, len(keys)))), minlength=n)
-            words, owner = tokens(texts)
-            distinct_words, where = np.unique(words, return_inverse=True)
-            count = known[_WORDS][1][np.searchsorted(known[_WORDS][0], distinct_words)][where]
-            n_tokens = np.bincount(owner, minlength=n)
-            base = np.bincount(owner, weights=np.log10(count + 1), minlength=n) - n_tokens * math.log10(n_all + distinct + 1)
-            bits = -total / math.log10(2) / (np.array([len(t) for t in texts]) + 1)
-            out.append(pa.table({"doc_id": batch.column(0), "held_out": batch.column(2), "n_tokens": n_tokens, "n_known": np.bincount(owner, weights=count > 0, minlength=n).astype(np.int64), "train_tokens": np.full(n, n_all, np.int64), "base_score": base, "score": total, "bits_per_byte": bits}))
-        return pa.concat_tables(out)
-
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return row.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(added, schema)
+        def added(group: pa.Table, answers: pa.Table) -> pa.Table:
+            lean_worker()
+            known = {}
+            kinds = answers.column("kind").to_numpy()
+            for kind in (_GRAMS, _WORDS):
+                part = answers.filter(pa.array(kinds == kind))
+                keys, values = np.concatenate(_numbers(part.column("keys"), np.uint64)), np.concatenate(_numbers(part.column("values"), np.float64))
+                order = np.argsort(keys, kind="stable")
+                known[kind] = keys[order], values[order]
+            out = []
+            for batch in in_parts(group.select(["doc_id", "text", "held_out"]).to_batches(), rows=256):
+                texts = normalised(as_bytes(batch.column(1)))
+                n = len(texts)
+                keys, owner = grams(texts, depth)
+                # grams of one kind side by side are looked up once: number of the text in the low byte
+                keys = np.sort(keys << np.uint64(8) | owner.astype(np.uint64))
+                owner, keys = (keys & np.uint64(255)).astype(np.int64), keys >> np.uint64(8)
+                first = _firsts(keys)
+                each = known[_GRAMS][1][np.searchsorted(known[_GRAMS][0], keys[first])]
+                total = np.bincount(owner, weights=np.repeat(each, np.diff(np.append(first, len(keys)))), minlength=n)
+                words, owner = tokens(texts)
+                distinct_words, where = np.unique(words, return_inverse=True)
+                count = known[_WORDS][1][np.searchsorted(known[_WORDS][0], distinct_words)][where]
+                n_tokens = np.bincount(owner, minlength=n)
+                base = np.bincount(owner, weights=np.log10(count + 1), minlength=n) - n_tokens * math.log10(n_all + distinct + 1)
+                bits = -total / math.log10(2) / (np.array([len(t) for t in texts]) + 1)
+                out.append(pa.table({"doc_id": batch.column(0), "held_out": batch.column(2), "n_tokens": n_tokens, "n_known": np.bincount(owner, weights=count > 0, minlength=n).astype(np.int64), "train_tokens": np.full(n, n_all, np.int64), "base_score": base, "score": total, "bits_per_byte": bits}))
+            return pa.concat_tables(out)
+
+        schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
+        # worked out here, in small batches
+        out = staged(row.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(added, schema), "scores")
+        remove(answers)
+    return out

@@ -234,7 +234,7 @@ def test_context_tree_extremes(spark):
 
 
 def test_held_out_documents_are_likelier_than_by_their_words_alone(spark):
-    got = context_tree.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), held_out()).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    got = context_tree.score(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), held_out()).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
 
 
