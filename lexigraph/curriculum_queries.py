@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from . import derived
 from .derived import law_sql, sql, xml_sql
 from .functions import ids, text as tx
-from .operators import anchor, diff, graph, lessons, match, quality
+from .operators import anchor, diff, graph, lessons, match, quality, schema_check
 from .plans import build, regulation, standards, validate
 from .plans.curriculum import Curriculum
 from .queries import long, query
@@ -717,3 +717,37 @@ def c_law_names(spark, d):
     t = _law(spark, d)
     rows = t["legend"].select("doc", F.lit("legend").alias("kind"), "number", "name").unionByName(t["themes"].select("doc", F.lit("subject").alias("kind"), "number", "name"))
     return rows.unionByName(t["areas"].select("doc", F.lit("area").alias("kind"), F.col("slug").alias("number"), "name"))
+
+
+# -- documents against a schema
+
+_ORDER_SCHEMA = {
+    "type": "object",
+    "required": ["id", "status", "customer", "notes"],
+    "additionalProperties": False,
+    "properties": {
+        "id": {"type": "integer", "minimum": 1},
+        "status": {"enum": ["F", "O"]},
+        "customer": {"$ref": "#/$defs/customer"},
+        "notes": {"type": "array", "maxItems": 2, "items": {"oneOf": [{"type": "string", "minLength": 1}, {"$ref": "#/$defs/note"}]}},
+    },
+    "$defs": {
+        "customer": {"type": "object", "required": ["key", "price"], "properties": {"key": {"type": "string", "pattern": "^C[0-9]+$"}, "price": {"type": "number", "exclusiveMaximum": 150000}}},
+        "note": {"type": "object", "properties": {"to": {"type": "array", "items": {"type": "object", "required": ["name"], "properties": {"name": {"const": "x"}}}}}, "required": ["to"]},
+    },
+}
+#: o: an order as JSON; what breaks the schema follows from its key
+_ORDERS = """o AS (SELECT o_orderkey AS k, CAST(o_totalprice AS BIGINT) AS price, o_orderstatus AS st, '{{"id":' || CAST(o_orderkey - CASE WHEN o_orderkey % 5 = 0 THEN 100000000000 ELSE 0 END AS STRING) || CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE ',"status":"' || o_orderstatus || '"' END
+  || ',"customer":{{"key":"' || CASE WHEN o_orderkey % 11 = 0 THEN 'K' ELSE 'C' END || CAST(o_custkey AS STRING) || '","price":' || CAST(CAST(o_totalprice AS BIGINT) AS STRING) || '}},"notes":['
+  || CASE o_orderkey % 6 WHEN 0 THEN '"a","b","c"' WHEN 1 THEN '""' WHEN 2 THEN '{{"to":[{{"name":"x"}},{{"name":"y"}},{{}}]}}' WHEN 3 THEN '5,"a"' WHEN 4 THEN '{{"to":[{{"name":"x"}}]}}' ELSE '' END || ']'
+  || CASE WHEN o_orderkey % 13 = 0 THEN ',"more":1' ELSE '' END || CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE '}}' END AS text FROM {orders})"""
+
+
+@query(f"""WITH {_ORDERS.format(orders='orders')}, v AS (SELECT * FROM o WHERE k % 17 <> 0), x AS (SELECT k, '' AS path, 'json' AS keyword FROM o WHERE k % 17 = 0
+  UNION ALL SELECT k, '/id', 'minimum' FROM v WHERE k % 5 = 0 UNION ALL SELECT k, '/status', 'required' FROM v WHERE k % 7 = 0 UNION ALL SELECT k, '/status', 'enum' FROM v WHERE k % 7 <> 0 AND st NOT IN ('F', 'O')
+  UNION ALL SELECT k, '/customer/key', 'pattern' FROM v WHERE k % 11 = 0 UNION ALL SELECT k, '/customer/price', 'exclusiveMaximum' FROM v WHERE price >= 150000
+  UNION ALL SELECT k, '/notes', 'maxItems' FROM v WHERE k % 6 = 0 UNION ALL SELECT k, '/notes/0', 'oneOf' FROM v WHERE k % 6 IN (1, 2, 3) UNION ALL SELECT k, '/more', 'additionalProperties' FROM v WHERE k % 13 = 0)
+  SELECT k, path, keyword FROM x""")
+def c_schema_violations(spark, d):
+    o = spark.sql(f"WITH {_ORDERS} SELECT k, text FROM o", orders=table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"))
+    return schema_check.violations(o, "k", "text", _ORDER_SCHEMA)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions.text import IMAGE
-from ..operators import quality as q
+from ..operators import quality as q, schema_check
 from ..operators.index import part_catalog
 from ..session import staged
 from ..sources import nested_json
@@ -102,6 +102,18 @@ def shape_rules(texts: DataFrame) -> DataFrame:
     )
 
 
+def schema_rules(texts: DataFrame, schema: dict) -> DataFrame:
+    """Documents (datei, value) against a JSON Schema, a finding for each violation at its place."""
+    found = schema_check.violations(texts, "datei", "value", schema)
+    return q.finding(found.where("keyword <> 'json'"), q.SOFT, "schema-violation", F.col("datei"), F.concat_ws(": ", F.when(F.col("path") == "", "<root>").otherwise(F.col("path")), "keyword"))
+
+
+def unreadable_registry(texts: DataFrame) -> DataFrame:
+    """Registries (datei, value) that are no JSON object."""
+    sound = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
+    return q.finding(texts.where(~sound), q.HARD, "registry-unreadable", F.col("datei"), "not a JSON object")
+
+
 def item_rules(walk: DataFrame) -> DataFrame:
     """Items without what every item states, and levels that no shard has."""
     stated = lambda f: F.get_json_object("record", f"$.{f}")
@@ -110,11 +122,16 @@ def item_rules(walk: DataFrame) -> DataFrame:
     return q.together(q.missing_required(items, F.col("__at"), "art", "verbindlich"), q.finding(levels, q.SOFT, "schema-violation", F.concat_ws("/", "shard", "datei", "path"), F.concat(F.lit("stufe="), "stufe")))
 
 
+def part_texts(spark: SparkSession, root: str) -> DataFrame:
+    """(value, datei) of all parts, as they stand."""
+    return spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("datei")).where("datei <> 'index.json'")
+
+
 def file_rules(spark: SparkSession, root: str) -> DataFrame:
     """Unreadable parts, oversize parts, and stored indexes against what the parts hold."""
     rows = nested_json.parts(spark, root)
     name = F.concat_ws("/", "shard", "datei")
-    texts = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("datei")).where("datei <> 'index.json'")
+    texts = part_texts(spark, root)
     broken = ~F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
     index = nested_json.stored_index(spark, root).select("shard", F.explode_outer("teile").alias("t"), (F.size("teile") >= 0).alias("sound"))
     have = rows.select("shard", "datei", F.coalesce(F.aggregate("kompetenzbereiche", F.lit(0), lambda s, b: s + F.greatest(F.size(b["kompetenzen"]), F.lit(0))), F.lit(0)).alias("kompetenzen"))
@@ -153,10 +170,15 @@ def count_rules(parts: DataFrame, expected: DataFrame) -> DataFrame:
     return q.finding(both.where("expected <> measured"), q.SOFT, "count-mismatch-vs-frozen-expected", F.concat_ws("/", "shard", "kind"), F.concat_ws(" ", F.col("expected").cast("string"), F.col("measured").cast("string")))
 
 
-def validate(spark: SparkSession, root: str, registry: DataFrame | None = None, files: DataFrame | None = None, expected: DataFrame | None = None, frozen_areas: bool = False) -> DataFrame:
-    """All findings of a data root; with frozen_areas, areas must be of the frozen table."""
+def validate(spark: SparkSession, root: str, registry: DataFrame | None = None, files: DataFrame | None = None, expected: DataFrame | None = None, frozen_areas: bool = False, schema: dict | None = None, registry_texts: DataFrame | None = None) -> DataFrame:
+    """All findings of a data root; with frozen_areas, areas must be of the frozen table; with a schema, parts are held against it; with
+    registry_texts (datei, value), registries must be readable."""
     parts = nested_json.parts(spark, root).where("_corrupt_record is null")
     out = q.together(file_rules(spark, root), meta_rules(parts), record_rules(parts), registry_rules(parts, registry, files))
+    if schema is not None:
+        out = out.unionByName(schema_rules(part_texts(spark, root), schema))
+    if registry_texts is not None:
+        out = out.unionByName(unreadable_registry(registry_texts))
     if frozen_areas:
         areas = nested_json.areas(parts)
         out = out.unionByName(q.finding(areas.where(~ids.known_area(F.col("shard"), F.col("slug"))), q.SOFT, "unknown-area-code", F.concat_ws("/", "shard", "datei"), F.col("slug")))
