@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from . import derived
 from .derived import law_sql, sql, xml_sql
 from .functions import ids, text as tx
-from .operators import anchor, diff, graph, lessons, match, quality, schema_check
+from .operators import anchor, dictionary, diff, graph, lessons, match, quality, schema_check
 from .plans import build, regulation, standards, validate
 from .plans.curriculum import Curriculum
 from .queries import long, query
@@ -32,7 +32,9 @@ def _parts(spark, d) -> DataFrame:
 def _plan(spark, d) -> Curriculum:
     root = derived.root(spark, d)
     tables = derived.made(spark, d, "tables", lambda folder: nested_json.store(nested_json.tables(spark, root), folder))
-    return Curriculum(spark, root, derived.standards_root(spark, d), derived.material_root(spark, d), stored=tables)
+    own = lambda **more: Curriculum(spark, root, derived.standards_root(spark, d), derived.material_root(spark, d), stored=tables, **more)
+    # a build stores the index beside its parts
+    return own(dictionary=derived.made(spark, d, "dictionary", lambda folder: dictionary.store(own().keyword_index(), "shard", folder)))
 
 
 def _labelled(**frames: DataFrame) -> DataFrame:

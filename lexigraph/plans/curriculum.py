@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import ids
 from ..functions.text import STOP_WORDS, casefold, full_wording, level_at_least
 from ..operators import bind, index
+from ..operators.dictionary import Dictionary
 from ..sources import docs as docs_source
 from ..sources import nested_json
 from ..session import small
@@ -33,10 +34,12 @@ class Curriculum:
     Filters on shard and area reach the scan when the tables are stored by band and subject; the
     metadata of a shard is one row and is joined as such."""
 
-    def __init__(self, spark: SparkSession, root: str, standards: str | None = None, material: str | None = None, stored: str | None = None):
-        """stored names a folder that nested_json.store filled, whose tables are then read instead of the documents."""
+    def __init__(self, spark: SparkSession, root: str, standards: str | None = None, material: str | None = None, stored: str | None = None, dictionary: str | None = None):
+        """stored names a folder that nested_json.store filled, whose tables are then read instead of the documents; dictionary
+        one that operators.dictionary.store filled with the keyword index by shard."""
         self.spark, self.standards, self.material = spark, standards, material
         self.tables = nested_json.stored(spark, stored) if stored else nested_json.tables(spark, root)
+        self.dictionary = Dictionary(spark, dictionary, "shard") if dictionary else None
         self.shards = [r.shard for r in self.tables.meta.select("shard").orderBy("shard").collect()]
 
     # -- guards
@@ -78,6 +81,11 @@ class Curriculum:
             words = words.where(F.col("shard") == shard)
         return index.inverted_index(words, F.col("text"), "datei", ["shard"], stop=stop)
 
+    def _route(self, shard: str, terms: list[str]) -> DataFrame:
+        """(datei, exact) of the parts that the keyword index leads to: the stored one, or one made here."""
+        found = self.dictionary.route(shard, terms) if self.dictionary else index.route(self.keyword_index(shard), terms)
+        return found.withColumnRenamed("part", "datei")
+
     def finde_kompetenz(self, fach: str, stufe: str | None = None, kompetenzbereich: str | None = None, code: str | None = None, stichworte: list[str] | None = None) -> DataFrame:
         """Records of a subject by level, area (slug or name, folded) and keywords (any), all of which must hold.  A code
         takes the keywords' place: its record by level and area, or nothing if no record or another subject has it."""
@@ -96,13 +104,13 @@ class Curriculum:
         terms = [t for t in stichworte or [] if t and t.strip()]
         if terms and code is None:
             hay = F.concat_ws(" ", "stammsatz", "text", "text_roh")
-            rows = index.routed_search(rows, hay, "datei", self.keyword_index(shard), terms)
+            rows = rows.where(index.has_term(hay, terms)).join(self._route(shard, terms), "datei", "left_semi")
         return rows.orderBy(F.coalesce("stufe", F.lit("")), F.coalesce("bereich_slug", F.lit("")), F.coalesce("ordinal", F.lit(0)))
 
     def stichwort_abdeckung(self, fach: str, begriff: str) -> DataFrame:
         """One row: suchstatus, exakt, kompetenz_ids, lehrstoff_ids of the parts that the index leads to."""
         shard = self._shard(fach)
-        parts = index.route(self.keyword_index(shard), [begriff]).withColumnRenamed("part", "datei")
+        parts = self._route(shard, [begriff])
         hay = F.concat_ws(" ", "stammsatz", "text", "text_roh")
         k = self.tables.competences.where((F.col("shard") == shard) & index.has_term(hay, [begriff])).join(parts, "datei", "left_semi")
         i = self.tables.items.where((F.col("shard") == shard) & (F.col("art") == "praezisierung") & index.has_term(F.concat_ws(" ", "text", "text_roh"), [begriff])).join(parts, "datei", "left_semi")
