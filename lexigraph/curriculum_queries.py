@@ -5,6 +5,8 @@ file; they work on the records that the files were made from."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,8 +19,9 @@ from .operators import anchor, dictionary, diff, graph, lessons, match, quality,
 from .plans import build, regulation, standards, validate
 from .plans.curriculum import Curriculum
 from .queries import long, query
-from .session import staged, table
-from .sources import docs, nested_json, snapshots, tree_xml
+from .session import shared_dir, staged, table
+from .sources import docs, nested_json, paged, publish, snapshots, tree_xml
+from .streaming import postings
 
 
 def _joined(c) -> Column:
@@ -753,3 +756,64 @@ _ORDERS = """o AS (SELECT o_orderkey AS k, CAST(o_totalprice AS BIGINT) AS price
 def c_schema_violations(spark, d):
     o = spark.sql(f"WITH {_ORDERS} SELECT k, text FROM o", orders=table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"))
     return schema_check.violations(o, "k", "text", _ORDER_SCHEMA)
+
+
+# -- a paged service, published files, conversions by content, postings that follow changes
+
+_HITS = """h AS (SELECT c_custkey AS k, c_name AS name, CAST(floor(c_custkey / 40) AS INT) + 1 AS page FROM {customer} UNION ALL SELECT c_custkey, 'late', CAST(floor(c_custkey / 40) AS INT) FROM {customer} WHERE c_custkey % 40 = 0 AND c_custkey > 0)"""
+
+
+@query(f"WITH {_HITS.format(customer='customer')} SELECT CAST(k AS VARCHAR) AS key, min(page) AS page, arg_min(name, page) AS name FROM h GROUP BY k")
+def c_paged_hits(spark, d):
+    hits = spark.sql(f"WITH {_HITS} SELECT * FROM h", customer=table(spark, d, "customer", "c_custkey", "c_name"))
+    pages = hits.groupBy("page").agg(F.to_json(F.collect_list(F.struct("k", "name"))).alias("value"))  # some forty hits a page
+    folder = derived.made(spark, d, "hits", lambda to: publish.publish(pages.select(F.concat("page", F.lit(".json")).alias("file"), "value"), to))
+
+    def fetch(page: int) -> list[dict]:
+        files, place = publish._place(f"{folder}/{page}.json")
+        with files.open_input_stream(place) as stream:
+            return json.loads(stream.read())
+
+    source = paged.paged_source("lexigraph_hits", fetch, pages.agg(F.max("page")).first()[0] or 0)
+    return paged.once(paged.hits(spark, source), "k").select("key", "page", F.get_json_object("hit", "$.name").alias("name"))
+
+
+@query("SELECT s_nationkey || '/' || s_suppkey || '.txt' AS file, s_name AS value FROM supplier")
+def c_published_files(spark, d):
+    s = table(spark, d, "supplier", "s_suppkey", "s_nationkey", "s_name")
+    folder = derived.made(spark, d, "published", lambda to: publish.publish(s.select(F.concat("s_nationkey", F.lit("/"), "s_suppkey", F.lit(".txt")).alias("file"), F.col("s_name").alias("value")), to))
+    rows = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
+    return rows.select(F.array_join(F.slice(F.split("_metadata.file_path", "/"), -2, 2), "/").alias("file"), F.rtrim(F.replace("value", F.lit("\n"), F.lit(""))).alias("value"))
+
+
+def _shouted(content: bytes) -> str | None:
+    return content.decode().upper() if content != b"-" else None
+
+
+@query("""SELECT 'deutsch/' || s_suppkey || '.pdf' AS pfad, CASE WHEN s_suppkey % 9 > 0 THEN upper('land ' || s_nationkey) END AS text, (SELECT count(DISTINCT CASE WHEN s_suppkey % 9 > 0 THEN s_nationkey ELSE -1 END) FROM supplier) AS conversions FROM supplier""")
+def c_conversions(spark, d):
+    s = table(spark, d, "supplier", "s_suppkey", "s_nationkey")
+    content = F.when(F.col("s_suppkey") % 9 > 0, F.concat(F.lit("land "), "s_nationkey")).otherwise("-").cast("binary")
+    folder = derived.made(spark, d, "pdf", lambda to: publish.publish(s.select(F.concat(F.lit("deutsch/"), "s_suppkey", F.lit(".pdf")).alias("file"), content.alias("value")), to))
+    scan = lambda store: docs.scan(spark, folder, extractors={"pdf": (_shouted,)}, store=store)
+    store = derived.made(spark, d, "conversions", lambda to: scan(to).count())
+    made = spark.read.schema(docs.STORED).parquet(store).agg(F.count("*").alias("conversions"))
+    return scan(store).select("pfad", "text").crossJoin(F.broadcast(made))  # one row
+
+
+@query(r"""WITH c AS (SELECT conv_id || '.' || turn AS key, CASE WHEN conv_id % 5 = 1 THEN 'moved' ELSE role END AS part, CASE WHEN conv_id % 5 = 2 THEN reverse(text) ELSE text END AS text FROM conversations WHERE conv_id % 5 <> 3),
+  p AS (SELECT DISTINCT part, replace(lower(t), 'ß', 'ss') AS term FROM (SELECT part, unnest(regexp_extract_all(text, '[\p{L}\p{Nl}\p{No}]+')) AS t FROM c) WHERE length(t) >= 4)
+  SELECT term, string_agg(part, ',' ORDER BY part) AS parts FROM p GROUP BY term HAVING count(*) <= 2""")
+def c_followed_postings(spark, d):
+    c = table(spark, d, "conversations", "conv_id", "turn", "role", "text").select(F.concat_ws(".", "conv_id", "turn").alias("key"), F.col("role").alias("part"), "text", F.lit(0).alias("version"), (F.col("conv_id") % 5).alias("m"))
+    changed = c.where("m in (1, 2, 3)").select("key", F.when(F.col("m") == 1, "moved").otherwise(F.col("part")).alias("part"), F.when(F.col("m") == 1, F.col("text")).when(F.col("m") == 2, F.reverse("text")).alias("text"), "version")
+
+    def write(folder: str) -> None:
+        postings.apply(spark, folder, 0, c.drop("m"))
+        postings.apply(spark, folder, 1, changed.where("key not like '%.0'"))
+        postings.compact(spark, folder)
+        postings.apply(spark, folder, 2, changed.where("key like '%.0'"))
+
+    folder = f"{shared_dir(spark)}/lexigraph/followed-{uuid.uuid4().hex}"
+    write(folder)
+    return postings.current_index(spark, folder).select("term", F.array_join("parts", ",").alias("parts"))

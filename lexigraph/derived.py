@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .plans import standards
 from .session import shared_dir, table
-from .sources import snapshots
+from .sources.publish import publish
 
 SHARDS = ("PRIM.D", "PRIM.M", "PRIM.SU", "SEK1.D", "SEK1.E", "SEK1.M")
 BINDINGS = ("bereich", "keine", "stufe", "bereich", "prosa", "kompetenz")
@@ -115,7 +115,7 @@ def root(spark: SparkSession, d: str) -> str:
     """A data root <band>/<subject>/<part>.json written by the engine's own sink."""
 
     def write(folder: str) -> None:
-        snapshots.write_documents(documents(spark, d).unionByName(indexes(spark, d)).select(F.concat_ws("/", F.lower(F.replace("shard", F.lit("."), F.lit("/"))), "datei").alias("file"), "value"), folder)
+        publish(documents(spark, d).unionByName(indexes(spark, d)).select(F.concat_ws("/", F.lower(F.replace("shard", F.lit("."), F.lit("/"))), "datei").alias("file"), "value"), folder)
 
     return made(spark, d, "root", write)
 
@@ -195,7 +195,7 @@ def xml_root(spark: SparkSession, d: str, name: str = "xml", tables: str = EVENT
         held = F.when(F.col("element") == "listelem", F.concat(F.lit("<liste><aufzaehlung>"), "x", F.lit("</aufzaehlung></liste>"))).when(F.col("element") == "td", F.concat(F.lit("<table><tr>"), "x", F.lit("</tr></table>"))).otherwise(F.col("x"))
         docs = child.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", held.alias("x")))), lambda x: x["x"]), "").alias("x"))
         value = F.concat(F.lit('<risdok xmlns="http://www.bka.gv.at"><nutzdaten><abschnitt>'), "x", F.lit("</abschnitt></nutzdaten></risdok>"))
-        snapshots.write_documents(docs.select(F.col("doc").alias("file"), value.alias("value")), folder)
+        publish(docs.select(F.col("doc").alias("file"), value.alias("value")), folder)
 
     return made(spark, d, name, write)
 
@@ -211,7 +211,7 @@ def standards_root(spark: SparkSession, d: str) -> str:
         shard = standards.documents(rows, names, F.create_map(F.lit("quelle"), F.lit("Verordnung")))
         bridge = F.array(*[F.struct(F.lit("SEK1.M").alias("lehrplan_fach"), F.lit("A0").alias("lehrplan_bereich"), F.lit("m8").alias("bildungsstandard_shard"), F.lit(f"H{i}").alias("bildungsstandard_bereich"), F.lit(k).alias("beziehung")) for i, k in ((3, "bereichsentsprechung"), (1, "querschnitt"), (3, "matrix"))])
         walk = spark.range(1).select(F.to_json(F.struct(bridge.alias("zuordnungen"))).alias("value"))
-        snapshots.write_documents(shard.unionByName(walk.select(F.lit("crosswalk.json").alias("file"), "value")), folder)
+        publish(shard.unionByName(walk.select(F.lit("crosswalk.json").alias("file"), "value")), folder)
 
     return made(spark, d, "standards", write)
 
@@ -225,6 +225,6 @@ FILES = """f AS (SELECT n_nationkey AS n, n_name, CASE n_regionkey WHEN 0 THEN '
 def material_root(spark: SparkSession, d: str) -> str:
     def write(folder: str) -> None:
         f = spark.sql(f"WITH {FILES} SELECT pfad AS file, text AS value FROM f", nation=table(spark, d, "nation", "n_nationkey", "n_name", "n_regionkey"))
-        snapshots.write_documents(f, folder)
+        publish(f, folder)
 
     return made(spark, d, "material", write)

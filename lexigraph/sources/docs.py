@@ -58,9 +58,32 @@ def _converted(files: DataFrame, extractors: dict[str, tuple[Callable[[bytes], s
     return files.select("pfad", "format", "content").mapInArrow(convert, "pfad string, converted string")
 
 
-def scan(spark: SparkSession, root: str, cache: DataFrame | None = None, extractors: dict[str, tuple[Callable[[bytes], str | None], ...]] = EXTRACTORS) -> DataFrame:
+STORED = "hash string, format string, tool string, text string"
+
+
+def _through_store(files: DataFrame, extractors: dict[str, tuple[Callable[[bytes], str | None], ...]], store: str) -> DataFrame:
+    """(pfad, converted) by way of a table of conversions, keyed by content, format and the extractors' names: what it has, even if nothing
+    could be read, isn't converted again; what it lacks is converted once for all files with the content, and added to it."""
+    spark = files.sparkSession
+    tools = {f: ",".join(getattr(e, "__qualname__", str(e)) for e in some) for f, some in extractors.items()}
+    tool = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in tools.items() for x in kv]), F.col("format")), F.lit("")) if tools else F.lit("")
+    keyed = files.select("pfad", "format", tool.alias("tool"), F.sha2("content", 256).alias("hash"), "content")
+    place = spark._jvm.org.apache.hadoop.fs.Path(store)
+    there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    known = spark.read.schema(STORED).parquet(store) if there else spark.createDataFrame([], STORED)
+    key = ["hash", "format", "tool"]
+    new = keyed.join(known.select(*key), key, "left_anti").groupBy(*key).agg(F.any_value("content").alias("content"))
+    made = _converted(new.select(F.to_json(F.struct(*key)).alias("pfad"), "format", "content"), extractors)
+    made.select(F.inline(F.array(F.from_json("pfad", "hash string, format string, tool string"))), F.col("converted").alias("text")).write.mode("append").parquet(store)
+    # two writers may both add a conversion: any of them serves
+    all_ = spark.read.schema(STORED).parquet(store).groupBy(*key).agg(F.max("text").alias("converted"))
+    return keyed.select("pfad", *key).join(all_, key).select("pfad", "converted")
+
+
+def scan(spark: SparkSession, root: str, cache: DataFrame | None = None, extractors: dict[str, tuple[Callable[[bytes], str | None], ...]] = EXTRACTORS, store: str | None = None) -> DataFrame:
     """Every file of the folder with its text, or why it is skipped.  `cache` has (pfad, cache_mtime, cached) of
-    earlier conversions, used where not older than the file."""
+    earlier conversions, used where not older than the file, which then isn't converted; `store` names a table of conversions by content, which
+    this call reads and adds to."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     base = root.rstrip("/").removeprefix("file://") + "/"
     relative = F.regexp_replace(F.col("path"), f"^(?:[a-z]+:)?/*{re.escape(base.lstrip('/'))}", "")
@@ -70,12 +93,15 @@ def scan(spark: SparkSession, root: str, cache: DataFrame | None = None, extract
     folder = F.create_map(*[F.lit(x) for kv in SUBJECTS.items() for x in kv])
     subject = F.when(F.size(steps) > 1, F.try_element_at(folder, F.lower(F.get(steps, F.lit(0)))))
     level = F.when(F.size(steps) > 2, F.upper(F.get(steps, F.lit(1))))
-    text = F.when(F.col("format").isin(*NATIVE), F.make_valid_utf8(F.col("content").cast("string")))
+    text = F.when(F.col("format").isin(*NATIVE) & (F.col("bytes") <= MOST_BYTES), F.make_valid_utf8(F.col("content").cast("string")))
     files = files.withColumns({"fach": subject, "stufe": F.when(level.isin(*LEVELS), level), "native": text})
-    made = _converted(files.where(F.col("format").isin(*CONVERTED) & (F.col("bytes") <= MOST_BYTES)), extractors)
-    files = files.join(made, "pfad", "left")
     if cache is not None:
-        files = files.join(cache, "pfad", "left").withColumn("converted", F.when(F.col("cache_mtime") >= F.col("modificationTime"), F.col("cached")).otherwise(F.col("converted")))
+        files = files.join(cache, "pfad", "left").withColumn("__cached", F.when(F.col("cache_mtime") >= F.col("modificationTime"), F.col("cached")))
+    else:
+        files = files.withColumn("__cached", F.lit(None).cast("string"))
+    wanted = files.where(F.col("format").isin(*CONVERTED) & (F.col("bytes") <= MOST_BYTES) & F.col("__cached").isNull())
+    made = _through_store(wanted, extractors, store) if store else _converted(wanted, extractors)
+    files = files.join(made, "pfad", "left").withColumn("converted", F.coalesce("__cached", "converted"))
     text = F.coalesce("native", "converted")
     suffix = F.nullif(F.regexp_extract("pfad", r"__(AT[.]LP23[.][^/]+)[.][^./]+$", 1), F.lit(""))
     named = F.coalesce(F.try_element_at(front_matter(text), F.lit("kompetenz_id")), suffix)
