@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 CLAIM = r"(?i)verbindlich|optional|allenfalls"
 
 
@@ -97,7 +99,8 @@ def violations(lessons: DataFrame, key: str, tree: str, records: DataFrame, item
     b = blocks(lessons, key, tree)
     field = lambda path: F.get_json_object("block", f"$.{path}")
     b = b.withColumn("anchor", F.when(F.col("type") == "kompetenzbezug", field("kompetenz_id")))
-    b = b.withColumn("in_force", anchor_in_force(b, [key], "pos", F.col("anchor")))
+    # all rules read the walk, which is made once
+    b = staged(b.withColumn("in_force", anchor_in_force(b, [key], "pos", F.col("anchor"))), "blocks")
     anchors = b.where("type = 'kompetenzbezug'").select(key, "path", F.col("anchor").alias("id"), field("text").alias("quote"), field("quelle").alias("source"))
     held = anchors.join(records.select("id", "volltext", "provenienz"), "id", "left")
     row = lambda df, rule, value: df.select(key, "path", F.lit(RULES[rule]).alias("rule"), value.alias("value"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import plan_bytes
+from ..session import plan_bytes, staged
 
 
 @F.pandas_udf(T.DoubleType())
@@ -94,18 +94,35 @@ def contained(texts: DataFrame, text: str, quotes: DataFrame, quote: str, most_b
     size = quotes.agg(F.coalesce(F.sum(F.octet_length(quote).cast("long")), F.lit(0)), F.count("*")).first()
     if size[0] + 64 * size[1] <= most_bytes and plan_bytes(quotes) <= 8 * most_bytes:
         return _contained_few(texts, text, quotes, quote)
-    # a quote's middle words stand whole in any text that holds it; its first and last may be parts of longer ones
+    return _contained_many(texts, text, quotes, quote)
+
+
+def _contained_many(texts: DataFrame, text: str, quotes: DataFrame, quote: str) -> DataFrame:
+    """Every quote has pieces that any text that holds it has too: its inner runs of three words, or where it has none its runs of three
+    characters, or it is no longer than that.  Of these the one that the fewest texts have is what it is met by.  Only numbers of
+    texts and pieces are shuffled; a text goes along once for each quote that it may hold."""
+    # numbers stand for texts and pieces: equal ones would only add candidates, which the texts themselves decide
+    number = lambda c: F.xxhash64(c, F.length(c))
     words = lambda c: F.filter(F.split(c, r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    run = quotes.withColumn("__words", words(F.col(quote))).withColumn("__key", F.when(F.size("__words") >= 5, F.concat_ws(" ", F.slice("__words", 2, 3))))
-    long, short = run.where(F.col("__key").isNotNull()).drop("__words"), run.where(F.col("__key").isNull()).drop("__words", "__key")
-    keys = texts.withColumn("__words", words(F.col(text))).withColumn("__key", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("__words") - 2, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(F.col("__words"), i, 3)))))).drop("__words")
-    found = keys.join(long, "__key").where(F.contains(F.col(text), F.col(quote))).drop("__key")
-    # a shorter quote is met by its first three characters, or by fewer where it has no more
-    for n in (1, 2, 3):
-        some = short.where(F.length(quote) == n if n < 3 else F.length(quote) >= n).withColumn("__key", F.substring(quote, 1, n))
-        grams = texts.where(F.length(text) >= n).withColumn("__key", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substr(F.col(text), i, F.lit(n))))))
-        found = found.unionByName(grams.join(some, "__key").where(F.contains(F.col(text), F.col(quote))).drop("__key"))
-    empty = short.where(F.length(quote) == 0)
+    run = lambda ws, first, last: F.when(last >= first, F.transform(F.sequence(first, last), lambda i: F.xxhash64(F.concat_ws(" ", F.slice(ws, i, 3))))).otherwise(F.array().cast("array<bigint>"))
+    chars = lambda c, n: F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.xxhash64(F.lit(n), F.substr(c, i, F.lit(n))))).otherwise(F.array().cast("array<bigint>"))
+    asked = quotes.select(quote).where(F.col(quote).isNotNull()).distinct().withColumns({"__q": number(F.col(quote)), "__words": words(F.col(quote))})
+    # a quote's first and last words may be parts of longer ones
+    inner = run(F.col("__words"), F.lit(2), F.size("__words") - 3)
+    short = F.when(F.length(quote) >= 3, chars(F.col(quote), 3)).when(F.length(quote) > 0, F.array(F.xxhash64(F.length(quote), quote))).otherwise(F.array().cast("array<bigint>"))
+    asked = asked.withColumn("__pieces", F.array_distinct(F.when(F.size(inner) > 0, inner).otherwise(short))).drop("__words")
+    pieces = asked.select("__q", F.explode("__pieces").alias("__piece"))
+    held = texts.select(F.col(text).alias("__t")).where(F.col(text).isNotNull()).distinct()
+    ws = words(F.col("__t"))
+    some = [run(ws, F.lit(1), F.size(ws) - 2), *[chars(F.col("__t"), n) for n in (1, 2, 3)]]
+    held = held.select(number(F.col("__t")).alias("__h"), F.explode(F.array_distinct(F.concat(*some))).alias("__piece"))
+    held = staged(held.join(pieces.select("__piece").distinct(), "__piece", "left_semi"), "pieces")
+    often = held.groupBy("__piece").count()
+    rare = pieces.join(often, "__piece", "left").groupBy("__q").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "__piece")).alias("x"))
+    pairs = rare.where("x.n > 0").select("__q", F.col("x.__piece").alias("__piece")).join(held, "__piece").select("__q", "__h").distinct()
+    known = quotes.withColumn("__q", number(F.col(quote)))
+    found = texts.withColumn("__h", number(F.col(text))).join(pairs, "__h").join(known, "__q").where(F.contains(F.col(text), F.col(quote))).drop("__h", "__q")
+    empty = quotes.where(F.length(quote) == 0)
     if empty.limit(1).count():  # every text holds an empty quote: that is what is asked for
         found = found.unionByName(texts.join(empty, F.col(text).isNotNull()))
     return found

@@ -76,3 +76,15 @@ def test_stored_and_rebuilt_index_agree(spark, tmp_path_factory, searched):
         assert {tuple(r) for r in d.route(shard, searched).collect()} == want
     plan = d.candidates("s1", ["hausbau"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(shard" in plan and "PushedFilters: [IsNotNull(gram), EqualTo(gram," in plan
+
+
+def test_a_long_list_of_quotes(spark):
+    from lexigraph.operators import match
+
+    rng = random.Random(11)
+    words = [f"wort{i}" for i in range(300)]
+    texts = [(i, "Gemeinsamer langer Vorspann steht überall. " + " ".join(rng.choices(words, k=200))) for i in range(200)]
+    quotes = [(i, " ".join(texts[i % 200][1].split()[j : j + 7])) for i in range(300) for j in (3, 40, 90)] + [(9000 + i, "Gemeinsamer langer Vorspann steht überall " + str(i)) for i in range(30_000)]
+    a, b = spark.createDataFrame(texts, "id int, t string"), spark.createDataFrame(quotes, "k int, q string")
+    got = {(r.id, r.q) for r in match.contained(a, "t", b, "q", most_bytes=0).collect()}
+    assert got == {(i, q) for i, t in texts for q in {q for k, q in quotes if k < 9000} if q in t}
