@@ -12,8 +12,8 @@ for every marker met the stretch that the template would cover around it is alig
 where in a text it stands.  Every part of a text that could match is aligned, however long the text.
 
 A match also needs the words that tell a template from its siblings, all aligned: those that name the licence, and
-those by which it differs from another template that would match it; and no other word that names a licence may
-stand within it.  Where matches overlap, that with the most aligned words, then the largest coverage, then the first
+those by which it differs from another template that would match it; no other word that names a licence may
+stand within it, and none that negates it right before it.  Where matches overlap, that with the most aligned words, then the largest coverage, then the first
 in name order stays.
 
 Null and empty texts match nothing.  Repeated rows give repeated results.  An empty table gives no
@@ -54,16 +54,41 @@ _NOTICES = {
 for _v in ("2.0", "3.0", "4.0"):
     for _k in ("BY", "BY-NC", "BY-NC-ND", "BY-NC-SA", "BY-ND", "BY-SA"):
         _NOTICES[f"CC-{_k}-{_v}"] = (f"cc {_k} {_v}", f"Licensed under CC {_k} {_v}.")
+        _NOTICES[f"CC-{_k}-{_v} name"] = (f"cc-{_k} {_v}", f"CC-{_k} {_v}")
 for _name, _kind, _v in (("AGPL-3.0", "Affero General", "3"), ("GPL-1.0", "General", "1"), ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"), ("LGPL-2.1", "Lesser General", "2.1"), ("LGPL-3.0", "Lesser General", "3")):
     _NOTICES[_name] = (f"gnu {_kind} {_v}", f"This work is licensed under the GNU {_kind} Public License, version {_v}.")
 for _name in ("BSD", "ISC", "MIT", "X11", "Zlib"):
     _NOTICES[_name] = (_name, f"Released under the {_name} License.")
 
+# fixed values: names of licences in machine-readable lines
+for _name in "0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib".split():
+    _NOTICES[f"{_name} (SPDX)"] = (_name, f"SPDX-License-Identifier: {_name}")
+# fixed values: titles of licences' texts
+for _name, _named, _title in (
+    ("AGPL-3.0", "affero 3", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("Apache-2.0", "apache 2.0", "Apache License Version 2.0, January 2004"),
+    ("EPL-2.0", "eclipse 2.0", "Eclipse Public License 2.0"),
+    ("GPL-2.0", "gnu general 2", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "gnu general 3", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "gnu lesser 2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "gnu lesser 3", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("MPL-2.0", "mozilla 2.0", "Mozilla Public License Version 2.0"),
+):
+    _NOTICES[f"{_name} title"] = (_named, _title)
+for _v in ("2.0", "3.0"):
+    for _then in ("only", "or later"):
+        _NOTICES[f"GPL-{_v}-{_then.replace(' ', '-')} title"] = (f"gnu general v{_v} {_then}", f"GNU General Public License v{_v} {_then}")
+for _k in ("Attribution", "Attribution-NonCommercial", "Attribution-NoDerivatives", "Attribution-ShareAlike"):
+    _NOTICES[f"CC {_k} 4.0 title"] = (f"commons {_k} 4.0", f"Creative Commons {_k} 4.0 International License")
+for _v in ("2", "3"):
+    _NOTICES[f"GPL-{_v}.0 header"] = (f"gnu general {_v}", f"{_NOTICES['GPL header'][1]}, either version {_v} of the License, or (at your option) any later version.")
+
 TEMPLATES = {name: text for name, (_, text) in _NOTICES.items()}
 # words without which a notice names another licence or version
 NAMING = {name: named for name, (named, _) in _NOTICES.items()}
 # fixed values: other names that make a notice one of another licence
 OTHERS = "artistic boost clear eclipse european expat library nonfree postgresql python ruby"
+NEGATIONS = {"never", "nicht", "not"}  # right before a notice they say that it doesn't hold
 EVERYDAY = "a above all an and any are as at by copies copy distribute following for free from in is it may must not of or other permission provided public released software that the this to use version with without you"
 
 
@@ -184,6 +209,8 @@ class Scanner:
         first, end = a + pairs[0][1], a + pairs[-1][1] + 1
         if end - first > len(t) + self.spare(len(t)):
             return None
+        if first and seen[first - 1] in NEGATIONS:
+            return None
         taken = {a + j for _, j in pairs}
         if any(seen[j] in self.names for j in range(first, end) if j not in taken):
             return None

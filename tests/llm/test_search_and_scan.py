@@ -322,3 +322,21 @@ def test_pseudonyms_against_a_plain_version(spark):
 def test_feistel_permutes_a_small_domain(spark):
     df = spark.range(7 * 9).select(F.col("id"), pii.feistel(F.floor(F.col("id") / 9), F.col("id") % 9, F.lit(7).cast("long"), F.lit(9).cast("long"), "k", "t").alias("s"))
     assert {r.s.l * 9 + r.s.r for r in df.collect()} == set(range(63))
+
+
+@pytest.mark.parametrize("line, name", [
+    ("SPDX-License-Identifier: MIT", "MIT (SPDX)"), ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later (SPDX)"), ("GNU General Public License v3.0 or later", "GPL-3.0-or-later title"),
+    ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "GPL-3.0 title"), ("Mozilla Public License Version 2.0", "MPL-2.0 title"), ("Creative Commons Attribution 4.0 International License", "CC Attribution 4.0 title"),
+    ("CC-BY-SA 4.0", "CC-BY-SA-4.0 name"), ("Eclipse Public License 2.0", "EPL-2.0 title"), ("Not released under the MIT License.", None), ("Released under the MIT License.", "MIT"),
+])
+def test_titles_identifiers_and_negations(line, name):
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    assert [m[0] for m in scanner.scan(f"one two. {line} three four")] == ([name] if name else [])
+
+
+def test_versions_of_headers_and_false_alarms():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    header = licenses.TEMPLATES["GPL header"]
+    assert [m[0] for m in scanner.scan(f"{header}, either version 2 of the License, or (at your option) any later version.")] == ["GPL-2.0 header"]
+    assert [m[0] for m in scanner.scan(f"{header}, somehow.")] == ["GPL header"]
+    assert scanner.scan("The license of the general public, version by version, in June of 2007, and the commons 4.0 times.") == []
