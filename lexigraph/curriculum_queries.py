@@ -817,3 +817,33 @@ def c_followed_postings(spark, d):
     folder = f"{shared_dir(spark)}/lexigraph/followed-{uuid.uuid4().hex}"
     write(folder)
     return postings.current_index(spark, folder).select("term", F.array_join("parts", ",").alias("parts"))
+
+
+# -- every rule on records, each with records that break it
+
+#: w: a record for each order line, whose key says what is wrong with it
+_WALK = """b AS (SELECT p_partkey AS k, p_name AS t, CASE WHEN p_partkey % 2 = 0 THEN 'SEK1.D' ELSE 'SEK1.M' END AS shard, CASE WHEN p_partkey % 4 < 2 THEN 'item' ELSE 'kompetenz' END AS kind, CAST(CAST(floor(p_partkey / 90) AS BIGINT) AS STRING) AS a, lpad(CAST(p_partkey % 90 + 1 AS STRING), 2, '0') AS o FROM {part}),
+  w AS (SELECT k, shard, 'a.json' AS datei, kind, CAST(k AS STRING) AS path,
+    CASE WHEN k % 7 = 1 THEN NULL WHEN k % 13 = 3 THEN 'bad' || CAST(k AS STRING) WHEN kind = 'kompetenz' AND k % 43 = 10 THEN 'AT.LP23.SEK1.M.DOPPELT.K1.01' WHEN kind = 'kompetenz' THEN 'AT.LP23.' || shard || '.A' || a || '.K1.' || o WHEN k % 41 = 12 THEN 'AT.LP23.' || shard || '.AB.K2.' || o ELSE 'AT.LP23.' || shard || '.AB.A' || a || '.K1.' || o END AS id,
+    CASE WHEN k % 11 = 2 THEN ' ' WHEN k % 19 = 5 THEN 'X9' ELSE 'K1' END AS stufe, CASE WHEN k % 47 = 1 THEN '' ELSE t || CASE WHEN k % 23 = 6 THEN ' ⟦ABB:a.png⟧' ELSE '' END END AS text, CAST(CASE WHEN k % 17 = 4 THEN 0 ELSE 1 END AS INT) AS ordinal,
+    CASE WHEN k % 31 = 8 THEN 'ANDERS' WHEN k % 5 = 0 THEN NULL ELSE 'A' || a END AS slug, k % 29 = 7 AS entry, CASE WHEN kind = 'item' THEN CASE WHEN k % 37 = 9 THEN 'neu' WHEN k % 37 = 10 THEN '' ELSE 'praezisierung' END END AS art, CASE WHEN kind = 'item' THEN CASE WHEN k % 3 = 0 THEN 'false' WHEN k % 53 = 2 THEN NULL ELSE 'true' END END AS verbindlich,
+    CASE WHEN kind = 'item' AND k % 10 = 1 THEN 'AT.X' END AS own, CASE WHEN kind = 'kompetenz' AND k % 59 = 3 THEN 'AT.fehlt' || CAST(k AS STRING) END AS ref FROM b)"""
+
+
+@query(f"""WITH {_WALK.format(part='part')}, v AS (SELECT *, shard || '/a.json/' || path AS loc, coalesce(CASE WHEN kind = 'kompetenz' THEN regexp_full_match(id, 'AT[.]LP23[.]SEK1[.][DM][.][A-Z][A-Z0-9]*[.]K1[.][0-9]{{2}}') ELSE regexp_full_match(id, 'AT[.]LP23[.]SEK1[.][DM][.]AB[.](A[0-9]+[.])?K[12][.][0-9]{{2}}') END, false) AS good, coalesce(id LIKE '%.AB.K2.%', false) AS free FROM w),
+  x AS (SELECT 'hard' AS severity, 'missing-required-field' AS rule, loc AS record, 'id' AS message FROM v WHERE id IS NULL UNION ALL SELECT 'hard', 'missing-required-field', loc, 'stufe' FROM v WHERE trim(stufe) = '' UNION ALL SELECT 'hard', 'missing-required-field', loc, 'text' FROM v WHERE text = ''
+  UNION ALL SELECT 'hard', 'missing-required-field', loc, 'art' FROM v WHERE art = '' UNION ALL SELECT 'hard', 'missing-required-field', loc, 'verbindlich' FROM v WHERE kind = 'item' AND verbindlich IS NULL
+  UNION ALL SELECT 'soft', 'malformed-id', loc, id FROM v WHERE id IS NOT NULL AND NOT good UNION ALL SELECT 'soft', 'schema-violation', loc, 'ordinal must be a positive number' FROM v WHERE ordinal < 1 UNION ALL SELECT 'soft', 'schema-violation', loc, 'stufe=' || stufe FROM v WHERE stufe <> 'K1'
+  UNION ALL SELECT 'soft', 'orphan-token-no-abbildung-entry', loc, 'a.png' FROM v WHERE text LIKE '%ABB:%' UNION ALL SELECT 'soft', 'orphan-abbildung-entry-no-token', loc, 'b.png' FROM v WHERE entry
+  UNION ALL SELECT 'soft', 'unknown-area-code', loc, id FROM v WHERE slug IS NOT NULL AND NOT free AND split_part(id, '.', CASE WHEN kind = 'kompetenz' THEN 5 ELSE 6 END) <> slug AND id NOT LIKE 'bad%'
+  UNION ALL SELECT 'soft', 'kompetenz-id-not-allowed-for-binding', loc, own FROM v WHERE own IS NOT NULL AND shard = 'SEK1.D' UNION ALL SELECT 'soft', 'area-free-id-outside-stufe-binding', loc, id FROM v WHERE free
+  UNION ALL SELECT 'soft', 'verbindlich-false-outside-sek1-m', loc, id FROM v WHERE verbindlich = 'false' AND shard = 'SEK1.D' UNION ALL SELECT 'info', 'unknown-enum-value', loc, art FROM v WHERE art IN ('neu', '')
+  UNION ALL SELECT 'hard', 'id-collision', id, CAST(count(*) AS VARCHAR) FROM v WHERE good GROUP BY id HAVING count(*) > 1 UNION ALL SELECT 'soft', 'dangling-reference', id, ref FROM v WHERE ref IS NOT NULL)
+  SELECT severity, rule, record, message FROM x""")
+def c_planted_findings(spark, d):
+    w = spark.sql(f"WITH {_WALK} SELECT * FROM w", part=table(spark, d, "part", "p_partkey", "p_name"))
+    entry = F.when(F.col("entry"), F.array(F.struct(F.lit("b.png").alias("datei"))))
+    record = F.to_json(F.struct("k", "art", "verbindlich", F.col("own").alias("kompetenz_id"), entry.alias("abbildungen"), F.when(F.col("ref").isNotNull(), F.array("ref")).alias("vorlaeufer")))
+    walk = w.select("shard", "datei", "kind", "path", "id", "stufe", "text", "ordinal", F.col("slug").alias("bereich_slug"), F.lit(False).alias("repeats"), record.alias("record"))
+    meta = spark.createDataFrame([("SEK1.D", "bereich", "SEK1", "D"), ("SEK1.M", "kompetenz", "SEK1", "M")], "shard string, bindung string, band string, fach_code string")
+    return validate.record_findings(walk, meta)

@@ -9,7 +9,7 @@ from ..functions import ids
 from ..functions.text import IMAGE
 from ..operators import quality as q, schema_check
 from ..operators.index import part_catalog
-from ..session import staged
+from ..session import small, staged
 from ..sources import nested_json
 
 # fixed values: the legal values of closed and open fields
@@ -49,33 +49,56 @@ def record_walk(parts: DataFrame) -> DataFrame:
 
 def record_rules(parts: DataFrame) -> DataFrame:
     """Findings on records.  The walk over all documents is made once, for all rules."""
-    walk = staged(record_walk(parts), "walk")
-    where = F.concat_ws("/", "shard", "datei", "path")
-    pattern = F.when(F.col("kind") == "kompetenz", F.col("id").rlike(ids.COMPETENCE.pattern)).otherwise(F.col("id").rlike(ids.ITEM.pattern) | F.col("id").rlike(ids.AREA_FREE_ITEM.pattern))
-    known = walk.where("kind = 'kompetenz'").select("shard", "id")
-    links = walk.where("kind = 'kompetenz'").select("shard", "id", F.explode(F.array_union(*[F.coalesce(F.from_json(F.get_json_object("record", f"$.{f}"), "array<string>"), F.array().cast("array<string>")) for f in ("vorlaeufer", "folge")])).alias("ref"))
-    lost = links.join(known.select("shard", F.col("id").alias("ref")), ["shard", "ref"], "left_anti")
-    twice = q.repeat_aware_collisions(walk.where(F.coalesce(pattern, F.lit(False))), "id", F.col("repeats"), "record")
-    tokens = F.array_distinct(F.regexp_extract_all("text", F.lit(IMAGE), F.lit(1)))
-    entries = F.array_distinct(F.coalesce(F.from_json(F.get_json_object("record", "$.abbildungen"), "array<struct<token:string,datei:string>>")["datei"], F.array().cast("array<string>")))
-    binding = walk.where("kind = 'item'").join(nested_json.shard_meta(parts).select("shard", "bindung", "band", "fach_code"), "shard")
-    own = F.get_json_object("record", "$.kompetenz_id")
-    free = F.col("id").rlike(ids.AREA_FREE_ITEM.pattern) & (F.get(F.split("id", "[.]"), F.lit(4)) == "AB")
+    return record_findings(staged(record_walk(parts), "walk"), nested_json.shard_meta(parts).select("shard", "bindung", "band", "fach_code"))
+
+
+def record_findings(walk: DataFrame, meta: DataFrame) -> DataFrame:
+    """Findings on a walk's records, with each shard's (bindung, band, fach_code).  What a record shows by itself is one array of findings,
+    made in one pass; what takes several records is an aggregate and a join by id."""
+    wellformed = F.coalesce(_wellformed(), F.lit(False))
+    twice = q.repeat_aware_collisions(walk.where(wellformed), "id", F.col("repeats"), "record")
+    known = walk.where("kind = 'kompetenz'").select("shard", F.col("id").alias("ref"))
+    refs = F.array_union(*[F.coalesce(F.from_json(F.get_json_object("record", f"$.{f}"), "array<string>"), F.array().cast("array<string>")) for f in ("vorlaeufer", "folge")])
+    links = walk.where("kind = 'kompetenz'").select("shard", "id", F.explode(refs).alias("ref"))
     return q.together(
-        item_rules(walk),
-        q.missing_required(walk.withColumn("__at", where), F.col("__at"), "id", "stufe", "text"),
+        own_findings(walk, meta),
         q.finding(twice, q.HARD, "id-collision", F.col("id"), F.col("n").cast("string")),
-        q.finding(walk.where(F.col("id").isNotNull() & ~F.coalesce(pattern, F.lit(False))), q.SOFT, "malformed-id", where, F.col("id")),
-        q.finding(walk.where("ordinal is null or ordinal < 1"), q.SOFT, "schema-violation", where, "ordinal must be a positive number"),
-        q.finding(lost, q.SOFT, "dangling-reference", F.col("id"), F.col("ref")),
-        q.finding(walk.where(F.size(F.array_except(tokens, entries)) > 0), q.SOFT, "orphan-token-no-abbildung-entry", where, F.array_join(F.array_except(tokens, entries), ",")),
-        q.finding(walk.where(F.size(F.array_except(entries, tokens)) > 0), q.SOFT, "orphan-abbildung-entry-no-token", where, F.array_join(F.array_except(entries, tokens), ",")),
-        q.finding(walk.where(F.col("bereich_slug").isNotNull() & ~F.col("id").rlike(ids.AREA_FREE_ITEM.pattern) & (F.get(F.split("id", "[.]"), F.when(F.col("kind") == "kompetenz", 4).otherwise(5)) != F.col("bereich_slug"))), q.SOFT, "unknown-area-code", where, F.col("id")),
-        q.finding(binding.where(own.isNotNull() & (F.col("bindung") != "kompetenz")), q.SOFT, "kompetenz-id-not-allowed-for-binding", where, own),
-        q.finding(binding.where(free & (F.col("bindung") != "stufe")), q.SOFT, "area-free-id-outside-stufe-binding", where, F.col("id")),
-        q.finding(binding.where((F.get_json_object("record", "$.verbindlich") == "false") & ((F.col("band") != "SEK1") | (F.col("fach_code") != "M"))), q.SOFT, "verbindlich-false-outside-sek1-m", where, F.col("id")),
-        q.unknown_values(walk.where("kind = 'item'").withColumn("art", F.get_json_object("record", "$.art")), where, F.col("art"), ARTS),
-    )
+        q.finding(links.join(known, ["shard", "ref"], "left_anti"), q.SOFT, "dangling-reference", F.col("id"), F.col("ref")),
+    )
+
+
+def _wellformed() -> Column:
+    return F.when(F.col("kind") == "kompetenz", F.col("id").rlike(ids.COMPETENCE.pattern)).otherwise(F.col("id").rlike(ids.ITEM.pattern) | F.col("id").rlike(ids.AREA_FREE_ITEM.pattern))
+
+
+def own_findings(walk: DataFrame, meta: DataFrame) -> DataFrame:
+    """Findings that one record shows, as a row each; the records are read once."""
+    where, item = F.concat_ws("/", "shard", "datei", "path"), F.col("kind") == "item"
+    stated = lambda f: F.get_json_object("record", f"$.{f}")
+    blank = lambda c: c.isNull() | (F.trim(c.cast("string")) == "")
+    tokens = F.array_distinct(F.regexp_extract_all("text", F.lit(IMAGE), F.lit(1)))
+    entries = F.array_distinct(F.coalesce(F.from_json(stated("abbildungen"), "array<struct<token:string,datei:string>>")["datei"], F.array().cast("array<string>")))
+    free, steps = F.col("id").rlike(ids.AREA_FREE_ITEM.pattern), F.split("id", "[.]")
+    area = F.get(steps, F.when(F.col("kind") == "kompetenz", 4).otherwise(5))
+    own, art = stated("kompetenz_id"), stated("art")
+    text = lambda c: F.array_join(c, ",")
+    missing = [(q.HARD, "missing-required-field", hit, F.lit(f)) for f, hit in (("id", blank(F.col("id"))), ("stufe", blank(F.col("stufe"))), ("text", blank(F.col("text"))), ("art", item & blank(art)), ("verbindlich", item & blank(stated("verbindlich"))))]
+    rules = [
+        *missing,
+        (q.SOFT, "malformed-id", F.col("id").isNotNull() & ~F.coalesce(_wellformed(), F.lit(False)), F.col("id")),
+        (q.SOFT, "schema-violation", F.col("ordinal").isNull() | (F.col("ordinal") < 1), F.lit("ordinal must be a positive number")),
+        (q.SOFT, "schema-violation", ~F.col("stufe").rlike("^(?:SCH|K)[1-4]$"), F.concat(F.lit("stufe="), "stufe")),
+        (q.SOFT, "orphan-token-no-abbildung-entry", F.size(F.array_except(tokens, entries)) > 0, text(F.array_except(tokens, entries))),
+        (q.SOFT, "orphan-abbildung-entry-no-token", F.size(F.array_except(entries, tokens)) > 0, text(F.array_except(entries, tokens))),
+        (q.SOFT, "unknown-area-code", F.col("bereich_slug").isNotNull() & ~free & (area != F.col("bereich_slug")), F.col("id")),
+        (q.SOFT, "kompetenz-id-not-allowed-for-binding", item & own.isNotNull() & (F.col("bindung") != "kompetenz"), own),
+        (q.SOFT, "area-free-id-outside-stufe-binding", item & free & (F.get(steps, F.lit(4)) == "AB") & (F.col("bindung") != "stufe"), F.col("id")),
+        (q.SOFT, "verbindlich-false-outside-sek1-m", item & (stated("verbindlich") == "false") & ((F.col("band") != "SEK1") | (F.col("fach_code") != "M")), F.col("id")),
+        (q.INFO, "unknown-enum-value", item & art.isNotNull() & ~art.isin(*ARTS), art),
+    ]
+    one = lambda severity, rule, hit, message: F.when(F.coalesce(hit, F.lit(False)), F.struct(F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), where.alias("record"), message.alias("message")))
+    found = F.filter(F.array(*[one(*r) for r in rules]), lambda f: f.isNotNull())
+    return walk.join(small(meta), "shard", "left").select(F.inline(found))
 
 
 def meta_rules(parts: DataFrame) -> DataFrame:
@@ -114,14 +137,6 @@ def unreadable_registry(texts: DataFrame) -> DataFrame:
     return q.finding(texts.where(~sound), q.HARD, "registry-unreadable", F.col("datei"), "not a JSON object")
 
 
-def item_rules(walk: DataFrame) -> DataFrame:
-    """Items without what every item states, and levels that no shard has."""
-    stated = lambda f: F.get_json_object("record", f"$.{f}")
-    items = walk.where("kind = 'item'").withColumns({"art": stated("art"), "verbindlich": stated("verbindlich"), "__at": F.concat_ws("/", "shard", "datei", "path")})
-    levels = walk.where(F.col("stufe").isNotNull() & ~F.col("stufe").rlike("^(?:SCH|K)[1-4]$"))
-    return q.together(q.missing_required(items, F.col("__at"), "art", "verbindlich"), q.finding(levels, q.SOFT, "schema-violation", F.concat_ws("/", "shard", "datei", "path"), F.concat(F.lit("stufe="), "stufe")))
-
-
 def part_texts(spark: SparkSession, root: str) -> DataFrame:
     """(value, datei) of all parts, as they stand."""
     return spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("datei")).where("datei <> 'index.json'")
