@@ -847,3 +847,12 @@ def c_planted_findings(spark, d):
     walk = w.select("shard", "datei", "kind", "path", "id", "stufe", "text", "ordinal", F.col("slug").alias("bereich_slug"), F.lit(False).alias("repeats"), record.alias("record"))
     meta = spark.createDataFrame([("SEK1.D", "bereich", "SEK1", "D"), ("SEK1.M", "kompetenz", "SEK1", "M")], "shard string, bindung string, band string, fach_code string")
     return validate.record_findings(walk, meta)
+
+
+@query("""WITH n AS (SELECT DISTINCT left(replace(text, 'e', CASE WHEN item_id % 3 = 0 THEN 'e' ELSE '~' END), 40) AS needle FROM benchmark),
+  c AS (SELECT needle, i, left(needle, i) AS p FROM n, range(0, 41) r(i) WHERE i <= length(needle)),
+  f AS (SELECT needle, max(i) AS i FROM c WHERE i = 0 OR EXISTS (SELECT 1 FROM documents WHERE contains(text, p)) GROUP BY needle) SELECT needle, left(needle, CAST(i AS INT)) AS prefix FROM f""")
+def c_located_prefixes(spark, d):
+    b = table(spark, d, "benchmark", "item_id", "text")
+    needle = F.left(F.replace("text", F.lit("e"), F.when(F.col("item_id") % 3 == 0, "e").otherwise("~")), F.lit(40))
+    return match.located_prefixes(b.select(needle.alias("needle")), "needle", table(spark, d, "documents", "text"), "text")

@@ -171,6 +171,87 @@ def located_prefix(needle: Column, hay: Column) -> Column:
     return F.substr(needle, F.lit(1), F.aggregate(steps, state, half)["low"])
 
 
+class PrefixAutomaton:
+    """Reads texts once and knows of every needle the longest beginning that stood somewhere in them.
+
+    States are the beginnings of all needles; the state after a character is the longest of them that the text read so far ends
+    with, so a visit to it is an occurrence of that beginning."""
+
+    def __init__(self, needles: list[str]):
+        self.steps, self.back, self.depth, self.ends = [{}], [0], [0], []
+        for n in needles:
+            at = 0
+            for c in n:
+                if c not in self.steps[at]:
+                    self.steps[at][c] = len(self.steps)
+                    self.steps.append({})
+                    self.back.append(0)
+                    self.depth.append(self.depth[at] + 1)
+                at = self.steps[at][c]
+            self.ends.append(at)
+        queue = list(self.steps[0].values())
+        for at in queue:  # in order of depth, which appending keeps
+            for c, to in self.steps[at].items():
+                back = self.back[at]
+                while back and c not in self.steps[back]:
+                    back = self.back[back]
+                self.back[to] = self.steps[back].get(c, 0) if self.steps[back].get(c, 0) != to else 0
+                queue.append(to)
+        self.order, self.seen = queue, bytearray(len(self.steps))
+
+    def read(self, text: str) -> None:
+        steps, back, seen, at = self.steps, self.back, self.seen, 0
+        for c in text:
+            while at and c not in steps[at]:
+                at = back[at]
+            at = steps[at].get(c, 0)
+            seen[at] = 1
+
+    def lengths(self) -> list[int]:
+        """The longest beginning of each needle that was met."""
+        for at in reversed(self.order):  # what ends a longer beginning was met with it
+            if self.seen[at]:
+                self.seen[self.back[at]] = 1
+        longest = [0] * len(self.steps)
+        for at in [0, *self.order]:
+            for to in self.steps[at].values():
+                longest[to] = self.depth[to] if self.seen[to] else longest[at]
+        return [longest[e] for e in self.ends]
+
+
+def located_prefixes(needles: DataFrame, needle: str, blocks: DataFrame, block: str, most_bytes: int = 4 << 20) -> DataFrame:
+    """(needle, prefix): of each distinct needle the longest beginning that some block holds, "" if none.
+
+    Needles of a proven size are made one automaton in every task, which passes over the blocks once and sends a length for each
+    needle.  More are halved together: a beginning that a block holds has only beginnings that one holds, so each round asks
+    contained() for the middle of what is still open, and there are as many rounds as the longest needle has binary digits."""
+    some = needles.where(F.col(needle).isNotNull()).select(F.col(needle).alias("needle")).distinct()
+    texts = blocks.select(F.col(block).alias("block")).where(F.col("block").isNotNull())
+    size = some.agg(F.coalesce(F.sum(F.octet_length("needle").cast("long")), F.lit(0)), F.coalesce(F.max(F.length("needle")), F.lit(0))).first()
+    if size[0] <= most_bytes and plan_bytes(needles) <= 8 * most_bytes:
+        wanted = sorted(r[0] for r in some.collect())  # of a size that was counted
+
+        def met(batches):
+            automaton = PrefixAutomaton(wanted)
+            for batch in batches:
+                for t in batch.column(0).to_pylist():
+                    automaton.read(t)
+            found = automaton.lengths()
+            yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.string()), pa.array(found, pa.int32())], ["needle", "n"])
+
+        found = texts.mapInArrow(met, "needle string, n int").groupBy("needle").agg(F.max("n").alias("n"))
+        return some.join(found, "needle", "left").select("needle", F.substr("needle", F.lit(1), F.coalesce("n", F.lit(0))).alias("prefix"))
+    now = some.withColumns({"low": F.lit(0), "high": F.length("needle")})
+    for _ in range(int(size[1]).bit_length() + 1):
+        now = staged(now.withColumn("middle", F.substr("needle", F.lit(1), F.floor((F.col("low") + F.col("high") + 1) / 2).cast("int"))), "halves")
+        if not now.where("low < high").limit(1).count():
+            break
+        held = contained(texts, "block", now.where("low < high").select("middle").distinct(), "middle").select("middle").distinct().withColumn("held", F.lit(True))
+        open_, length = F.col("low") < F.col("high"), F.length("middle")
+        now = now.join(held, "middle", "left").select("needle", F.when(open_ & F.col("held").isNotNull(), length).otherwise(F.col("low")).alias("low"), F.when(open_ & F.col("held").isNull(), length - 1).otherwise(F.col("high")).alias("high"))
+    return now.select("needle", F.substr("needle", F.lit(1), F.col("low")).alias("prefix"))
+
+
 def mode_tally(modes: DataFrame) -> DataFrame:
     """(mode, n) of a fidelity check; a mode that doesn't occur has 0."""
     counts = modes.agg(*[F.count_if(F.col("mode") == m).alias(m) for m in ("exact", "bounded", "failed")])

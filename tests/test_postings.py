@@ -88,3 +88,16 @@ def test_a_long_list_of_quotes(spark):
     a, b = spark.createDataFrame(texts, "id int, t string"), spark.createDataFrame(quotes, "k int, q string")
     got = {(r.id, r.q) for r in match.contained(a, "t", b, "q", most_bytes=0).collect()}
     assert got == {(i, q) for i, t in texts for q in {q for k, q in quotes if k < 9000} if q in t}
+
+
+@pytest.mark.parametrize("most_bytes", [1 << 20, 0])
+def test_longest_beginnings_over_all_blocks(spark, most_bytes):
+    from lexigraph.operators import match
+
+    rng = random.Random(13)
+    say = lambda n: "".join(rng.choices("abü ", k=n))
+    blocks = [say(rng.randrange(40)) for _ in range(30)] + [None, ""]
+    needles = [say(rng.randrange(1, 14)) for _ in range(40)] + ["", "aaaa", "aaab", "zab", None]
+    got = match.located_prefixes(spark.createDataFrame([(n,) for n in needles + needles], "n string"), "n", spark.createDataFrame([(b,) for b in blocks], "b string").repartition(3), "b", most_bytes)
+    want = {n: max((n[:i] for i in range(len(n) + 1) if i == 0 or any(n[:i] in b for b in blocks if b)), key=len) for n in needles if n is not None}
+    assert {r.needle: r.prefix for r in got.collect()} == want
