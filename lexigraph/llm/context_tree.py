@@ -22,7 +22,7 @@ fixed table; words are told apart by a 64-bit hash.
 
 Null and empty texts have the end alone.  A document whose `held_out` is null isn't learned from, and isn't held out.  Where
 nothing can be learned from, every decision has probability 1/2.  Repeated rows keep a row each, and count each.  Extra columns are
-ignored.
+ignored.  Rows that repeat both doc_id and text are of one block.
 """
 
 from __future__ import annotations
@@ -34,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_batches, in_parts, lean_worker, plan_bytes, remove, staged
+from .common import as_bytes, bounded_batches, in_parts, lean_worker, remove, staged
 from .shingles import mix64, word_hashes
 
-BLOCK = 5 << 20  # bytes of stored documents to a block
+BLOCK = 20 << 20  # bytes of text to a block
 FAN = 64  # blocks whose arrays are merged, or answered, at a time
 SPLIT = 3  # nearest bytes of context that a shard's subtrees share
 _HELD = 1_500_000  # grams and words of a block that are kept before they are merged
@@ -310,7 +310,8 @@ def answered(arrays: DataFrame, counts: DataFrame, blocks: int, top: list[list[L
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", depth: int = 5, block_bytes: int = BLOCK) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row; depth from 1 to 6."""
     split = min(SPLIT, depth)
-    blocks = max(1, math.ceil(plan_bytes(docs) / block_bytes))
+    # the bytes are counted: an estimate that is too small would make blocks too large
+    blocks = max(1, math.ceil((docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0) / block_bytes))
     shards = max(8, math.ceil(blocks / 4))
     row = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), held_out.alias("held_out"))
     row = row.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out"), F.coalesce(~F.col("held_out"), F.lit(False)).alias("learned"))

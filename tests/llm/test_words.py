@@ -192,7 +192,7 @@ def test_evidence_is_krichevsky_trofimov():
     assert np.allclose(context_tree.evidence(many[:, 0], many[:, 1]), want, rtol=1e-9, atol=1e-4)  # sums of 1e9 cancel
 
 
-@pytest.mark.parametrize("depth, block_bytes", [(1, 1 << 30), (2, 1 << 27), (4, 1 << 27), (5, 1 << 30)])
+@pytest.mark.parametrize("depth, block_bytes", [(1, 1 << 30), (2, 1500), (4, 1500), (5, 1 << 30)])
 def test_context_tree_against_plain(spark, depth, block_bytes, monkeypatch):
     monkeypatch.setattr(context_tree, "FAN", 3)
     rows = [r for r in corpus(2, 40) if len(r[1] or "") < 1000] + [(70, "日本 \x00 \x1f end"), (71, "zzz" * 50)]
