@@ -724,6 +724,20 @@ def c_law_names(spark, d):
     return rows.unionByName(t["areas"].select("doc", F.lit("area").alias("kind"), F.col("slug").alias("number"), "name"))
 
 
+@query(law_sql("""SELECT doc, 'Titel ' || doc AS kurztitel, 'ACHTER TEIL' AS teil, 'K' || l AS stufe, 'A' || l || '+' AS niveau, 'In allen vier Kompetenzbereichen wird das Zielniveau A' || l || '+ angestrebt.' AS satz, 'Kompetenzbereiche (1. bis 4. Klasse):' AS abschnitt
+  FROM dl WHERE l <> 2 AND a % 5 <> 4"""))
+def c_law_subjects(spark, d):
+    events = tree_xml.xml_events(spark, derived.xml_root(spark, d, "law", derived.LAW))
+    e = staged(regulation.with_places(events, _LAW), "places")
+    level = "map<string,struct<niveau:string,satz:string,abschnitt:string,quell_index:int>>"
+    axis = F.struct(F.lit("gers").alias("typ"), F.struct(F.create_map().cast(level).alias("je_stufe"), F.lit(False).alias("je_stufe_ausgewiesen")).alias("gers"))
+    columns = {"nor": F.lit("NOR1"), "kurztitel": F.concat(F.lit("Titel "), "document"), "kundmachungsorgan": F.lit("BGBl."), "artikel_paragraph_anlage": F.lit("Anl. 1"), "retrieval_date": F.lit("2025-01-01")}
+    manifest = events.select(F.col("doc").alias("document")).distinct().withColumns(columns)
+    rows = regulation.subjects(e, _LAW, axis, manifest).where("achse.gers.je_stufe_ausgewiesen")
+    rows = rows.select("doc", "provenienz.kurztitel", "provenienz.teil", F.explode("achse.gers.je_stufe").alias("stufe", "v"))
+    return rows.select("doc", "kurztitel", "teil", "stufe", "v.niveau", "v.satz", "v.abschnitt")
+
+
 # -- documents against a schema
 
 _ORDER_SCHEMA = {

@@ -152,6 +152,7 @@ LAW = """d AS (SELECT DISTINCT a, slug, area_name, lower(slug) || '.xml' AS doc
     UNION ALL SELECT doc, 3, 0, 'ueberschrift', 'erll', 'Kompetenzbereiche (1. bis 4. Klasse):', '' FROM d
     UNION ALL SELECT doc, 1000000 + l * 10000, 0, 'absatz', 'erltext', CAST(l AS STRING) || '. Klasse:', '' FROM dl
     UNION ALL SELECT doc, 1000000 + l * 10000 + 1, 0, 'absatz', 'abs', 'Anwendungsbereiche', '' FROM dl WHERE l = 2
+    UNION ALL SELECT doc, 1000000 + l * 10000 + 1, 0, 'absatz', 'abs', 'In allen vier Kompetenzbereichen wird das Zielniveau A' || CAST(l AS STRING) || '+ angestrebt. Mehr.', '' FROM dl WHERE l <> 2
     UNION ALL SELECT doc, 1000000 + l * 10000 + 2, 0, 'ueberschrift', 'erll', 'Kompetenzbereich 1: ' || area_name, '' FROM dl
     UNION ALL SELECT doc, 1000000 + l * 10000 + 3, 0, 'absatz', 'abs', 'Die Schülerinnen und Schüler können', '' FROM dl WHERE l <> 3
     UNION ALL SELECT doc, 1000000 + l * 10000 + 4, row_number() OVER (PARTITION BY doc, l ORDER BY o) - 1, 'listelem', NULL, entry, CASE k % 4 WHEN 0 THEN '6' WHEN 1 THEN '99' ELSE '' END FROM q

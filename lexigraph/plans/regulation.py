@@ -18,7 +18,8 @@ from ..functions.text import STEM, slug, theme_sentence
 from ..operators import rank
 from ..operators.bind import attach_key
 from ..session import staged
-from .build import AREA_FORMS, TARGET_LEVEL, area_name, level_code, legend_entries
+from ..sources import snapshots
+from .build import AREA_FORMS, TARGET_LEVEL, area_name, legend_entries, level_code, with_axis
 from .transducer import SEGMENT, Machine, with_registers, with_states
 
 STATES = ("wrong_part", "outside", "preamble", "competences", "items", "integrated", "appendix", "after")
@@ -114,6 +115,7 @@ def with_places(events: DataFrame, s: Subject, segment: int = SEGMENT) -> DataFr
         "area": F.when(is_("integrated_section"), value(integrated)).when(section | is_("other_heading"), value(none_area)).when(is_("level") & in_("competences", "items"), value(none_area)).when(is_("area") & in_("competences", "items"), value(named)),
         "stem": F.when(section | is_("other_heading") | is_("level", "area") & in_("competences", "integrated"), value(none)).when(is_("stem") & in_("competences", "integrated") | is_("sentence") & in_("competences"), value(F.col("text"))),
         "block": F.when(section | is_("other_heading", "level", "area"), value(no_block)).when(is_("block") & in_("competences") | is_("sentence", "digital") & in_("items"), value(opened)),
+        "section": F.when(is_("competence_section"), value(F.col("text"))),
         "title": F.when(is_("other_heading"), value(F.col("text"))).when(section, value(none)),
         "list": F.when(F.col("in_list"), value(F.col("idx"))).when(section, value(F.lit(None).cast("int"))),
     }
@@ -175,10 +177,20 @@ def legend(e: DataFrame) -> DataFrame:
 
 
 def targets(e: DataFrame) -> DataFrame:
-    """(doc, stufe, niveau, satz, idx): each level's first target sentence before its areas."""
+    """(doc, stufe, niveau, satz, abschnitt, quell_index): each level's first target sentence before its areas."""
     hit = e.where(F.col("text").rlike(TARGET_LEVEL) & (F.col("token") == "text") & (F.col("state") == "competences") & F.col("area").isNull() & F.col("level").isNotNull())
-    first = hit.groupBy("doc", F.col("level").alias("stufe")).agg(F.min(F.struct("idx", "pos", F.regexp_extract("text", TARGET_LEVEL, 1).alias("niveau"), F.regexp_extract("text", TARGET_LEVEL, 0).alias("satz"))).alias("x"))
-    return first.select("doc", "stufe", "x.niveau", "x.satz", "x.idx")
+    first = hit.groupBy("doc", F.col("level").alias("stufe")).agg(F.min(F.struct("idx", "pos", F.regexp_extract("text", TARGET_LEVEL, 1).alias("niveau"), F.regexp_extract("text", TARGET_LEVEL, 0).alias("satz"), "section")).alias("x"))
+    return first.select("doc", "stufe", "x.niveau", "x.satz", F.col("x.section").alias("abschnitt"), F.col("x.idx").alias("quell_index"))
+
+
+def subjects(e: DataFrame, s: Subject, axis: Column | None = None, manifest: DataFrame | None = None) -> DataFrame:
+    """(doc, achse, provenienz): each subject that was found, with its axis of differentiation, the target levels filled in where it has a place for
+    them, and where its text comes from by the manifest's row (document) of the name; without an axis or a manifest no such column."""
+    rows = e.where("token = 'subject' and before = 'outside'").select("doc").distinct()
+    if manifest is not None:
+        source = snapshots.provenance(manifest, F.lit(s.part)).select(F.col("document").alias("doc"), "provenienz")
+        rows = rows.join(source, "doc", "left")
+    return rows if axis is None else with_axis(rows.withColumn("achse", axis), "achse", targets(e))
 
 
 def issues(e: DataFrame, s: Subject) -> DataFrame:
@@ -210,8 +222,8 @@ def issues(e: DataFrame, s: Subject) -> DataFrame:
     return rows.groupBy("doc", "idx", "rule").agg(F.min_by("text", "pos").alias("text")).select("doc", "idx", "rule", "text")
 
 
-def build(events: DataFrame, s: Subject, segment: int = SEGMENT) -> dict[str, DataFrame]:
-    """All tables of a subject."""
+def build(events: DataFrame, s: Subject, segment: int = SEGMENT, axis: Column | None = None, manifest: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All tables of a subject; see subjects() for axis and manifest."""
     e = staged(with_places(events, s, segment), "places")
-    out = {"events": e, "areas": areas(e, s), "competences": competences(e, s), "items": items(e, s), "extras": extras(e), "themes": subject_themes(e), "legend": legend(e), "issues": issues(e, s)}
+    out = {"events": e, "areas": areas(e, s), "competences": competences(e, s), "items": items(e, s), "extras": extras(e), "themes": subject_themes(e), "legend": legend(e), "issues": issues(e, s), "subjects": subjects(e, s, axis, manifest)}
     return out | ({"targets": targets(e)} if s.target_levels else {})

@@ -107,7 +107,7 @@ def test_target_levels_stand_before_the_areas(spark):
     subject = rg.Subject("SEK1.E", "ENGLISCH", None, "prosa", form="unnumbered", target_levels=True)
     say = "In allen vier Kompetenzbereichen wird das Zielniveau A2 mit Teilen aus B1 angestrebt. Mehr."
     t = parsed(spark, subject, [head("ENGLISCH", "g1"), head("Kompetenzbereiche (1. bis 4. Klasse):"), ("absatz", "abs", say), head("1. Klasse"), ("absatz", "abs", say), ("absatz", "abs", say), head("Kompetenzbereich Hören"), ("absatz", "abs", say.replace("A2", "C1")), head("Irgendwas"), ("listelem", None, ["mehr"])])
-    assert [tuple(r) for r in t["targets"].collect()] == [("d", "K1", "A2 mit Teilen aus B1", say[:-6], 4)]
+    assert [tuple(r) for r in t["targets"].collect()] == [("d", "K1", "A2 mit Teilen aus B1", say[:-6], "Kompetenzbereiche (1. bis 4. Klasse):", 4)]
     assert rows(t["extras"], "titel", "stufe", "text") == [("Irgendwas", None, "mehr")]
     empty = rg.build(spark.createDataFrame([], EVENT), subject)
     assert all(df.count() == 0 for df in empty.values())
