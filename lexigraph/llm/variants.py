@@ -156,15 +156,15 @@ class _Lengths:
         padded[1, :, starts.shape[1] :] = 255
         return np.searchsorted(ordered, _strings(padded[0]), side="left"), np.searchsorted(ordered, _strings(padded[1]), side="right")
 
-    def near(self, letters: np.ndarray, first: int, extra: int, turned: bool) -> tuple[np.ndarray, np.ndarray]:
+    def near(self, letters: np.ndarray, home: np.ndarray, first: int, extra: int, turned: bool) -> tuple[np.ndarray, np.ndarray]:
         """(row, place) of words that differ from a row of letters by one code point at position `first` or later: replaced
         if extra is 0, inserted if it is 1.  An inserted code point that equals its neighbours may stand at several positions;
-        the last of them counts, of reversed words the first."""
+        the last of them counts, of reversed words the first.  `home` says which rows are words of this shard themselves."""
         size, length = letters.shape[1], self.words.dtype.itemsize
         live, rows, places = np.arange(len(letters)), [], []
         for i in range(first, size + extra):
             lo, hi = self._interval(self.words, letters[live, :i], length)
-            some = hi - lo > 1 - extra  # a word that is there itself meets no other alone
+            some = hi - lo > (0 if extra else home[live])  # a word that is there itself meets no other alone
             live, lo, hi = live[some], lo[some], hi[some]
             if not len(live):
                 break
@@ -193,25 +193,27 @@ def near_pairs(words: list[bytes], n: list[int], visitors: list[bytes], turned:
         mine[0].append(w)
         mine[1].append(c)
     by_length = {k: _Lengths(*v) for k, v in classes.items()}
-    askers: dict[int, list[int]] = {}
+    askers, here = {}, set(words)
     for i, w in enumerate(visitors):
         askers.setdefault(len(w), []).append(i)
     out = []
     for length, rows in askers.items():
         half = length - length // 2 if turned else length // 2
         letters = _letters(_fixed([visitors[i] for i in rows], length))
+        home = np.array([visitors[i] in here for i in rows], dtype=np.int64)
         for extra in (0, 1):
             there = by_length.get(length + extra)
             if there is None:
                 continue
-            row, place = there.near(letters, half + (extra if turned else 0), extra, turned)
+            row, place = there.near(letters, home, half + (extra if turned else 0), extra, turned)
             out.extend(zip(np.array(rows)[row].tolist(), there.words[place].tolist(), there.n[place].tolist()))
     return out
 
 
-def shard_bounds(words: DataFrame, key: str, shards: int) -> tuple[DataFrame, list[str]]:
+def shard_bounds(words: DataFrame, key: str, shards: int, scratch: list[DataFrame]) -> tuple[DataFrame, list[str]]:
     """Words with the number of their shard, ranges of the order of `key`, and each shard's first word."""
     dealt = staged(words.repartitionByRange(shards, key).withColumn("range", F.spark_partition_id()), "shards")
+    scratch.append(dealt)
     first = dealt.groupBy("range").agg(F.min(key).alias("first")).orderBy("first").collect()  # a word for each shard
     numbers = words.sparkSession.createDataFrame([(r["range"], i) for i, r in enumerate(first)], "range int, shard int")
     return dealt.join(F.broadcast(numbers), "range").drop("range"), [r["first"] for r in first]
@@ -236,12 +238,14 @@ def visits(words: DataFrame, bounds: list[str], turned: bool) -> DataFrame:
     return words.select("key", "n").mapInArrow(routed, "key string, n long, shard int")
 
 
-def near_words(words: DataFrame, turned: bool, shard: int = SHARD, most: int = VISITS) -> DataFrame:
-    """(word, n_near, best) of the pairs that edits in one half make: how many near words, and the best (count, word)."""
+def near_words(words: DataFrame, turned: bool, scratch: list[DataFrame], shard: int = SHARD, most: int = VISITS) -> DataFrame:
+    """(word, n_near, best) of the pairs that edits in one half make: how many near words, and the best (count, word).  Tables
+    that the result reads join `scratch`."""
     total = words.count()
     keyed = words.select((F.reverse("word") if turned else F.col("word")).alias("key"), "n")
-    dealt, bounds = shard_bounds(keyed, "key", max(1, math.ceil(total / shard)))
+    dealt, bounds = shard_bounds(keyed, "key", max(1, math.ceil(total / shard)), scratch)
     asked = staged(visits(dealt, bounds, turned), "visits")
+    scratch.append(asked)
     copies = F.broadcast(asked.groupBy("shard").agg(F.ceil(F.count("*") / most).cast("int").alias("copies")))  # a row for each shard
     points = dealt.join(copies, "shard").select("shard", "key", "n", F.lit(True).alias("point"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
     asked = asked.join(copies, "shard").select("shard", "key", "n", F.lit(False).alias("point"), F.pmod(F.xxhash64("key"), "copies").cast("int").alias("copy"))
@@ -289,12 +293,13 @@ def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: in
     """(word, form, root, n, n_near, form_n) of every dictionary word."""
     with bounded_batches(docs.sparkSession):
         words = staged(word_counts(docs, doc_id, text, least, every).where(F.col("n") >= often), "words")
-    halves = near_words(words, False, shard, most).unionByName(near_words(words, True, shard, most))
+    scratch = [words]
+    halves = near_words(words, False, scratch, shard, most).unionByName(near_words(words, True, scratch, shard, most))
     best = F.min(F.struct((-F.col("best_n")).alias("less"), "best")).alias("best")
     near = halves.groupBy("word").agg(F.sum("n_near").alias("n_near"), best)
     chosen = -F.col("best.less") >= ratio * F.col("n")
     found = words.join(near, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(chosen, F.col("best.best")).alias("form"), F.when(chosen, -F.col("best.less")).alias("form_n"))
     found = staged(found, "variants")
-    remove(words)
+    remove(*scratch)
     root = roots(found.where("form is not null"))
     return found.join(root, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
