@@ -28,6 +28,7 @@ ignored.  Rows that repeat both doc_id and text are of one block.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from .common import as_bytes, bounded_batches, in_parts, lean_worker, remove, st
 from .shingles import mix64, word_hashes
 
 BLOCK = 20 << 20  # bytes of text to a block
+PIECES = 1 << 20  # bytes of text that are worked on at a time
 FAN = 64  # blocks whose arrays are merged, or answered, at a time
 SPLIT = 3  # nearest bytes of context that a shard's subtrees share
 _HELD = 1_500_000  # grams and words of a block that are kept before they are merged
@@ -82,24 +84,45 @@ def normalised(texts: list[bytes | None]) -> list[bytes]:
     return [b" ".join((t or b"").lower().split()) for t in texts]
 
 
-def grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte of normalised texts and their ends: context and byte as one number, the nearest byte of context on top,
-    and the number of the text."""
-    block = np.frombuffer(b"\n" * depth + b"".join(t + b"\n" * depth for t in texts), dtype=np.uint8).astype(np.uint64)
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    owner = np.repeat(np.arange(len(texts)), sizes + 1)
-    at = np.arange(len(owner)) + owner * (depth - 1)
-    key = block[at + depth]
+Piece = tuple[int, bytes, bytes]  # number of the text, the bytes before, a part of the text
+
+
+def cut(texts: list[bytes], depth: int, most: int = PIECES) -> Iterator[list[Piece]]:
+    """Normalised texts with their ends, in lists of about `most` bytes; a longer text is cut between words."""
+    held: list[Piece] = []
+    size = 0
+    for i, text in enumerate(texts):
+        whole, at = text + b"\n", 0
+        while at < len(whole):
+            to = len(whole)
+            if to - at > most:
+                to = whole.rfind(b" ", at, at + most) + 1 or whole.find(b" ", at + most) + 1 or to
+            held.append((i, (b"\n" * depth + whole[max(0, at - depth) : at])[-depth:], whole[at:to]))
+            size, at = size + len(held[-1][2]), to
+            if size >= most:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def grams(pieces: list[Piece], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte of the pieces: context and byte as one number, the nearest byte of context on top, and the number of the
+    text."""
+    block = np.frombuffer(b"".join(before + part for _, before, part in pieces), dtype=np.uint8)
+    sizes = [len(part) for _, _, part in pieces]
+    at = np.arange(sum(sizes)) + depth * np.repeat(np.arange(1, len(pieces) + 1), sizes)
+    key = block[at].astype(np.uint64)
     for d in range(1, depth + 1):
-        key |= block[at + depth - d] << np.uint64(8 * (depth - d + 1))
-    return key, owner
+        key |= block[at - d].astype(np.uint64) << np.uint64(8 * (depth - d + 1))
+    return key, np.repeat([i for i, _, _ in pieces], sizes)
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of normalised texts and of their ends, and the number of the text."""
-    words, counts = word_hashes(texts)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    return np.concatenate([words, np.full(len(texts), _END)]), np.concatenate([owner, np.arange(len(texts))])
+def tokens(pieces: list[Piece]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of the pieces and of the ends of texts, and the number of the text."""
+    words, counts = word_hashes([part for _, _, part in pieces])
+    ends = [i for i, _, part in pieces if part.endswith(b"\n")]
+    return np.concatenate([words, np.full(len(ends), _END)]), np.concatenate([np.repeat([i for i, _, _ in pieces], counts), np.array(ends, dtype=np.int64)])
 
 
 class Level:
@@ -223,8 +246,9 @@ def gathered(docs: DataFrame, depth: int, split: int, shards: int) -> DataFrame:
 
         for batch in in_parts(group.select(["text", "learned"]).to_batches()):
             texts, learned = normalised(as_bytes(batch.column(0))), np.array(batch.column(1).to_pylist(), dtype=bool)
-            for kind, found in ((_GRAMS, grams(texts, depth)), (_WORDS, tokens(texts))):
-                add(kind, found[0], learned[found[1]])
+            for pieces in cut(texts, depth):
+                for kind, found in ((_GRAMS, grams(pieces, depth)), (_WORDS, tokens(pieces))):
+                    add(kind, found[0], learned[found[1]])
         rows = []
         for kind in (_GRAMS, _WORDS):
             keys, counts = merged(*map(np.concatenate, zip(*held[kind])))
@@ -344,20 +368,24 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
             for batch in in_parts(group.select(["doc_id", "text", "held_out"]).to_batches(), rows=256):
                 texts = normalised(as_bytes(batch.column(1)))
                 n = len(texts)
-                keys, owner = grams(texts, depth)
-                # grams of one kind side by side are looked up once: number of the text in the low byte
-                keys = np.sort(keys << np.uint64(8) | owner.astype(np.uint64))
-                owner, keys = (keys & np.uint64(255)).astype(np.int64), keys >> np.uint64(8)
-                first = _firsts(keys)
-                each = known[_GRAMS][1][np.searchsorted(known[_GRAMS][0], keys[first])]
-                total = np.bincount(owner, weights=np.repeat(each, np.diff(np.append(first, len(keys)))), minlength=n)
-                words, owner = tokens(texts)
-                distinct_words, where = np.unique(words, return_inverse=True)
-                count = known[_WORDS][1][np.searchsorted(known[_WORDS][0], distinct_words)][where]
-                n_tokens = np.bincount(owner, minlength=n)
-                base = np.bincount(owner, weights=np.log10(count + 1), minlength=n) - n_tokens * math.log10(n_all + distinct + 1)
+                total, logs, n_tokens, n_known = np.zeros(n), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+                for pieces in cut(texts, depth):
+                    keys, owner = grams(pieces, depth)
+                    # grams of one kind side by side are looked up once: number of the text in the low byte
+                    keys = np.sort(keys << np.uint64(8) | owner.astype(np.uint64))
+                    owner, keys = (keys & np.uint64(255)).astype(np.int64), keys >> np.uint64(8)
+                    first = _firsts(keys)
+                    each = known[_GRAMS][1][np.searchsorted(known[_GRAMS][0], keys[first])]
+                    total += np.bincount(owner, weights=np.repeat(each, np.diff(np.append(first, len(keys)))), minlength=n)
+                    words, owner = tokens(pieces)
+                    distinct_words, where = np.unique(words, return_inverse=True)
+                    count = known[_WORDS][1][np.searchsorted(known[_WORDS][0], distinct_words)][where]
+                    n_tokens += np.bincount(owner, minlength=n)
+                    n_known += np.bincount(owner, weights=count > 0, minlength=n).astype(np.int64)
+                    logs += np.bincount(owner, weights=np.log10(count + 1), minlength=n)
+                base = logs - n_tokens * math.log10(n_all + distinct + 1)
                 bits = -total / math.log10(2) / (np.array([len(t) for t in texts]) + 1)
-                out.append(pa.table({"doc_id": batch.column(0), "held_out": batch.column(2), "n_tokens": n_tokens, "n_known": np.bincount(owner, weights=count > 0, minlength=n).astype(np.int64), "train_tokens": np.full(n, n_all, np.int64), "base_score": base, "score": total, "bits_per_byte": bits}))
+                out.append(pa.table({"doc_id": batch.column(0), "held_out": batch.column(2), "n_tokens": n_tokens, "n_known": n_known, "train_tokens": np.full(n, n_all, np.int64), "base_score": base, "score": total, "bits_per_byte": bits}))
             return pa.concat_tables(out)
 
         schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"

@@ -216,7 +216,7 @@ def test_context_tree_against_plain(spark, depth, block_bytes, monkeypatch):
 
 def test_context_tree_probabilities_sum_to_one(spark):
     tree_texts = context_tree.normalised([b"the cat sat on the mat", b"a hat"])
-    keys, counts = context_tree.merged(context_tree.grams(tree_texts, 3)[0], np.ones(sum(len(t) + 1 for t in tree_texts), np.int64))
+    keys, counts = context_tree.merged(context_tree.grams(next(context_tree.cut(tree_texts, 3)), 3)[0], np.ones(sum(len(t) + 1 for t in tree_texts), np.int64))
     levels = context_tree.subtrees(keys, counts, 3, 0)
     for context in (b"the", b"\n\n\n", b"xyz", b"zat"):
         head = sum(context[2 - d] << 8 * (3 - d) for d in range(3))
@@ -224,6 +224,18 @@ def test_context_tree_probabilities_sum_to_one(spark):
         assert math.isclose((10**each).sum(), 1)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="ab cé", max_size=30), min_size=1, max_size=5), st.integers(1, 12), st.integers(1, 6))
+def test_cutting_texts_changes_nothing(many, most, depth):
+    whole = context_tree.normalised(encoded(many))
+    both = lambda found: sorted(zip(*[np.concatenate(x).tolist() for x in zip(*found)]))
+    for kind in (lambda p: context_tree.grams(p, depth), context_tree.tokens):
+        assert both(map(kind, context_tree.cut(whole, depth, most))) == both(map(kind, context_tree.cut(whole, depth, 1 << 20)))
+    keys, owner = context_tree.grams(next(context_tree.cut(whole, depth)), depth)
+    want = [(int.from_bytes((b"\n" * depth + t + b"\n")[j : j + depth][::-1] + (t + b"\n")[j : j + 1]), i) for i, t in enumerate(whole) for j in range(len(t) + 1)]
+    assert list(zip(keys.tolist(), owner.tolist())) == want
+
+
 def test_context_tree_extremes(spark):
     assert context_tree.score(documents(spark, []).limit(0), held_out()).count() == 0
     none = context_tree.score(documents(spark, [(None, "abc"), (None, None)]), held_out()).collect()
