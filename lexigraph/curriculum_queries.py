@@ -677,7 +677,7 @@ def _law(spark, d) -> dict[str, DataFrame]:
     return regulation.build(tree_xml.xml_events(spark, derived.xml_root(spark, d, "law", derived.LAW)), _LAW)
 
 
-_HEAD = "'AT.LP23.SEK1.M.' || {} || '.K' || l || '.' || lpad(CAST(row_number() OVER (PARTITION BY doc, l ORDER BY o) AS VARCHAR), 2, '0')"
+_LAW_ID = "'AT.LP23.SEK1.M.' || {} || '.K' || l || '.' || lpad(CAST(row_number() OVER (PARTITION BY doc, l ORDER BY o) AS VARCHAR), 2, '0')"
 
 
 @query(law_sql("""SELECT doc, idx, pos, CASE WHEN g = 1 THEN 'preamble' WHEN g = 2 THEN 'preamble' WHEN g < 2000000 THEN 'competences' WHEN g < 3000000 THEN 'items' WHEN g < 4000000 THEN 'integrated' WHEN g < 6000000 THEN 'appendix' ELSE 'after' END AS state
@@ -686,8 +686,8 @@ def c_law_states(spark, d):
     return _law(spark, d)["events"].select("doc", long("idx"), long("pos"), "state")
 
 
-@query(law_sql(f"""SELECT doc, {_HEAD.format("'BEREICH' || a")} AS id, 1 AS bereich_nummer, area_name AS bereich_name, CASE WHEN l = 3 THEN '' ELSE 'Die Schülerinnen und Schüler können' END AS stammsatz, entry AS text FROM q WHERE a % 5 <> 4
-  UNION ALL SELECT doc, {_HEAD.format("'GZINTEGRATIV'")}, NULL, 'Integrative Führung von Geometrisches Zeichnen', 'Die Schülerinnen und Schüler können', 'zeichnen ' || entry FROM q WHERE a % 5 <> 4 AND o % 10 = 4 AND l > 2"""))
+@query(law_sql(f"""SELECT doc, {_LAW_ID.format("'BEREICH' || a")} AS id, 1 AS bereich_nummer, area_name AS bereich_name, CASE WHEN l = 3 THEN '' ELSE 'Die Schülerinnen und Schüler können' END AS stammsatz, entry AS text FROM q WHERE a % 5 <> 4
+  UNION ALL SELECT doc, {_LAW_ID.format("'GZINTEGRATIV'")}, NULL, 'Integrative Führung von Geometrisches Zeichnen', 'Die Schülerinnen und Schüler können', 'zeichnen ' || entry FROM q WHERE a % 5 <> 4 AND o % 10 = 4 AND l > 2"""))
 def c_law_competences(spark, d):
     return _law(spark, d)["competences"].select("doc", "id", "bereich_nummer", "bereich_name", "stammsatz", "text")
 
