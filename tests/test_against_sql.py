@@ -29,3 +29,11 @@ def test_descriptors(spark, tmp_path):
     n = range(25)
     folder = write(tmp_path, nation={"n_nationkey": pa.array(n, pa.int64()), "n_name": [f"NATION{i}" for i in n], "n_regionkey": pa.array([i % 5 for i in n], pa.int64())})
     assert len(same_as_sql(spark, folder, "c_descriptors", "nation")) == 25
+
+
+def test_prices_at_the_limit(spark, tmp_path):
+    prices = [149999.49, 149999.5, 149999.99, 150000.0, 150000.49, 1.5, 2.5, 149998.5]
+    n = range(len(prices))
+    orders = {"o_orderkey": pa.array([i + 1 for i in n], pa.int64()), "o_custkey": pa.array([i + 7 for i in n], pa.int64()), "o_orderstatus": ["F"] * len(prices), "o_totalprice": pa.array(prices, pa.float64())}
+    got = same_as_sql(spark, write(tmp_path, orders=orders), "c_schema_violations", "orders")
+    assert [r[0] for r in got if r[1] == "/customer/price"] == [2, 3, 4, 5]
