@@ -72,12 +72,14 @@ def classify_claims(claimed: DataFrame, truth: DataFrame, anchor: str, item: str
 
 
 def _judged(claimed: DataFrame, truth: DataFrame, anchor: str, item: str, binding: str) -> DataFrame:
-    same = truth.select(anchor, item, F.col(binding).alias("claims_binding")).distinct().withColumn("__right", F.lit(True))
-    other = truth.select(anchor, item, (~F.col(binding)).alias("claims_binding")).distinct().withColumn("__wrong", F.lit(True))
-    on = [anchor, item, "claims_binding"]
-    joined = claimed.join(same, on, "left").join(other, on, "left")
-    rule = F.when(F.col(anchor).isNull(), "no-anchor").when(F.col("__right"), "ok").when(F.col("__wrong"), "swapped").otherwise("fabricated")
-    return joined.withColumn("rule", rule).drop("__right", "__wrong")
+    held = F.col(binding)
+    # a row for each anchor and item.  Its size isn't known before it is grouped, so it is never collected to be sent to all
+    # tasks; most are there once, so they are dealt out before they are grouped
+    known = truth.select(anchor, item, binding).repartition(anchor, item).groupBy(anchor, item).agg(F.bool_or(held).alias("__yes"), F.bool_or(~held).alias("__no")).hint("shuffle_merge")
+    joined = claimed.join(known, [anchor, item], "left")
+    claims, yes, no = F.col("claims_binding"), F.col("__yes"), F.col("__no")
+    rule = F.when(F.col(anchor).isNull(), "no-anchor").when(claims & yes | ~claims & no, "ok").when(claims & no | ~claims & yes, "swapped").otherwise("fabricated")
+    return joined.select(*claimed.columns, rule.alias("rule"))
 
 
 def check_quotes(anchors: DataFrame, truth: DataFrame, key: str, *fields: str) -> DataFrame:

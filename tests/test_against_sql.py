@@ -37,3 +37,14 @@ def test_prices_at_the_limit(spark, tmp_path):
     orders = {"o_orderkey": pa.array([i + 1 for i in n], pa.int64()), "o_custkey": pa.array([i + 7 for i in n], pa.int64()), "o_orderstatus": ["F"] * len(prices), "o_totalprice": pa.array(prices, pa.float64())}
     got = same_as_sql(spark, write(tmp_path, orders=orders), "c_schema_violations", "orders")
     assert [r[0] for r in got if r[1] == "/customer/price"] == [2, 3, 4, 5]
+
+
+def test_claims_are_never_collected(spark, tmp_path):
+    n, m = range(600), range(200)
+    lineitem = {"l_orderkey": pa.array(n, pa.int64()), "l_linenumber": pa.array([i % 7 for i in n], pa.int32()), "l_partkey": pa.array([None if i == 5 else i % 230 for i in n], pa.int64()), "l_suppkey": pa.array([i % 12 for i in n], pa.int64()), "l_linestatus": ["O" if i % 3 else "F" for i in n]}
+    part = {"p_partkey": pa.array([i // 2 for i in m], pa.int64()), "p_size": pa.array([i % 5 for i in m], pa.int64())}  # parts that are there twice, some with both bindings
+    folder = write(tmp_path, lineitem=lineitem, part=part)
+    same_as_sql(spark, folder, "q_claim_class", "lineitem", "part")
+    claimed = QUERIES["q_claim_class"](spark, folder)
+    plan = claimed._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("Join") == 1
