@@ -3,7 +3,9 @@
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
+from lexigraph.operators import bind
 from lexigraph.queries import ORACLE_SQL, QUERIES
 
 
@@ -48,3 +50,21 @@ def test_claims_are_never_collected(spark, tmp_path):
     claimed = QUERIES["q_claim_class"](spark, folder)
     plan = claimed._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and plan.count("Join") == 1
+
+
+def test_crosswalk_makes_each_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(bind, "SLOT", 7)
+    records = spark.createDataFrame([(i, area) for i in range(40) for area in ("a", "b", None)[: i % 4]], "id long, area string")
+    bridge = spark.createDataFrame([("a", "x", 5), ("b", "x", 2), ("b", "y", 3), ("a", "y", 9), (None, "x", 0), ("c", "z", 1)], "area string, kind string, n long")
+    targets = spark.createDataFrame([(i, kind) for i in range(30) for kind in ("x", "y", None)[: i % 4]], "t long, kind string")
+    want = records.join(bridge, "area").join(targets, "kind").groupBy("id", "t").agg(F.min("n").alias("n"))
+    got = bind.crosswalk(records, bridge, targets, ["area"], ["kind"], "id", "t", "n")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 100
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not plan.startswith("Aggregate")  # no grouping of the pairs
+
+
+def test_crosswalk_without_rows(spark):
+    none = spark.createDataFrame([], "id long, area string")
+    bridge, targets = spark.createDataFrame([("a", "x", 5)], "area string, kind string, n long"), spark.createDataFrame([(1, "x")], "t long, kind string")
+    assert bind.crosswalk(none, bridge, targets, ["area"], ["kind"], "id", "t", "n").collect() == []
