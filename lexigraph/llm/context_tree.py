@@ -41,6 +41,7 @@ from .shingles import mix64, word_hashes
 BLOCK = 20 << 20  # bytes of text to a block
 PIECES = 1 << 20  # bytes of text that are worked on at a time
 FAN = 64  # blocks whose arrays are merged, or answered, at a time
+ASKED = 1 << 18  # grams whose probabilities are worked out at a time
 SPLIT = 3  # nearest bytes of context that a shard's subtrees share
 _HELD = 1_500_000  # grams and words of a block that are kept before they are merged
 _GRAMS, _WORDS = 0, 1
@@ -166,6 +167,7 @@ def subtrees(keys: np.ndarray, counts: np.ndarray, depth: int, top: int) -> list
             split = None
             if out:
                 split = np.bincount(np.searchsorted(node, above(out[-1][bit].node, bit)), weights=out[-1][bit].ln, minlength=len(node))
+                out[-1][bit].ln = None  # nothing else reads it
             level.append(Level(node, zeros, ones, split))
         out.append(level)
     return out[::-1]
@@ -193,6 +195,8 @@ def top_trees(sums: dict[int, tuple], top: int) -> list[list[Level]]:
 
 def log_probability(keys: np.ndarray, depth: int, levels: list[list[Level]]) -> np.ndarray:
     """log10 probability of each gram's byte after its context; `levels` from depth 0 on."""
+    if len(keys) > ASKED:
+        return np.concatenate([log_probability(keys[i : i + ASKED], depth, levels) for i in range(0, len(keys), ASKED)])
     out = np.zeros(len(keys))
     for bit in range(8):
         mixed, left, one = np.zeros(len(keys)), np.ones(len(keys)), np.full(len(keys), 0.5)
@@ -216,7 +220,13 @@ _ARRAYS = "kind int, shard int, block int, keys binary, counts binary"
 
 
 def _numbers(column, kind) -> list[np.ndarray]:
-    return [np.frombuffer(x, dtype=kind) for x in column.to_pylist()]
+    """The arrays of a binary column, without copies."""
+    return [np.frombuffer(x.as_buffer(), dtype=kind) if len(x.as_buffer()) else np.empty(0, kind) for x in column]
+
+
+def _binary(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Pieces of an array between its edges as a binary column, without copies."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
 
 
 def _shard(kind: int, keys: np.ndarray, shards: int, depth: int, split: int) -> np.ndarray:
@@ -249,20 +259,19 @@ def gathered(docs: DataFrame, depth: int, split: int, shards: int) -> DataFrame:
             for pieces in cut(texts, depth):
                 for kind, found in ((_GRAMS, grams(pieces, depth)), (_WORDS, tokens(pieces))):
                     add(kind, found[0], learned[found[1]])
-        rows = []
+        block, tables = group.column("block")[0].as_py(), []
         for kind in (_GRAMS, _WORDS):
             keys, counts = merged(*map(np.concatenate, zip(*held[kind])))
             held[kind].clear()
             shard = _shard(kind, keys, shards, depth, split)
             order = np.argsort(shard, kind="stable")
             edges = np.searchsorted(shard[order], np.arange(shards + 1))
-            for s in range(shards):
-                part = order[edges[s] : edges[s + 1]]
-                if len(part):
-                    rows.append((kind, s, keys[part].tobytes(), counts[part].tobytes()))
-        kinds, numbers, keys, counts = zip(*rows)
-        block = group.column("block")[0].as_py()
-        return pa.table({"kind": pa.array(kinds, pa.int32()), "shard": pa.array(numbers, pa.int32()), "block": pa.array([block] * len(rows), pa.int32()), "keys": pa.array(keys, pa.binary()), "counts": pa.array(counts, pa.binary())})
+            numbers = np.flatnonzero(np.diff(edges))
+            edges = np.append(edges[numbers], edges[-1])
+            one = {"kind": np.full(len(numbers), kind, np.int32), "shard": numbers.astype(np.int32), "block": np.full(len(numbers), block, np.int32)}
+            tables.append(pa.table(one | {"keys": _binary(keys[order], edges), "counts": _binary(counts[order], edges)}))
+            del keys, counts, shard, order
+        return pa.concat_tables(tables)
 
     return docs.groupBy("block").applyInArrow(gather, _ARRAYS)
 
@@ -336,7 +345,8 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     split = min(SPLIT, depth)
     # the bytes are counted: an estimate that is too small would make blocks too large
     blocks = max(1, math.ceil((docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0) / block_bytes))
-    shards = max(8, math.ceil(blocks / 4))
+    # so many that what the blocks of one answer ask of a shard is small at any size
+    shards = max(24, math.ceil(blocks / 2))
     row = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), held_out.alias("held_out"))
     row = row.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out"), F.coalesce(~F.col("held_out"), F.lit(False)).alias("learned"))
     row = row.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
@@ -357,13 +367,19 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
         def added(group: pa.Table, answers: pa.Table) -> pa.Table:
             lean_worker()
-            known = {}
-            kinds = answers.column("kind").to_numpy()
-            for kind in (_GRAMS, _WORDS):
-                part = answers.filter(pa.array(kinds == kind))
-                keys, values = np.concatenate(_numbers(part.column("keys"), np.uint64)), np.concatenate(_numbers(part.column("values"), np.float64))
-                order = np.argsort(keys, kind="stable")
-                known[kind] = keys[order], values[order]
+            # a shard's answers stay as they came: in order of their keys
+            known: list[dict] = [{}, {}]
+            for kind, keys, values in zip(answers.column("kind").to_pylist(), _numbers(answers.column("keys"), np.uint64), _numbers(answers.column("values"), np.float64)):
+                known[kind][int(_shard(kind, keys[:1], shards, depth, split)[0])] = keys, values
+
+            def told(kind: int, wanted: np.ndarray) -> np.ndarray:
+                shard, found = _shard(kind, wanted, shards, depth, split), np.empty(len(wanted))
+                order = np.argsort(shard, kind="stable")
+                for part in np.split(order, _firsts(shard[order])[1:]):
+                    keys, values = known[kind][int(shard[part[0]])]
+                    found[part] = values[np.searchsorted(keys, wanted[part])]
+                return found
+
             out = []
             for batch in in_parts(group.select(["doc_id", "text", "held_out"]).to_batches(), rows=256):
                 texts = normalised(as_bytes(batch.column(1)))
@@ -375,11 +391,11 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
                     keys = np.sort(keys << np.uint64(8) | owner.astype(np.uint64))
                     owner, keys = (keys & np.uint64(255)).astype(np.int64), keys >> np.uint64(8)
                     first = _firsts(keys)
-                    each = known[_GRAMS][1][np.searchsorted(known[_GRAMS][0], keys[first])]
+                    each = told(_GRAMS, keys[first])
                     total += np.bincount(owner, weights=np.repeat(each, np.diff(np.append(first, len(keys)))), minlength=n)
                     words, owner = tokens(pieces)
                     distinct_words, where = np.unique(words, return_inverse=True)
-                    count = known[_WORDS][1][np.searchsorted(known[_WORDS][0], distinct_words)][where]
+                    count = told(_WORDS, distinct_words)[where]
                     n_tokens += np.bincount(owner, minlength=n)
                     n_known += np.bincount(owner, weights=count > 0, minlength=n).astype(np.int64)
                     logs += np.bincount(owner, weights=np.log10(count + 1), minlength=n)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -344,3 +345,14 @@ def test_sql_agrees(spark, name):
     found = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in found.description]
     assert as_rows(QUERIES[name](spark, folder).select(columns)) == sorted(found.fetchall(), key=repr)
+
+
+def test_probabilities_of_many_grams_take_little_memory():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 20, 1 << 20).astype(np.uint64))
+    levels = context_tree.subtrees(keys[::9], np.ones(len(keys[::9]), np.int64), 2, 0)
+    tracemalloc.start()
+    found = context_tree.log_probability(keys, 2, levels)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 6 * keys.nbytes and np.array_equal(found[:1000], context_tree.log_probability(keys[:1000], 2, levels))
