@@ -207,3 +207,17 @@ def test_origin_is_named():
     official = lessons.origin({"amtlich": True, "quelle": {"kurztitel": "Q"}, "blocks": []})
     own = lessons.origin({"quelle_hinweis": "selbst", "blocks": [{"type": "paragraph", "text": "t"}]})
     assert "Amtlicher Text" in official and "Quelle: Q" in official and "Eigenes Material" in own and "Herkunft: selbst" in own
+
+
+def test_folding_looks_up_plain_texts_in_one_table(spark):
+    *_, wide, suspect = tx._folds()
+    latin = "".join(map(chr, range(256))).replace("µ", "").lower()  # all that a lower-case text of single bytes holds
+    latin, odd = latin.replace("ß", ""), ["aµ", "ſ", "ﬁ", "x ǰ", "ꭰ"]  # ß is replaced before
+    assert values(spark, F.col("x").rlike(wide), latin, *odd) == [False] + [True] * len(odd)
+    assert all(values(spark, F.col("x").rlike(suspect), *odd))
+    assert values(spark, tx.casefold(F.col("x")), latin, latin.upper(), "„Maß“ – 3 €") == [latin.casefold(), latin.upper().casefold(), "„mass“ – 3 €"]
+
+
+def test_words_are_whole_runs(spark):
+    texts = ["Maß und Übung12, m² Ⅷabc ⟦ABB:bildname.png⟧x", "⟦ABB:⟧ offen", "abc abcd́e 𝒜𝒷𝒸𝒹 x_yzzz"]
+    assert values(spark, tx.words(F.col("x")), *texts, None) == [["Übung", "Ⅷabc"], ["offen"], ["abcd", "𝒜𝒷𝒸𝒹", "yzzz"], None]
