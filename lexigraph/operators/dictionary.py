@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import casefold
+from ..session import staged
 from .index import route
 
 GRAM = 3
@@ -24,10 +25,10 @@ def grams_of(term: Column, n: int) -> Column:
 def store(index: DataFrame, scope: str, path: str) -> None:
     """Writes an index (scope, term, parts) under its terms' runs."""
     runs = F.array_distinct(F.concat(*[grams_of(F.col("term"), n) for n in range(1, GRAM + 1)]))
-    rows = index.select(scope, "term", "parts", F.explode(runs).alias("gram"))
+    # ranges are sampled before rows are dealt out, so the index would be built twice for either table
+    rows = staged(index, "index").select(scope, "term", "parts", F.explode(runs).alias("gram"))
     # the term parts a run that many terms have over several ranges
-    rows = rows.repartitionByRange(scope, "gram", "term").sortWithinPartitions(scope, "gram", "term")
-    rows.write.partitionBy(scope).parquet(f"{path}/terms")
+    rows.repartitionByRange(scope, "gram", "term").sortWithinPartitions(scope, "gram", "term").write.partitionBy(scope).parquet(f"{path}/terms")
     rows.groupBy(scope, "gram").agg(F.count("*").alias("n")).repartitionByRange(scope, "gram").sortWithinPartitions(scope, "gram").write.partitionBy(scope).parquet(f"{path}/counts")
 
 

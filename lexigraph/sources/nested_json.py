@@ -113,16 +113,23 @@ class Tables:
     areas: DataFrame
 
 
-def tables(spark: SparkSession, root: str) -> Tables:
-    rows = parts(spark, root)
+def flat(rows: DataFrame) -> Tables:
+    """The tables of parts; unreadable ones have no records."""
     good = rows.where("_corrupt_record is null")
     return Tables(rows, competences(good), items(good), shard_meta(good), areas(good))
 
 
+def tables(spark: SparkSession, root: str) -> Tables:
+    return flat(parts(spark, root))
+
+
 def store(found: Tables, folder: str) -> None:
-    """The flat tables as Parquet, so that documents are parsed once, however many queries follow."""
-    for f in fields(Tables):
-        getattr(found, f.name).write.parquet(f"{folder}/{f.name}")
+    """The flat tables as Parquet.  Documents are parsed once, for the parts; the other tables, which scan them up to
+    five times each, are made from the stored parts, as are all queries that follow."""
+    found.parts.write.parquet(f"{folder}/parts")
+    own = flat(found.parts.sparkSession.read.schema(found.parts.schema).parquet(f"{folder}/parts"))
+    for f in fields(Tables)[1:]:
+        getattr(own, f.name).write.parquet(f"{folder}/{f.name}")
 
 
 def stored(spark: SparkSession, folder: str) -> Tables:

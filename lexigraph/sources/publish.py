@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from ..session import staged
+
 
 class Written(WriterCommitMessage):
     def __init__(self, files: int):
@@ -81,7 +83,8 @@ class Folder(DataSource):
 def publish(rows: DataFrame, folder: str) -> None:
     """Rows (file, value) as all the files of a folder; text gets a line's end."""
     value = F.col("value") if dict(rows.dtypes)["value"] == "binary" else F.concat("value", F.lit("\n")).cast("binary")
-    rows = rows.select("file", value.alias("value"))
+    # the names are looked at before anything is written, so the rows are worked out once for both
+    rows = staged(rows.select("file", value.alias("value")), "published")
     twice = F.count("*").alias("n")
     if rows.groupBy("file").agg(twice).where("n > 1").limit(1).count():
         raise ValueError(f"two rows have one name under {folder}")

@@ -15,3 +15,18 @@ def spark(tmp_path_factory):
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
     spark.stop()
+
+
+@pytest.fixture
+def counted(spark):
+    """A column's values as they are, and how many were worked out so far."""
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def same(value):
+        seen.add(1)
+        return value
+
+    return same.asNondeterministic(), lambda: seen.value

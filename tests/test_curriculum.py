@@ -2,6 +2,7 @@ import pytest
 
 from lexigraph.operators.bind import MissingBlock
 from lexigraph.plans.curriculum import Curriculum, CurriculumError, NotFound
+from lexigraph.sources import nested_json
 
 from . import fixtures
 
@@ -125,3 +126,17 @@ def test_material(c):
     assert rows["mathematik/K1/blatt.md"].titel == "Übungsblatt" and "�" in rows["mathematik/K1/roh.txt"].text
     assert rows["mathematik/kaputt.pdf"].status == rows["mathematik/bild.xyz"].status == "uebersprungen"
     assert "README.md" not in rows and not any(".hidden" in p for p in rows) and "notiz.md" not in rows
+
+
+def test_documents_are_parsed_once_for_their_store(spark, tmp_path, counted):
+    same, seen = counted
+    root = f"{fixtures.write(tmp_path)}/daten"
+    direct = nested_json.tables(spark, root)
+    rows = direct.parts.withColumn("datei", same("datei"))
+    nested_json.store(nested_json.Tables(rows, *[f(rows.where("_corrupt_record is null")) for f in (nested_json.competences, nested_json.items, nested_json.shard_meta, nested_json.areas)]), f"{tmp_path}/stored")
+    assert seen() == direct.parts.count()
+    found = nested_json.stored(spark, f"{tmp_path}/stored")
+    for name in ("competences", "items", "meta", "areas"):
+        a, b = getattr(direct, name), getattr(found, name)
+        assert a.columns == b.columns and a.count() == b.count() > 0
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))

@@ -101,3 +101,12 @@ def test_longest_beginnings_over_all_blocks(spark, most_bytes):
     got = match.located_prefixes(spark.createDataFrame([(n,) for n in needles + needles], "n string"), "n", spark.createDataFrame([(b,) for b in blocks], "b string").repartition(3), "b", most_bytes)
     want = {n: max((n[:i] for i in range(len(n) + 1) if i == 0 or any(n[:i] in b for b in blocks if b)), key=len) for n in needles if n is not None}
     assert {r.needle: r.prefix for r in got.collect()} == want
+
+
+def test_an_index_is_built_once_for_its_store(spark, tmp_path, counted):
+    same, seen = counted
+    found = spark.range(40).select(F.lit("s").alias("shard"), same(F.concat(F.lit("wort"), F.col("id"))).alias("term"), F.array(F.lit("a")).alias("parts"))
+    dictionary.store(found, "shard", f"file://{tmp_path}/d")
+    assert seen() == 40
+    d = dictionary.Dictionary(spark, f"file://{tmp_path}/d", "shard")
+    assert d.counts.where("gram = 'wor'").first().n == 40 and d.terms.where("gram = 't3'").count() == 11

@@ -94,3 +94,9 @@ def test_conversions_are_made_once(spark, tmp_path):
     cache = spark.createDataFrame([("mathematik/c.pdf", "cached")], "pfad string, cached string").withColumn("cache_mtime", F.current_timestamp())
     got = {r.pfad: r.text for r in docs.scan(spark, f"file://{root}", cache, {"pdf": (text_of,)}).collect()}
     assert got["mathematik/c.pdf"] == "cached" and len(os.listdir(calls)) == 7  # the other three contents' files alone
+
+
+def test_rows_are_worked_out_once(spark, tmp_path, counted):
+    same, seen = counted
+    publish(spark.range(50).select(same(F.col("id").cast("string")).alias("file"), F.lit("x").alias("value")), f"file://{tmp_path}/out")
+    assert seen() == 50 and len(os.listdir(tmp_path / "out")) == 50
