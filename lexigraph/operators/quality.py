@@ -7,6 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import plan_bytes
+
+#: Estimated bytes of rows that a task counts: about a million narrow ones, as they lie in their files.  The estimate of a join may
+#: be far too high, so tasks have a limit, beyond which they grow.
+SLICE, MOST_TASKS = 4 << 20, 10_000
+
 FINDING = ("severity", "rule", "record", "message")
 HARD, SOFT, INFO = "hard", "soft", "info"
 
@@ -40,8 +46,13 @@ def collisions(rows: DataFrame, key: str) -> DataFrame:
 
 
 def repeat_aware_collisions(rows: DataFrame, key: str, repeatable: Column, *content: str) -> DataFrame:
-    """Keys of more than one row, unless every row may repeat and all have the same content."""
-    return rows.groupBy(key).agg(F.count("*").alias("n"), F.min(repeatable).alias("may"), F.countDistinct(F.xxhash64(*content)).alias("contents")).where("n > 1 and not (may and contents = 1)").select(key, "n", "contents")
+    """Keys of more than one row, unless every row may repeat and all have the same content; nulls are a content too.
+
+    Rows are dealt out by key once, over as many tasks as their size asks for, and each task counts its keys whole: what a
+    task holds stays the same as the input grows."""
+    lines = rows.select(key, repeatable.alias("may"), F.struct(*content).alias("content"))
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, min(plan_bytes(lines) // SLICE + 1, MOST_TASKS))
+    return lines.repartition(tasks, key).groupBy(key).agg(F.count("*").alias("n"), F.min("may").alias("may"), F.countDistinct("content").alias("contents")).where("n > 1 and not (may and contents = 1)").select(key, "n", "contents")
 
 
 def dangling(rows: DataFrame, reference: str, targets: DataFrame, target: str) -> DataFrame:

@@ -198,3 +198,17 @@ def test_streamed_postings(spark, tmp_path):
         stream = spark.readStream.schema("part string, text string").parquet(f"file://{tmp_path}/in")
         follow(stream, "text", "part", f"file://{tmp_path}/out", f"file://{tmp_path}/ck").awaitTermination()
     assert {r.term: r.parts for r in current_index(spark, f"file://{tmp_path}/out").collect()} == {"bruchzahl": ["a", "b"], "hier": ["a"], "dort": ["b"]}
+
+
+def test_repeats_of_null_contents_and_tasks_by_size(spark, tmp_path, monkeypatch):
+    rows = [(1, True, "x", None), (1, True, None, "x"), (2, True, None, "x"), (2, True, None, "x"), (3, False, "x", "y"), (3, True, "x", "y"), (4, None, "x", "y"), (None, False, None, None), (None, True, None, None)]
+    df = spark.createDataFrame(rows, "k long, may boolean, a string, b string")
+    want = {(1, 2, 2), (3, 2, 1), (None, 2, 1)}
+    assert {tuple(r) for r in quality.repeat_aware_collisions(df, "k", F.col("may"), "a", "b").collect()} == want
+    df.write.parquet(f"file://{tmp_path}/t")
+    monkeypatch.setattr(quality, "SLICE", 64)
+    got = quality.repeat_aware_collisions(spark.read.parquet(f"file://{tmp_path}/t"), "k", F.col("may"), "a", "b")
+    assert got.rdd.getNumPartitions() > 8 and {tuple(r) for r in got.collect()} == want
+    # one exchange, and no counting before it
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan.split("Exchange")[-1]
