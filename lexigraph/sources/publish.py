@@ -28,9 +28,24 @@ def _place(uri: str) -> tuple[fs.FileSystem, str]:
     return files, path.rstrip("/")
 
 
+def _beside(folder: str) -> str:
+    return f"{folder.rstrip('/')}.{uuid.uuid4().hex}"
+
+
+def _drop(staging: str) -> None:
+    """Takes a staging folder away; it is renamed first, so that tasks that still write find no folder any more."""
+    files, staged = _place(staging)
+    if files.get_file_info(staged).type == fs.FileType.Directory:
+        files.move(staged, f"{staged}.gone")
+        files.delete_dir(f"{staged}.gone")
+
+
 class FolderWriter(DataSourceWriter):
-    def __init__(self, folder: str):
-        self.folder, self.staging = folder, f"{folder.rstrip('/')}.{uuid.uuid4().hex}"
+    """Tasks write below a staging folder that is there already and never make it, so that one that goes on after an abort
+    leaves nothing."""
+
+    def __init__(self, folder: str, staging: str | None = None):
+        self.folder, self.staging = folder, staging or _beside(folder)
 
     def write(self, iterator: Iterator) -> Written:
         files, base = _place(self.staging)
@@ -38,12 +53,11 @@ class FolderWriter(DataSourceWriter):
         n = 0
         for row in iterator:
             name, value = row[0], row[1]
-            target = f"{base}/{name}"
-            parent = target.rsplit("/", 1)[0]
-            if parent not in made:
-                files.create_dir(parent, recursive=True)
-                made.add(parent)
-            with files.open_output_stream(target) as out:  # a task that is tried again writes the same file
+            for parent in (f"{base}/{name[:at]}" for at, sign in enumerate(name) if sign == "/"):
+                if parent not in made:
+                    files.create_dir(parent, recursive=False)
+                    made.add(parent)
+            with files.open_output_stream(f"{base}/{name}") as out:  # a task that is tried again writes the same file
                 out.write(bytes(value))
             n += 1
         return Written(n)
@@ -61,9 +75,7 @@ class FolderWriter(DataSourceWriter):
             files.delete_dir(old)
 
     def abort(self, messages: list[Written | None]) -> None:
-        files, staged = _place(self.staging)
-        if files.get_file_info(staged).type == fs.FileType.Directory:
-            files.delete_dir(staged)
+        _drop(self.staging)
 
 
 class Folder(DataSource):
@@ -77,7 +89,7 @@ class Folder(DataSource):
         return "file string, value binary"
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return FolderWriter(self.options["folder"])
+        return FolderWriter(self.options["folder"], self.options["staging"])
 
 
 def publish(rows: DataFrame, folder: str) -> None:
@@ -89,4 +101,11 @@ def publish(rows: DataFrame, folder: str) -> None:
     if rows.groupBy("file").agg(twice).where("n > 1").limit(1).count():
         raise ValueError(f"two rows have one name under {folder}")
     rows.sparkSession.dataSource.register(Folder)
-    rows.write.format(Folder.name()).option("folder", folder).mode("append").save()
+    staging = _beside(folder)
+    files, base = _place(staging)
+    files.create_dir(base, recursive=True)
+    try:
+        rows.write.format(Folder.name()).option("folder", folder).option("staging", staging).mode("append").save()
+    except BaseException:
+        _drop(staging)
+        raise

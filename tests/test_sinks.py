@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexigraph.sources import docs, paged
-from lexigraph.sources.publish import publish
+from lexigraph.sources.publish import FolderWriter, publish
 
 
 def service(counter):
@@ -100,3 +100,15 @@ def test_rows_are_worked_out_once(spark, tmp_path, counted):
     same, seen = counted
     publish(spark.range(50).select(same(F.col("id").cast("string")).alias("file"), F.lit("x").alias("value")), f"file://{tmp_path}/out")
     assert seen() == 50 and len(os.listdir(tmp_path / "out")) == 50
+
+
+def test_a_late_task_leaves_nothing(spark, tmp_path):
+    writer = FolderWriter(f"file://{tmp_path}/out")
+    writer.abort([])
+    for name in ("a", "b/c"):
+        with pytest.raises(OSError):
+            writer.write(iter([(name, b"x")]))
+    assert os.listdir(tmp_path) == []
+    with pytest.raises(Exception):  # a value that no file can take fails the write itself
+        publish(spark.createDataFrame([("a/b/c", "1"), ("d", None)], "file string, value string").repartition(2), f"file://{tmp_path}/out")
+    assert os.listdir(tmp_path) == []
