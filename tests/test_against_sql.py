@@ -68,3 +68,18 @@ def test_crosswalk_without_rows(spark):
     none = spark.createDataFrame([], "id long, area string")
     bridge, targets = spark.createDataFrame([("a", "x", 5)], "area string, kind string, n long"), spark.createDataFrame([(1, "x")], "t long, kind string")
     assert bind.crosswalk(none, bridge, targets, ["area"], ["kind"], "id", "t", "n").collect() == []
+
+
+def test_crosswalk_shuffles_blocks_not_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bind, "SLOT", 16)
+    monkeypatch.setattr(bind, "RUN", 5)
+    n, m = range(400), range(900)
+    supplier = {"s_suppkey": pa.array([None if i == 3 else i for i in n], pa.int64())}
+    part = {"p_partkey": pa.array([None if i < 2 else i // 2 for i in m], pa.int64()), "p_brand": [f"Brand#{1 + i % 12}" if i % 90 else None for i in m]}
+    folder = write(tmp_path, supplier=supplier, part=part)
+    got = same_as_sql(spark, folder, "q_crosswalk", "supplier", "part")
+    assert len(got) > 20_000 and any(p is None for _, p, _ in got)
+    pairs = QUERIES["q_crosswalk"](spark, folder)
+    nodes = pairs._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    # rows of neither side are repeated before they are shuffled: pairs are made above the last shuffle, from blocks
+    assert sum("Generate explode" in x for x in nodes[: next(i for i, x in enumerate(nodes) if "RepartitionByExpression" in x)]) == 4
