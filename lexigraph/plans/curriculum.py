@@ -88,7 +88,8 @@ class Curriculum:
 
     def finde_kompetenz(self, fach: str, stufe: str | None = None, kompetenzbereich: str | None = None, code: str | None = None, stichworte: list[str] | None = None) -> DataFrame:
         """Records of a subject by level, area (slug or name, folded) and keywords (any), all of which must hold.  A code
-        takes the keywords' place: its record by level and area, or nothing if no record or another subject has it."""
+        takes the keywords' place: its record by level and area, or nothing if no record or another subject has it.  Keywords are
+        looked for in the records' own texts: the index leaves out what many parts have, stop words, phrases and raw texts."""
         shard = self._shard(fach)
         rows = self.tables.competences.where(F.col("shard") == shard)
         if code is not None:
@@ -104,7 +105,7 @@ class Curriculum:
         terms = [t for t in stichworte or [] if t and t.strip()]
         if terms and code is None:
             hay = F.concat_ws(" ", "stammsatz", "text", "text_roh")
-            rows = rows.where(index.has_term(hay, terms)).join(self._route(shard, terms), "datei", "left_semi")
+            rows = rows.where(index.has_term(hay, terms))
         return rows.orderBy(F.coalesce("stufe", F.lit("")), F.coalesce("bereich_slug", F.lit("")), F.coalesce("ordinal", F.lit(0)))
 
     def stichwort_abdeckung(self, fach: str, begriff: str) -> DataFrame:

@@ -83,3 +83,13 @@ def test_crosswalk_shuffles_blocks_not_rows(spark, tmp_path, monkeypatch):
     nodes = pairs._jdf.queryExecution().optimizedPlan().toString().split("\n")
     # rows of neither side are repeated before they are shuffled: pairs are made above the last shuffle, from blocks
     assert sum("Generate explode" in x for x in nodes[: next(i for i, x in enumerate(nodes) if "RepartitionByExpression" in x)]) == 4
+
+
+def test_search_finds_terms_of_many_parts(spark, tmp_path):
+    n = range(4 * 1176)  # four areas
+    words = lambda i: "old gizmo" if i // 1176 < 3 and i % 30 == 3 else "hot anvil" if i == 4011 else "blue ring"
+    part = {"p_partkey": pa.array(n, pa.int64()), "p_name": [words(i) for i in n], "p_type": ["STANDARD"] * len(n)}
+    nation = {"n_nationkey": pa.array(range(25), pa.int64()), "n_name": [f"NATION{i}" for i in range(25)], "n_regionkey": pa.array([i % 5 for i in range(25)], pa.int64())}
+    got = same_as_sql(spark, write(tmp_path, part=part, nation=nation), "c_search", "part")
+    found = {i.split(".")[4] for call, i in got if call == "words"}
+    assert found == {"A0", "A1", "A2", "A3"}  # the last area has only the phrase
