@@ -10,15 +10,22 @@ from pyspark.sql import functions as F
 from ..functions.text import casefold, token_estimate, tokens
 
 
-def inverted_index(rows: DataFrame, text: Column, part: str, scope: list[str] | None = None, most_parts: int = 2, least: int = 4, stop: tuple[str, ...] | None = None) -> DataFrame:
-    """(scope…, term, parts): terms of each scope with their sorted parts, without terms of more than `most_parts` parts.
+def inverted_index(rows: DataFrame, text: Column, part: str, scope: list[str] | None = None, most_parts: int | None = 2, least: int = 4, stop: tuple[str, ...] | None = None) -> DataFrame:
+    """(scope…, term, parts): terms of each scope with their sorted parts, without terms of more than `most_parts` parts
+    (None: all terms, as a search needs that must find whatever holds a term).
 
     Terms are made distinct per (term, part) before the sets are built, so a word in every document is a
     row for each part, not for each occurrence."""
     scope = scope or []
     found = tokens(text, least) if stop is None else tokens(text, least, stop)
     pairs = rows.select(*scope, F.col(part).alias("part"), F.explode(F.array_distinct(found)).alias("term")).distinct()
-    return pairs.groupBy(*scope, "term").agg(F.array_sort(F.collect_set("part")).alias("parts")).where(F.size("parts") <= most_parts)
+    found = pairs.groupBy(*scope, "term").agg(F.array_sort(F.collect_set("part")).alias("parts"))
+    return found if most_parts is None else selective(found, most_parts)
+
+
+def selective(index: DataFrame, most_parts: int = 2) -> DataFrame:
+    """The terms of an index that lead to few parts."""
+    return index.where(F.size("parts") <= most_parts)
 
 
 def route(index: DataFrame, terms: list[str]) -> DataFrame:

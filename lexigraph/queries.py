@@ -74,15 +74,16 @@ def q_casefold_filter(spark, d):
 _INDEX = r"""pairs AS (SELECT DISTINCT lang, source, replace(lower(t), 'ß', 'ss') AS term FROM
   (SELECT lang, source, unnest(regexp_extract_all(text, '[\p{L}\p{Nl}\p{No}]+')) AS t FROM documents) WHERE length(t) >= 4),
   idx AS (SELECT lang, term, string_agg(source, ',' ORDER BY source) AS parts, count(*) AS n FROM pairs GROUP BY lang, term HAVING count(*) <= 2)"""
+_WHOLE_INDEX = _INDEX.replace(" HAVING count(*) <= 2)", ")")  # searches find terms of any number of parts
 
 
-def _built_index(spark, d):
-    return index.inverted_index(table(spark, d, "documents", "text", "lang", "source"), F.col("text"), "source", ["lang"], stop=())
+def _built_index(spark, d, most_parts: int | None = 2):
+    return index.inverted_index(table(spark, d, "documents", "text", "lang", "source"), F.col("text"), "source", ["lang"], most_parts, stop=())
 
 
 def _keyword_index(spark, d):
-    """The stored index of the documents, written once in an application as a build writes it; searches read it."""
-    return spark.read.parquet(made(spark, d, "postings", lambda folder: _built_index(spark, d).write.parquet(folder)))
+    """The stored index of the documents with all terms, written once in an application as a build writes it; searches read it."""
+    return spark.read.parquet(made(spark, d, "postings", lambda folder: _built_index(spark, d, None).write.parquet(folder)))
 
 
 @query(f"WITH {_INDEX} SELECT lang, term, parts FROM idx")
@@ -93,7 +94,7 @@ def q_inverted_index(spark, d):
 def _search(terms: list[str]):
     hit = " OR ".join(f"contains(term, '{t}')" for t in terms)
     seen = " OR ".join(f"contains(replace(lower(text), 'ß', 'ss'), '{t}')" for t in terms)
-    sql = f"""WITH {_INDEX}, routed AS (SELECT DISTINCT unnest(string_split(parts, ',')) AS source FROM idx WHERE {hit})
+    sql = f"""WITH {_WHOLE_INDEX}, routed AS (SELECT DISTINCT unnest(string_split(parts, ',')) AS source FROM idx WHERE {hit})
       SELECT doc_id, lang, source FROM documents WHERE ({seen}) AND source IN (SELECT source FROM routed)"""
 
     def run(spark, d):
@@ -123,7 +124,7 @@ _TERMS = ["idiot", "ungheit", "qqqq", "heitzutz"]
   WHEN EXISTS (SELECT 1 FROM documents t WHERE contains(replace(lower(t.text), 'ß', 'ss'), w.term)) THEN 'item'
   WHEN EXISTS (SELECT 1 FROM idx i WHERE contains(i.term, w.term)) THEN 'index_only' ELSE 'none' END AS status FROM w""")
 def q_keyword_coverage(spark, d):
-    return index.coverage(_keyword_index(spark, d), table(spark, d, "conversations", "text"), F.col("text"), table(spark, d, "documents", "text"), F.col("text"), _TERMS)
+    return index.coverage(index.selective(_keyword_index(spark, d)), table(spark, d, "conversations", "text"), F.col("text"), table(spark, d, "documents", "text"), F.col("text"), _TERMS)
 
 
 @query("""SELECT source, count(*) AS records, CAST(coalesce(sum(strlen(text)), 0) AS BIGINT) AS bytes, CAST(coalesce(sum(greatest(1, strlen(text) // 4)), 0) AS BIGINT) AS tokens FROM documents GROUP BY source""")

@@ -93,3 +93,14 @@ def test_search_finds_terms_of_many_parts(spark, tmp_path):
     got = same_as_sql(spark, write(tmp_path, part=part, nation=nation), "c_search", "part")
     found = {i.split(".")[4] for call, i in got if call == "words"}
     assert found == {"A0", "A1", "A2", "A3"}  # the last area has only the phrase
+
+
+def test_keyword_searches_find_terms_of_many_parts(spark, tmp_path):
+    n = range(60)
+    text = lambda i: "Schungheit überall" if i % 3 == 0 else "blelyedu" if i % 20 == 1 else "nichts hier" if i % 2 else None
+    documents = {"doc_id": pa.array(n, pa.int64()), "lang": [("de", "en", None)[i % 3] for i in n], "source": [f"src{i % 9}" for i in n], "text": [text(i) for i in n]}
+    conversations = {"text": ["nichts"]}
+    folder = write(tmp_path, documents=documents, conversations=conversations)
+    assert len(same_as_sql(spark, folder, "q_keyword_search", "documents")) == 20  # in three sources
+    same_as_sql(spark, folder, "q_keyword_coverage", "documents", "conversations")
+    assert all("," not in p or p.count(",") == 1 for _, _, p in same_as_sql(spark, folder, "q_inverted_index", "documents"))
