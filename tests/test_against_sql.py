@@ -102,5 +102,6 @@ def test_keyword_searches_find_terms_of_many_parts(spark, tmp_path):
     conversations = {"text": ["nichts"]}
     folder = write(tmp_path, documents=documents, conversations=conversations)
     assert len(same_as_sql(spark, folder, "q_keyword_search", "documents")) == 20  # in three sources
+    assert len(same_as_sql(spark, folder, "q_keyword_union", "documents")) == 22
     same_as_sql(spark, folder, "q_keyword_coverage", "documents", "conversations")
     assert all("," not in p or p.count(",") == 1 for _, _, p in same_as_sql(spark, folder, "q_inverted_index", "documents"))
